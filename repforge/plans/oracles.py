@@ -263,3 +263,64 @@ oracle("group_size_overview", """
 SELECT 'individual_' || group_key || '.csv' AS Filename, count(*) AS Number_of_sequences
 FROM grouped GROUP BY group_key
 """, "sequences", "catalogue", extra=_IND_SEQS)
+
+# ------------------------------------------------------- sampling / splits
+oracle("sample_exact", f"""
+SELECT Sequence_ID, File_ID FROM (
+  SELECT *, row_number() OVER (ORDER BY {MD5_ORDER}) AS rk FROM sequences) t
+WHERE rk <= 1000
+""", "sequences")
+
+_BALANCED = f"""
+SELECT Sequence_ID, File_ID, group_key FROM (
+  SELECT *, row_number() OVER (PARTITION BY group_key ORDER BY {MD5_ORDER}) AS rk,
+    CAST(ceil({{total}} / count(DISTINCT group_key) OVER ()) AS BIGINT) AS quota
+  FROM grouped) t
+WHERE rk <= quota
+"""
+oracle("sample_balanced_individuals", _BALANCED.format(total="300.0"),
+       "sequences", "catalogue", extra=_IND_SEQS)
+oracle("sample_balanced_publications", _BALANCED.format(total="500.0"),
+       "sequences", "catalogue", extra=_GROUPED_SEQS.format(key="c.Author"))
+oracle("publication_adequacy", """
+SELECT group_key AS Author, count(*) AS n_sequences,
+  CAST(ceil(500.0 / count(*) OVER ()) AS BIGINT) AS needed,
+  count(*) < ceil(500.0 / count(*) OVER ()) AS is_short
+FROM grouped GROUP BY group_key
+""", "sequences", "catalogue", extra=_GROUPED_SEQS.format(key="c.Author"))
+
+# Round robin from its definition: the p-th row (file order) of a group is
+# drawn in round p; within a round groups go by name; stop after N draws.
+_RR = """
+rr AS (
+  SELECT Sequence_ID, File_ID, group_key FROM (
+    SELECT *, row_number() OVER (ORDER BY p, group_key) AS draw FROM (
+      SELECT *, row_number() OVER (PARTITION BY group_key ORDER BY Sequence_ID) AS p
+      FROM grouped) a) b
+  WHERE draw <= 5000)"""
+oracle("sample_round_robin", "SELECT * FROM rr", "sequences", "catalogue",
+       extra=_IND_SEQS + ",\n" + _RR.strip())
+oracle("sampling_distribution", """
+SELECT g.group_key, CAST(count(rr.Sequence_ID) AS BIGINT) AS n_sampled
+FROM (SELECT DISTINCT group_key FROM grouped) g LEFT JOIN rr ON g.group_key = rr.group_key
+GROUP BY g.group_key
+""", "sequences", "catalogue", extra=_IND_SEQS + ",\n" + _RR.strip())
+
+_SPLIT = f"""
+SELECT Sequence_ID, File_ID,
+  CASE WHEN rk <= {{t}} THEN 'train' WHEN rk <= {{t}} + {{v}} THEN 'val' ELSE 'test' END AS split
+FROM (SELECT *, row_number() OVER (ORDER BY {MD5_ORDER}) AS rk,
+             count(*) OVER () AS n FROM sequences) s
+WHERE rk <= {{cap}}
+"""
+oracle("split_numbers", _SPLIT.format(t="1000", v="100", cap="n"), "sequences")
+oracle("split_fraction", _SPLIT.format(t="floor(0.8 * n)", v="floor(0.1 * n)", cap="n"),
+       "sequences")
+oracle("split_capped", _SPLIT.format(t="1000", v="100", cap="1200"), "sequences")
+oracle("kfold", """
+SELECT Sequence_ID, File_ID,
+  CAST(CASE WHEN rk <= r * (q + 1) THEN (rk - 1) // (q + 1)
+            ELSE r + (rk - 1 - r * (q + 1)) // q END AS INTEGER) AS fold
+FROM (SELECT *, row_number() OVER (ORDER BY Sequence_ID) AS rk,
+             count(*) OVER () // 5 AS q, count(*) OVER () % 5 AS r FROM sequences) s
+""", "sequences")

@@ -207,3 +207,65 @@ def q_partition_by_publication(spark, sf):
 def q_group_size_overview(spark, sf):
     return groups.group_size_overview(views.sequences(spark, sf), views.catalogue(spark, sf),
                                       "individual")
+
+
+# ------------------------------------------------------- sampling / splits
+@query("sample_exact")
+def q_sample_exact(spark, sf):
+    return sampling.sample_exact(views.sequences(spark, sf), SAMPLE_N)
+
+
+@query("sample_balanced_individuals")
+def q_sample_balanced_individuals(spark, sf):
+    g = groups.assign_groups(views.sequences(spark, sf), views.catalogue(spark, sf), "individual")
+    return sampling.sample_balanced(g, BALANCED_INDIVIDUALS_TOTAL)
+
+
+@query("sample_balanced_publications")
+def q_sample_balanced_publications(spark, sf):
+    seqs, cat = views.sequences(spark, sf), views.catalogue(spark, sf)
+    groups.publication_adequacy(seqs, cat, BALANCED_PUBLICATIONS_TOTAL, raise_on_short=True)
+    g = groups.assign_groups(seqs, cat, "publication")
+    return sampling.sample_balanced(g, BALANCED_PUBLICATIONS_TOTAL)
+
+
+@query("publication_adequacy")
+def q_publication_adequacy(spark, sf):
+    return groups.publication_adequacy(views.sequences(spark, sf), views.catalogue(spark, sf),
+                                       BALANCED_PUBLICATIONS_TOTAL)
+
+
+def _round_robin(spark, sf):
+    g = groups.assign_groups(views.sequences(spark, sf), views.catalogue(spark, sf), "individual")
+    return g, sampling.sample_round_robin(g, ROUND_ROBIN_TOTAL)
+
+
+@query("sample_round_robin")
+def q_sample_round_robin(spark, sf):
+    return _round_robin(spark, sf)[1]
+
+
+@query("sampling_distribution")
+def q_sampling_distribution(spark, sf):
+    g, s = _round_robin(spark, sf)
+    return sampling.sampling_distribution(s, g)
+
+
+@query("split_numbers")
+def q_split_numbers(spark, sf):
+    return splits.split_numbers(views.sequences(spark, sf), SPLIT_TRAIN, SPLIT_VAL)
+
+
+@query("split_fraction")
+def q_split_fraction(spark, sf):
+    return splits.split_fraction(views.sequences(spark, sf), TRAIN_FRACTION, VAL_FRACTION)
+
+
+@query("split_capped")
+def q_split_capped(spark, sf):
+    return splits.split_numbers(views.sequences(spark, sf), SPLIT_TRAIN, SPLIT_VAL, cap=SPLIT_CAP)
+
+
+@query("kfold")
+def q_kfold(spark, sf):
+    return splits.kfold(views.sequences(spark, sf), K_FOLDS)

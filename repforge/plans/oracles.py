@@ -324,3 +324,79 @@ SELECT Sequence_ID, File_ID,
 FROM (SELECT *, row_number() OVER (ORDER BY Sequence_ID) AS rk,
              count(*) OVER () // 5 AS q, count(*) OVER () % 5 AS r FROM sequences) s
 """, "sequences")
+
+# ------------------------------------------------- residues and encoding
+_REGIONS = ["fwr1_aa", "cdr1_aa", "fwr2_aa", "cdr2_aa", "fwr3_aa", "cdr3_aa", "fwr4_aa"]
+_TEXT = "concat(" + ", ".join(f"coalesce({r}, '')" for r in _REGIONS) + ")"
+
+oracle("keep_columns", """
+SELECT Sequence_ID, File_ID, locus, fwr1_aa, cdr1_aa, fwr2_aa, cdr2_aa, fwr3_aa, cdr3_aa, fwr4_aa,
+  v_call, d_call, j_call, Redundancy FROM residues
+""", "residues")
+
+
+def _len_ok(col, lo, hi, blank_check=True):
+    s = f"{col} IS NOT NULL AND length({col}) BETWEEN {lo} AND {hi}"
+    return s + (f" AND NOT regexp_matches({col}, '^\\s*$')" if blank_check else "")
+
+
+oracle("region_length_ingest", "SELECT Sequence_ID, File_ID, " + ", ".join(_REGIONS)
+       + " FROM residues WHERE " + " AND ".join([
+           _len_ok("fwr1_aa", 20, 50), _len_ok("fwr4_aa", 10, 50), _len_ok("cdr1_aa", 5, 12),
+           _len_ok("cdr2_aa", 1, 10), _len_ok("cdr3_aa", 5, 38)]), "residues")
+
+_SECOND = " AND ".join([f"{r} IS NOT NULL" for r in _REGIONS] + [
+    _len_ok("fwr1_aa", 20, 200, False), _len_ok("cdr1_aa", 5, 12, False),
+    _len_ok("cdr2_aa", 1, 10, False), _len_ok("cdr3_aa", 5, 38, False),
+    _len_ok("fwr4_aa", 10, 200, False)])
+oracle("region_length_second", "SELECT Sequence_ID, File_ID, " + ", ".join(_REGIONS)
+       + " FROM residues WHERE " + _SECOND, "residues")
+
+oracle("sequence_text", f"SELECT Sequence_ID, File_ID, {_TEXT} AS text FROM residues", "residues")
+
+# Token ids: letters of the vocabulary in id order from 5; unknown -> 3.
+_VOCAB_LETTERS = "['A','C','D','E','F','G','H','I','K','L','M','N','P','Q','R','S','T','V','W','Y']"
+_TOKENS = f"""
+tok AS (
+  SELECT Sequence_ID, [0] || list_transform(
+      list_filter(string_split({_TEXT}, ''), lambda c: c <> '')[1:148],
+      lambda c: coalesce(list_position({_VOCAB_LETTERS}, c) + 4, 3)) || [2] AS seq
+  FROM residues),
+tok2 AS (
+  SELECT Sequence_ID, seq || list_transform(range(150 - len(seq)), lambda i: 1) AS ids,
+    list_transform(range(150), lambda i: CASE WHEN i < len(seq) THEN 1 ELSE 0 END) AS att,
+    list_transform(range(150), lambda i: CASE WHEN i = 0 OR i >= len(seq) - 1 THEN 1 ELSE 0 END) AS spc
+  FROM tok)"""
+oracle("tokenize", """
+SELECT Sequence_ID, array_to_string(ids, ' ') AS input_ids, array_to_string(att, ' ') AS attention_mask,
+  array_to_string(spc, ' ') AS special_tokens_mask FROM tok2
+""", "residues", extra=_TOKENS)
+
+# Masking: u(k) = 8 hex digits k*8+1.. of md5('42|<id>|<pos>') / 2^32.
+_U = "(('0x' || substr(md5('42|' || CAST(Sequence_ID AS VARCHAR) || '|' || CAST(i - 1 AS VARCHAR)), {p}, 8))::BIGINT / 4294967296.0)"
+_SEL = f"(spc[i] = 0 AND {_U.format(p=1)} < 0.15)"
+oracle("mlm_mask", f"""
+SELECT Sequence_ID,
+  array_to_string(list_transform(range(1, 151), lambda i:
+    CASE WHEN {_SEL} AND {_U.format(p=9)} < 0.8 THEN 4
+         WHEN {_SEL} AND {_U.format(p=9)} < 0.9 THEN CAST(floor({_U.format(p=17)} * 25) AS INTEGER)
+         ELSE ids[i] END), ' ') AS input_ids,
+  array_to_string(list_transform(range(1, 151), lambda i:
+    CASE WHEN {_SEL} THEN ids[i] ELSE -100 END), ' ') AS labels
+FROM tok2
+""", "residues", extra=_TOKENS)
+
+# Numbering text per FIXTURES: keys are '<n><A or space>'; the sorted base
+# numbers are the digits of every key (text broken for every 11th id -> NULL).
+oracle("numbering_positions", f"""
+SELECT Sequence_ID, array_to_string(pos, ',') AS anarci_list, len(pos) AS n_positions FROM (
+  SELECT Sequence_ID, CASE WHEN Sequence_ID % 11 = 0 THEN NULL ELSE list_sort(list_transform(
+      list_transform(range(length(fwr1_aa)), lambda i: i + 1) ||
+      list_transform(range(length(cdr3_aa)), lambda i: i + 105), lambda x: CAST(x AS INTEGER))) END AS pos
+  FROM residues WHERE {_SECOND}) t
+""", "residues")
+
+oracle("fasta_records", f"""
+SELECT Sequence_ID, '>Sequence_' || CAST(Sequence_ID AS VARCHAR) || chr(10) || {_TEXT} AS record FROM residues
+""", "residues")
+oracle("fasta_ids", "SELECT Sequence_ID FROM residues", "residues")

@@ -269,3 +269,78 @@ def q_split_capped(spark, sf):
 @query("kfold")
 def q_kfold(spark, sf):
     return splits.kfold(views.sequences(spark, sf), K_FOLDS)
+
+
+# ------------------------------------------------- residues and encoding
+from repforge.functions.numbering import numbering_positions, parse_numbering  # noqa: E402
+from repforge.functions.regions import REGIONS  # noqa: E402
+from repforge.functions.tokens import mlm_mask  # noqa: E402
+from repforge.operators.filters import region_length_ingest, region_length_second  # noqa: E402
+from repforge.sources import corpus, fasta  # noqa: E402
+
+# The columns kept from a data unit, in configured order.
+COLUMNS_TO_KEEP = ["locus", "fwr1_aa", "cdr1_aa", "fwr2_aa", "cdr2_aa", "fwr3_aa", "cdr3_aa",
+                   "fwr4_aa", "v_call", "d_call", "j_call", "Redundancy"]
+ID_COLS = ["Sequence_ID", "File_ID"]
+
+
+def _ints(c):
+    return F.array_join(c.cast("array<string>"), " ")
+
+
+@query("keep_columns")
+def q_keep_columns(spark, sf):
+    return views.residues(spark, sf).select(*ID_COLS, *COLUMNS_TO_KEEP)
+
+
+@query("region_length_ingest")
+def q_region_length_ingest(spark, sf):
+    return region_length_ingest(views.residues(spark, sf)).select(*ID_COLS, *REGIONS)
+
+
+@query("region_length_second")
+def q_region_length_second(spark, sf):
+    return region_length_second(views.residues(spark, sf)).select(*ID_COLS, *REGIONS)
+
+
+@query("sequence_text")
+def q_sequence_text(spark, sf):
+    return corpus.sequence_text(views.residues(spark, sf), ["Sequence_ID", "File_ID"])
+
+
+@query("tokenize")
+def q_tokenize(spark, sf):
+    text = corpus.sequence_text(views.residues(spark, sf))
+    t = corpus.tokenize_corpus(text, keep=["Sequence_ID"])
+    return t.select("Sequence_ID", *[_ints(F.col(c)).alias(c) for c in corpus.TOKEN_COLUMNS])
+
+
+@query("mlm_mask")
+def q_mlm_mask(spark, sf):
+    text = corpus.sequence_text(views.residues(spark, sf))
+    t = corpus.tokenize_corpus(text, keep=["Sequence_ID"])
+    m = mlm_mask(F.col("Sequence_ID"), F.col("input_ids"), F.col("special_tokens_mask"))
+    return t.select("Sequence_ID", _ints(m["input_ids"]).alias("input_ids"),
+                    _ints(m["labels"]).alias("labels"))
+
+
+@query("numbering_positions")
+def q_numbering_positions(spark, sf):
+    """Numbering text -> sorted position list, then the second-round filter
+    (the order of the reference's numbering step)."""
+    r = views.with_numbering_text(views.residues(spark, sf))
+    r = r.withColumn("anarci_list", numbering_positions(parse_numbering(F.col("ANARCI_numbering"))))
+    r = region_length_second(r.drop("ANARCI_numbering"))
+    return r.select("Sequence_ID", F.array_join(F.col("anarci_list").cast("array<string>"), ",")
+                    .alias("anarci_list"), F.size("anarci_list").alias("n_positions"))
+
+
+@query("fasta_records")
+def q_fasta_records(spark, sf):
+    return fasta.fasta_records(views.residues(spark, sf))
+
+
+@query("fasta_ids")
+def q_fasta_ids(spark, sf):
+    lines = fasta.fasta_lines(fasta.fasta_records(views.residues(spark, sf)))
+    return fasta.fasta_ids(lines)

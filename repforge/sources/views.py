@@ -93,7 +93,7 @@ def residues(spark: SparkSession, sf_dir: str) -> DataFrame:
                for name, (start, length) in zip(REGIONS, REGION_SLICES)]
     return seq.select(
         (F.col("doc_id") * LINE_ID_STRIDE + F.col("line_no")).alias("Sequence_ID"),
-        F.regexp_extract("source", "([0-9]+)", 1).cast("bigint").alias("File_ID"),
+        F.regexp_extract("source", "([0-9]+)", 1).try_cast("bigint").alias("File_ID"),
         F.when(F.col("lang") == "en", "H").when(F.col("lang") == "fr", "K")
          .otherwise("L").alias("locus"),
         *regions,
@@ -115,3 +115,28 @@ def losses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("batch"),
         F.col("value").alias("loss"),
     )
+
+
+def _numbering_entries(region: str, offset: int) -> Column:
+    """``'<pos><ins>': '<residue>'`` for every residue of ``region``; every
+    third position carries insertion letter ``A``, the others a space."""
+    c = F.col(region)
+    idx = F.sequence(F.lit(0), F.length(c) - 1)
+    entry = F.transform(idx, lambda i: F.concat(
+        F.lit("'"), (i + offset + 1).cast("string"),
+        F.when(i % 3 == 2, F.lit("A")).otherwise(F.lit(" ")),
+        F.lit("': '"), F.substring(c, i + 1, 1), F.lit("'")))
+    return F.when(F.length(c) > 0, F.array_join(entry, ", "))
+
+
+def with_numbering_text(res: DataFrame) -> DataFrame:
+    """Add ``ANARCI_numbering``: Python-literal text of
+    ``{'fwh1': {...}, 'cdrh3': {...}}`` built from fwr1 and cdr3; every 11th
+    sequence gets a truncated (unparsable) text."""
+    text = F.concat(F.lit("{'fwh1': {"), _numbering_entries("fwr1_aa", 0),
+                    F.lit("}, 'cdrh3': {"), _numbering_entries("cdr3_aa", 104), F.lit("}}"))
+    broken = F.expr("substr(t, 1, length(t) - 1)")
+    out = res.withColumn("t", text)
+    return out.withColumn("ANARCI_numbering",
+                          F.when(F.col("Sequence_ID") % 11 == 0, broken).otherwise(F.col("t"))
+                          ).drop("t")

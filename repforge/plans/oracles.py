@@ -400,3 +400,30 @@ oracle("fasta_records", f"""
 SELECT Sequence_ID, '>Sequence_' || CAST(Sequence_ID AS VARCHAR) || chr(10) || {_TEXT} AS record FROM residues
 """, "residues")
 oracle("fasta_ids", "SELECT Sequence_ID FROM residues", "residues")
+
+# ------------------------------------------------------------- clustering
+# k = 10, m = 20 smallest md5 k-mer hashes, identity 90 %, coverage 90 %.
+_CLUSTER = """
+uniq AS (SELECT min(Sequence_ID) AS rep_id, sequence, length(sequence) AS len, count(*) AS n_copies
+         FROM residues GROUP BY sequence),
+km AS (SELECT DISTINCT id, len, md5(substr(sequence, i, 10)) AS kmer FROM (
+         SELECT rep_id AS id, len, sequence, unnest(range(1, len - 10 + 2)) AS i
+         FROM uniq WHERE len >= 10) x),
+sk AS (SELECT id, len, kmer FROM (
+         SELECT *, row_number() OVER (PARTITION BY id ORDER BY kmer) AS rn FROM km) y WHERE rn <= 20),
+centres AS (SELECT kmer, id AS centre FROM (
+         SELECT *, row_number() OVER (PARTITION BY kmer ORDER BY len DESC, id) AS rn FROM sk) z
+         WHERE rn = 1),
+cand AS (SELECT DISTINCT c.centre, s.id AS member FROM sk s JOIN centres c ON s.kmer = c.kmer
+         WHERE s.id <> c.centre)"""
+oracle("exact_duplicates", "SELECT rep_id, len, n_copies FROM uniq", "residues", extra=_CLUSTER)
+oracle("kmer_sketch", "SELECT id, len, kmer FROM sk", "residues", extra=_CLUSTER)
+oracle("kmer_candidates", "SELECT centre, member FROM cand", "residues", extra=_CLUSTER)
+oracle("verified_pairs", """
+SELECT centre, member, c_len, m_len, CAST(distance AS INTEGER) AS distance FROM (
+  SELECT p.centre, p.member, c.len AS c_len, m.len AS m_len,
+    levenshtein(c.sequence, m.sequence) AS distance
+  FROM cand p JOIN uniq c ON p.centre = c.rep_id JOIN uniq m ON p.member = m.rep_id
+  WHERE m.len * 100 >= c.len * 90) v
+WHERE distance <= floor(c_len * 10 / 100.0)
+""", "residues", extra=_CLUSTER)

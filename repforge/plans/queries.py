@@ -344,3 +344,55 @@ def q_fasta_records(spark, sf):
 def q_fasta_ids(spark, sf):
     lines = fasta.fasta_lines(fasta.fasta_records(views.residues(spark, sf)))
     return fasta.fasta_ids(lines)
+
+
+# ------------------------------------------------------------- clustering
+from repforge.operators import cluster as clu  # noqa: E402
+
+
+def _residue_seqs(spark, sf):
+    return views.residues(spark, sf).select("Sequence_ID", "sequence")
+
+
+@query("exact_duplicates")
+def q_exact_duplicates(spark, sf):
+    return clu.exact_duplicates(_residue_seqs(spark, sf)).select("rep_id", "len", "n_copies")
+
+
+@query("kmer_sketch")
+def q_kmer_sketch(spark, sf):
+    return clu.kmer_sketch(clu.exact_duplicates(_residue_seqs(spark, sf)))
+
+
+@query("kmer_candidates")
+def q_kmer_candidates(spark, sf):
+    return clu.kmer_candidates(clu.kmer_sketch(clu.exact_duplicates(_residue_seqs(spark, sf))))
+
+
+@query("verified_pairs")
+def q_verified_pairs(spark, sf):
+    u = clu.exact_duplicates(_residue_seqs(spark, sf))
+    return clu.verified_pairs(clu.kmer_candidates(clu.kmer_sketch(u)), u)
+
+
+@query("cluster_assignments")
+def q_cluster_assignments(spark, sf):
+    return clu.cluster(_residue_seqs(spark, sf))
+
+
+@query("cluster_representatives")
+def q_cluster_representatives(spark, sf):
+    return clu.cluster(_residue_seqs(spark, sf)).select("rep_id").distinct()
+
+
+@query("cluster_sizes")
+def q_cluster_sizes(spark, sf):
+    return clu.cluster_sizes(clu.cluster(_residue_seqs(spark, sf)))
+
+
+@query("representatives")
+def q_representatives(spark, sf):
+    """The sequences table restricted to cluster representatives (J1)."""
+    res = views.residues(spark, sf)
+    reps = clu.cluster(res.select("Sequence_ID", "sequence"))
+    return clu.representatives(res.select(*ID_COLS, *COLUMNS_TO_KEEP), reps)

@@ -427,3 +427,41 @@ SELECT centre, member, c_len, m_len, CAST(distance AS INTEGER) AS distance FROM
   WHERE m.len * 100 >= c.len * 90) v
 WHERE distance <= floor(c_len * 10 / 100.0)
 """, "residues", extra=_CLUSTER)
+
+# ----------------------------------------------------------------- ingest
+# A unit per residue File_ID: line 1 metadata, line 2 header, then the rows
+# in Sequence_ID order (v_call written as two comma-separated alleles).
+_UNIT_ROWS = """
+unit_rows AS (
+  SELECT *, v_call || '*01,' || v_call || '*02' AS v_call_full,
+    row_number() OVER (PARTITION BY File_ID ORDER BY Sequence_ID) + 2 AS line
+  FROM residues)"""
+_KEEP = ("locus, fwr1_aa, cdr1_aa, fwr2_aa, cdr2_aa, fwr3_aa, cdr3_aa, fwr4_aa, "
+         "v_call_full AS v_call, d_call, j_call, Redundancy")
+_INGEST_OK = " AND ".join([
+    _len_ok("fwr1_aa", 20, 50), _len_ok("fwr4_aa", 10, 50), _len_ok("cdr1_aa", 5, 12),
+    _len_ok("cdr2_aa", 1, 10), _len_ok("cdr3_aa", 5, 38)])
+oracle("read_units", """
+SELECT File_ID, line, locus, v_call_full AS v_call, fwr1_aa, cdr1_aa, fwr2_aa, cdr2_aa, fwr3_aa,
+  cdr3_aa, fwr4_aa, Redundancy FROM unit_rows
+""", "residues", extra=_UNIT_ROWS)
+oracle("assign_sequence_ids", f"""
+SELECT row_number() OVER (ORDER BY File_ID, line) AS Sequence_ID, File_ID, {_KEEP}
+FROM unit_rows WHERE {_INGEST_OK}
+""", "residues", extra=_UNIT_ROWS)
+oracle("every_nth", f"""
+SELECT row_number() OVER (ORDER BY File_ID, line) AS Sequence_ID, File_ID, {_KEEP} FROM (
+  SELECT *, row_number() OVER (PARTITION BY File_ID ORDER BY line) AS pos
+  FROM unit_rows WHERE {_INGEST_OK}) f
+WHERE pos % 3 = 0
+""", "residues", extra=_UNIT_ROWS)
+oracle("ingest_unfiltered", f"""
+SELECT row_number() OVER (ORDER BY File_ID, line) AS Sequence_ID, File_ID, {_KEEP} FROM unit_rows
+""", "residues", extra=_UNIT_ROWS)
+
+oracle("unit_manifest", """
+SELECT File_ID, '"{""Run"": ""unit_' || CAST(File_ID AS VARCHAR) || '"", ""Species"": ""human"", ""Chain"": ""Heavy""}"' AS first_line, count(*) + 2 AS n_lines,
+  sum(strlen(row_text) + 1) + strlen('"{""Run"": ""unit_' || CAST(File_ID AS VARCHAR) || '"", ""Species"": ""human"", ""Chain"": ""Heavy""}"') + 1 + 1230 AS bytes,
+  round((sum(strlen(row_text) + 1) + strlen('"{""Run"": ""unit_' || CAST(File_ID AS VARCHAR) || '"", ""Species"": ""human"", ""Chain"": ""Heavy""}"') + 1 + 1230) / 1048576.0, 4) AS Size_MB
+FROM (SELECT File_ID, concat_ws(',', CASE WHEN regexp_matches(sequence, '[,"]') THEN '"' || replace(sequence, '"', '""') || '"' ELSE coalesce(sequence, '') END, CASE WHEN regexp_matches(locus, '[,"]') THEN '"' || replace(locus, '"', '""') || '"' ELSE coalesce(locus, '') END, '', '', '', '', '', '', CASE WHEN regexp_matches(v_call_full, '[,"]') THEN '"' || replace(v_call_full, '"', '""') || '"' ELSE coalesce(v_call_full, '') END, CASE WHEN regexp_matches(d_call, '[,"]') THEN '"' || replace(d_call, '"', '""') || '"' ELSE coalesce(d_call, '') END, CASE WHEN regexp_matches(j_call, '[,"]') THEN '"' || replace(j_call, '"', '""') || '"' ELSE coalesce(j_call, '') END, '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', CASE WHEN regexp_matches(fwr1_aa, '[,"]') THEN '"' || replace(fwr1_aa, '"', '""') || '"' ELSE coalesce(fwr1_aa, '') END, '', CASE WHEN regexp_matches(cdr1_aa, '[,"]') THEN '"' || replace(cdr1_aa, '"', '""') || '"' ELSE coalesce(cdr1_aa, '') END, '', CASE WHEN regexp_matches(fwr2_aa, '[,"]') THEN '"' || replace(fwr2_aa, '"', '""') || '"' ELSE coalesce(fwr2_aa, '') END, '', CASE WHEN regexp_matches(cdr2_aa, '[,"]') THEN '"' || replace(cdr2_aa, '"', '""') || '"' ELSE coalesce(cdr2_aa, '') END, '', CASE WHEN regexp_matches(fwr3_aa, '[,"]') THEN '"' || replace(fwr3_aa, '"', '""') || '"' ELSE coalesce(fwr3_aa, '') END, '', CASE WHEN regexp_matches(fwr4_aa, '[,"]') THEN '"' || replace(fwr4_aa, '"', '""') || '"' ELSE coalesce(fwr4_aa, '') END, '', CASE WHEN regexp_matches(cdr3_aa, '[,"]') THEN '"' || replace(cdr3_aa, '"', '""') || '"' ELSE coalesce(cdr3_aa, '') END, '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', CASE WHEN regexp_matches(CAST(Redundancy AS VARCHAR), '[,"]') THEN '"' || replace(CAST(Redundancy AS VARCHAR), '"', '""') || '"' ELSE coalesce(CAST(Redundancy AS VARCHAR), '') END, '', CASE WHEN regexp_matches('|', '[,"]') THEN '"' || replace('|', '"', '""') || '"' ELSE coalesce('|', '') END) AS row_text FROM unit_rows) r GROUP BY File_ID
+""", "residues", extra=_UNIT_ROWS)

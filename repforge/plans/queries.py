@@ -396,3 +396,56 @@ def q_representatives(spark, sf):
     res = views.residues(spark, sf)
     reps = clu.cluster(res.select("Sequence_ID", "sequence"))
     return clu.representatives(res.select(*ID_COLS, *COLUMNS_TO_KEEP), reps)
+
+
+# ----------------------------------------------------------------- ingest
+from repforge.session import scratch_path  # noqa: E402
+from repforge.sources import units as U  # noqa: E402
+
+_UNIT_DIRS: dict[tuple[str, str], str] = {}
+NTH = 3
+
+
+def _unit_files(spark, sf):
+    """gzip data units derived from the residue view, written once per
+    session to the shared checkpoint folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _UNIT_DIRS:
+        path = scratch_path(spark, "units")
+        U.write_units(U.residue_unit_lines(views.residues(spark, sf)), path)
+        _UNIT_DIRS[key] = path
+    return _UNIT_DIRS[key]
+
+
+def _numbered_units(spark, sf):
+    path = _unit_files(spark, sf)
+    return U.number_lines(U.read_unit_lines(spark, f"{path}/unit=*/*.gz"))
+
+
+@query("read_units")
+def q_read_units(spark, sf):
+    p = U.parse_units(_numbered_units(spark, sf))
+    return p.select("File_ID", "line", "locus", "v_call", *REGIONS, "Redundancy")
+
+
+@query("assign_sequence_ids")
+def q_assign_sequence_ids(spark, sf):
+    return U.ingest(U.parse_units(_numbered_units(spark, sf)), COLUMNS_TO_KEEP)
+
+
+@query("every_nth")
+def q_every_nth(spark, sf):
+    return U.ingest(U.parse_units(_numbered_units(spark, sf)), COLUMNS_TO_KEEP, nth=NTH)
+
+
+@query("ingest_unfiltered")
+def q_ingest_unfiltered(spark, sf):
+    return U.ingest(U.parse_units(_numbered_units(spark, sf)), COLUMNS_TO_KEEP,
+                    length_filter=False)
+
+
+@query("unit_manifest")
+def q_unit_manifest(spark, sf):
+    m = U.unit_manifest(_numbered_units(spark, sf))
+    return m.select(U.default_file_id(F.col("file_path")).alias("File_ID"),
+                    "first_line", "n_lines", "bytes", "Size_MB")

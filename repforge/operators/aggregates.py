@@ -152,3 +152,11 @@ def age_histogram(catalogue: DataFrame, n_bins: int = 20) -> DataFrame:
                      F.round(F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("bin") / n_bins, 6).alias("lower"),
                      F.round(F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("bin") + 1) / n_bins, 6).alias("upper"),
                      "unique_sequences"))
+
+
+def labelled_groups(df: DataFrame, group_cols: Sequence[str], sum_col: str,
+                    threshold: float) -> DataFrame:
+    """Grouped sums with a label (the group key) only above ``threshold``."""
+    s = grouped_sum(df, group_cols, sum_col)
+    key = F.concat_ws(" / ", *[F.col(c) for c in group_cols])
+    return s.withColumn("label", F.when(F.col(sum_col) > threshold, key).otherwise(F.lit("")))

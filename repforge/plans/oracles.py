@@ -465,3 +465,75 @@ SELECT File_ID, '"{""Run"": ""unit_' || CAST(File_ID AS VARCHAR) || '"", ""Speci
   round((sum(strlen(row_text) + 1) + strlen('"{""Run"": ""unit_' || CAST(File_ID AS VARCHAR) || '"", ""Species"": ""human"", ""Chain"": ""Heavy""}"') + 1 + 1230) / 1048576.0, 4) AS Size_MB
 FROM (SELECT File_ID, concat_ws(',', CASE WHEN regexp_matches(sequence, '[,"]') THEN '"' || replace(sequence, '"', '""') || '"' ELSE coalesce(sequence, '') END, CASE WHEN regexp_matches(locus, '[,"]') THEN '"' || replace(locus, '"', '""') || '"' ELSE coalesce(locus, '') END, '', '', '', '', '', '', CASE WHEN regexp_matches(v_call_full, '[,"]') THEN '"' || replace(v_call_full, '"', '""') || '"' ELSE coalesce(v_call_full, '') END, CASE WHEN regexp_matches(d_call, '[,"]') THEN '"' || replace(d_call, '"', '""') || '"' ELSE coalesce(d_call, '') END, CASE WHEN regexp_matches(j_call, '[,"]') THEN '"' || replace(j_call, '"', '""') || '"' ELSE coalesce(j_call, '') END, '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', CASE WHEN regexp_matches(fwr1_aa, '[,"]') THEN '"' || replace(fwr1_aa, '"', '""') || '"' ELSE coalesce(fwr1_aa, '') END, '', CASE WHEN regexp_matches(cdr1_aa, '[,"]') THEN '"' || replace(cdr1_aa, '"', '""') || '"' ELSE coalesce(cdr1_aa, '') END, '', CASE WHEN regexp_matches(fwr2_aa, '[,"]') THEN '"' || replace(fwr2_aa, '"', '""') || '"' ELSE coalesce(fwr2_aa, '') END, '', CASE WHEN regexp_matches(cdr2_aa, '[,"]') THEN '"' || replace(cdr2_aa, '"', '""') || '"' ELSE coalesce(cdr2_aa, '') END, '', CASE WHEN regexp_matches(fwr3_aa, '[,"]') THEN '"' || replace(fwr3_aa, '"', '""') || '"' ELSE coalesce(fwr3_aa, '') END, '', CASE WHEN regexp_matches(fwr4_aa, '[,"]') THEN '"' || replace(fwr4_aa, '"', '""') || '"' ELSE coalesce(fwr4_aa, '') END, '', CASE WHEN regexp_matches(cdr3_aa, '[,"]') THEN '"' || replace(cdr3_aa, '"', '""') || '"' ELSE coalesce(cdr3_aa, '') END, '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', CASE WHEN regexp_matches(CAST(Redundancy AS VARCHAR), '[,"]') THEN '"' || replace(CAST(Redundancy AS VARCHAR), '"', '""') || '"' ELSE coalesce(CAST(Redundancy AS VARCHAR), '') END, '', CASE WHEN regexp_matches('|', '[,"]') THEN '"' || replace('|', '"', '""') || '"' ELSE coalesce('|', '') END) AS row_text FROM unit_rows) r GROUP BY File_ID
 """, "residues", extra=_UNIT_ROWS)
+
+# ------------------------------------------------------- catalogue lines
+_FIELDS = ["Species", "Author", "Subject", "Chain", "Isotype", "Age"]
+_RAW = """
+raw AS (
+  SELECT 'wget ' || Download_Link || ', "' || replace(js, '"', '""') || '"' ||
+    CASE WHEN File_index % 29 = 0 THEN '' ELSE ', ' || CAST(Size_MB AS VARCHAR) || ' MB' END AS value
+  FROM (SELECT *, '{' || concat_ws(', ', """ + ", ".join(
+    f"""'"{f}": "' || coalesce({f}, '') || '"'""" for f in _FIELDS) + """,
+      CASE WHEN File_index % 7 = 0 THEN '"Extra": "x"' END) ||
+      CASE WHEN File_index % 23 = 0 THEN '' ELSE '}' END AS js FROM catalogue) c),
+parsed AS (
+  SELECT value, regexp_matches(trim(value), '^wget (\\S+), "(.*?)", ([\\d.]+) MB$') AS ok,
+    regexp_extract(trim(value), '^wget (\\S+), "(.*?)", ([\\d.]+) MB$', 1) AS link,
+    replace(regexp_extract(trim(value), '^wget (\\S+), "(.*?)", ([\\d.]+) MB$', 2), '""', '"') AS j,
+    regexp_extract(trim(value), '^wget (\\S+), "(.*?)", ([\\d.]+) MB$', 3) AS size
+  FROM raw)"""
+oracle("parse_catalogue_lines", "SELECT link AS Download_Link, " + ", ".join(
+    f"json_extract_string(j, '$.{f}') AS {f}" for f in _FIELDS)
+    + ", CAST(TRY_CAST(size AS DECIMAL(18,4)) AS DOUBLE) AS Size_MB FROM parsed WHERE ok AND json_valid(j)",
+    "catalogue", extra=_RAW)
+oracle("bad_catalogue_lines", """
+SELECT trim(value) AS line, CASE WHEN NOT ok THEN 'invalid line' ELSE 'malformed json' END AS reason
+FROM parsed WHERE NOT ok OR NOT json_valid(j)
+""", "catalogue", extra=_RAW)
+oracle("labelled_groups", """
+SELECT Author, s AS Unique_sequences, CASE WHEN s > 250000 THEN Author ELSE '' END AS label FROM (
+  SELECT Author, COALESCE(sum(TRY_CAST(Unique_sequences AS BIGINT)), 0) AS s
+  FROM catalogue WHERE Author IS NOT NULL GROUP BY Author) a
+""", "catalogue")
+
+# ------------------------------------------------------------ assessment
+_PER_SET = """
+per_rank AS (
+  SELECT model, test_set, "rank", CAST(sum(CAST(loss AS DECIMAL(38,12))) AS DOUBLE) / count(*) AS rm,
+    count(*) AS n
+  FROM losses WHERE loss IS NOT NULL AND NOT isnan(loss) GROUP BY model, test_set, "rank"),
+per_set AS (
+  SELECT model, test_set, round(avg(rm), 6) AS eval_loss, sum(n) AS n_batches
+  FROM per_rank GROUP BY model, test_set)"""
+oracle("loss_by_test_set", """
+SELECT model, test_set, eval_loss, n_batches,
+  CASE WHEN eval_loss <= 709 THEN CAST(printf('%.9e', exp(eval_loss)) AS DOUBLE) END AS perplexity FROM per_set
+""", "losses", extra=_PER_SET)
+oracle("loss_matrix", """
+SELECT model,
+  max(CASE WHEN test_set = 'set0' THEN eval_loss END) AS set0,
+  max(CASE WHEN test_set = 'set1' THEN eval_loss END) AS set1,
+  max(CASE WHEN test_set = 'set2' THEN eval_loss END) AS set2,
+  max(CASE WHEN test_set = 'set3' THEN eval_loss END) AS set3,
+  round((max(CASE WHEN test_set = 'set0' THEN eval_loss END) + max(CASE WHEN test_set = 'set1' THEN eval_loss END)
+    + max(CASE WHEN test_set = 'set2' THEN eval_loss END)) / 3, 6) AS macro_mean
+FROM per_set GROUP BY model
+""", "losses", extra=_PER_SET)
+
+# ---------------------------------------------------------- corpus / tokens
+_SPLIT_RES = f"""
+split_res AS (
+  SELECT Sequence_ID, sequence AS text,
+    CASE WHEN rk <= floor(0.8 * n) THEN 'train' WHEN rk <= floor(0.8 * n) + floor(0.1 * n) THEN 'val'
+         ELSE 'test' END AS split
+  FROM (SELECT *, row_number() OVER (ORDER BY {MD5_ORDER}) AS rk, count(*) OVER () AS n
+        FROM residues) r)"""
+oracle("read_corpus", "SELECT split, text FROM split_res", "residues", extra=_SPLIT_RES)
+oracle("tokenized_test_split", """
+SELECT t.Sequence_ID, array_to_string(ids, ' ') AS input_ids, array_to_string(att, ' ') AS attention_mask,
+  array_to_string(spc, ' ') AS special_tokens_mask
+FROM tok2 t JOIN split_res s ON t.Sequence_ID = s.Sequence_ID WHERE s.split = 'test'
+""", "residues", extra=_SPLIT_RES + ",\n" + _TOKENS.strip())
+oracle("token_shards", """
+SELECT split, CAST(0 AS INTEGER) AS shard, count(*) AS n_rows FROM split_res GROUP BY split
+""", "residues", extra=_SPLIT_RES)

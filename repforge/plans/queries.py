@@ -449,3 +449,107 @@ def q_unit_manifest(spark, sf):
     m = U.unit_manifest(_numbered_units(spark, sf))
     return m.select(U.default_file_id(F.col("file_path")).alias("File_ID"),
                     "first_line", "n_lines", "bytes", "Size_MB")
+
+
+# ------------------------------------------------------- catalogue lines
+from repforge.sources import catalogue as cat_src  # noqa: E402
+
+LABEL_THRESHOLD = 250000
+
+
+def _raw_catalogue_lines(spark, sf):
+    """``wget <url>, "<json>", <size> MB`` per unit; every 7th unit has an
+    extra key, every 23rd broken JSON, every 29th no size."""
+    c = views.catalogue(spark, sf)
+    q = lambda name, col: F.concat(F.lit(f'"{name}": "'), F.coalesce(col, F.lit("")), F.lit('"'))
+    fields = [q(f, F.col(f)) for f in cat_src.METADATA_FIELDS]
+    body = F.concat_ws(", ", *fields, F.when(F.col("File_index") % 7 == 0,
+                                             F.lit('"Extra": "x"')))
+    js = F.concat(F.lit("{"), body,
+                  F.when(F.col("File_index") % 23 == 0, F.lit("")).otherwise(F.lit("}")))
+    doubled = F.replace(js, F.lit('"'), F.lit('""'))
+    size = F.when(F.col("File_index") % 29 == 0, F.lit("")).otherwise(
+        F.concat(F.lit(", "), F.col("Size_MB").cast("string"), F.lit(" MB")))
+    return c.select(F.concat(F.lit("wget "), F.col("Download_Link"), F.lit(', "'), doubled,
+                             F.lit('"'), size).alias("value"))
+
+
+@query("parse_catalogue_lines")
+def q_parse_catalogue_lines(spark, sf):
+    p = cat_src.parse_catalogue_lines(_raw_catalogue_lines(spark, sf))
+    return p.withColumn("Size_MB", F.col("Size_MB").cast("double"))
+
+
+@query("bad_catalogue_lines")
+def q_bad_catalogue_lines(spark, sf):
+    return cat_src.bad_catalogue_lines(_raw_catalogue_lines(spark, sf))
+
+
+@query("labelled_groups")
+def q_labelled_groups(spark, sf):
+    return agg.labelled_groups(views.catalogue(spark, sf), ["Author"], "Unique_sequences",
+                               LABEL_THRESHOLD)
+
+
+# ------------------------------------------------------------ assessment
+from repforge.operators import assess  # noqa: E402
+
+TEST_SETS = ["set0", "set1", "set2", "set3"]
+
+
+@query("loss_by_test_set")
+def q_loss_by_test_set(spark, sf):
+    return assess.loss_by_test_set(views.losses(spark, sf))
+
+
+@query("loss_matrix")
+def q_loss_matrix(spark, sf):
+    return assess.loss_matrix(assess.loss_by_test_set(views.losses(spark, sf)), TEST_SETS,
+                              TEST_SETS[:3])
+
+
+# ---------------------------------------------------------- corpus / tokens
+_CORPUS_DIRS: dict[tuple[str, str], str] = {}
+
+
+def _split_text(spark, sf):
+    res = views.residues(spark, sf).select("Sequence_ID", "sequence")
+    return splits.split_fraction(res, TRAIN_FRACTION, VAL_FRACTION)
+
+
+def _corpus_files(spark, sf):
+    """Split text files (one sequence per line, a folder per split), written
+    once per session to the shared checkpoint folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CORPUS_DIRS:
+        path = scratch_path(spark, "corpus")
+        splits.write_splits(_split_text(spark, sf), path, text_col="sequence")
+        _CORPUS_DIRS[key] = path
+    return _CORPUS_DIRS[key]
+
+
+@query("read_corpus")
+def q_read_corpus(spark, sf):
+    path = _corpus_files(spark, sf)
+    return corpus.read_corpus(spark, {s: f"{path}/split={s}" for s in ("train", "val", "test")})
+
+
+def _tokens(spark, sf):
+    t = _split_text(spark, sf)
+    return corpus.tokenize_corpus(t, "sequence", keep=["Sequence_ID", "split"])
+
+
+@query("tokenized_test_split")
+def q_tokenized_test_split(spark, sf):
+    key = (spark.sparkContext.applicationId, sf, "tokens")
+    if key not in _CORPUS_DIRS:
+        path = scratch_path(spark, "tokens")
+        corpus.write_token_shards(_tokens(spark, sf), path)
+        _CORPUS_DIRS[key] = path
+    t = corpus.read_tokenized_test(spark, _CORPUS_DIRS[key])
+    return t.select("Sequence_ID", *[_ints(F.col(c)).alias(c) for c in corpus.TOKEN_COLUMNS])
+
+
+@query("token_shards")
+def q_token_shards(spark, sf):
+    return corpus.shard_sizes(_tokens(spark, sf))

@@ -81,9 +81,12 @@ def verified_pairs(candidates: DataFrame, unique: DataFrame,
     j = candidates.join(c, "centre").join(mm, "member")
     j = j.where(F.col("m_len") * 100 >= F.col("c_len") * coverage_pct)
     threshold = F.floor(F.col("c_len") * (100 - identity_pct) / 100).cast("int")
-    j = (j.withColumn("_thr", threshold)
-          .withColumn("distance", F.expr("levenshtein(c_seq, m_seq, _thr)")))
-    return j.where(F.col("distance") >= 0).select("centre", "member", "c_len", "m_len", "distance")
+    # explode() is a barrier: the filter below cannot be pushed under it and
+    # re-evaluate the distance, so each pair is aligned exactly once.
+    j = j.withColumn("_thr", threshold).select(
+        "centre", "member", "c_len", "m_len",
+        F.explode(F.array(F.expr("levenshtein(c_seq, m_seq, _thr)"))).alias("distance"))
+    return j.where(F.col("distance") >= 0)
 
 
 def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:

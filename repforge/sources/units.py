@@ -42,6 +42,8 @@ UNIT_COLUMNS = [
 ]
 UNIT_SCHEMA = StructType([StructField(c, StringType()) for c in UNIT_COLUMNS])
 INT_COLUMNS = ["Redundancy"]
+# RFC 4180 quoting: a quote inside a quoted field is doubled.
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 
 def read_unit_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -85,7 +87,7 @@ def parse_units(numbered: DataFrame, schema: StructType = UNIT_SCHEMA,
     rows = numbered.where(F.col("line") >= first)
     fid = file_id if file_id is not None else default_file_id(F.col("file_path"))
     parsed = rows.select(fid.alias("File_ID"), "line", "block",
-                         F.from_csv(F.col("value"), schema.simpleString()).alias("_r"))
+                         F.from_csv(F.col("value"), schema.simpleString(), CSV_OPTIONS).alias("_r"))
     out = parsed.select("File_ID", "line", "block", "_r.*")
     for c in INT_COLUMNS:
         if c in out.columns:
@@ -96,7 +98,8 @@ def parse_units(numbered: DataFrame, schema: StructType = UNIT_SCHEMA,
 def unit_metadata(numbered: DataFrame) -> DataFrame:
     """(file_path, metadata): line 1 of every unit, CSV-unquoted."""
     first = numbered.where(F.col("line") == 1)
-    return first.select("file_path", F.from_csv("value", "metadata string")["metadata"]
+    return first.select("file_path", F.from_csv(F.col("value"), "metadata string",
+                                                CSV_OPTIONS)["metadata"]
                         .alias("metadata"))
 
 

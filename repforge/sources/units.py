@@ -67,6 +67,12 @@ def number_lines(lines: DataFrame) -> DataFrame:
                  .drop("_start", "_m0"))
 
 
+def normalize_path(path: Column) -> Column:
+    """Path without its scheme and with one leading slash, so
+    ``file:///a/b``, ``file:/a/b`` and ``/a/b`` compare equal."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*:)?/+", "/")
+
+
 def default_file_id(path: Column) -> Column:
     """Unit id from the path: the last run of digits of the file or folder
     name holding it (``.../unit=17/part-0.txt.gz`` or ``17.csv.gz``)."""

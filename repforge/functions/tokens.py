@@ -47,31 +47,3 @@ def tokenize(text: Column, max_length: int = MAX_LENGTH) -> Column:
         F.concat(F.array(F.lit(1)), F.array_repeat(F.lit(0), n - 2), F.array(F.lit(1)),
                  F.array_repeat(F.lit(1), pad)).alias("special_tokens_mask"),
     )
-
-
-def _unit(h: Column, hex_from: int) -> Column:
-    """Uniform [0,1) from 8 hex digits of an md5 digest."""
-    return F.conv(F.substring(h, hex_from, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-
-
-def mlm_mask(row_id: Column, input_ids: Column, special_mask: Column, seed: int = 42,
-             probability: float = MLM_PROBABILITY) -> Column:
-    """Struct of masked ``input_ids`` and ``labels`` (-100 where not selected).
-
-    Each non-special position is selected with ``probability`` from
-    ``md5('<seed>|<row id>|<position>')`` (hex 1-8); selected ones become
-    ``<mask>`` (hex 9-16 below 0.8), a random token (below 0.9; the token is
-    hex 17-24 times the vocabulary size) or stay. Same input, same mask.
-    """
-    prefix = F.concat(F.lit(f"{seed}|"), row_id.cast("string"), F.lit("|"))
-    cells = F.transform(input_ids, lambda x, i: F.struct(
-        x.alias("x"),
-        (F.element_at(special_mask, i + 1) == 0).alias("m"),
-        F.md5(F.concat(prefix, i.cast("string"))).alias("h")))
-    sel = lambda c: c["m"] & (_unit(c["h"], 1) < probability)
-    masked = F.transform(cells, lambda c: F.when(sel(c) & (_unit(c["h"], 9) < MASK_SHARE), F.lit(MASK))
-                         .when(sel(c) & (_unit(c["h"], 9) < MASK_SHARE + RANDOM_SHARE),
-                               F.floor(_unit(c["h"], 17) * VOCAB_SIZE).cast("int"))
-                         .otherwise(c["x"]))
-    labels = F.transform(cells, lambda c: F.when(sel(c), c["x"]).otherwise(F.lit(-100)))
-    return F.struct(masked.alias("input_ids"), labels.alias("labels"))

@@ -372,19 +372,35 @@ SELECT Sequence_ID, array_to_string(ids, ' ') AS input_ids, array_to_string(att,
   array_to_string(spc, ' ') AS special_tokens_mask FROM tok2
 """, "residues", extra=_TOKENS)
 
-# Masking: u(k) = 8 hex digits k*8+1.. of md5('42|<id>|<pos>') / 2^32.
-_U = "(('0x' || substr(md5('42|' || CAST(Sequence_ID AS VARCHAR) || '|' || CAST(i - 1 AS VARCHAR)), {p}, 8))::BIGINT / 4294967296.0)"
-_SEL = f"(spc[i] = 0 AND {_U.format(p=1)} < 0.15)"
-oracle("mlm_mask", f"""
+# Masking: h = fmix64(((id << 8) | pos) xor (42 * golden) mod 2^64); the
+# three uniforms are 21-bit fields of h at shifts 43, 22 and 1.
+_SEEDMIX = (42 * 0x9E3779B97F4A7C15) % 2 ** 64
+
+
+def _mul(x, c):
+    return (f"CAST(((CAST({x} AS UHUGEINT) * CAST({c} AS UHUGEINT)) "
+            f"% CAST(18446744073709551616 AS UHUGEINT)) AS UBIGINT)")
+
+
+_MASK_CTE = f"""
+pos AS (
+  SELECT Sequence_ID, p, ids[p + 1] AS x, spc[p + 1] AS sp,
+    xor((CAST(Sequence_ID AS UBIGINT) << 8) | CAST(p AS UBIGINT), CAST({_SEEDMIX} AS UBIGINT)) AS k0
+  FROM tok2, unnest(range(150)) AS r(p)),
+h1 AS (SELECT *, {_mul("xor(k0, k0 >> 33)", 0xFF51AFD7ED558CCD)} AS k1 FROM pos),
+h2 AS (SELECT *, {_mul("xor(k1, k1 >> 33)", 0xC4CEB9FE1A85EC53)} AS k2 FROM h1),
+h3 AS (SELECT *, xor(k2, k2 >> 33) AS h FROM h2),
+u AS (SELECT *, ((h >> 43) & 2097151) / 2097152.0 AS u1, ((h >> 22) & 2097151) / 2097152.0 AS u2,
+        ((h >> 1) & 2097151) / 2097152.0 AS u3 FROM h3),
+m AS (SELECT Sequence_ID, p, x, sp = 0 AND u1 < 0.15 AS sel, u2, u3 FROM u)"""
+oracle("mlm_mask", """
 SELECT Sequence_ID,
-  array_to_string(list_transform(range(1, 151), lambda i:
-    CASE WHEN {_SEL} AND {_U.format(p=9)} < 0.8 THEN 4
-         WHEN {_SEL} AND {_U.format(p=9)} < 0.9 THEN CAST(floor({_U.format(p=17)} * 25) AS INTEGER)
-         ELSE ids[i] END), ' ') AS input_ids,
-  array_to_string(list_transform(range(1, 151), lambda i:
-    CASE WHEN {_SEL} THEN ids[i] ELSE -100 END), ' ') AS labels
-FROM tok2
-""", "residues", extra=_TOKENS)
+  array_to_string(list(CASE WHEN sel AND u2 < 0.8 THEN 4
+                            WHEN sel AND u2 < 0.9 THEN CAST(floor(u3 * 25) AS INTEGER)
+                            ELSE x END ORDER BY p), ' ') AS input_ids,
+  array_to_string(list(CASE WHEN sel THEN x ELSE -100 END ORDER BY p), ' ') AS labels
+FROM m GROUP BY Sequence_ID
+""", "residues", extra=_TOKENS + ",\n" + _MASK_CTE.strip())
 
 # Numbering text per FIXTURES: keys are '<n><A or space>'; the sorted base
 # numbers are the digits of every key (text broken for every 11th id -> NULL).

@@ -274,7 +274,7 @@ def q_kfold(spark, sf):
 # ------------------------------------------------- residues and encoding
 from repforge.functions.numbering import numbering_positions, parse_numbering  # noqa: E402
 from repforge.functions.regions import REGIONS  # noqa: E402
-from repforge.functions.tokens import mlm_mask  # noqa: E402
+from repforge.operators.masking import mlm_mask  # noqa: E402
 from repforge.operators.filters import region_length_ingest, region_length_second  # noqa: E402
 from repforge.sources import corpus, fasta  # noqa: E402
 
@@ -319,9 +319,9 @@ def q_tokenize(spark, sf):
 def q_mlm_mask(spark, sf):
     text = corpus.sequence_text(views.residues(spark, sf))
     t = corpus.tokenize_corpus(text, keep=["Sequence_ID"])
-    m = mlm_mask(F.col("Sequence_ID"), F.col("input_ids"), F.col("special_tokens_mask"))
-    return t.select("Sequence_ID", _ints(m["input_ids"]).alias("input_ids"),
-                    _ints(m["labels"]).alias("labels"))
+    m = mlm_mask(t)
+    return m.select("Sequence_ID", _ints(F.col("input_ids")).alias("input_ids"),
+                    _ints(F.col("labels")).alias("labels"))
 
 
 @query("numbering_positions")

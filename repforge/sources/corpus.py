@@ -44,9 +44,10 @@ def read_corpus(spark: SparkSession, files: dict[str, str | list[str]]) -> DataF
 
 def tokenize_corpus(corpus: DataFrame, text_col: str = "text",
                     keep: list[str] | None = None, max_length: int = 150) -> DataFrame:
-    """Token arrays for every line (built-in array functions only)."""
-    t = tokenize(F.col(text_col), max_length)
-    return corpus.select(*(keep or []), *[t[c].alias(c) for c in TOKEN_COLUMNS])
+    """Token arrays for every line, one Arrow batch at a time (the
+    expression form ``functions.tokens.tokenize`` defines the same output)."""
+    from repforge.operators.encoding import tokenize_batches
+    return tokenize_batches(corpus, text_col, keep, max_length)
 
 
 def write_token_shards(tokens: DataFrame, path: str, shard_rows: int = SHARD_ROWS) -> None:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from repforge.functions.coerce import sanitize_filename, sanitize_word
 from repforge.functions.numbering import numbering_positions, parse_numbering
-from repforge.functions.tokens import mlm_mask, tokenize
+from repforge.functions.tokens import tokenize
+from repforge.operators.masking import mlm_mask
 
 
 def py_positions(text):
@@ -52,15 +53,18 @@ def test_tokenize_edges(spark):
 
 
 def test_mlm_mask_deterministic_and_not_special(spark):
-    df = spark.range(200).select("id", tokenize(F.lit("ACDEFGHIKLMNPQRSTVWY" * 5)).alias("t"))
-    m = df.select("id", "t", mlm_mask(F.col("id"), F.col("t.input_ids"),
-                                      F.col("t.special_tokens_mask")).alias("m"))
-    a = m.collect()
-    b = m.collect()
-    assert [r.m for r in a] == [r.m for r in b]
+    t = tokenize(F.lit("ACDEFGHIKLMNPQRSTVWY" * 5))
+    df = spark.range(200).select(F.col("id").alias("Sequence_ID"),
+                                 t["input_ids"].alias("input_ids"),
+                                 t["special_tokens_mask"].alias("special_tokens_mask"),
+                                 t["input_ids"].alias("orig"))
+    m = mlm_mask(df)
+    a = sorted(m.collect())
+    b = sorted(mlm_mask(df.repartition(3)).collect())
+    assert a == b
     selected = total = 0
     for r in a:
-        for x, lab, sp, orig in zip(r.m.input_ids, r.m.labels, r.t.special_tokens_mask, r.t.input_ids):
+        for x, lab, sp, orig in zip(r.input_ids, r.labels, r.special_tokens_mask, r.orig):
             if sp:
                 assert lab == -100 and x == orig
             else:
@@ -76,3 +80,14 @@ def test_sanitize_unicode(spark):
     r = df.select(sanitize_word(F.col("a")).alias("w"), sanitize_filename(F.col("a")).alias("f")).first()
     assert r.w == "Müller_et_al_2020"
     assert r.f == "Müller_et_al_2020"
+
+
+def test_arrow_tokenizer_equals_expression(spark):
+    from repforge.operators.encoding import tokenize_batches
+    texts = ["ACXA", "", None, "acA", "A" * 148, "A" * 149, "WYÄß€", "KLM" * 70]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(3)
+    expr = {r.i: tuple(map(tuple, r.x)) for r in
+            df.select("i", tokenize(F.col("t")).alias("x")).collect()}
+    arrow = {r.i: (tuple(r.input_ids), tuple(r.attention_mask), tuple(r.special_tokens_mask))
+             for r in tokenize_batches(df, "t", keep=["i"]).collect()}
+    assert arrow == expr

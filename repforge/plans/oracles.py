@@ -368,8 +368,9 @@ tok2 AS (
     list_transform(range(150), lambda i: CASE WHEN i = 0 OR i >= len(seq) - 1 THEN 1 ELSE 0 END) AS spc
   FROM tok)"""
 oracle("tokenize", """
-SELECT Sequence_ID, array_to_string(ids, ' ') AS input_ids, array_to_string(att, ' ') AS attention_mask,
-  array_to_string(spc, ' ') AS special_tokens_mask FROM tok2
+SELECT Sequence_ID, CAST(to_json(ids) AS VARCHAR) AS input_ids,
+  CAST(to_json(att) AS VARCHAR) AS attention_mask,
+  CAST(to_json(spc) AS VARCHAR) AS special_tokens_mask FROM tok2
 """, "residues", extra=_TOKENS)
 
 # Masking: h = fmix64(((id << 8) | pos) xor (42 * golden) mod 2^64); the
@@ -395,10 +396,10 @@ u AS (SELECT *, ((h >> 43) & 2097151) / 2097152.0 AS u1, ((h >> 22) & 2097151) /
 m AS (SELECT Sequence_ID, p, x, sp = 0 AND u1 < 0.15 AS sel, u2, u3 FROM u)"""
 oracle("mlm_mask", """
 SELECT Sequence_ID,
-  array_to_string(list(CASE WHEN sel AND u2 < 0.8 THEN 4
+  CAST(to_json(list(CASE WHEN sel AND u2 < 0.8 THEN 4
                             WHEN sel AND u2 < 0.9 THEN CAST(floor(u3 * 25) AS INTEGER)
-                            ELSE x END ORDER BY p), ' ') AS input_ids,
-  array_to_string(list(CASE WHEN sel THEN x ELSE -100 END ORDER BY p), ' ') AS labels
+                            ELSE x END ORDER BY p)) AS VARCHAR) AS input_ids,
+  CAST(to_json(list(CASE WHEN sel THEN x ELSE -100 END ORDER BY p)) AS VARCHAR) AS labels
 FROM m GROUP BY Sequence_ID
 """, "residues", extra=_TOKENS + ",\n" + _MASK_CTE.strip())
 
@@ -546,8 +547,8 @@ split_res AS (
         FROM residues) r)"""
 oracle("read_corpus", "SELECT split, text FROM split_res", "residues", extra=_SPLIT_RES)
 oracle("tokenized_test_split", """
-SELECT t.Sequence_ID, array_to_string(ids, ' ') AS input_ids, array_to_string(att, ' ') AS attention_mask,
-  array_to_string(spc, ' ') AS special_tokens_mask
+SELECT t.Sequence_ID, CAST(to_json(ids) AS VARCHAR) AS input_ids,
+  CAST(to_json(att) AS VARCHAR) AS attention_mask, CAST(to_json(spc) AS VARCHAR) AS special_tokens_mask
 FROM tok2 t JOIN split_res s ON t.Sequence_ID = s.Sequence_ID WHERE s.split = 'test'
 """, "residues", extra=_SPLIT_RES + ",\n" + _TOKENS.strip())
 oracle("token_shards", """

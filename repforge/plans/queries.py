@@ -285,7 +285,8 @@ ID_COLS = ["Sequence_ID", "File_ID"]
 
 
 def _ints(c):
-    return F.array_join(c.cast("array<string>"), " ")
+    """Token arrays rendered as JSON text (``[0,5,6]``) for value comparison."""
+    return F.to_json(c)
 
 
 @query("keep_columns")

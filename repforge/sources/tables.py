@@ -8,3 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small scan at least one partition per core before heavy
+    per-row work. Decided from the plan (no job); a large table already has
+    enough file splits and is left alone (no shuffle)."""
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism)
+    return df

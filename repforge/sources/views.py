@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repforge.functions.regions import REGION_SLICES, REGIONS
-from repforge.sources.tables import table
+from repforge.sources.tables import spread, table
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,7 @@ def residues(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixed slices (the last one takes the rest), the gene calls,
     ``Redundancy``, plus the full ``sequence``.
     """
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     # The residue text is computed inside the exploded array: a generator's
     # output is never inlined by filter pushdown, so the regexes run once
     # per line instead of once per region predicate.

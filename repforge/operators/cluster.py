@@ -3,8 +3,9 @@
 Our stated definition (not bit-equality with any external tool):
 
 1. exact duplicates collapse to the smallest id;
-2. each unique sequence is sketched by its ``m`` k-mers with the smallest
-   md5 hash;
+2. each unique sequence is sketched by its ``m`` distinct k-mers with the
+   smallest key: the k-mer packed 5 bits per residue, mixed with fmix64,
+   top 63 bits as a BIGINT;
 3. per k-mer the longest sequence (smallest id on ties) is the centre and
    every other sequence with that k-mer becomes a candidate pair
    (centre, member): one pair per (k-mer, member), never all pairs;
@@ -23,9 +24,13 @@ can split; no window over a k-mer is used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from repforge.operators.masking import mix
 from repforge.session import ensure_checkpoint_dir
 
 K = 10
@@ -44,26 +49,98 @@ def exact_duplicates(seqs: DataFrame, id_col: str = "Sequence_ID",
                         F.length(seq_col).alias("len"), "n_copies"))
 
 
-def kmer_hashes(seq: Column, k: int = K) -> Column:
-    """Distinct md5 hashes of every k-mer, ascending."""
-    starts = F.sequence(F.lit(1), F.length(seq) - k + 1)
-    return F.array_sort(F.array_distinct(
-        F.transform(starts, lambda i: F.md5(F.substring(seq, i, k)))))
-
-
-def kmer_sketch(unique: DataFrame, k: int = K, m: int = M) -> DataFrame:
-    """(id, len, kmer): the ``m`` smallest-hash k-mers of each unique
-    sequence; sequences shorter than ``k`` have none."""
-    s = unique.where(F.col("len") >= k)
-    return s.select(F.col("rep_id").alias("id"), "len",
-                    F.explode(F.slice(kmer_hashes(F.col("sequence"), k), 1, m)).alias("kmer"))
+# Residue alphabet for k-mer packing (5 bits per residue;
+# any other byte packs as 31).
+ALPHABET = "ACDEFGHIKLMNPQRSTVWY"
+OTHER = 31
+_CODE = np.full(256, OTHER, dtype=np.uint64)
+for _i, _c in enumerate(ALPHABET):
+    _CODE[ord(_c)] = _i
+
+
+def kmer_keys(data: np.ndarray, lengths: np.ndarray, k: int = K, seed: int = 42):
+    """(row, key) of every k-mer of every row: the k-mer packed into 5*k
+    bits (exact), mixed with fmix64 and shifted to 63 bits (a BIGINT)."""
+    n_win = np.maximum(lengths - k + 1, 0)
+    row = np.repeat(np.arange(lengths.size), n_win)
+    first = np.repeat(np.cumsum(lengths) - lengths, n_win)
+    local = np.arange(row.size, dtype=np.int64) - np.repeat(np.cumsum(n_win) - n_win, n_win)
+    start = first + local
+    codes = _CODE[data]
+    packed = np.zeros(row.size, dtype=np.uint64)
+    for j in range(k):
+        packed = (packed << np.uint64(5)) | codes[start + j]
+    zero = np.zeros(row.size, dtype=np.uint64)
+    h = mix(packed, zero, seed, shift=0) >> np.uint64(1)
+    return row, h.astype(np.int64)
+
+
+def smallest_per_row(row: np.ndarray, key: np.ndarray, m: int):
+    """The ``m`` smallest distinct keys of each row (vectorised)."""
+    order = np.lexsort((key, row))
+    r, kk = row[order], key[order]
+    new = np.ones(r.size, dtype=bool)
+    new[1:] = (r[1:] != r[:-1]) | (kk[1:] != kk[:-1])
+    r, kk = r[new], kk[new]
+    row_start = np.ones(r.size, dtype=bool)
+    row_start[1:] = r[1:] != r[:-1]
+    idx = np.arange(r.size)
+    first_of_row = np.maximum.accumulate(np.where(row_start, idx, 0))
+    keep = (idx - first_of_row) < m
+    return r[keep], kk[keep]
+
+
+def kmer_sketch(unique: DataFrame, k: int = K, m: int = M, seed: int = 42) -> DataFrame:
+    """(id, len, kmer): the ``m`` smallest k-mer keys of each unique
+    sequence; sequences shorter than ``k`` have none. Runs on whole Arrow
+    batches with numpy inside the tasks (no shuffle, no per-element
+    interpretation)."""
+    src = unique.where(F.col("len") >= k).select(F.col("rep_id").alias("id"), "len", "sequence")
+    schema = StructType([StructField("id", LongType()), StructField("len", IntegerType()),
+                         StructField("kmer", LongType())])
+
+    def run(batches):
+        for b in batches:
+            seqs = b.column(2)
+            bufs = seqs.buffers()
+            width = np.int64 if pa.types.is_large_string(seqs.type) else np.int32
+            offs = np.frombuffer(bufs[1], dtype=width)[seqs.offset:seqs.offset + len(seqs) + 1]
+            offs = offs.astype(np.int64)
+            data = np.frombuffer(bufs[2], dtype=np.uint8)[offs[0]:offs[-1]] if len(seqs) else \
+                np.zeros(0, np.uint8)
+            row, key = kmer_keys(data, np.diff(offs), k, seed)
+            row, key = smallest_per_row(row, key, m)
+            ids = b.column(0).to_numpy(zero_copy_only=False)
+            lens = b.column(1).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[row], pa.int64()), pa.array(lens[row], pa.int32()),
+                 pa.array(key, pa.int64())], names=["id", "len", "kmer"])
+
+    return src.mapInArrow(run, schema)
+
+
+ID_BITS = 40
+
+
+def priority_key(len_col: str = "len", id_col: str = "id"):
+    """(length desc, id asc) packed in one BIGINT so that a plain ``max``
+    (hash aggregation, no sort) picks the highest priority. Ids must be
+    below 2^40; a larger id stops the job rather than mis-ordering."""
+    limit = F.lit(1 << ID_BITS)
+    ok = (F.col(id_col) >= 0) & (F.col(id_col) < limit)
+    key = F.col(len_col).cast("bigint") * limit + (limit - 1 - F.col(id_col))
+    return F.when(ok, key).otherwise(F.raise_error(F.lit("sequence id outside [0, 2^40)")).cast("bigint"))
+
+
+def centre_of(key):
+    return F.lit((1 << ID_BITS) - 1) - (key % F.lit(1 << ID_BITS))
 
 
 def kmer_candidates(sketch: DataFrame) -> DataFrame:
     """(centre, member) pairs, one per shared k-mer centre; linear in the
     sketch size. The centre is the longest sequence of the k-mer."""
-    prio = F.struct(F.col("len"), (-F.col("id")).alias("neg_id"))
-    centres = sketch.groupBy("kmer").agg(F.max_by("id", prio).alias("centre"))
+    centres = sketch.groupBy("kmer").agg(F.max(priority_key()).alias("_p")).select(
+        "kmer", centre_of(F.col("_p")).alias("centre"))
     pairs = (sketch.join(centres, "kmer", "inner")
                    .where(F.col("id") != F.col("centre"))
                    .select("centre", F.col("id").alias("member")))
@@ -90,30 +167,39 @@ def verified_pairs(candidates: DataFrame, unique: DataFrame,
 
 
 def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """(id, rep_id) for every unique sequence, by rounds of the greedy rule.
-    Each round's node states are checkpointed to the shared checkpoint
-    folder; exceeding ``max_rounds`` raises (never a partial answer)."""
+    """(id, rep) for every unique sequence, by rounds of the greedy rule.
+
+    Only sequences that occur in a verified pair take part in the rounds;
+    every other sequence is its own representative. Each round's states are
+    checkpointed to the shared checkpoint folder; exceeding ``max_rounds``
+    raises (never a partial answer).
+    """
     spark = unique.sparkSession
     ensure_checkpoint_dir(spark)
-    nodes = unique.select(F.col("rep_id").alias("id"), "len",
-                          F.lit(0).alias("state"), F.lit(None).cast("bigint").alias("rep"))
     e = edges.select(F.col("centre").alias("src"), F.col("member").alias("dst")).distinct()
     e = e.checkpoint(eager=True)
-    nodes = nodes.checkpoint(eager=True)
+    involved = (e.select(F.col("src").alias("id"))
+                 .unionByName(e.select(F.col("dst").alias("id"))).distinct())
+    alone = (unique.select(F.col("rep_id").alias("id"))
+                   .join(involved, "id", "left_anti")
+                   .select("id", F.col("id").alias("rep")))
+    nodes = (unique.select(F.col("rep_id").alias("id"), "len")
+                   .join(involved, "id", "left_semi")
+                   .select("id", "len", F.lit(0).alias("state"),
+                           F.lit(None).cast("bigint").alias("rep"))).checkpoint(eager=True)
     for _ in range(max_rounds):
         open_nodes = nodes.where(F.col("state") == 0).select("id")
         if open_nodes.isEmpty():
-            return nodes.select("id", "rep")
+            return alone.unionByName(nodes.select("id", "rep"))
         src = nodes.select(F.col("id").alias("src"), F.col("state").alias("s_state"),
                            F.col("len").alias("s_len"))
         inbound = (e.join(open_nodes.withColumnRenamed("id", "dst"), "dst", "left_semi")
                     .join(src, "src", "inner"))
-        prio = F.struct(F.col("s_len"), (-F.col("src")).alias("neg"))
+        rep_prio = F.when(F.col("s_state") == 1, priority_key("s_len", "src"))
         decided = inbound.groupBy("dst").agg(
             F.max(F.col("s_state") == 1).alias("has_rep"),
             F.min(F.col("s_state") != 0).alias("all_done"),
-            F.max_by(F.when(F.col("s_state") == 1, F.col("src")),
-                     F.when(F.col("s_state") == 1, prio)).alias("best"))
+            F.max(rep_prio).alias("best_key"))
         n = nodes.join(decided.withColumnRenamed("dst", "id"), "id", "left")
         is_open = F.col("state") == 0
         becomes_member = is_open & F.coalesce(F.col("has_rep"), F.lit(False))
@@ -121,7 +207,7 @@ def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUN
         nodes = n.select(
             "id", "len",
             F.when(becomes_member, 2).when(becomes_rep, 1).otherwise(F.col("state")).alias("state"),
-            F.when(becomes_member, F.col("best")).when(becomes_rep, F.col("id"))
+            F.when(becomes_member, centre_of(F.col("best_key"))).when(becomes_rep, F.col("id"))
              .otherwise(F.col("rep")).alias("rep")).checkpoint(eager=True)
     raise RuntimeError(f"greedy clustering did not converge in {max_rounds} rounds")
 

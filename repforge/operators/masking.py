@@ -29,11 +29,12 @@ FMIX_2 = 0xC4CEB9FE1A85EC53
 FIELD_BITS = 21
 
 
-def mix(row_ids: np.ndarray, positions: np.ndarray, seed: int) -> np.ndarray:
-    """fmix64 of the (id, position, seed) key, vectorised, mod 2^64."""
+def mix(row_ids: np.ndarray, positions: np.ndarray, seed: int, shift: int = 8) -> np.ndarray:
+    """fmix64 of ``((id << shift) | position) xor (seed * golden)``,
+    vectorised, arithmetic mod 2^64."""
     u = np.uint64
     with np.errstate(over="ignore"):
-        h = ((row_ids.astype(u) << u(8)) | positions.astype(u)) ^ u((seed * GOLDEN) % 2 ** 64)
+        h = ((row_ids.astype(u) << u(shift)) | positions.astype(u)) ^ u((seed * GOLDEN) % 2 ** 64)
         h ^= h >> u(33)
         h *= u(FMIX_1)
         h ^= h >> u(33)

@@ -419,13 +419,23 @@ SELECT Sequence_ID, '>Sequence_' || CAST(Sequence_ID AS VARCHAR) || chr(10) || {
 oracle("fasta_ids", "SELECT Sequence_ID FROM residues", "residues")
 
 # ------------------------------------------------------------- clustering
-# k = 10, m = 20 smallest md5 k-mer hashes, identity 90 %, coverage 90 %.
+# k = 10, m = 20 smallest k-mer keys, identity 90 %, coverage 90 %. Key of a
+# k-mer: residues packed 5 bits each (alphabet position), xor (42 * golden),
+# fmix64, shifted right by one (fits a BIGINT).
+_PACKED = " | ".join(
+    f"(CAST(strpos('ACDEFGHIKLMNPQRSTVWY', substr(sequence, i + {j}, 1)) - 1 AS UBIGINT) << {5 * (9 - j)})"
+    for j in range(10))
+_K0 = f"xor({_PACKED}, CAST({_SEEDMIX} AS UBIGINT))"
+KMER_KEY = "k_key"
 _CLUSTER = """
 uniq AS (SELECT min(Sequence_ID) AS rep_id, sequence, length(sequence) AS len, count(*) AS n_copies
          FROM residues GROUP BY sequence),
-km AS (SELECT DISTINCT id, len, md5(substr(sequence, i, 10)) AS kmer FROM (
-         SELECT rep_id AS id, len, sequence, unnest(range(1, len - 10 + 2)) AS i
-         FROM uniq WHERE len >= 10) x),
+kw AS (SELECT rep_id AS id, len, sequence, unnest(range(1, len - 10 + 2)) AS i
+       FROM uniq WHERE len >= 10),
+k0 AS (SELECT id, len, """ + _K0 + """ AS k0 FROM kw),
+k1 AS (SELECT id, len, """ + _mul("xor(k0, k0 >> 33)", 0xFF51AFD7ED558CCD) + """ AS k1 FROM k0),
+k2 AS (SELECT id, len, """ + _mul("xor(k1, k1 >> 33)", 0xC4CEB9FE1A85EC53) + """ AS k2 FROM k1),
+km AS (SELECT DISTINCT id, len, CAST(xor(k2, k2 >> 33) >> 1 AS BIGINT) AS kmer FROM k2),
 sk AS (SELECT id, len, kmer FROM (
          SELECT *, row_number() OVER (PARTITION BY id ORDER BY kmer) AS rn FROM km) y WHERE rn <= 20),
 centres AS (SELECT kmer, id AS centre FROM (

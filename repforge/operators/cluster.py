@@ -18,8 +18,8 @@ Our stated definition (not bit-equality with any external tool):
    sequential greedy.
 
 Hot k-mers (conserved framework regions) are handled by partial aggregation
-(``max_by``) and a join against one row per k-mer, which AQE's skew-join
-can split; no window over a k-mer is used.
+(a hash ``max`` of a packed priority) and a join against one row per k-mer,
+which AQE's skew-join can split; no window over a k-mer is used.
 """
 
 from __future__ import annotations

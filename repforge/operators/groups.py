@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repforge.functions.coerce import sanitize_filename, sanitize_word
+from repforge.operators.ranks import broadcast_checked
 
 GROUP_COL = "group_key"
 
@@ -45,9 +46,10 @@ def unit_groups(catalogue: DataFrame, by: str = "individual") -> DataFrame:
 
 def assign_groups(seqs: DataFrame, catalogue: DataFrame, by: str = "individual") -> DataFrame:
     """Attach ``group_key`` to each sequence; sequences from units missing in
-    the catalogue are dropped. The unit table is one row per unit; Spark
-    broadcasts it only when its measured size is under the threshold."""
-    g = unit_groups(catalogue, by)
+    the catalogue are dropped. The unit table (one row per unit) is
+    broadcast after its size is checked, so a hot unit or group never
+    lands in one join task."""
+    g = broadcast_checked(unit_groups(catalogue, by))
     return (seqs.join(g, seqs["File_ID"] == g["File_index"], "inner")
                 .drop("File_index"))
 

@@ -35,6 +35,22 @@ def hex_bucket(key: Column | str, digits: int = 4) -> Column:
     return F.substring(c, 1, digits)
 
 
+# Row bound for broadcasting a per-group / per-bucket table (a few tens of
+# bytes per row: well under the broadcast memory limit).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_checked(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``small`` only after checking its size: it is materialised
+    once (reliable checkpoint) and counted; within ``max_rows`` it is
+    broadcast, beyond that it stays a normal join input (sort-merge, with
+    AQE's skew-join splitting hot keys on the other side)."""
+    from repforge.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(small.sparkSession)
+    small = small.checkpoint(eager=True)
+    return F.broadcast(small) if small.count() <= max_rows else small
+
+
 def _cols(xs: Sequence[str]) -> list[Column]:
     return [F.col(x) for x in xs]
 
@@ -99,6 +115,9 @@ def cut_by_rank(df: DataFrame, order_cols: Sequence[str], bucket_cols: Sequence[
         # rank >= start + 1 for every row, so "start >= c" means all exceed c
         _count_exceeded(F.col("_rk_start") + 1, cut_cols).alias("_rk_label"))
     keys = [*group_cols, *bucket_cols]
+    # Without groups the table has at most 16^digits rows (bounded by
+    # construction); per group it is counted before it is broadcast.
+    offsets = broadcast_checked(offsets) if group_cols else F.broadcast(offsets)
     joined = df.join(offsets, keys, "inner")
     whole = (joined.where(~F.col("_rk_split"))
                    .withColumn(label_col, F.col("_rk_label")))

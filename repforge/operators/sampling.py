@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repforge.operators.groups import GROUP_COL, assign_groups
-from repforge.operators.ranks import (DEFAULT_SEED, KEY_COL, cut_by_rank, id_bins,
-                                      with_hash_order)
+from repforge.operators.ranks import (DEFAULT_SEED, KEY_COL, broadcast_checked, cut_by_rank,
+                                      id_bins, with_hash_order)
 
 SCHEMES = ("random", "balance_individuals", "balance_publications")
 
@@ -100,8 +100,9 @@ def sample_round_robin(df: DataFrame, total: int, group_col: str = GROUP_COL,
     """Round-robin sample: rows are taken in id (file) order within each
     group, up to the group's round-robin quota. Fewer than ``total`` rows
     only when every group is exhausted."""
-    quotas = round_robin_quotas(group_counts(df, group_col), total, group_col)
-    keyed = (df.join(quotas.select(group_col, "quota"), group_col, "inner")
+    quotas = broadcast_checked(
+        round_robin_quotas(group_counts(df, group_col), total, group_col).select(group_col, "quota"))
+    keyed = (df.join(quotas, group_col, "inner")
                .withColumn("_rk_bucket", id_bins(df, id_col, n_bins)))
     cut = cut_by_rank(keyed, [id_col], ["_rk_bucket"], ["quota"], group_cols=[group_col])
     return cut.where(F.col("part") == 0).drop("_rk_bucket", "part", "quota")

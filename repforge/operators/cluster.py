@@ -216,6 +216,7 @@ def cluster(seqs: DataFrame, id_col: str = "Sequence_ID", seq_col: str = "sequen
             k: int = K, m: int = M, identity_pct: int = IDENTITY_PCT,
             coverage_pct: int = COVERAGE_PCT) -> DataFrame:
     """(Sequence_ID, rep_id) for every input row."""
+    ensure_checkpoint_dir(seqs.sparkSession)
     unique = exact_duplicates(seqs, id_col, seq_col).checkpoint(eager=True)
     sketch = kmer_sketch(unique, k, m)
     edges = verified_pairs(kmer_candidates(sketch), unique, identity_pct, coverage_pct)

@@ -73,21 +73,22 @@ INDIVIDUAL = ("CASE WHEN Subject = 'no' THEN 'no_' || regexp_replace(Author, '\\
 MD5_ORDER = "md5('42|' || CAST(Sequence_ID AS VARCHAR)), Sequence_ID"
 
 
-def with_views(sql: str, *views: str, extra: str = "") -> str:
+def with_views(sql: str, *views: str, extra: str = "", recursive: bool = False) -> str:
     ctes = [VIEWS[v].strip() for v in views]
     if extra:
         ctes.append(extra.strip())
     body = sql.strip()
+    head = "WITH RECURSIVE " if recursive else "WITH "
     if body.upper().startswith("WITH "):   # merge the query's own CTEs
-        return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+        return head + ",\n".join(ctes) + ",\n" + body[5:]
+    return head + ",\n".join(ctes) + "\n" + body
 
 
 ORACLES: dict[str, str] = {}
 
 
-def oracle(name: str, sql: str, *views: str, extra: str = "") -> None:
-    ORACLES[name] = with_views(sql, *views, extra=extra)
+def oracle(name: str, sql: str, *views: str, extra: str = "", recursive: bool = False) -> None:
+    ORACLES[name] = with_views(sql, *views, extra=extra, recursive=recursive)
 
 
 # ---------------------------------------------------------------- catalogue
@@ -455,6 +456,49 @@ SELECT centre, member, c_len, m_len, CAST(distance AS INTEGER) AS distance FROM
 WHERE distance <= floor(c_len * 10 / 100.0)
 """, "residues", extra=_CLUSTER)
 
+# Greedy cover, sequential form of the definition: walk the sequences that
+# have a verified pair in priority order (length desc, id asc); one becomes a
+# representative unless a verified higher-priority neighbour already is one.
+# A member joins its highest-priority representative neighbour; every other
+# unique sequence represents itself, and exact copies follow their first id.
+_COVER = _CLUSTER + """,
+vp AS (SELECT DISTINCT p.centre AS src, p.member AS dst
+       FROM cand p JOIN uniq c ON p.centre = c.rep_id JOIN uniq m ON p.member = m.rep_id
+       WHERE m.len * 100 >= c.len * 90
+         AND levenshtein(c.sequence, m.sequence) <= floor(c.len * 10 / 100.0)),
+inv AS (SELECT src AS id FROM vp UNION SELECT dst FROM vp),
+ins AS (SELECT dst AS id, list(src) AS ins FROM vp GROUP BY dst),
+nodes AS (SELECT u.rep_id AS id, coalesce(i.ins, []::BIGINT[]) AS ins,
+            row_number() OVER (ORDER BY u.len DESC, u.rep_id) AS pos
+          FROM uniq u JOIN inv v ON u.rep_id = v.id LEFT JOIN ins i ON i.id = u.rep_id),
+walk(pos, reps) AS (
+  SELECT CAST(0 AS BIGINT), []::BIGINT[]
+  UNION ALL
+  SELECT n.pos, CASE WHEN list_has_any(w.reps, n.ins) THEN w.reps
+                     ELSE list_append(w.reps, n.id) END
+  FROM walk w JOIN nodes n ON n.pos = w.pos + 1),
+greedy_reps AS (SELECT unnest(reps) AS id FROM walk WHERE pos = (SELECT max(pos) FROM walk)),
+best AS (SELECT id, rep FROM (
+           SELECT vp.dst AS id, vp.src AS rep,
+             row_number() OVER (PARTITION BY vp.dst ORDER BY u.len DESC, vp.src) AS rn
+           FROM vp JOIN greedy_reps g ON vp.src = g.id JOIN uniq u ON u.rep_id = vp.src) b
+         WHERE rn = 1),
+cover AS (SELECT u.rep_id AS id, coalesce(b.rep, u.rep_id) AS rep
+          FROM uniq u LEFT JOIN best b ON b.id = u.rep_id),
+assigned AS (SELECT r.Sequence_ID, c.rep AS rep_id
+             FROM residues r JOIN uniq u ON r.sequence = u.sequence JOIN cover c ON c.id = u.rep_id)"""
+oracle("cluster_assignments", "SELECT Sequence_ID, rep_id FROM assigned", "residues",
+       extra=_COVER, recursive=True)
+oracle("cluster_representatives", "SELECT DISTINCT rep_id FROM assigned", "residues",
+       extra=_COVER, recursive=True)
+oracle("cluster_sizes", "SELECT rep_id, count(*) AS size FROM assigned GROUP BY rep_id",
+       "residues", extra=_COVER, recursive=True)
+oracle("representatives", """
+SELECT Sequence_ID, File_ID, locus, fwr1_aa, cdr1_aa, fwr2_aa, cdr2_aa, fwr3_aa, cdr3_aa, fwr4_aa,
+  v_call, d_call, j_call, Redundancy FROM residues
+WHERE Sequence_ID IN (SELECT rep_id FROM assigned)
+""", "residues", extra=_COVER, recursive=True)
+
 # ----------------------------------------------------------------- ingest
 # A unit per residue File_ID: line 1 metadata, line 2 header, then the rows
 # in Sequence_ID order (v_call written as two comma-separated alleles).

@@ -120,15 +120,18 @@ def publication_adequacy(seqs: DataFrame, catalogue: DataFrame, total: int,
 
 
 def write_groups(seqs_with_group: DataFrame, path: str, by: str = "individual",
-                 salt_buckets: int = 16, fmt: str = "parquet") -> DataFrame:
+                 num_partitions: int | None = None, fmt: str = "parquet") -> DataFrame:
     """One folder per group (``partitionBy``) plus the manifest of groups.
 
-    Rows are spread by (group, hash salt), never by group alone, so a group
-    holding a third of all rows is written by many tasks.
+    Rows are range-partitioned on (group, id): Spark samples the keys and
+    cuts partitions of equal size, so a group holding a third of all rows
+    is spread over a third of the tasks, while small groups share a task.
+    ``num_partitions`` defaults to ``spark.sql.shuffle.partitions``.
     """
-    salt = F.pmod(F.xxhash64("Sequence_ID"), F.lit(salt_buckets))
-    out = (seqs_with_group.withColumn("group_file", group_file_name(by))
-                          .repartition(F.col(GROUP_COL), salt))
+    out = seqs_with_group.withColumn("group_file", group_file_name(by))
+    keys = [F.col(GROUP_COL), F.col("Sequence_ID")]
+    out = (out.repartitionByRange(num_partitions, *keys) if num_partitions
+           else out.repartitionByRange(*keys))
     writer = out.write.mode("overwrite").partitionBy("group_file")
     if fmt == "csv":
         writer.option("header", True).csv(path)

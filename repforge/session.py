@@ -46,7 +46,14 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    path = configured or fallback or os.path.join("/tmp", "repforge-checkpoints")
+    path = configured or fallback
+    if not path:
+        # A machine-local folder is only safe when driver and executors are
+        # one process; on a cluster the shared folder must be configured.
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
+                               "object store) before running jobs that cut lineage")
+        path = os.path.join("/tmp", "repforge-checkpoints")
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path
 

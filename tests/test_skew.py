@@ -45,3 +45,16 @@ def test_hot_group_is_ranked_in_many_buckets(spark):
 def test_split_exact_with_skew(spark):
     out = splits.split_numbers(_skewed(spark), 2000, 500).groupBy("split").count().collect()
     assert {r.split: r["count"] for r in out} == {"train": 2000, "val": 500, "test": 500}
+
+
+def test_hot_group_is_written_by_many_tasks(spark, tmp_path):
+    from repforge.operators.groups import write_groups
+    df = _skewed(spark)
+    manifest = write_groups(df, str(tmp_path / "g"), "individual", num_partitions=12)
+    assert manifest.count() == 21
+    back = spark.read.parquet(str(tmp_path / "g"))
+    assert back.count() == 3000
+    assert back.select("Sequence_ID").distinct().count() == 3000
+    hot_files = list((tmp_path / "g" / "group_file=individual_hot.csv").glob("part-*.parquet"))
+    # 1000 of 3000 rows over 12 equal ranges: the hot group spans several tasks
+    assert len(hot_files) >= 3

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from repforge.operators.masking import mix
-from repforge.session import ensure_checkpoint_dir
+from repforge.session import ensure_checkpoint_dir, materialize
 
 K = 10
 M = 20
@@ -171,13 +171,14 @@ def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUN
 
     Only sequences that occur in a verified pair take part in the rounds;
     every other sequence is its own representative. Each round's states are
-    checkpointed to the shared checkpoint folder; exceeding ``max_rounds``
+    written as Parquet to the shared checkpoint folder (one computation per
+    round, lineage cut, survives executor loss); exceeding ``max_rounds``
     raises (never a partial answer).
     """
     spark = unique.sparkSession
     ensure_checkpoint_dir(spark)
     e = edges.select(F.col("centre").alias("src"), F.col("member").alias("dst")).distinct()
-    e = e.checkpoint(eager=True)
+    e = materialize(e, "cover-edges")
     involved = (e.select(F.col("src").alias("id"))
                  .unionByName(e.select(F.col("dst").alias("id"))).distinct())
     alone = (unique.select(F.col("rep_id").alias("id"))
@@ -186,7 +187,8 @@ def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUN
     nodes = (unique.select(F.col("rep_id").alias("id"), "len")
                    .join(involved, "id", "left_semi")
                    .select("id", "len", F.lit(0).alias("state"),
-                           F.lit(None).cast("bigint").alias("rep"))).checkpoint(eager=True)
+                           F.lit(None).cast("bigint").alias("rep")))
+    nodes = materialize(nodes, "cover-round")
     for _ in range(max_rounds):
         open_nodes = nodes.where(F.col("state") == 0).select("id")
         if open_nodes.isEmpty():
@@ -208,7 +210,8 @@ def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUN
             "id", "len",
             F.when(becomes_member, 2).when(becomes_rep, 1).otherwise(F.col("state")).alias("state"),
             F.when(becomes_member, centre_of(F.col("best_key"))).when(becomes_rep, F.col("id"))
-             .otherwise(F.col("rep")).alias("rep")).checkpoint(eager=True)
+             .otherwise(F.col("rep")).alias("rep"))
+        nodes = materialize(nodes, "cover-round")
     raise RuntimeError(f"greedy clustering did not converge in {max_rounds} rounds")
 
 
@@ -217,7 +220,7 @@ def cluster(seqs: DataFrame, id_col: str = "Sequence_ID", seq_col: str = "sequen
             coverage_pct: int = COVERAGE_PCT) -> DataFrame:
     """(Sequence_ID, rep_id) for every input row."""
     ensure_checkpoint_dir(seqs.sparkSession)
-    unique = exact_duplicates(seqs, id_col, seq_col).checkpoint(eager=True)
+    unique = materialize(exact_duplicates(seqs, id_col, seq_col), "unique-sequences")
     sketch = kmer_sketch(unique, k, m)
     edges = verified_pairs(kmer_candidates(sketch), unique, identity_pct, coverage_pct)
     cover = greedy_cover(unique, edges)

@@ -41,13 +41,13 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def broadcast_checked(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after checking its size: it is materialised
-    once (reliable checkpoint) and counted; within ``max_rows`` it is
-    broadcast, beyond that it stays a normal join input (sort-merge, with
-    AQE's skew-join splitting hot keys on the other side)."""
-    from repforge.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(small.sparkSession)
-    small = small.checkpoint(eager=True)
+    """Broadcast ``small`` only after checking its size: it is written once
+    to the shared checkpoint folder and counted from the written files;
+    within ``max_rows`` it is broadcast, beyond that it stays a normal join
+    input (sort-merge, with AQE's skew-join splitting hot keys on the other
+    side)."""
+    from repforge.session import materialize
+    small = materialize(small, "broadcast-side")
     return F.broadcast(small) if small.count() <= max_rows else small
 
 

@@ -608,3 +608,10 @@ FROM tok2 t JOIN split_res s ON t.Sequence_ID = s.Sequence_ID WHERE s.split = 't
 oracle("token_shards", """
 SELECT split, CAST(0 AS INTEGER) AS shard, count(*) AS n_rows FROM split_res GROUP BY split
 """, "residues", extra=_SPLIT_RES)
+
+# ------------------------------------------------------------------- sinks
+# A written-and-read-back table equals the table that was written.
+ORACLES["write_sequences"] = with_views("SELECT Sequence_ID, File_ID FROM sequences", "sequences")
+ORACLES["metrics_json"] = ORACLES["loss_by_test_set"]
+ORACLES["report_csv"] = ORACLES["unique_by_author"]
+ORACLES["cached_row_counts"] = ORACLES["rows_per_file"]

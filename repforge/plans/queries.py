@@ -554,3 +554,54 @@ def q_tokenized_test_split(spark, sf):
 @query("token_shards")
 def q_token_shards(spark, sf):
     return corpus.shard_sizes(_tokens(spark, sf))
+
+
+# ------------------------------------------------------------------- sinks
+# Each sink query writes through the library writer to the shared
+# checkpoint folder and reads the files back with the writer's schema, so
+# the check covers the written files, not the DataFrame before the write.
+from repforge.sources import sinks  # noqa: E402
+
+
+@query("write_sequences")
+def q_write_sequences(spark, sf):
+    """K2: the sequences table as CSV with one header, read back."""
+    seqs = views.sequences(spark, sf)
+    path = scratch_path(spark, "sequences-csv")
+    sinks.write_sequences(seqs, path, fmt="csv")
+    return spark.read.schema(seqs.schema).option("header", True).csv(path)
+
+
+@query("metrics_json")
+def q_metrics_json(spark, sf):
+    """K9: per-test-set metrics as JSON lines, read back."""
+    m = assess.loss_by_test_set(views.losses(spark, sf))
+    path = scratch_path(spark, "metrics-json")
+    sinks.write_metrics(m, path)
+    return spark.read.schema(m.schema).json(path)
+
+
+@query("report_csv")
+def q_report_csv(spark, sf):
+    """K10: group sums as a CSV report, read back."""
+    r = agg.grouped_sum(views.catalogue(spark, sf), ["Author"], "Unique_sequences")
+    path = scratch_path(spark, "report-csv")
+    sinks.write_report_csv(r, path)
+    return spark.read.schema(r.schema).option("header", True).csv(path)
+
+
+@query("cached_row_counts")
+def q_cached_row_counts(spark, sf):
+    """S10: rows per unit, computed once and reused from the written table."""
+    path = scratch_path(spark, "row-counts")
+    calls = []
+
+    def compute():
+        calls.append(1)
+        return groups.rows_per_file(views.sequences(spark, sf))
+
+    sinks.cached(spark, path, compute)
+    again = sinks.cached(spark, path, compute)
+    if len(calls) != 1:
+        raise RuntimeError("the cached table was not reused")
+    return again

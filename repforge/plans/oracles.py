@@ -615,3 +615,6 @@ ORACLES["write_sequences"] = with_views("SELECT Sequence_ID, File_ID FROM sequen
 ORACLES["metrics_json"] = ORACLES["loss_by_test_set"]
 ORACLES["report_csv"] = ORACLES["unique_by_author"]
 ORACLES["cached_row_counts"] = ORACLES["rows_per_file"]
+ORACLES["download_list"] = ORACLES["select_units"]
+ORACLES["sample_scheme_random"] = ORACLES["sample_exact"]
+ORACLES["sample_scheme_individuals"] = ORACLES["sample_balanced_individuals"]

@@ -605,3 +605,26 @@ def q_cached_row_counts(spark, sf):
     if len(calls) != 1:
         raise RuntimeError("the cached table was not reused")
     return again
+
+
+@query("download_list")
+def q_download_list(spark, sf):
+    """K1: the download list written as unquoted CSV, read back."""
+    from repforge.operators.filters import write_download_list
+    units = select_units(views.catalogue(spark, sf), UNIT_FILTERS, warn_if_empty=True)
+    path = scratch_path(spark, "download-list")
+    write_download_list(units, path)
+    return spark.read.schema(units.schema).option("header", True).csv(path)
+
+
+@query("sample_scheme_random")
+def q_sample_scheme_random(spark, sf):
+    """R6: the scheme switch, random scheme."""
+    return sampling.sample(views.sequences(spark, sf), "random", SAMPLE_N)
+
+
+@query("sample_scheme_individuals")
+def q_sample_scheme_individuals(spark, sf):
+    """R6: the scheme switch, balanced by individual."""
+    return sampling.sample(views.sequences(spark, sf), "balance_individuals",
+                           BALANCED_INDIVIDUALS_TOTAL, views.catalogue(spark, sf))

@@ -92,8 +92,13 @@ def residues(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions = [F.nullif(F.substring("sequence", start, length), F.lit("")).alias(name)
                if length else F.nullif(F.expr(f"substr(sequence, {start})"), F.lit("")).alias(name)
                for name, (start, length) in zip(REGIONS, REGION_SLICES)]
+    # ids stay unique only while a document has fewer lines than the
+    # stride; a longer document stops the job instead of colliding ids
+    line_id = F.when(F.col("line_no") < LINE_ID_STRIDE,
+                     F.col("doc_id") * LINE_ID_STRIDE + F.col("line_no")).otherwise(
+        F.raise_error(F.lit(f"document with {LINE_ID_STRIDE} or more lines")).cast("bigint"))
     return seq.select(
-        (F.col("doc_id") * LINE_ID_STRIDE + F.col("line_no")).alias("Sequence_ID"),
+        line_id.alias("Sequence_ID"),
         F.regexp_extract("source", "([0-9]+)", 1).try_cast("bigint").alias("File_ID"),
         F.when(F.col("lang") == "en", "H").when(F.col("lang") == "fr", "K")
          .otherwise("L").alias("locus"),

@@ -136,10 +136,12 @@ def with_hash_order(df: DataFrame, id_col: str, seed: int | str = DEFAULT_SEED,
               .withColumn("_rk_bucket", hex_bucket(KEY_COL, digits)))
 
 
-def id_bins(df: DataFrame, id_col: str, n_bins: int = 4096) -> Column:
+def id_bins(df: DataFrame, id_col: str, n_bins: int = 4096,
+            bounds: tuple | None = None) -> Column:
     """Monotone bucket of an id: linear bins between the id's min and max.
-    Needs one small aggregate (two numbers) on the driver."""
-    lo, hi = df.agg(F.min(id_col), F.max(id_col)).first()
+    Needs one small aggregate (two numbers) on the driver, unless the caller
+    passes ``bounds`` it already has."""
+    lo, hi = bounds if bounds is not None else df.agg(F.min(id_col), F.max(id_col)).first()
     if lo is None:
         return F.lit(0)
     width = max(1, (int(hi) - int(lo) + n_bins) // n_bins)

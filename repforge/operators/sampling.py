@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from repforge.operators.groups import GROUP_COL, assign_groups
 from repforge.operators.ranks import (DEFAULT_SEED, KEY_COL, broadcast_checked, cut_by_rank,
                                       id_bins, with_hash_order)
+from repforge.session import materialize
 
 SCHEMES = ("random", "balance_individuals", "balance_publications")
 
@@ -42,10 +43,12 @@ def group_counts(df: DataFrame, group_col: str = GROUP_COL) -> DataFrame:
 
 def sample_per_group(df: DataFrame, quota: int, group_col: str = GROUP_COL,
                      id_col: str = "Sequence_ID", seed: int = DEFAULT_SEED,
-                     digits: int = 3) -> DataFrame:
+                     digits: int = 3, counts: DataFrame | None = None) -> DataFrame:
     """``quota`` rows from every group (md5 order within the group); error
-    if a group has fewer rows."""
-    short = (group_counts(df, group_col).where(F.col("n_rows") < quota)
+    if a group has fewer rows. ``counts`` (one row per group, ``n_rows``)
+    is reused when the caller already has it."""
+    counts = counts if counts is not None else group_counts(df, group_col)
+    short = (counts.where(F.col("n_rows") < quota)
              .orderBy(group_col).limit(10).collect())
     if short:
         raise ValueError(f"groups with fewer than {quota} rows: "
@@ -58,11 +61,15 @@ def sample_per_group(df: DataFrame, quota: int, group_col: str = GROUP_COL,
 
 def sample_balanced(df: DataFrame, total: int, group_col: str = GROUP_COL,
                     id_col: str = "Sequence_ID", seed: int = DEFAULT_SEED) -> DataFrame:
-    """The same number, ``ceil(total / groups)``, from every group."""
-    n_groups = df.select(group_col).distinct().count()
+    """The same number, ``ceil(total / groups)``, from every group. One pass
+    gives the per-group counts (written once, one row per group); the group
+    count and the shortage check both read that small table."""
+    counts = materialize(group_counts(df, group_col), "group-counts")
+    n_groups = counts.count()
     if n_groups == 0:
         raise ValueError("no groups to sample from")
-    return sample_per_group(df, math.ceil(total / n_groups), group_col, id_col, seed)
+    return sample_per_group(df, math.ceil(total / n_groups), group_col, id_col, seed,
+                            counts=counts)
 
 
 def round_robin_quotas(counts: DataFrame, total: int, group_col: str = GROUP_COL) -> DataFrame:
@@ -100,10 +107,16 @@ def sample_round_robin(df: DataFrame, total: int, group_col: str = GROUP_COL,
     """Round-robin sample: rows are taken in id (file) order within each
     group, up to the group's round-robin quota. Fewer than ``total`` rows
     only when every group is exhausted."""
+    # one pass: per-group counts and id range (the bins need the global range)
+    stats = materialize(df.groupBy(group_col).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi")),
+        "group-counts")
+    lo, hi = stats.agg(F.min("_lo"), F.max("_hi")).first()
     quotas = broadcast_checked(
-        round_robin_quotas(group_counts(df, group_col), total, group_col).select(group_col, "quota"))
+        round_robin_quotas(stats.select(group_col, "n_rows"), total, group_col)
+        .select(group_col, "quota"))
     keyed = (df.join(quotas, group_col, "inner")
-               .withColumn("_rk_bucket", id_bins(df, id_col, n_bins)))
+               .withColumn("_rk_bucket", id_bins(df, id_col, n_bins, bounds=(lo, hi))))
     cut = cut_by_rank(keyed, [id_col], ["_rk_bucket"], ["quota"], group_cols=[group_col])
     return cut.where(F.col("part") == 0).drop("_rk_bucket", "part", "quota")
 

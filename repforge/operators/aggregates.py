@@ -138,19 +138,20 @@ def age_histogram(catalogue: DataFrame, n_bins: int = 20) -> DataFrame:
     d = catalogue.select(F.col("Age").try_cast("double").alias("age"),
                          to_count(F.col("Unique_sequences")).alias("w"))
     d = d.where(F.col("age").isNotNull() & F.col("w").isNotNull())
-    # one-row range, joined on a constant key (size bound: one row)
-    rng = d.agg(F.min("age").alias("lo0"), F.max("age").alias("hi0")).select(
-        F.lit(1).alias("_k"),
-        F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
-        F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"))
-    j = d.withColumn("_k", F.lit(1)).join(F.broadcast(rng), "_k")
-    b = F.least(F.floor((F.col("age") - F.col("lo")) / (F.col("hi") - F.col("lo")) * n_bins),
+    # the range is two numbers (one partial aggregate), used as literals:
+    # no join against the rows
+    lo, hi = d.agg(F.min("age"), F.max("age")).first()
+    if lo is None:
+        lo, hi = 0.0, 1.0       # no numeric ages: the result is empty
+    elif lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    span = F.lit(float(hi)) - F.lit(float(lo))
+    b = F.least(F.floor((F.col("age") - F.lit(float(lo))) / span * n_bins),
                 F.lit(n_bins - 1)).cast("int")
-    return (j.groupBy(b.alias("bin"), "lo", "hi")
+    edge = lambda i: F.round(F.lit(float(lo)) + span * i / n_bins, 6)
+    return (d.groupBy(b.alias("bin"))
              .agg(F.sum("w").alias("unique_sequences"))
-             .select("bin",
-                     F.round(F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("bin") / n_bins, 6).alias("lower"),
-                     F.round(F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("bin") + 1) / n_bins, 6).alias("upper"),
+             .select("bin", edge(F.col("bin")).alias("lower"), edge(F.col("bin") + 1).alias("upper"),
                      "unique_sequences"))
 
 

@@ -420,7 +420,8 @@ def _unit_files(spark, sf):
 
 def _numbered_units(spark, sf):
     path = _unit_files(spark, sf)
-    return U.number_lines(U.read_unit_lines(spark, f"{path}/unit=*/*.gz"))
+    lines = U.read_unit_lines(spark, f"{path}/unit=*/*.gz")
+    return U.number_lines(lines, unit=U.unit_folder(F.col("file_path")))
 
 
 @query("read_units")
@@ -448,7 +449,7 @@ def q_ingest_unfiltered(spark, sf):
 @query("unit_manifest")
 def q_unit_manifest(spark, sf):
     m = U.unit_manifest(_numbered_units(spark, sf))
-    return m.select(U.default_file_id(F.col("file_path")).alias("File_ID"),
+    return m.select(U.unit_id(F.col("unit_path")).alias("File_ID"),
                     "first_line", "n_lines", "bytes", "Size_MB")
 
 

@@ -54,15 +54,27 @@ def read_unit_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return df.withColumn("mono", F.monotonically_increasing_id())
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
-    """Add ``line``: 1-based line number within the file (no window over
-    rows; the window runs on the one-row-per-split table)."""
-    splits = lines.groupBy("file_path", "block").agg(
+def unit_folder(path: Column) -> Column:
+    """The folder holding a file: the unit when a unit is stored as several
+    gzip part files (``.../unit=17/part-00003-....txt.gz``)."""
+    return F.regexp_replace(path, "/[^/]*$", "")
+
+
+def number_lines(lines: DataFrame, unit: Column | None = None) -> DataFrame:
+    """Add ``unit_path`` and ``line``: the 1-based line number within the
+    unit (no window over rows; the window runs on the one-row-per-split
+    table). A unit is one file by default; with ``unit=unit_folder(...)``
+    it is a folder of part files, numbered across the parts in part order
+    (shorter name first, then by name: numeric order of ``part-N``)."""
+    lines = lines.withColumn("unit_path", unit if unit is not None else F.col("file_path"))
+    splits = lines.groupBy("unit_path", "file_path", "block").agg(
         F.count(F.lit(1)).alias("_n"), F.min("mono").alias("_m0"))
-    w = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    w = (Window.partitionBy("unit_path")
+         .orderBy(F.length("file_path"), "file_path", "block")
+         .rowsBetween(Window.unboundedPreceding, -1))
     splits = splits.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    return (lines.join(splits.select("file_path", "block", "_start", "_m0"),
-                       ["file_path", "block"], "inner")
+    return (lines.join(splits.select("unit_path", "file_path", "block", "_start", "_m0"),
+                       ["unit_path", "file_path", "block"], "inner")
                  .withColumn("line", F.col("_start") + F.col("mono") - F.col("_m0") + 1)
                  .drop("_start", "_m0"))
 
@@ -79,10 +91,17 @@ def default_file_id(path: Column) -> Column:
     return F.regexp_extract(path, r"([0-9]+)[^0-9/]*(/[^/]*)?$", 1).try_cast("bigint")
 
 
+def unit_id(unit_path: Column) -> Column:
+    """Unit id from a unit path (a file or a unit folder): the last run of
+    digits of its last segment (``.../unit=17`` or ``.../17.csv.gz``)."""
+    return F.regexp_extract(unit_path, r"([0-9]+)[^0-9/]*$", 1).try_cast("bigint")
+
+
 def parse_units(numbered: DataFrame, schema: StructType = UNIT_SCHEMA,
                 first_row_as_header: bool = False,
                 file_id: Column | None = None) -> DataFrame:
-    """Data rows with named columns, ``File_ID``, ``line`` and ``block``.
+    """Data rows with named columns, ``File_ID``, ``line``, ``file_path``
+    and ``block``.
 
     Lines 1-2 (metadata, header) are dropped; fields are parsed with real CSV
     rules (quoted commas) against the declared schema. With
@@ -92,9 +111,9 @@ def parse_units(numbered: DataFrame, schema: StructType = UNIT_SCHEMA,
     first = 4 if first_row_as_header else 3
     rows = numbered.where(F.col("line") >= first)
     fid = file_id if file_id is not None else default_file_id(F.col("file_path"))
-    parsed = rows.select(fid.alias("File_ID"), "line", "block",
+    parsed = rows.select(fid.alias("File_ID"), "line", "file_path", "block",
                          F.from_csv(F.col("value"), schema.simpleString(), CSV_OPTIONS).alias("_r"))
-    out = parsed.select("File_ID", "line", "block", "_r.*")
+    out = parsed.select("File_ID", "line", "file_path", "block", "_r.*")
     for c in INT_COLUMNS:
         if c in out.columns:
             out = out.withColumn(c, F.col(c).try_cast("int"))
@@ -102,16 +121,16 @@ def parse_units(numbered: DataFrame, schema: StructType = UNIT_SCHEMA,
 
 
 def unit_metadata(numbered: DataFrame) -> DataFrame:
-    """(file_path, metadata): line 1 of every unit, CSV-unquoted."""
+    """(unit_path, metadata): line 1 of every unit, CSV-unquoted."""
     first = numbered.where(F.col("line") == 1)
-    return first.select("file_path", F.from_csv(F.col("value"), "metadata string",
+    return first.select("unit_path", F.from_csv(F.col("value"), "metadata string",
                                                 CSV_OPTIONS)["metadata"]
                         .alias("metadata"))
 
 
 def unit_manifest(numbered: DataFrame) -> DataFrame:
     """Per unit: first line, line count, uncompressed bytes and MB."""
-    g = numbered.groupBy("file_path").agg(
+    g = numbered.groupBy("unit_path").agg(
         F.min_by("value", "line").alias("first_line"),
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.octet_length("value") + 1).alias("bytes"))
@@ -122,12 +141,15 @@ def ingest(parsed: DataFrame, columns: list[str], nth: int = 1,
            length_filter: bool = True) -> DataFrame:
     """Units -> sequences table: length filter, every ``nth`` filtered row of
     each unit, kept columns, and dense ``Sequence_ID`` from 1 in (unit,
-    line) order. Ranks are computed per (unit, split), never in one task."""
+    line) order. Ranks are computed per (unit, part file, split), never in
+    one task, so a unit stored as many parts is ranked by many tasks."""
     f = region_length_ingest(parsed, enabled=length_filter)
+    f = f.select("*", F.length("file_path").alias("_plen"))
     if nth > 1:
-        f = global_rank(f, ["line"], ["block"], "_pos", group_cols=["File_ID"])
+        f = global_rank(f, ["line"], ["_plen", "file_path", "block"], "_pos",
+                        group_cols=["File_ID"])
         f = f.where(F.col("_pos") % nth == 0).drop("_pos")
-    ranked = global_rank(f, ["line"], ["File_ID", "block"], "Sequence_ID")
+    ranked = global_rank(f, ["line"], ["File_ID", "_plen", "file_path", "block"], "Sequence_ID")
     return ranked.select("Sequence_ID", "File_ID", *columns)
 
 
@@ -145,13 +167,18 @@ def unit_row_text(df: DataFrame, values: dict[str, Column]) -> Column:
     return F.concat_ws(",", *[field(c) for c in UNIT_COLUMNS])
 
 
-def write_units(lines: DataFrame, path: str) -> None:
-    """Write (unit, ord, value) lines as one gzip text file per unit, lines
-    in ``ord`` order (each unit is written by one task, as a gzip file is
-    read by one)."""
-    (lines.repartition("unit").sortWithinPartitions("unit", "ord")
-          .select("unit", "value").write.mode("overwrite")
-          .option("compression", "gzip").partitionBy("unit").text(path))
+def write_units(lines: DataFrame, path: str, num_partitions: int | None = None) -> None:
+    """Write (unit, ord, value) lines as gzip text, one folder per unit,
+    lines in ``ord`` order. Rows are range-partitioned on (unit, ord), so a
+    large unit is split into several part files written (and later read) by
+    several tasks; part ``N`` holds the lines before part ``N+1``. Read a
+    unit back with ``number_lines(..., unit=unit_folder(file_path))``."""
+    keys = [F.col("unit"), F.col("ord")]
+    ranged = (lines.repartitionByRange(num_partitions, *keys) if num_partitions
+              else lines.repartitionByRange(*keys))
+    (ranged.sortWithinPartitions("unit", "ord")
+           .select("unit", "value").write.mode("overwrite")
+           .option("compression", "gzip").partitionBy("unit").text(path))
 
 
 def residue_unit_lines(res: DataFrame) -> DataFrame:

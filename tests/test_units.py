@@ -45,7 +45,7 @@ def test_units_parse_number_and_ingest(spark, tmp_path):
     assert unfiltered.count() == 6
     lost = U.parse_units(lines, first_row_as_header=True)
     assert lost.count() == 3
-    man = {r.file_path.rsplit("/", 1)[-1]: r.n_lines for r in U.unit_manifest(lines).collect()}
+    man = {r.unit_path.rsplit("/", 1)[-1]: r.n_lines for r in U.unit_manifest(lines).collect()}
     assert man == {"11.csv.gz": 6, "12.csv.gz": 2, "13.csv.gz": 3, "14.csv.gz": 3}
     meta = U.unit_metadata(lines).collect()
     assert all(m.metadata.startswith('{"Run": "x"') for m in meta)
@@ -58,3 +58,30 @@ def test_every_nth_within_unit(spark, tmp_path):
     parsed = U.parse_units(U.number_lines(U.read_unit_lines(spark, str(d))))
     out = U.ingest(parsed, ["Redundancy"], nth=3).orderBy("Sequence_ID").collect()
     assert [r.Redundancy for r in out] == [3, 6]
+
+
+def test_large_unit_split_into_parts(spark, tmp_path):
+    """A unit holding most rows is written as several gzip parts by several
+    tasks; read back as one unit, its lines and ids follow the write order."""
+    n = 600
+    rows = spark.range(n).select(
+        F.when(F.col("id") < 500, F.lit(7)).otherwise(F.lit(8)).alias("unit"),
+        F.col("id").alias("ord"),
+        F.concat_ws(",", *[F.col("id").cast("string") if c == "Redundancy" else
+                           (F.lit("A" * 25) if c == "fwr1_aa" else F.lit(""))
+                           for c in U.UNIT_COLUMNS]).alias("value"))
+    head = spark.createDataFrame([(u, -2, '"{""Run"": ""r""}"') for u in (7, 8)] +
+                                 [(u, -1, HEADER) for u in (7, 8)], "unit long, ord long, value string")
+    path = str(tmp_path / "big")
+    U.write_units(head.unionByName(rows), path, num_partitions=6)
+    parts = os.listdir(os.path.join(path, "unit=7"))
+    assert len([p for p in parts if p.endswith(".gz")]) >= 3
+    lines = U.number_lines(U.read_unit_lines(spark, f"{path}/unit=*/*.gz"),
+                           unit=U.unit_folder(F.col("file_path")))
+    parsed = U.parse_units(lines)
+    got = sorted((r.File_ID, r.line, r.Redundancy) for r in
+                 parsed.select("File_ID", "line", "Redundancy").collect())
+    assert got == sorted([(7, i + 3, i) for i in range(500)] + [(8, i + 3, 500 + i) for i in range(100)])
+    ids = U.ingest(parsed, ["Redundancy"], length_filter=False).orderBy("Sequence_ID").collect()
+    assert [r.Redundancy for r in ids] == list(range(n))
+    assert {r.n_lines for r in U.unit_manifest(lines).collect()} == {502, 102}

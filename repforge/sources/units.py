@@ -137,19 +137,23 @@ def unit_manifest(numbered: DataFrame) -> DataFrame:
     return g.withColumn("Size_MB", bytes_to_mb(F.col("bytes")))
 
 
+# Rows per rank bucket at most: a window sorts one bucket in one task.
+LINE_BIN = 1 << 20
+
+
 def ingest(parsed: DataFrame, columns: list[str], nth: int = 1,
            length_filter: bool = True) -> DataFrame:
     """Units -> sequences table: length filter, every ``nth`` filtered row of
     each unit, kept columns, and dense ``Sequence_ID`` from 1 in (unit,
-    line) order. Ranks are computed per (unit, part file, split), never in
-    one task, so a unit stored as many parts is ranked by many tasks."""
+    line) order. Ranks are computed per (unit, line bin): line numbers are
+    dense within a unit, so a bin of ``LINE_BIN`` lines is monotone in the
+    order and bounds every window, however large one unit or file is."""
     f = region_length_ingest(parsed, enabled=length_filter)
-    f = f.select("*", F.length("file_path").alias("_plen"))
+    f = f.withColumn("_lbin", F.floor(F.col("line") / F.lit(LINE_BIN)).cast("bigint"))
     if nth > 1:
-        f = global_rank(f, ["line"], ["_plen", "file_path", "block"], "_pos",
-                        group_cols=["File_ID"])
+        f = global_rank(f, ["line"], ["_lbin"], "_pos", group_cols=["File_ID"])
         f = f.where(F.col("_pos") % nth == 0).drop("_pos")
-    ranked = global_rank(f, ["line"], ["File_ID", "_plen", "file_path", "block"], "Sequence_ID")
+    ranked = global_rank(f, ["line"], ["File_ID", "_lbin"], "Sequence_ID")
     return ranked.select("Sequence_ID", "File_ID", *columns)
 
 

@@ -85,3 +85,19 @@ def test_large_unit_split_into_parts(spark, tmp_path):
     ids = U.ingest(parsed, ["Redundancy"], length_filter=False).orderBy("Sequence_ID").collect()
     assert [r.Redundancy for r in ids] == list(range(n))
     assert {r.n_lines for r in U.unit_manifest(lines).collect()} == {502, 102}
+
+
+def test_ids_exact_when_units_span_many_line_bins(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(U, "LINE_BIN", 4)      # windows of at most 4 lines
+    d = tmp_path / "bins"
+    d.mkdir()
+    _write(d / "21.csv.gz", [_row(red=str(i), fwr1="A" * (25 if i % 3 else 19)) for i in range(1, 30)])
+    _write(d / "22.csv.gz", [_row(red=str(100 + i)) for i in range(1, 12)])
+    parsed = U.parse_units(U.number_lines(U.read_unit_lines(spark, str(d))))
+    out = U.ingest(parsed, ["Redundancy"]).orderBy("Sequence_ID").collect()
+    expect = [i for i in range(1, 30) if i % 3] + [100 + i for i in range(1, 12)]
+    assert [r.Redundancy for r in out] == expect
+    assert [r.Sequence_ID for r in out] == list(range(1, len(expect) + 1))
+    nth = U.ingest(parsed, ["Redundancy"], nth=3).orderBy("Sequence_ID").collect()
+    per_unit = {21: [i for i in range(1, 30) if i % 3], 22: [100 + i for i in range(1, 12)]}
+    assert [r.Redundancy for r in nth] == per_unit[21][2::3] + per_unit[22][2::3]

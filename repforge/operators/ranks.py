@@ -29,12 +29,36 @@ def hash_key(id_col: Column | str, seed: int | str = DEFAULT_SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), c.cast("string")))
 
 
-def hex_bucket(key: Column | str, digits: int = 4) -> Column:
-    """Bucket = leading hex digits of the md5 key (monotone in the key)."""
+def hex_bucket(key: Column | str, digits: int | Column = 4) -> Column:
+    """Bucket = leading hex digits of the md5 key (monotone in the key).
+    ``digits`` may be a column that is constant within a group."""
     c = F.col(key) if isinstance(key, str) else key
     return F.substring(c, 1, digits)
 
 
+# A window sorts one bucket in one task; buckets are sized to hold about
+# this many rows at most, whatever the table or group size.
+BUCKET_ROWS = 1 << 20
+MAX_DIGITS = 8
+
+
+def hex_digits(n_rows: int, min_digits: int = 4) -> int:
+    """Fewest md5 hex digits (at least ``min_digits``) whose buckets hold at
+    most about ``BUCKET_ROWS`` of ``n_rows`` rows (md5 prefixes are uniform)."""
+    d = min_digits
+    while d < MAX_DIGITS and n_rows > BUCKET_ROWS * 16 ** d:
+        d += 1
+    return d
+
+
+def hex_digits_col(n_rows: Column, min_digits: int = 3) -> Column:
+    """``hex_digits`` per group, as a column over a per-group counts table."""
+    out = F.lit(MAX_DIGITS)
+    for d in range(MAX_DIGITS - 1, min_digits - 1, -1):
+        out = F.when(n_rows <= F.lit(BUCKET_ROWS * 16 ** d), F.lit(d)).otherwise(out)
+    return out
+
+
 # Row bound for broadcasting a per-group / per-bucket table (a few tens of
 # bytes per row: well under the broadcast memory limit).
 BROADCAST_MAX_ROWS = 2_000_000
@@ -88,15 +112,22 @@ def _count_exceeded(value: Column, cutoffs: Sequence[Column]) -> Column:
                   [F.when(value > c, 1).otherwise(0) for c in cutoffs], F.lit(0))
 
 
+# Bucket tables up to this many rows are broadcast without a check.
+SMALL_BUCKET_TABLE = 1 << 16
+
+
 def cut_by_rank(df: DataFrame, order_cols: Sequence[str], bucket_cols: Sequence[str],
                 cutoffs: Sequence[int | str], label_col: str = "part",
-                group_cols: Sequence[str] = ()) -> DataFrame:
+                group_cols: Sequence[str] = (), max_buckets: int | None = None) -> DataFrame:
     """Label each row with the number of cut-offs its rank exceeds.
 
     ``cutoffs`` are ascending rank bounds: ints, or names of columns that are
     constant within a group (per-group quotas). With cut-offs ``[a, b]`` ranks
     1..a get 0, a+1..b get 1, the rest 2. Only buckets straddling a cut-off
     are ranked with a window; all others are labelled from bucket offsets.
+    ``max_buckets`` is a bound on the bucket table known by construction
+    (e.g. ``16**digits``); without a small one the table is counted before
+    it is broadcast.
     """
     cut_names = [c for c in cutoffs if isinstance(c, str)]
     cut_cols = [F.col(c) if isinstance(c, str) else F.lit(int(c)) for c in cutoffs]
@@ -115,9 +146,10 @@ def cut_by_rank(df: DataFrame, order_cols: Sequence[str], bucket_cols: Sequence[
         # rank >= start + 1 for every row, so "start >= c" means all exceed c
         _count_exceeded(F.col("_rk_start") + 1, cut_cols).alias("_rk_label"))
     keys = [*group_cols, *bucket_cols]
-    # Without groups the table has at most 16^digits rows (bounded by
-    # construction); per group it is counted before it is broadcast.
-    offsets = broadcast_checked(offsets) if group_cols else F.broadcast(offsets)
+    # A bucket table bounded by construction is broadcast directly; any
+    # other (per group, or many buckets) is counted before it is broadcast.
+    small = not group_cols and max_buckets is not None and max_buckets <= SMALL_BUCKET_TABLE
+    offsets = F.broadcast(offsets) if small else broadcast_checked(offsets)
     joined = df.join(offsets, keys, "inner")
     whole = (joined.where(~F.col("_rk_split"))
                    .withColumn(label_col, F.col("_rk_label")))
@@ -130,7 +162,7 @@ def cut_by_rank(df: DataFrame, order_cols: Sequence[str], bucket_cols: Sequence[
 
 
 def with_hash_order(df: DataFrame, id_col: str, seed: int | str = DEFAULT_SEED,
-                    digits: int = 4) -> DataFrame:
+                    digits: int | Column = 4) -> DataFrame:
     """Add the md5 order key and its hex bucket."""
     return (df.withColumn(KEY_COL, hash_key(id_col, seed))
               .withColumn("_rk_bucket", hex_bucket(KEY_COL, digits)))
@@ -140,10 +172,13 @@ def id_bins(df: DataFrame, id_col: str, n_bins: int = 4096,
             bounds: tuple | None = None) -> Column:
     """Monotone bucket of an id: linear bins between the id's min and max.
     Needs one small aggregate (two numbers) on the driver, unless the caller
-    passes ``bounds`` it already has."""
+    passes ``bounds`` it already has. Ids are unique, so a bin of at most
+    ``BUCKET_ROWS`` ids holds at most that many rows: wide id ranges get
+    more than ``n_bins`` bins."""
     lo, hi = bounds if bounds is not None else df.agg(F.min(id_col), F.max(id_col)).first()
     if lo is None:
         return F.lit(0)
+    n_bins = max(n_bins, -(-(int(hi) - int(lo) + 1) // BUCKET_ROWS))
     width = max(1, (int(hi) - int(lo) + n_bins) // n_bins)
     return F.floor((F.col(id_col) - F.lit(int(lo))) / F.lit(width)).cast("bigint")
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from repforge.operators.groups import GROUP_COL, assign_groups
 from repforge.operators.ranks import (DEFAULT_SEED, KEY_COL, broadcast_checked, cut_by_rank,
-                                      id_bins, with_hash_order)
+                                      hex_digits, hex_digits_col, id_bins, with_hash_order)
 from repforge.session import materialize
 
 SCHEMES = ("random", "balance_individuals", "balance_publications")
@@ -26,14 +26,16 @@ def _drop_rank_cols(df: DataFrame) -> DataFrame:
 
 
 def sample_exact(df: DataFrame, n: int, id_col: str = "Sequence_ID",
-                 seed: int = DEFAULT_SEED, digits: int = 4) -> DataFrame:
+                 seed: int = DEFAULT_SEED, digits: int | None = None) -> DataFrame:
     """Exactly ``n`` rows without replacement; error if ``n`` exceeds the
-    rows. The picked rows are the ``n`` smallest md5 keys."""
+    rows. The picked rows are the ``n`` smallest md5 keys. Buckets are
+    sized from the row count (``hex_digits``)."""
     total = df.count()
     if n > total:
         raise ValueError(f"requested sample size ({n}) is larger than total sequences ({total})")
+    digits = digits or hex_digits(total)
     keyed = with_hash_order(df, id_col, seed, digits)
-    cut = cut_by_rank(keyed, [KEY_COL, id_col], ["_rk_bucket"], [n])
+    cut = cut_by_rank(keyed, [KEY_COL, id_col], ["_rk_bucket"], [n], max_buckets=16 ** digits)
     return _drop_rank_cols(cut.where(F.col("part") == 0))
 
 
@@ -43,17 +45,22 @@ def group_counts(df: DataFrame, group_col: str = GROUP_COL) -> DataFrame:
 
 def sample_per_group(df: DataFrame, quota: int, group_col: str = GROUP_COL,
                      id_col: str = "Sequence_ID", seed: int = DEFAULT_SEED,
-                     digits: int = 3, counts: DataFrame | None = None) -> DataFrame:
+                     counts: DataFrame | None = None) -> DataFrame:
     """``quota`` rows from every group (md5 order within the group); error
     if a group has fewer rows. ``counts`` (one row per group, ``n_rows``)
-    is reused when the caller already has it."""
-    counts = counts if counts is not None else group_counts(df, group_col)
+    is reused when the caller already has it. Each group's bucket width
+    follows its own size, so a hot group gets more buckets, not larger ones."""
+    if counts is None:
+        counts = materialize(group_counts(df, group_col), "group-counts")
     short = (counts.where(F.col("n_rows") < quota)
              .orderBy(group_col).limit(10).collect())
     if short:
         raise ValueError(f"groups with fewer than {quota} rows: "
                          f"{[(r[0], r[1]) for r in short]}")
-    keyed = with_hash_order(df, id_col, seed, digits)
+    digits = broadcast_checked(counts.select(
+        group_col, hex_digits_col(F.col("n_rows")).alias("_rk_digits")))
+    keyed = with_hash_order(df.join(digits, group_col, "inner"), id_col, seed,
+                            F.col("_rk_digits")).drop("_rk_digits")
     cut = cut_by_rank(keyed, [KEY_COL, id_col], ["_rk_bucket"], [quota],
                       group_cols=[group_col])
     return _drop_rank_cols(cut.where(F.col("part") == 0))

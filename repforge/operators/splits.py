@@ -11,7 +11,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repforge.operators.ranks import DEFAULT_SEED, KEY_COL, cut_by_rank, id_bins, with_hash_order
+from repforge.operators.ranks import (DEFAULT_SEED, KEY_COL, cut_by_rank, hex_digits, id_bins,
+                                      with_hash_order)
 
 SPLIT_NAMES = ["train", "val", "test"]
 
@@ -24,9 +25,10 @@ def split_counts_fraction(total: int, train_fraction: float, val_fraction: float
 
 
 def _label(df: DataFrame, cutoffs: list[int], id_col: str, seed: int,
-           digits: int = 4) -> DataFrame:
+           n_rows: int) -> DataFrame:
+    digits = hex_digits(n_rows)
     keyed = with_hash_order(df, id_col, seed, digits)
-    cut = cut_by_rank(keyed, [KEY_COL, id_col], ["_rk_bucket"], cutoffs)
+    cut = cut_by_rank(keyed, [KEY_COL, id_col], ["_rk_bucket"], cutoffs, max_buckets=16 ** digits)
     return cut.drop(KEY_COL, "_rk_bucket")
 
 
@@ -41,14 +43,13 @@ def split_numbers(df: DataFrame, train: int, val: int, id_col: str = "Sequence_I
     """First ``train`` rows of the seeded shuffle -> train, next ``val`` ->
     val, the rest -> test. ``cap > 0`` keeps only the first ``cap`` rows of
     the shuffle before splitting. Error if train + val exceed the rows."""
-    total = df.count()
-    if cap > 0:
-        total = min(total, cap)
+    n_rows = df.count()
+    total = min(n_rows, cap) if cap > 0 else n_rows
     if train + val > total:
         raise ValueError(f"training + validation sequences ({train + val}) exceed "
                          f"total available ({total})")
     cutoffs = [train, train + val] + ([total] if cap > 0 else [])
-    out = _label(df, cutoffs, id_col, seed)
+    out = _label(df, cutoffs, id_col, seed, n_rows)
     if cap > 0:
         out = out.where(F.col("part") < 3)
     return _named(out)
@@ -58,12 +59,11 @@ def split_fraction(df: DataFrame, train_fraction: float, val_fraction: float,
                    id_col: str = "Sequence_ID", seed: int = DEFAULT_SEED,
                    cap: int = 0) -> DataFrame:
     """Like ``split_numbers`` with counts ``int(fraction * total)``."""
-    total = df.count()
-    if cap > 0:
-        total = min(total, cap)
+    n_rows = df.count()
+    total = min(n_rows, cap) if cap > 0 else n_rows
     t, v = split_counts_fraction(total, train_fraction, val_fraction)
     cutoffs = [t, t + v] + ([total] if cap > 0 else [])
-    out = _label(df, cutoffs, id_col, seed)
+    out = _label(df, cutoffs, id_col, seed, n_rows)
     if cap > 0:
         out = out.where(F.col("part") < 3)
     return _named(out)

@@ -69,3 +69,14 @@ def test_hash_key_is_md5_of_seed_and_id(spark):
     import hashlib
     v = spark.range(1).select(hash_key(F.lit(123), 42).alias("k")).first().k
     assert v == hashlib.md5(b"42|123").hexdigest()
+
+
+def test_bucket_width_follows_row_count(spark):
+    from repforge.operators.ranks import BUCKET_ROWS, hex_digits, hex_digits_col
+    assert hex_digits(1000) == 4 and hex_digits(BUCKET_ROWS * 16 ** 4) == 4
+    assert hex_digits(BUCKET_ROWS * 16 ** 4 + 1) == 5
+    assert hex_digits(10 ** 12) == 5            # ~1e12 rows: about 1e6 rows per bucket
+    df = spark.createDataFrame([("small", 10), ("big", 5 * 10 ** 9), ("hot", 3 * 10 ** 11)],
+                               "g string, n long")
+    got = {r.g: r.d for r in df.select("g", hex_digits_col(F.col("n")).alias("d")).collect()}
+    assert got == {"small": 3, "big": 4, "hot": 5}

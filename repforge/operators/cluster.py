@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from repforge.operators.masking import mix
-from repforge.session import ensure_checkpoint_dir, materialize
+from repforge.session import ensure_checkpoint_dir, materialize, ship_package
 
 K = 10
 M = 20
@@ -116,6 +116,7 @@ def kmer_sketch(unique: DataFrame, k: int = K, m: int = M, seed: int = 42) -> Da
                 [pa.array(ids[row], pa.int64()), pa.array(lens[row], pa.int32()),
                  pa.array(key, pa.int64())], names=["id", "len", "kmer"])
 
+    ship_package(src.sparkSession)
     return src.mapInArrow(run, schema)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from repforge.functions.tokens import BOS, EOS, MAX_LENGTH, PAD, UNK, VOCAB
+from repforge.session import ship_package
 
 TOKEN_COLUMNS = ["input_ids", "attention_mask", "special_tokens_mask"]
 
@@ -78,4 +79,5 @@ def tokenize_batches(df: DataFrame, text_col: str = "text", keep: list[str] | No
             cols += [pa.ListArray.from_arrays(offsets, pa.array(m.reshape(-1), pa.int32())) for m in mats]
             yield pa.RecordBatch.from_arrays(cols, names=keep + TOKEN_COLUMNS)
 
+    ship_package(src.sparkSession)
     return src.mapInArrow(run, schema)

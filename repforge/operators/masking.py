@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from repforge.functions.tokens import MASK, MASK_SHARE, MLM_PROBABILITY, RANDOM_SHARE, VOCAB_SIZE
+from repforge.session import ship_package
 
 # The mixing constants (golden ratio, MurmurHash3 fmix64).
 GOLDEN = 0x9E3779B97F4A7C15
@@ -90,4 +91,5 @@ def mlm_mask(df: DataFrame, id_col: str = "Sequence_ID", ids_col: str = "input_i
             cols.append(pa.ListArray.from_arrays(offsets, pa.array(labels, pa.int32())))
             yield pa.RecordBatch.from_arrays(cols, names=names + ["labels"])
 
+    ship_package(df.sparkSession)
     return df.mapInArrow(run, out_schema)

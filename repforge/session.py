@@ -4,7 +4,9 @@ checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,3 +75,28 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers that run Arrow
+    batch jobs: zip its sources once per application and hand the zip to
+    ``addPyFile`` (Spark serves it to every executor)."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(root)
+    fd, path = tempfile.mkstemp(prefix="repforge-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)

@@ -10,8 +10,8 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Defaults for a session we build ourselves (tests, bench). On a cluster the
-# platform's own settings win because we only fill keys that are unset.
+# Defaults for a session built here (tests, bench). A session that is
+# already active (a cluster's, the driver's) is returned untouched.
 _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -27,6 +27,10 @@ _DEFAULTS = {
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "repforge", extra: dict | None = None) -> SparkSession:
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ensure_checkpoint_dir(active)
+        return active
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from repforge.operators.masking import mix
-from repforge.session import ensure_checkpoint_dir, materialize, ship_package
+from repforge.session import ensure_checkpoint_dir, materialize, scratch_path, ship_package
 
 K = 10
 M = 20
@@ -167,14 +167,24 @@ def verified_pairs(candidates: DataFrame, unique: DataFrame,
     return j.where(F.col("distance") >= 0)
 
 
+def _read_or_empty(spark, path: str, schema: str) -> DataFrame:
+    """Parquet at ``path``, or an empty frame if nothing was written there."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except Exception:  # noqa: BLE001 - no rows of this kind in the round
+        return spark.createDataFrame([], schema)
+
+
 def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """(id, rep) for every unique sequence, by rounds of the greedy rule.
 
     Only sequences that occur in a verified pair take part in the rounds;
-    every other sequence is its own representative. Each round's states are
-    written as Parquet to the shared checkpoint folder (one computation per
-    round, lineage cut, survives executor loss); exceeding ``max_rounds``
-    raises (never a partial answer).
+    every other sequence is its own representative. The rounds are
+    append-only: round ``k`` writes, in one pass, the nodes it decides and
+    the nodes still open to two folders (Parquet in the shared checkpoint
+    folder, so a lost executor costs at most one round). Only open nodes are
+    carried forward; a decided node is never rewritten. Exceeding
+    ``max_rounds`` raises (never a partial answer).
     """
     spark = unique.sparkSession
     ensure_checkpoint_dir(spark)
@@ -185,34 +195,44 @@ def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUN
     alone = (unique.select(F.col("rep_id").alias("id"))
                    .join(involved, "id", "left_anti")
                    .select("id", F.col("id").alias("rep")))
-    nodes = (unique.select(F.col("rep_id").alias("id"), "len")
-                   .join(involved, "id", "left_semi")
-                   .select("id", "len", F.lit(0).alias("state"),
-                           F.lit(None).cast("bigint").alias("rep")))
-    nodes = materialize(nodes, "cover-round")
-    for _ in range(max_rounds):
-        open_nodes = nodes.where(F.col("state") == 0).select("id")
+    open_nodes = materialize(unique.select(F.col("rep_id").alias("id"), "len")
+                                   .join(involved, "id", "left_semi"), "cover-open")
+    decided_paths: list[str] = []
+    for rnd in range(max_rounds):
         if open_nodes.isEmpty():
-            return alone.unionByName(nodes.select("id", "rep"))
-        src = nodes.select(F.col("id").alias("src"), F.col("state").alias("s_state"),
-                           F.col("len").alias("s_len"))
-        inbound = (e.join(open_nodes.withColumnRenamed("id", "dst"), "dst", "left_semi")
-                    .join(src, "src", "inner"))
-        rep_prio = F.when(F.col("s_state") == 1, priority_key("s_len", "src"))
-        decided = inbound.groupBy("dst").agg(
-            F.max(F.col("s_state") == 1).alias("has_rep"),
-            F.min(F.col("s_state") != 0).alias("all_done"),
+            if not decided_paths:
+                return alone
+            decided = spark.read.parquet(*decided_paths)
+            return alone.unionByName(decided.select("id", "rep"))
+        # states of the sources of every edge into an open node; a source not
+        # yet decided has no row (null state)
+        into_open = e.join(open_nodes.select(F.col("id").alias("dst")), "dst", "left_semi")
+        if decided_paths:
+            states = spark.read.parquet(*decided_paths).select(
+                F.col("id").alias("src"), F.col("is_rep").alias("s_rep"), F.col("len").alias("s_len"))
+            inbound = into_open.join(states, "src", "left")
+        else:
+            inbound = into_open.select("dst", "src", F.lit(None).cast("boolean").alias("s_rep"),
+                                       F.lit(None).cast("int").alias("s_len"))
+        rep_prio = F.when(F.col("s_rep"), priority_key("s_len", "src"))
+        per_dst = inbound.groupBy("dst").agg(
+            F.max(F.coalesce(F.col("s_rep"), F.lit(False))).alias("has_rep"),
+            F.min(F.col("s_rep").isNotNull()).alias("all_done"),
             F.max(rep_prio).alias("best_key"))
-        n = nodes.join(decided.withColumnRenamed("dst", "id"), "id", "left")
-        is_open = F.col("state") == 0
-        becomes_member = is_open & F.coalesce(F.col("has_rep"), F.lit(False))
-        becomes_rep = is_open & ~becomes_member & F.coalesce(F.col("all_done"), F.lit(True))
-        nodes = n.select(
-            "id", "len",
-            F.when(becomes_member, 2).when(becomes_rep, 1).otherwise(F.col("state")).alias("state"),
-            F.when(becomes_member, centre_of(F.col("best_key"))).when(becomes_rep, F.col("id"))
-             .otherwise(F.col("rep")).alias("rep"))
-        nodes = materialize(nodes, "cover-round")
+        n = open_nodes.join(per_dst.withColumnRenamed("dst", "id"), "id", "left")
+        becomes_member = F.coalesce(F.col("has_rep"), F.lit(False))
+        becomes_rep = ~becomes_member & F.coalesce(F.col("all_done"), F.lit(True))
+        # one write per round: decided nodes and still-open nodes in two folders
+        path = scratch_path(spark, f"cover-round{rnd}")
+        (n.select("id", "len",
+                  F.when(becomes_member | becomes_rep, F.lit("decided")).otherwise(F.lit("open"))
+                   .alias("part"),
+                  becomes_rep.alias("is_rep"),
+                  F.when(becomes_member, centre_of(F.col("best_key")))
+                   .when(becomes_rep, F.col("id")).alias("rep"))
+          .write.partitionBy("part").parquet(path))
+        decided_paths.append(f"{path}/part=decided")
+        open_nodes = _read_or_empty(spark, f"{path}/part=open", "id bigint, len int")
     raise RuntimeError(f"greedy clustering did not converge in {max_rounds} rounds")
 
 

@@ -84,14 +84,28 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
+def _importable_on_workers(sc) -> bool:
+    """One tiny task: can a Python worker import this package already (it
+    is installed there, or was shipped with ``--py-files``)?"""
+    def probe(_):
+        import importlib.util
+        yield importlib.util.find_spec(__name__.split(".")[0]) is not None
+    return all(sc.parallelize([0], 1).mapPartitions(probe).collect())
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers that run Arrow
-    batch jobs: zip its sources once per application and hand the zip to
-    ``addPyFile`` (Spark serves it to every executor)."""
+    batch jobs. If they cannot import it yet, zip its sources once per
+    application and hand the zip to ``addPyFile``: the driver serves the
+    file and every executor fetches its own copy (the zip is never read from
+    a shared or local folder by the executors)."""
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
         return
+    if _importable_on_workers(sc):
+        _SHIPPED.add(app)
+        return
     root = os.path.dirname(os.path.abspath(__file__))
     parent = os.path.dirname(root)
     fd, path = tempfile.mkstemp(prefix="repforge-", suffix=".zip")

@@ -137,27 +137,46 @@ def centre_of(key):
     return F.lit((1 << ID_BITS) - 1) - (key % F.lit(1 << ID_BITS))
 
 
-def kmer_candidates(sketch: DataFrame) -> DataFrame:
+def kmer_candidates(sketch: DataFrame, with_lengths: bool = False,
+                    coverage_pct: int | None = None) -> DataFrame:
     """(centre, member) pairs, one per shared k-mer centre; linear in the
-    sketch size. The centre is the longest sequence of the k-mer."""
+    sketch size. The centre is the longest sequence of the k-mer.
+
+    With ``with_lengths`` the pairs carry ``c_len`` and ``m_len`` (the
+    centre's length is read back from its priority key), and with
+    ``coverage_pct`` pairs that cannot pass coverage are dropped here,
+    before any sequence text is joined or shuffled."""
     centres = sketch.groupBy("kmer").agg(F.max(priority_key()).alias("_p")).select(
-        "kmer", centre_of(F.col("_p")).alias("centre"))
+        "kmer", centre_of(F.col("_p")).alias("centre"),
+        F.shiftright(F.col("_p"), ID_BITS).cast("int").alias("c_len"))
     pairs = (sketch.join(centres, "kmer", "inner")
                    .where(F.col("id") != F.col("centre"))
-                   .select("centre", F.col("id").alias("member")))
-    return pairs.distinct()
+                   .select("centre", "c_len", F.col("id").alias("member"),
+                           F.col("len").alias("m_len")))
+    if coverage_pct is not None:
+        pairs = pairs.where(F.col("m_len") * 100 >= F.col("c_len") * coverage_pct)
+    cols = ["centre", "member", "c_len", "m_len"] if with_lengths else ["centre", "member"]
+    return pairs.select(*cols).distinct()
 
 
 def verified_pairs(candidates: DataFrame, unique: DataFrame,
                    identity_pct: int = IDENTITY_PCT, coverage_pct: int = COVERAGE_PCT) -> DataFrame:
     """Candidates that pass coverage and identity; ``distance`` is the edit
-    distance (bounded computation: ``levenshtein(a, b, threshold)``)."""
-    c = unique.select(F.col("rep_id").alias("centre"), F.col("sequence").alias("c_seq"),
-                      F.col("len").alias("c_len"))
-    mm = unique.select(F.col("rep_id").alias("member"), F.col("sequence").alias("m_seq"),
-                       F.col("len").alias("m_len"))
-    j = candidates.join(c, "centre").join(mm, "member")
-    j = j.where(F.col("m_len") * 100 >= F.col("c_len") * coverage_pct)
+    distance (bounded computation: ``levenshtein(a, b, threshold)``).
+    Candidates that carry lengths are checked for coverage before the
+    sequence texts are joined."""
+    if {"c_len", "m_len"} <= set(candidates.columns):
+        j = candidates.where(F.col("m_len") * 100 >= F.col("c_len") * coverage_pct)
+        c = unique.select(F.col("rep_id").alias("centre"), F.col("sequence").alias("c_seq"))
+        mm = unique.select(F.col("rep_id").alias("member"), F.col("sequence").alias("m_seq"))
+        j = j.join(c, "centre").join(mm, "member")
+    else:
+        c = unique.select(F.col("rep_id").alias("centre"), F.col("sequence").alias("c_seq"),
+                          F.col("len").alias("c_len"))
+        mm = unique.select(F.col("rep_id").alias("member"), F.col("sequence").alias("m_seq"),
+                           F.col("len").alias("m_len"))
+        j = candidates.join(c, "centre").join(mm, "member")
+        j = j.where(F.col("m_len") * 100 >= F.col("c_len") * coverage_pct)
     threshold = F.floor(F.col("c_len") * (100 - identity_pct) / 100).cast("int")
     # explode() is a barrier: the filter below cannot be pushed under it and
     # re-evaluate the distance, so each pair is aligned exactly once.
@@ -243,7 +262,8 @@ def cluster(seqs: DataFrame, id_col: str = "Sequence_ID", seq_col: str = "sequen
     ensure_checkpoint_dir(seqs.sparkSession)
     unique = materialize(exact_duplicates(seqs, id_col, seq_col), "unique-sequences")
     sketch = kmer_sketch(unique, k, m)
-    edges = verified_pairs(kmer_candidates(sketch), unique, identity_pct, coverage_pct)
+    candidates = kmer_candidates(sketch, with_lengths=True, coverage_pct=coverage_pct)
+    edges = verified_pairs(candidates, unique, identity_pct, coverage_pct)
     cover = greedy_cover(unique, edges)
     # every copy of a distinct sequence follows its exact-duplicate rep
     copies = seqs.select(F.col(id_col).alias("Sequence_ID"), F.col(seq_col).alias("sequence"))

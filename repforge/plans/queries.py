@@ -373,7 +373,9 @@ def q_kmer_candidates(spark, sf):
 @query("verified_pairs")
 def q_verified_pairs(spark, sf):
     u = clu.exact_duplicates(_residue_seqs(spark, sf))
-    return clu.verified_pairs(clu.kmer_candidates(clu.kmer_sketch(u)), u)
+    cand = clu.kmer_candidates(clu.kmer_sketch(u), with_lengths=True,
+                               coverage_pct=clu.COVERAGE_PCT)
+    return clu.verified_pairs(cand, u)
 
 
 @query("cluster_assignments")

@@ -98,3 +98,16 @@ def test_cluster_members_within_threshold(spark):
     assert len(reps) < len(seqs)
     short = [k for k, v in seqs.items() if v == "ACD"][0]
     assert a[short] == short
+
+
+def test_coverage_before_join_gives_same_pairs(spark):
+    df, _ = _fixture(spark)
+    u = clu.exact_duplicates(df)
+    sk = clu.kmer_sketch(u)
+    plain = clu.verified_pairs(clu.kmer_candidates(sk), u)
+    early = clu.verified_pairs(clu.kmer_candidates(sk, with_lengths=True, coverage_pct=90), u)
+    rows = lambda d: sorted(tuple(r) for r in d.select("centre", "member", "c_len", "m_len", "distance").collect())
+    assert rows(plain) == rows(early)
+    lens = {r.rep_id: r.len for r in u.collect()}
+    for r in clu.kmer_candidates(sk, with_lengths=True).collect():
+        assert (r.c_len, r.m_len) == (lens[r.centre], lens[r.member])

@@ -24,6 +24,8 @@ which AQE's skew-join can split; no window over a k-mer is used.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -120,21 +122,39 @@ def kmer_sketch(unique: DataFrame, k: int = K, m: int = M, seed: int = 42) -> Da
     return src.mapInArrow(run, schema)
 
 
-ID_BITS = 40
+# Priority = length * 10^19 + (10^19 - 1 - id) as DECIMAL(38,0): covers
+# every non-negative BIGINT id, and a decimal aggregation buffer is updated
+# in place, so ``max`` stays a hash aggregation (no sort).
+ID_SPAN = 10 ** 19
+PRIORITY_TYPE = "decimal(38,0)"
+
+
+def _span():
+    return F.lit(Decimal(ID_SPAN)).cast(PRIORITY_TYPE)
 
 
 def priority_key(len_col: str = "len", id_col: str = "id"):
-    """(length desc, id asc) packed in one BIGINT so that a plain ``max``
-    (hash aggregation, no sort) picks the highest priority. Ids must be
-    below 2^40; a larger id stops the job rather than mis-ordering."""
-    limit = F.lit(1 << ID_BITS)
-    ok = (F.col(id_col) >= 0) & (F.col(id_col) < limit)
-    key = F.col(len_col).cast("bigint") * limit + (limit - 1 - F.col(id_col))
-    return F.when(ok, key).otherwise(F.raise_error(F.lit("sequence id outside [0, 2^40)")).cast("bigint"))
+    """(length desc, id asc) packed in one DECIMAL(38,0) so that a plain
+    ``max`` (hash aggregation, no sort) picks the highest priority. A
+    negative id stops the job rather than mis-ordering."""
+    span = _span()
+    idc = F.col(id_col).cast(PRIORITY_TYPE)
+    key = (F.col(len_col).cast(PRIORITY_TYPE) * span + (span - F.lit(1) - idc)).cast(PRIORITY_TYPE)
+    return F.when(F.col(id_col) >= 0, key).otherwise(
+        F.raise_error(F.lit("negative sequence id")).cast(PRIORITY_TYPE))
 
 
 def centre_of(key):
-    return F.lit((1 << ID_BITS) - 1) - (key % F.lit(1 << ID_BITS))
+    """The id packed in a priority key."""
+    span = _span()
+    return (span - F.lit(1) - F.pmod(key, span)).cast("bigint")
+
+
+def length_of(key):
+    """The length packed in a priority key."""
+    # remove the id part first: the division is then exact (decimal division
+    # keeps only a few fractional digits and would round 49.99.. up to 50)
+    return ((key - F.pmod(key, _span())) / _span()).cast("int")
 
 
 def kmer_candidates(sketch: DataFrame, with_lengths: bool = False,
@@ -148,7 +168,7 @@ def kmer_candidates(sketch: DataFrame, with_lengths: bool = False,
     before any sequence text is joined or shuffled."""
     centres = sketch.groupBy("kmer").agg(F.max(priority_key()).alias("_p")).select(
         "kmer", centre_of(F.col("_p")).alias("centre"),
-        F.shiftright(F.col("_p"), ID_BITS).cast("int").alias("c_len"))
+        length_of(F.col("_p")).alias("c_len"))
     pairs = (sketch.join(centres, "kmer", "inner")
                    .where(F.col("id") != F.col("centre"))
                    .select("centre", "c_len", F.col("id").alias("member"),

@@ -111,3 +111,11 @@ def test_coverage_before_join_gives_same_pairs(spark):
     lens = {r.rep_id: r.len for r in u.collect()}
     for r in clu.kmer_candidates(sk, with_lengths=True).collect():
         assert (r.c_len, r.m_len) == (lens[r.centre], lens[r.member])
+
+
+def test_priority_key_covers_every_bigint_id(spark):
+    rows = [(1, 49, 10 ** 15), (1, 49, 2 ** 62), (1, 12, 3), (2, 17538, 2 ** 63 - 1), (2, 17538, 0)]
+    df = spark.createDataFrame(rows, "kmer long, len int, id long")
+    g = (df.groupBy("kmer").agg(F.max(clu.priority_key()).alias("p"))
+           .select("kmer", clu.centre_of(F.col("p")).alias("c"), clu.length_of(F.col("p")).alias("l")))
+    assert sorted(tuple(r) for r in g.collect()) == [(1, 10 ** 15, 49), (2, 0, 17538)]

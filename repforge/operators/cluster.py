@@ -214,11 +214,11 @@ def _read_or_empty(spark, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """(id, rep) for every unique sequence, by rounds of the greedy rule.
-
-    Only sequences that occur in a verified pair take part in the rounds;
-    every other sequence is its own representative. The rounds are
+def greedy_decided(unique: DataFrame, edges: DataFrame,
+                   max_rounds: int = MAX_ROUNDS) -> DataFrame | None:
+    """(id, len, is_rep, rep) for every sequence that occurs in a verified
+    pair, by rounds of the greedy rule; None if there is no pair. Every
+    other sequence is its own representative. The rounds are
     append-only: round ``k`` writes, in one pass, the nodes it decides and
     the nodes still open to two folders (Parquet in the shared checkpoint
     folder, so a lost executor costs at most one round). Only open nodes are
@@ -231,18 +231,14 @@ def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUN
     e = materialize(e, "cover-edges")
     involved = (e.select(F.col("src").alias("id"))
                  .unionByName(e.select(F.col("dst").alias("id"))).distinct())
-    alone = (unique.select(F.col("rep_id").alias("id"))
-                   .join(involved, "id", "left_anti")
-                   .select("id", F.col("id").alias("rep")))
     open_nodes = materialize(unique.select(F.col("rep_id").alias("id"), "len")
                                    .join(involved, "id", "left_semi"), "cover-open")
     decided_paths: list[str] = []
     for rnd in range(max_rounds):
         if open_nodes.isEmpty():
             if not decided_paths:
-                return alone
-            decided = spark.read.parquet(*decided_paths)
-            return alone.unionByName(decided.select("id", "rep"))
+                return None
+            return spark.read.parquet(*decided_paths).select("id", "len", "is_rep", "rep")
         # states of the sources of every edge into an open node; a source not
         # yet decided has no row (null state)
         into_open = e.join(open_nodes.select(F.col("id").alias("dst")), "dst", "left_semi")
@@ -275,6 +271,17 @@ def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUN
     raise RuntimeError(f"greedy clustering did not converge in {max_rounds} rounds")
 
 
+def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+    """(id, rep) for every unique sequence (``greedy_decided`` for the
+    sequences with a verified pair, the rest represent themselves)."""
+    everyone = unique.select(F.col("rep_id").alias("id"))
+    decided = greedy_decided(unique, edges, max_rounds)
+    if decided is None:
+        return everyone.select("id", F.col("id").alias("rep"))
+    alone = everyone.join(decided.select("id"), "id", "left_anti")
+    return alone.select("id", F.col("id").alias("rep")).unionByName(decided.select("id", "rep"))
+
+
 def cluster(seqs: DataFrame, id_col: str = "Sequence_ID", seq_col: str = "sequence",
             k: int = K, m: int = M, identity_pct: int = IDENTITY_PCT,
             coverage_pct: int = COVERAGE_PCT) -> DataFrame:
@@ -284,13 +291,18 @@ def cluster(seqs: DataFrame, id_col: str = "Sequence_ID", seq_col: str = "sequen
     sketch = kmer_sketch(unique, k, m)
     candidates = kmer_candidates(sketch, with_lengths=True, coverage_pct=coverage_pct)
     edges = verified_pairs(candidates, unique, identity_pct, coverage_pct)
-    cover = greedy_cover(unique, edges)
-    # every copy of a distinct sequence follows its exact-duplicate rep
+    decided = greedy_decided(unique, edges)
+    # every copy of a distinct sequence follows its exact-duplicate rep ...
     copies = seqs.select(F.col(id_col).alias("Sequence_ID"), F.col(seq_col).alias("sequence"))
     first = unique.select("sequence", F.col("rep_id").alias("id"))
-    return (copies.join(first, "sequence", "inner")
-                  .join(cover, "id", "inner")
-                  .select("Sequence_ID", F.col("rep").alias("rep_id")))
+    assigned = copies.join(first, "sequence", "inner")
+    if decided is None:
+        return assigned.select("Sequence_ID", F.col("id").alias("rep_id"))
+    # ... and only members of a greedy cluster (rep != own id) change: join
+    # that table alone instead of one row per unique sequence
+    members = decided.where(~F.col("is_rep")).select("id", F.col("rep").alias("_rep"))
+    return (assigned.join(members, "id", "left")
+                    .select("Sequence_ID", F.coalesce(F.col("_rep"), F.col("id")).alias("rep_id")))
 
 
 def cluster_sizes(assignments: DataFrame) -> DataFrame:

@@ -119,3 +119,15 @@ def test_priority_key_covers_every_bigint_id(spark):
     g = (df.groupBy("kmer").agg(F.max(clu.priority_key()).alias("p"))
            .select("kmer", clu.centre_of(F.col("p")).alias("c"), clu.length_of(F.col("p")).alias("l")))
     assert sorted(tuple(r) for r in g.collect()) == [(1, 10 ** 15, 49), (2, 0, 17538)]
+
+
+def test_round_cap_raises_instead_of_partial_answer(spark):
+    # a chain 1 -> 2 -> 3 -> 4 (priority by length) needs four rounds
+    u = spark.createDataFrame([(1, "x", 9), (2, "x", 8), (3, "x", 7), (4, "x", 6)],
+                              "rep_id long, sequence string, len int")
+    e = spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "centre long, member long")
+    import pytest
+    with pytest.raises(RuntimeError, match="did not converge"):
+        clu.greedy_cover(u, e, max_rounds=2)
+    got = {r.id: r.rep for r in clu.greedy_cover(u, e).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3}

@@ -129,12 +129,18 @@ def unit_metadata(numbered: DataFrame) -> DataFrame:
 
 
 def unit_manifest(numbered: DataFrame) -> DataFrame:
-    """Per unit: first line, line count, uncompressed bytes and MB."""
+    """Per unit: first line, line count, uncompressed bytes and MB. Counts
+    are a hash aggregation (partial before the shuffle); the first line is
+    the row numbered 1, joined on (one row per unit each side), so no line
+    text goes into an aggregation buffer (that would force a sort of every
+    line)."""
     g = numbered.groupBy("unit_path").agg(
-        F.min_by("value", "line").alias("first_line"),
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.octet_length("value") + 1).alias("bytes"))
-    return g.withColumn("Size_MB", bytes_to_mb(F.col("bytes")))
+    first = numbered.where(F.col("line") == 1).select("unit_path", F.col("value").alias("first_line"))
+    return (g.join(first, "unit_path", "left")
+             .select("unit_path", "first_line", "n_lines", "bytes",
+                     bytes_to_mb(F.col("bytes")).alias("Size_MB")))
 
 
 # Rows per rank bucket at most: a window sorts one bucket in one task.

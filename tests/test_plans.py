@@ -11,7 +11,7 @@ import pytest
 E = importlib.import_module("__spark_entry__")
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "TakeOrderedAndProject",
-             "BatchEvalPython"]
+             "BatchEvalPython", "SortAggregate"]
 # wide driver-table columns no query needs
 NEVER_READ = ["c_name", "c_address", "c_phone", "c_comment", "o_comment", "n_comment"]
 

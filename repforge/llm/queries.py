@@ -5,10 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repforge.llm import licenses, trie_dedup
+from repforge.llm import licenses, packing, sentencepieces, trie_dedup
 from repforge.llm.common import table
 
 
+def vocabulary(name: str) -> str:
+    """Where the public vocabulary file lies (the same on every node)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_digest(licenses.license_spans(table(spark, sf_dir, "documents")))
 
@@ -17,7 +24,15 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_dedup.dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op5_exact_dedup)}
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encoded(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), sequence=2048, end_id=1)
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op5_exact_dedup, op7_sentencepiece, op10_packing)}
 
 ORACLES = {
     "op5_exact_dedup": """

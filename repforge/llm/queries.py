@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repforge.llm import licenses, packing, sentencepieces, trie_dedup
+from repforge.llm import licenses, packing, sentencepieces, trie_dedup, walks
 from repforge.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_digest(licenses.license_spans(table(spark, sf_dir, "documents")))
 
 
+def op2_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return walks.beside_next(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_dedup.dedup(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -32,7 +36,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), sequence=2048, end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op5_exact_dedup, op7_sentencepiece, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_edit_fingerprints, op5_exact_dedup, op7_sentencepiece, op10_packing)}
 
 ORACLES = {
     "op5_exact_dedup": """

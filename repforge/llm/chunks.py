@@ -17,15 +17,16 @@ MAX_CHUNKS = 300_000
 
 
 class ChunkIds:
-    """``encode`` maps a list of new chunks to one list of ids for each."""
+    """``encode`` maps a list of new chunks to one list of ids (or other
+    numbers) for each."""
 
-    def __init__(self, encode: Callable[[list], list[list[int]]], limit: int = MAX_CHUNKS):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list], list[list]], limit: int = MAX_CHUNKS, dtype=np.int32):
+        self.encode, self.limit, self.dtype = encode, limit, dtype
         self.clear()
 
     def clear(self) -> None:
         self.index: dict = {}
-        self.flat = np.empty(1 << 16, np.int32)
+        self.flat = np.empty(1 << 16, self.dtype)
         self.start = np.empty(1 << 14, np.int64)
         self.length = np.empty(1 << 14, np.int64)
         self.used = 0
@@ -39,7 +40,7 @@ class ChunkIds:
         while n + len(got) > len(self.start):
             self.start = np.concatenate([self.start, np.empty_like(self.start)])
             self.length = np.concatenate([self.length, np.empty_like(self.length)])
-        self.flat[self.used: self.used + more] = np.fromiter(chain.from_iterable(got), np.int32, more)
+        self.flat[self.used: self.used + more] = np.fromiter(chain.from_iterable(got), self.dtype, more)
         self.start[n: n + len(got)] = self.used + np.cumsum(lengths) - lengths
         self.length[n: n + len(got)] = lengths
         self.used += more

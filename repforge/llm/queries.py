@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repforge.llm import licenses, packing, sentencepieces, trie_dedup, walks
+from repforge.llm import licenses, packing, quality, sentencepieces, toxicity, trie_dedup, walks
 from repforge.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op2_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return walks.beside_next(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_dedup.dedup(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -32,11 +36,17 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encoded(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), sequence=2048, end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_edit_fingerprints, op5_exact_dedup, op7_sentencepiece, op10_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op2_edit_fingerprints, op3_quality, op5_exact_dedup, op7_sentencepiece, op9_toxicity,
+    op10_packing)}
 
 ORACLES = {
     "op5_exact_dedup": """

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repforge.llm import licenses, packing, quality, sentencepieces, toxicity, trie_dedup, walks
+from repforge.llm import licenses, packing, quality, sentencepieces, toxicity, trie_dedup, walks, wrappers
 from repforge.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encoded(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op8_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extracted(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,8 +49,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_edit_fingerprints, op3_quality, op5_exact_dedup, op7_sentencepiece, op9_toxicity,
-    op10_packing)}
+    op1_license_scan, op2_edit_fingerprints, op3_quality, op5_exact_dedup, op7_sentencepiece, op8_html_wrappers,
+    op9_toxicity, op10_packing)}
 
 ORACLES = {
     "op5_exact_dedup": """

@@ -1,12 +1,94 @@
-"""Corpus pipeline: documents through five of the operators, one after another."""
+"""Corpus pipeline: documents through five of the operators, one after another.
+
+Every stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and
+returns a DataFrame; ``run`` writes each result to the shared checkpoint
+folder and reads it again as the next stage's ``docs``. All but the last
+stage return the columns of ``docs``, whatever they are; a null text counts
+as empty, and an empty table passes through every stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from repforge.llm import ngram_join, packing, quality, toxicity, trie_dedup
+from repforge.llm.common import Scratch, fresh, table
+from repforge.llm.queries import vocabulary
+
+#: A document at or above this toxicity goes.
+MAX_TOXICITY = 0.5
+#: A document below this quality goes.
+MIN_QUALITY = 0.7
+SEQUENCE, END_ID = 2048, 1
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose toxicity score is below MAX_TOXICITY; the field is fitted
+    on the labelled rows among ``docs``."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    score = fresh("toxicity")
+    return (docs.withColumn(score, toxicity.score_column(spark, model, F.col("text")))
+            .filter(F.col(score) < MAX_TOXICITY).drop(score))
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose quality score is at least MIN_QUALITY."""
+    weights = quality.fit(docs, table(spark, sf_dir, "labels"))
+    score = fresh("quality")
+    return (docs.withColumn(score, quality.score_column(spark, weights, F.col("text")))
+            .filter(F.col(score) >= MIN_QUALITY).drop(score))
+
+
+def keep_owners(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of rows with equal text the one with the largest id; of rows that
+    repeat an id with its text, one. Texts without any id keep one row."""
+    owners = trie_dedup.owners(docs, keep="largest")
+    key = fresh("sha256")
+    keyed = docs.withColumn(key, F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    ours = owners.select(F.col("sha256").alias("owner_key"), F.col("keep_id").alias("owner_id"))
+    kept = keyed.join(ours, (F.col(key) == F.col("owner_key")) & F.col("doc_id").eqNullSafe(F.col("owner_id")),
+                      "left_semi")
+    repeated = (keyed.groupBy("doc_id", key).count().filter("count > 1")
+                .select(F.col("doc_id").alias("repeated_id"), F.col(key).alias("repeated_key")))
+    if repeated.limit(1).count() == 0:
+        return kept.drop(key)
+    same = (F.col(key) == F.col("repeated_key")) & F.col("doc_id").eqNullSafe(F.col("repeated_id"))
+    return (kept.join(repeated, same, "left_anti")
+            .unionByName(kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", key])).drop(key))
+
+
+def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by n-gram Jaccard 0.8 or more, directly or over
+    others, the one with the smallest id. Rows without an id stay."""
+    found = ngram_join.joined(docs)
+    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id"))
+    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the kept documents in sequences of SEQUENCE tokens."""
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), SEQUENCE, END_ID)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality", keep_quality),
+    ("exact_dedup", keep_owners),
+    ("ngram_join", keep_one_near_copy),
+    ("packing", pack),
+]
 
-STAGES: list = []
+#: The first two stages are trained models, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    scratch, docs = Scratch(spark), table(spark, sf_dir, "documents")
+    before = None
+    for name, stage in STAGES:
+        docs = scratch.save(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            scratch.drop(before)
+        before = docs
+    return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repforge.llm import licenses, packing, quality, sentencepieces, toxicity, trie_dedup, walks, wrappers
+from repforge.llm import licenses, ngram_join, packing, quality, sentencepieces, toxicity, trie_dedup, walks, wrappers
 from repforge.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_dedup.dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encoded(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -49,7 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_edit_fingerprints, op3_quality, op5_exact_dedup, op7_sentencepiece, op8_html_wrappers,
+    op1_license_scan, op2_edit_fingerprints, op3_quality, op5_exact_dedup, op6_ngram_join, op7_sentencepiece, op8_html_wrappers,
     op9_toxicity, op10_packing)}
 
 ORACLES = {

@@ -193,9 +193,10 @@ def owners(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id", text
         F.col("text").cast("binary").alias("bytes"), F.col("doc_id").alias("owner"),
         F.lit(1).cast("long").alias("rows"))
     rows = map_arrow(rows, _combine(largest), _SCHEMA)
-    done, unit = None, 1
+    done, turn = None, 0
     while True:
-        dealt = rows.repartition(F.octet_length("bytes"), F.xxhash64("bytes", F.lit(unit)))
+        unit = 1 << min(turn, 20)  # subtrees of a later round lie deeper
+        dealt = rows.repartition(F.octet_length("bytes"), F.xxhash64("bytes", F.lit(turn)))
         found = map_arrow(dealt, _insert(largest, trie_bytes, unit), _SCHEMA)
         # the text itself goes on only for spilled rows
         found = scratch.save(found.select(
@@ -207,7 +208,7 @@ def owners(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id", text
         if found.filter("spilled").limit(1).count() == 0:
             return done
         rows = found.filter("spilled").select("bytes", "owner", "rows")
-        unit *= 2
+        turn += 1
 
 
 def dedup(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id", text_col: str = "text",

@@ -72,6 +72,7 @@ class Walker:
         self.stay = np.concatenate([_stay_table(rng).ravel() for _ in range(WALKS)])
         self.records = [_records(rng) for _ in range(SLOTS)]
         self.mix = rng.integers(1, 2**63, SYMBOLS + 2, dtype=np.uint64) | np.uint64(1)
+        self.salt = np.arange(SLOTS, dtype=np.uint64) * self.mix[1]
 
     def fingerprints(self, texts: list[str]) -> np.ndarray:
         """uint16 slots, one row per text. An empty text has one fixed row."""
@@ -127,7 +128,7 @@ class Walker:
             reached = steps[lengths, column].astype(np.int64)
             record = np.searchsorted(self.records[s], reached, side="left") - 1
             first = self.records[s][np.maximum(record, 0)]
-            value = (record + 1).astype(np.uint64) * self.mix[0] + np.uint64(s) * self.mix[1]
+            value = (record + 1).astype(np.uint64) * self.mix[0] + self.salt[s]
             for k in range(SYMBOLS):
                 here = first + STRIDE * k
                 low, high = np.zeros(d, np.int64), lengths.copy()
@@ -236,8 +237,8 @@ def beside_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = texts_of(docs, id_col, text_col)
     lowest = -(2**63)
     order = F.coalesce("doc_id", F.lit(lowest))
-    firsts = sorted(r[0] for r in rows.select(order.alias("key")).repartitionByRange("key")
-                    .groupBy(F.spark_partition_id()).agg(F.min("key")).collect())
+    firsts = sorted(r["first"] for r in rows.select(order.alias("key")).repartitionByRange("key")
+                    .groupBy(F.spark_partition_id()).agg(F.min("key").alias("first")).collect())
     starts = np.array(firsts, np.int64)  # one number for each shuffle partition
 
     @F.pandas_udf("array<int>")

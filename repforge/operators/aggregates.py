@@ -70,9 +70,9 @@ def isotype_stats(catalogue: DataFrame, species: str | list | None = None) -> Da
     tt = F.sum("Total_Total_Sequences").over(everything)
     return sums.select(
         "Isotype", "Total_Unique_Sequences", "Total_Total_Sequences",
-        F.when(tu > 0, F.round(F.col("Total_Unique_Sequences") / tu * 100, 6))
+        F.when(tu > 0, F.col("Total_Unique_Sequences") / tu * 100)
          .otherwise(F.lit(0.0)).alias("Percentage_Unique_Sequences"),
-        F.when(tt > 0, F.round(F.col("Total_Total_Sequences") / tt * 100, 6))
+        F.when(tt > 0, F.col("Total_Total_Sequences") / tt * 100)
          .otherwise(F.lit(0.0)).alias("Percentage_Total_Sequences"))
 
 
@@ -133,26 +133,29 @@ def subject_size_histogram(catalogue: DataFrame,
 
 def age_histogram(catalogue: DataFrame, n_bins: int = 20) -> DataFrame:
     """Unique sequences per age bin: ``n_bins`` equal bins over [min, max]
-    of the numeric ages, last bin closed (numpy rule). Rows with a
-    non-numeric age or count are skipped."""
+    of the numeric ages, last bin closed (numpy rule); empty bins are kept
+    with 0. Rows with a non-numeric age or count are skipped; without any
+    numeric age there is no bin."""
     d = catalogue.select(F.col("Age").try_cast("double").alias("age"),
                          to_count(F.col("Unique_sequences")).alias("w"))
     d = d.where(F.col("age").isNotNull() & F.col("w").isNotNull())
     # the range is two numbers (one partial aggregate), used as literals:
     # no join against the rows
     lo, hi = d.agg(F.min("age"), F.max("age")).first()
-    if lo is None:
-        lo, hi = 0.0, 1.0       # no numeric ages: the result is empty
+    empty = lo is None
+    if empty:
+        lo, hi = 0.0, 1.0
     elif lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     span = F.lit(float(hi)) - F.lit(float(lo))
     b = F.least(F.floor((F.col("age") - F.lit(float(lo))) / span * n_bins),
                 F.lit(n_bins - 1)).cast("int")
-    edge = lambda i: F.round(F.lit(float(lo)) + span * i / n_bins, 6)
-    return (d.groupBy(b.alias("bin"))
-             .agg(F.sum("w").alias("unique_sequences"))
-             .select("bin", edge(F.col("bin")).alias("lower"), edge(F.col("bin") + 1).alias("upper"),
-                     "unique_sequences"))
+    edge = lambda i: F.lit(float(lo)) + span * i / n_bins
+    sums = d.groupBy(b.alias("bin")).agg(F.sum("w").alias("unique_sequences"))
+    bins = catalogue.sparkSession.range(0 if empty else n_bins).select(F.col("id").cast("int").alias("bin"))
+    return (bins.join(sums, "bin", "left")
+                .select("bin", edge(F.col("bin")).alias("lower"), edge(F.col("bin") + 1).alias("upper"),
+                        F.coalesce("unique_sequences", F.lit(0)).cast("bigint").alias("unique_sequences")))
 
 
 def labelled_groups(df: DataFrame, group_cols: Sequence[str], sum_col: str,

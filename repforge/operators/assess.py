@@ -15,28 +15,25 @@ MAX_EXP_ARG = 709.0
 def loss_by_test_set(losses: DataFrame, weighted: bool = False) -> DataFrame:
     """Per (model, test_set): mean over valid batches within each rank, then
     the mean of the rank means (unweighted, like an all-reduce AVG; with
-    ``weighted`` every batch counts the same). NaN/null batches are skipped.
-    Sums are exact (DECIMAL) so the means do not depend on the order."""
+    ``weighted`` every batch counts the same). NaN/null batches are skipped;
+    an infinite batch makes its mean infinite (opposite infinities: NaN).
+    Finite sums are exact (DECIMAL), so the means do not depend on the order."""
     valid = losses.where(F.col("loss").isNotNull() & ~F.isnan("loss"))
+    infinite = F.abs("loss") == float("inf")
     per_rank = valid.groupBy("model", "test_set", "rank").agg(
-        F.sum(F.col("loss").cast("decimal(38,12)")).alias("s"),
-        F.count(F.lit(1)).alias("n"))
-    per_rank = per_rank.withColumn("rank_mean", F.col("s").cast("double") / F.col("n"))
+        F.sum(F.when(~infinite, F.col("loss").cast("decimal(38,12)"))).alias("s"),
+        F.sum(F.when(infinite, F.col("loss"))).alias("inf"), F.count(F.lit(1)).alias("n"))
+    # the infinite part (if any) decides the mean
+    total = lambda s, inf: F.coalesce(inf, s.cast("double"))
+    per_rank = per_rank.withColumn("rank_mean", total(F.col("s"), F.col("inf")) / F.col("n"))
     if weighted:
         agg = per_rank.groupBy("model", "test_set").agg(
-            (F.sum("s").cast("double") / F.sum("n")).alias("m"), F.sum("n").alias("n_batches"))
+            (total(F.sum("s"), F.sum("inf")) / F.sum("n")).alias("m"), F.sum("n").alias("n_batches"))
     else:
         agg = per_rank.groupBy("model", "test_set").agg(
             F.avg("rank_mean").alias("m"), F.sum("n").alias("n_batches"))
-    mean = F.round("m", 6)
-    return agg.select("model", "test_set", mean.alias("eval_loss"), "n_batches",
-                      F.when(mean <= MAX_EXP_ARG, round_significant(F.exp(mean))).alias("perplexity"))
-
-
-def round_significant(c, digits: int = 10):
-    """Round to ``digits`` significant digits (exp() differs by an ulp
-    between math libraries; this makes the reported value stable)."""
-    return F.format_string(f"%.{digits - 1}e", c).cast("double")
+    return agg.select("model", "test_set", F.col("m").alias("eval_loss"), "n_batches",
+                      F.when(F.col("m") <= MAX_EXP_ARG, F.exp("m")).alias("perplexity"))
 
 
 def loss_matrix(per_set: DataFrame, test_sets: Sequence[str],
@@ -46,7 +43,7 @@ def loss_matrix(per_set: DataFrame, test_sets: Sequence[str],
     wide = per_set.groupBy("model").pivot("test_set", list(test_sets)).agg(F.first("eval_loss"))
     macro = list(macro_sets or test_sets)
     total = sum((F.col(c) for c in macro[1:]), F.col(macro[0]))
-    return wide.withColumn("macro_mean", F.round(total / len(macro), 6))
+    return wide.withColumn("macro_mean", total / len(macro))
 
 
 def perplexity(loss: str = "eval_loss"):

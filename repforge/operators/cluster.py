@@ -4,13 +4,18 @@ Our stated definition (not bit-equality with any external tool):
 
 1. exact duplicates collapse to the smallest id;
 2. each unique sequence is sketched by its ``m`` distinct k-mers with the
-   smallest key: the k-mer packed 5 bits per residue, mixed with fmix64,
-   top 63 bits as a BIGINT;
+   smallest key, each with its first position: the k-mer packed 5 bits per
+   residue, mixed with fmix64, top 63 bits as a BIGINT;
 3. per k-mer the longest sequence (smallest id on ties) is the centre and
    every other sequence with that k-mer becomes a candidate pair
-   (centre, member): one pair per (k-mer, member), never all pairs;
-4. a pair is verified if the member covers at least ``coverage`` of the
-   centre's length and ``levenshtein <= (1 - identity) * len(centre)``;
+   (centre, member) on the diagonal that the k-mer's two positions give: one
+   candidate per (k-mer, member), never all pairs;
+4. a candidate aligns the member with the centre on its diagonal without
+   gaps. ``aligned`` counts the member's residues that lie opposite the
+   centre, ``matches`` the equal ones. It is verified if the alignment covers
+   at least ``coverage`` of the member (the target, the shorter one) and at
+   least ``similarity`` of the aligned residues match; of several diagonals
+   the one with most matches counts;
 5. greedy cover in priority order (length desc, id asc): a sequence joins the
    best representative among its verified higher-priority neighbours, else
    it becomes a representative. Rounds decide every node whose
@@ -24,22 +29,24 @@ which AQE's skew-join can split; no window over a k-mer is used.
 
 from __future__ import annotations
 
+import itertools
 from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from repforge.operators.masking import mix
 from repforge.session import ensure_checkpoint_dir, materialize, scratch_path, ship_package
+from repforge.sources.tables import exists
 
 K = 10
 M = 20
-IDENTITY_PCT = 90
-COVERAGE_PCT = 90
-MAX_ROUNDS = 200
+SIMILARITY = 0.9
+COVERAGE = 0.9
+#: Residues of k-mers that one numpy pass holds in a task.
+SLICE_RESIDUES = 2_000_000
 
 
 def exact_duplicates(seqs: DataFrame, id_col: str = "Sequence_ID",
@@ -61,8 +68,8 @@ for _i, _c in enumerate(ALPHABET):
 
 
 def kmer_keys(data: np.ndarray, lengths: np.ndarray, k: int = K, seed: int = 42):
-    """(row, key) of every k-mer of every row: the k-mer packed into 5*k
-    bits (exact), mixed with fmix64 and shifted to 63 bits (a BIGINT)."""
+    """(row, key, position) of every k-mer of every row: the k-mer packed
+    into 5*k bits (exact), mixed with fmix64 and shifted to 63 bits (a BIGINT)."""
     n_win = np.maximum(lengths - k + 1, 0)
     row = np.repeat(np.arange(lengths.size), n_win)
     first = np.repeat(np.cumsum(lengths) - lengths, n_win)
@@ -74,52 +81,58 @@ def kmer_keys(data: np.ndarray, lengths: np.ndarray, k: int = K, seed: int = 42)
         packed = (packed << np.uint64(5)) | codes[start + j]
     zero = np.zeros(row.size, dtype=np.uint64)
     h = mix(packed, zero, seed, shift=0) >> np.uint64(1)
-    return row, h.astype(np.int64)
+    return row, h.astype(np.int64), local
 
 
-def smallest_per_row(row: np.ndarray, key: np.ndarray, m: int):
-    """The ``m`` smallest distinct keys of each row (vectorised)."""
-    order = np.lexsort((key, row))
-    r, kk = row[order], key[order]
+def smallest_per_row(row: np.ndarray, key: np.ndarray, place: np.ndarray, m: int):
+    """The ``m`` smallest distinct keys of each row, each with its first
+    position (vectorised)."""
+    order = np.lexsort((place, key, row))
+    r, kk, pp = row[order], key[order], place[order]
     new = np.ones(r.size, dtype=bool)
     new[1:] = (r[1:] != r[:-1]) | (kk[1:] != kk[:-1])
-    r, kk = r[new], kk[new]
+    r, kk, pp = r[new], kk[new], pp[new]
     row_start = np.ones(r.size, dtype=bool)
     row_start[1:] = r[1:] != r[:-1]
     idx = np.arange(r.size)
     first_of_row = np.maximum.accumulate(np.where(row_start, idx, 0))
     keep = (idx - first_of_row) < m
-    return r[keep], kk[keep]
+    return r[keep], kk[keep], pp[keep]
+
+
+def byte_slices(lengths: np.ndarray, limit: int = SLICE_RESIDUES):
+    """Bounds of runs of rows that hold about ``limit`` bytes each."""
+    bucket = (np.cumsum(lengths) - lengths) // limit
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(lengths)]])
+    return zip(cuts[:-1], cuts[1:])
 
 
 def kmer_sketch(unique: DataFrame, k: int = K, m: int = M, seed: int = 42) -> DataFrame:
-    """(id, len, kmer): the ``m`` smallest k-mer keys of each unique
-    sequence; sequences shorter than ``k`` have none. Runs on whole Arrow
-    batches with numpy inside the tasks (no shuffle, no per-element
-    interpretation)."""
+    """(id, len, kmer, place): the ``m`` smallest k-mer keys of each unique
+    sequence; sequences shorter than ``k`` have none. Runs on Arrow batches,
+    cut by bytes, with numpy inside the tasks (no shuffle)."""
     src = unique.where(F.col("len") >= k).select(F.col("rep_id").alias("id"), "len", "sequence")
-    schema = StructType([StructField("id", LongType()), StructField("len", IntegerType()),
-                         StructField("kmer", LongType())])
 
     def run(batches):
         for b in batches:
             seqs = b.column(2)
             bufs = seqs.buffers()
             width = np.int64 if pa.types.is_large_string(seqs.type) else np.int32
-            offs = np.frombuffer(bufs[1], dtype=width)[seqs.offset:seqs.offset + len(seqs) + 1]
-            offs = offs.astype(np.int64)
-            data = np.frombuffer(bufs[2], dtype=np.uint8)[offs[0]:offs[-1]] if len(seqs) else \
-                np.zeros(0, np.uint8)
-            row, key = kmer_keys(data, np.diff(offs), k, seed)
-            row, key = smallest_per_row(row, key, m)
+            if not len(seqs):
+                continue
+            offs = np.frombuffer(bufs[1], dtype=width)[seqs.offset:seqs.offset + len(seqs) + 1].astype(np.int64)
+            whole = np.frombuffer(bufs[2], dtype=np.uint8)
             ids = b.column(0).to_numpy(zero_copy_only=False)
             lens = b.column(1).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[row], pa.int64()), pa.array(lens[row], pa.int32()),
-                 pa.array(key, pa.int64())], names=["id", "len", "kmer"])
+            for low, high in byte_slices(np.diff(offs)):
+                row, key, place = kmer_keys(whole[offs[low]:offs[high]], np.diff(offs[low:high + 1]), k, seed)
+                row, key, place = smallest_per_row(row, key, place, m)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[low + row], pa.int64()), pa.array(lens[low + row], pa.int32()),
+                     pa.array(key, pa.int64()), pa.array(place, pa.int64())], names=["id", "len", "kmer", "place"])
 
     ship_package(src.sparkSession)
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, "id bigint, len int, kmer bigint, place bigint")
 
 
 # Priority = length * 10^19 + (10^19 - 1 - id) as DECIMAL(38,0): covers
@@ -157,73 +170,86 @@ def length_of(key):
     return ((key - F.pmod(key, _span())) / _span()).cast("int")
 
 
-def kmer_candidates(sketch: DataFrame, with_lengths: bool = False,
-                    coverage_pct: int | None = None) -> DataFrame:
-    """(centre, member) pairs, one per shared k-mer centre; linear in the
-    sketch size. The centre is the longest sequence of the k-mer.
-
-    With ``with_lengths`` the pairs carry ``c_len`` and ``m_len`` (the
-    centre's length is read back from its priority key), and with
-    ``coverage_pct`` pairs that cannot pass coverage are dropped here,
-    before any sequence text is joined or shuffled."""
-    centres = sketch.groupBy("kmer").agg(F.max(priority_key()).alias("_p")).select(
-        "kmer", centre_of(F.col("_p")).alias("centre"),
-        length_of(F.col("_p")).alias("c_len"))
-    pairs = (sketch.join(centres, "kmer", "inner")
-                   .where(F.col("id") != F.col("centre"))
-                   .select("centre", "c_len", F.col("id").alias("member"),
-                           F.col("len").alias("m_len")))
-    if coverage_pct is not None:
-        pairs = pairs.where(F.col("m_len") * 100 >= F.col("c_len") * coverage_pct)
-    cols = ["centre", "member", "c_len", "m_len"] if with_lengths else ["centre", "member"]
-    return pairs.select(*cols).distinct()
-
-
-def verified_pairs(candidates: DataFrame, unique: DataFrame,
-                   identity_pct: int = IDENTITY_PCT, coverage_pct: int = COVERAGE_PCT) -> DataFrame:
-    """Candidates that pass coverage and identity; ``distance`` is the edit
-    distance (bounded computation: ``levenshtein(a, b, threshold)``).
-    Candidates that carry lengths are checked for coverage before the
-    sequence texts are joined."""
-    if {"c_len", "m_len"} <= set(candidates.columns):
-        j = candidates.where(F.col("m_len") * 100 >= F.col("c_len") * coverage_pct)
-        c = unique.select(F.col("rep_id").alias("centre"), F.col("sequence").alias("c_seq"))
-        mm = unique.select(F.col("rep_id").alias("member"), F.col("sequence").alias("m_seq"))
-        j = j.join(c, "centre").join(mm, "member")
-    else:
-        c = unique.select(F.col("rep_id").alias("centre"), F.col("sequence").alias("c_seq"),
-                          F.col("len").alias("c_len"))
-        mm = unique.select(F.col("rep_id").alias("member"), F.col("sequence").alias("m_seq"),
-                           F.col("len").alias("m_len"))
-        j = candidates.join(c, "centre").join(mm, "member")
-        j = j.where(F.col("m_len") * 100 >= F.col("c_len") * coverage_pct)
-    threshold = F.floor(F.col("c_len") * (100 - identity_pct) / 100).cast("int")
-    # explode() is a barrier: the filter below cannot be pushed under it and
-    # re-evaluate the distance, so each pair is aligned exactly once.
-    j = j.withColumn("_thr", threshold).select(
-        "centre", "member", "c_len", "m_len",
-        F.explode(F.array(F.expr("levenshtein(c_seq, m_seq, _thr)"))).alias("distance"))
-    return j.where(F.col("distance") >= 0)
-
-
-def _read_or_empty(spark, path: str, schema: str) -> DataFrame:
-    """Parquet at ``path``, or an empty frame if nothing was written there."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - no rows of this kind in the round
-        return spark.createDataFrame([], schema)
-
-
-def greedy_decided(unique: DataFrame, edges: DataFrame,
-                   max_rounds: int = MAX_ROUNDS) -> DataFrame | None:
+# A centre's position rides below its priority: priority * 10^9 + position
+# (sequences of fewer than 10^9 residues, checked).
+PLACE_SPAN = 10 ** 9
+
+
+def kmer_candidates(sketch: DataFrame) -> DataFrame:
+    """(centre, member, c_len, m_len, diagonal), one per shared k-mer centre;
+    linear in the sketch size. The centre is the longest sequence of the
+    k-mer; ``diagonal`` is the member's first residue counted in the centre."""
+    span = F.lit(Decimal(PLACE_SPAN)).cast(PRIORITY_TYPE)
+    packed = (priority_key() * span).cast(PRIORITY_TYPE) + F.col("place").cast(PRIORITY_TYPE)
+    packed = F.when(F.col("len") < PLACE_SPAN, packed.cast(PRIORITY_TYPE)).otherwise(
+        F.raise_error(F.lit("sequence too long")).cast(PRIORITY_TYPE))
+    top = sketch.groupBy("kmer").agg(F.max(packed).alias("_p"))
+    place = F.pmod(F.col("_p"), span)
+    top = top.select("kmer", place.cast("bigint").alias("c_place"),
+                     ((F.col("_p") - place) / span).cast(PRIORITY_TYPE).alias("_k"))
+    centres = top.select("kmer", "c_place", centre_of(F.col("_k")).alias("centre"),
+                         length_of(F.col("_k")).alias("c_len"))
+    return (sketch.join(centres, "kmer", "inner")
+                  .where(F.col("id") != F.col("centre"))
+                  .select("centre", F.col("id").alias("member"), "c_len", F.col("len").alias("m_len"),
+                          (F.col("c_place") - F.col("place")).alias("diagonal")).distinct())
+
+
+def _count_matches(batches):
+    """Equal residues of ``m_seq[m_from:]`` and ``c_seq[c_from:]`` over
+    ``aligned`` places."""
+    for b in batches:
+        rows = zip(b["c_seq"].to_pylist(), b["m_seq"].to_pylist(), b["diagonal"].to_pylist(), b["aligned"].to_pylist())
+        matches = []
+        for c_seq, m_seq, diagonal, aligned in rows:
+            c = np.frombuffer(c_seq.encode("utf-32-le"), np.uint32)[max(diagonal, 0):][:aligned]
+            m = np.frombuffer(m_seq.encode("utf-32-le"), np.uint32)[max(-diagonal, 0):][:aligned]
+            matches.append(int((c == m).sum()))
+        yield pa.RecordBatch.from_arrays(
+            [b["centre"], b["member"], b["c_len"], b["m_len"], b["aligned"], pa.array(matches, pa.int64())],
+            names=["centre", "member", "c_len", "m_len", "aligned", "matches"])
+
+
+def fraction(x: float) -> Column:
+    """A threshold as written (0.905 stays 0.905, no binary rounding)."""
+    return F.lit(Decimal(str(x)))
+
+
+def verified_pairs(candidates: DataFrame, unique: DataFrame, similarity: float = SIMILARITY,
+                   coverage: float = COVERAGE) -> DataFrame:
+    """(centre, member, c_len, m_len, aligned, matches) of the candidates
+    that pass coverage and similarity, one row per pair. Coverage needs only
+    lengths and the diagonal, so it is checked before any sequence is joined."""
+    low = F.greatest(-F.col("diagonal"), F.lit(0))
+    high = F.least(F.col("m_len").cast("bigint"), F.col("c_len") - F.col("diagonal"))
+    covered = (candidates.withColumn("aligned", high - low)
+               .where(F.col("aligned") >= fraction(coverage) * F.col("m_len")))
+    c = unique.select(F.col("rep_id").alias("centre"), F.col("sequence").alias("c_seq"))
+    mm = unique.select(F.col("rep_id").alias("member"), F.col("sequence").alias("m_seq"))
+    ship_package(unique.sparkSession)
+    counted = covered.join(c, "centre").join(mm, "member").mapInArrow(
+        _count_matches, "centre bigint, member bigint, c_len int, m_len int, aligned bigint, matches bigint")
+    passed = counted.where(F.col("matches") >= fraction(similarity) * F.col("aligned"))
+    # of several diagonals the one with most matches, then the shorter one:
+    # matches * 2^31 - aligned packs both for a hash aggregation
+    span = F.lit(1 << 31)
+    best = passed.groupBy("centre", "member", "c_len", "m_len").agg(
+        F.max(F.col("matches") * span - F.col("aligned")).alias("_b"))
+    matches = F.expr(f"(_b + {(1 << 31) - 1}) div {1 << 31}")
+    return best.select("centre", "member", "c_len", "m_len",
+                       (matches * span - F.col("_b")).alias("aligned"), matches.alias("matches"))
+
+
+def greedy_decided(unique: DataFrame, edges: DataFrame) -> DataFrame | None:
     """(id, len, is_rep, rep) for every sequence that occurs in a verified
     pair, by rounds of the greedy rule; None if there is no pair. Every
     other sequence is its own representative. The rounds are
     append-only: round ``k`` writes, in one pass, the nodes it decides and
     the nodes still open to two folders (Parquet in the shared checkpoint
     folder, so a lost executor costs at most one round). Only open nodes are
-    carried forward; a decided node is never rewritten. Exceeding
-    ``max_rounds`` raises (never a partial answer).
+    carried forward; a decided node is never rewritten. Every round decides
+    at least the open node of highest priority; a round that decides none
+    (edges that do not descend in priority) raises.
     """
     spark = unique.sparkSession
     ensure_checkpoint_dir(spark)
@@ -234,7 +260,7 @@ def greedy_decided(unique: DataFrame, edges: DataFrame,
     open_nodes = materialize(unique.select(F.col("rep_id").alias("id"), "len")
                                    .join(involved, "id", "left_semi"), "cover-open")
     decided_paths: list[str] = []
-    for rnd in range(max_rounds):
+    for rnd in itertools.count():
         if open_nodes.isEmpty():
             if not decided_paths:
                 return None
@@ -266,16 +292,20 @@ def greedy_decided(unique: DataFrame, edges: DataFrame,
                   F.when(becomes_member, centre_of(F.col("best_key")))
                    .when(becomes_rep, F.col("id")).alias("rep"))
           .write.partitionBy("part").parquet(path))
+        if not exists(spark, f"{path}/part=decided"):
+            raise RuntimeError("a greedy round decided nothing: an edge does not descend in priority")
         decided_paths.append(f"{path}/part=decided")
-        open_nodes = _read_or_empty(spark, f"{path}/part=open", "id bigint, len int")
-    raise RuntimeError(f"greedy clustering did not converge in {max_rounds} rounds")
+        if exists(spark, f"{path}/part=open"):
+            open_nodes = spark.read.schema("id bigint, len int").parquet(f"{path}/part=open")
+        else:  # no node is left open
+            open_nodes = spark.createDataFrame([], "id bigint, len int")
 
 
-def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def greedy_cover(unique: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, rep) for every unique sequence (``greedy_decided`` for the
     sequences with a verified pair, the rest represent themselves)."""
     everyone = unique.select(F.col("rep_id").alias("id"))
-    decided = greedy_decided(unique, edges, max_rounds)
+    decided = greedy_decided(unique, edges)
     if decided is None:
         return everyone.select("id", F.col("id").alias("rep"))
     alone = everyone.join(decided.select("id"), "id", "left_anti")
@@ -283,14 +313,13 @@ def greedy_cover(unique: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUN
 
 
 def cluster(seqs: DataFrame, id_col: str = "Sequence_ID", seq_col: str = "sequence",
-            k: int = K, m: int = M, identity_pct: int = IDENTITY_PCT,
-            coverage_pct: int = COVERAGE_PCT) -> DataFrame:
+            k: int = K, m: int = M, similarity: float = SIMILARITY,
+            coverage: float = COVERAGE) -> DataFrame:
     """(Sequence_ID, rep_id) for every input row."""
     ensure_checkpoint_dir(seqs.sparkSession)
     unique = materialize(exact_duplicates(seqs, id_col, seq_col), "unique-sequences")
-    sketch = kmer_sketch(unique, k, m)
-    candidates = kmer_candidates(sketch, with_lengths=True, coverage_pct=coverage_pct)
-    edges = verified_pairs(candidates, unique, identity_pct, coverage_pct)
+    sketch = materialize(kmer_sketch(unique, k, m), "sketch")
+    edges = verified_pairs(kmer_candidates(sketch), unique, similarity, coverage)
     decided = greedy_decided(unique, edges)
     # every copy of a distinct sequence follows its exact-duplicate rep ...
     copies = seqs.select(F.col(id_col).alias("Sequence_ID"), F.col(seq_col).alias("sequence"))
@@ -309,6 +338,12 @@ def cluster_sizes(assignments: DataFrame) -> DataFrame:
     return assignments.groupBy("rep_id").agg(F.count(F.lit(1)).alias("size"))
 
 
-def representatives(seqs: DataFrame, rep_ids: DataFrame, id_col: str = "Sequence_ID") -> DataFrame:
+def representative_ids(assignments: DataFrame) -> DataFrame:
+    """(rep_id): a representative is the row that represents itself, so a
+    filter finds them (no shuffle)."""
+    return assignments.where(F.col("Sequence_ID") == F.col("rep_id")).select("rep_id")
+
+
+def representatives(seqs: DataFrame, assignments: DataFrame, id_col: str = "Sequence_ID") -> DataFrame:
     """Rows whose id is a representative (semi-join; shuffle join at scale)."""
-    return seqs.join(rep_ids.select(F.col("rep_id").alias(id_col)).distinct(), id_col, "left_semi")
+    return seqs.join(representative_ids(assignments).select(F.col("rep_id").alias(id_col)), id_col, "left_semi")

@@ -66,8 +66,7 @@ def curate(spark: SparkSession, catalogue: DataFrame, unit_paths: DataFrame,
     seqs = materialize(ingest_selected(spark, catalogue, unit_paths, cfg), "sequences")
     seqs = seqs.withColumn("sequence", concat_regions())
     assignment = clu.cluster(seqs.select("Sequence_ID", "sequence"),
-                             identity_pct=int(round(cfg.similarity * 100)),
-                             coverage_pct=int(round(cfg.coverage * 100)))
+                             similarity=cfg.similarity, coverage=cfg.coverage)
     reps = materialize(clu.representatives(seqs, assignment), "representatives")
     picked = sampling.sample(reps, cfg.sampling_scheme, cfg.total_sequences, catalogue, cfg.seed)
     if cfg.split_mode == "numbers":

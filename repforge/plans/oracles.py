@@ -188,13 +188,11 @@ FROM (SELECT Isotype, COALESCE(TRY_CAST(Unique_sequences AS BIGINT), 0) AS u,
       FROM catalogue WHERE {where}) x
 WHERE Isotype IS NOT NULL GROUP BY Isotype
 """
-# The mouse strain list of the isotype statistics.
-MOUSE_STRAINS = ["mouse_C57BL/6", "mouse_BALB/c", "mouse", "Kymouse", "HIS-Mouse",
-                 "mouse_RAG2-GFP/129Sve", "mouse_Swiss-Webster"]
 oracle("isotype_stats_all", _ISO.format(where="TRUE"), "catalogue")
 oracle("isotype_stats_human", _ISO.format(where="Species = 'human'"), "catalogue")
 oracle("isotype_stats_mouse", _ISO.format(
-    where="Species IN (" + ", ".join(f"'{s}'" for s in MOUSE_STRAINS) + ")"), "catalogue")
+    where="Species IN ('mouse_C57BL/6', 'mouse_BALB/c', 'mouse', 'Kymouse', 'HIS-Mouse', "
+          "'mouse_RAG2-GFP/129Sve', 'mouse_Swiss-Webster')"), "catalogue")
 
 oracle("author_count", "SELECT count(DISTINCT Author) AS author_count FROM catalogue", "catalogue")
 oracle("authors", "SELECT DISTINCT Author FROM catalogue", "catalogue")
@@ -231,9 +229,10 @@ r AS (SELECT CASE WHEN min(age) = max(age) THEN min(age) - 0.5 ELSE min(age) END
              CASE WHEN min(age) = max(age) THEN max(age) + 0.5 ELSE max(age) END AS hi FROM f),
 b AS (SELECT CAST(least(floor((age - lo) / (hi - lo) * 20), 19) AS INTEGER) AS bin, lo, hi, w
       FROM f, r)
-SELECT bin, round(lo + (hi - lo) * bin / 20, 6) AS lower, round(lo + (hi - lo) * (bin + 1) / 20, 6) AS upper,
-  sum(w) AS unique_sequences
-FROM b GROUP BY bin, lo, hi
+SELECT CAST(g.i AS INTEGER) AS bin, round(r.lo + (r.hi - r.lo) * g.i / 20, 6) AS lower,
+  round(r.lo + (r.hi - r.lo) * (g.i + 1) / 20, 6) AS upper,
+  CAST((SELECT coalesce(sum(w), 0) FROM b WHERE b.bin = g.i) AS BIGINT) AS unique_sequences
+FROM range(20) g(i), r WHERE r.lo IS NOT NULL
 """, "catalogue")
 
 # ------------------------------------------------------------ groups/joins
@@ -433,28 +432,30 @@ uniq AS (SELECT min(Sequence_ID) AS rep_id, sequence, length(sequence) AS len, c
          FROM residues GROUP BY sequence),
 kw AS (SELECT rep_id AS id, len, sequence, unnest(range(1, len - 10 + 2)) AS i
        FROM uniq WHERE len >= 10),
-k0 AS (SELECT id, len, """ + _K0 + """ AS k0 FROM kw),
-k1 AS (SELECT id, len, """ + _mul("xor(k0, k0 >> 33)", 0xFF51AFD7ED558CCD) + """ AS k1 FROM k0),
-k2 AS (SELECT id, len, """ + _mul("xor(k1, k1 >> 33)", 0xC4CEB9FE1A85EC53) + """ AS k2 FROM k1),
-km AS (SELECT DISTINCT id, len, CAST(xor(k2, k2 >> 33) >> 1 AS BIGINT) AS kmer FROM k2),
-sk AS (SELECT id, len, kmer FROM (
+k0 AS (SELECT id, len, i, """ + _K0 + """ AS k0 FROM kw),
+k1 AS (SELECT id, len, i, """ + _mul("xor(k0, k0 >> 33)", 0xFF51AFD7ED558CCD) + """ AS k1 FROM k0),
+k2 AS (SELECT id, len, i, """ + _mul("xor(k1, k1 >> 33)", 0xC4CEB9FE1A85EC53) + """ AS k2 FROM k1),
+km AS (SELECT id, len, CAST(xor(k2, k2 >> 33) >> 1 AS BIGINT) AS kmer, min(i) - 1 AS place FROM k2 GROUP BY 1, 2, 3),
+sk AS (SELECT id, len, kmer, place FROM (
          SELECT *, row_number() OVER (PARTITION BY id ORDER BY kmer) AS rn FROM km) y WHERE rn <= 20),
-centres AS (SELECT kmer, id AS centre FROM (
+centres AS (SELECT kmer, id AS centre, len AS c_len, place AS c_place FROM (
          SELECT *, row_number() OVER (PARTITION BY kmer ORDER BY len DESC, id) AS rn FROM sk) z
          WHERE rn = 1),
-cand AS (SELECT DISTINCT c.centre, s.id AS member FROM sk s JOIN centres c ON s.kmer = c.kmer
-         WHERE s.id <> c.centre)"""
+cand AS (SELECT DISTINCT c.centre, s.id AS member, c.c_len, s.len AS m_len, c.c_place - s.place AS diagonal
+         FROM sk s JOIN centres c ON s.kmer = c.kmer WHERE s.id <> c.centre),
+-- the member's residues opposite the centre on the diagonal, without gaps
+ali AS (SELECT p.*, greatest(-diagonal, 0) AS m_from, greatest(diagonal, 0) AS c_from,
+          least(m_len, c_len - diagonal) - greatest(-diagonal, 0) AS aligned FROM cand p),
+cov AS (SELECT a.*, aligned - hamming(substr(c.sequence, c_from + 1, aligned), substr(m.sequence, m_from + 1, aligned)) AS matches
+        FROM ali a JOIN uniq c ON a.centre = c.rep_id JOIN uniq m ON a.member = m.rep_id
+        WHERE aligned * 10 >= m_len * 9),
+pairs AS (SELECT centre, member, c_len, m_len, aligned, matches FROM (
+          SELECT *, row_number() OVER (PARTITION BY centre, member ORDER BY matches DESC, aligned) AS rn
+          FROM cov WHERE matches * 10 >= aligned * 9) q WHERE rn = 1)"""
 oracle("exact_duplicates", "SELECT rep_id, len, n_copies FROM uniq", "residues", extra=_CLUSTER)
-oracle("kmer_sketch", "SELECT id, len, kmer FROM sk", "residues", extra=_CLUSTER)
-oracle("kmer_candidates", "SELECT centre, member FROM cand", "residues", extra=_CLUSTER)
-oracle("verified_pairs", """
-SELECT centre, member, c_len, m_len, CAST(distance AS INTEGER) AS distance FROM (
-  SELECT p.centre, p.member, c.len AS c_len, m.len AS m_len,
-    levenshtein(c.sequence, m.sequence) AS distance
-  FROM cand p JOIN uniq c ON p.centre = c.rep_id JOIN uniq m ON p.member = m.rep_id
-  WHERE m.len * 100 >= c.len * 90) v
-WHERE distance <= floor(c_len * 10 / 100.0)
-""", "residues", extra=_CLUSTER)
+oracle("kmer_sketch", "SELECT id, len, kmer, place FROM sk", "residues", extra=_CLUSTER)
+oracle("kmer_candidates", "SELECT centre, member, c_len, m_len, diagonal FROM cand", "residues", extra=_CLUSTER)
+oracle("verified_pairs", """SELECT centre, member, c_len, m_len, aligned, matches FROM pairs""", "residues", extra=_CLUSTER)
 
 # Greedy cover, sequential form of the definition: walk the sequences that
 # have a verified pair in priority order (length desc, id asc); one becomes a
@@ -462,10 +463,7 @@ WHERE distance <= floor(c_len * 10 / 100.0)
 # A member joins its highest-priority representative neighbour; every other
 # unique sequence represents itself, and exact copies follow their first id.
 _COVER = _CLUSTER + """,
-vp AS (SELECT DISTINCT p.centre AS src, p.member AS dst
-       FROM cand p JOIN uniq c ON p.centre = c.rep_id JOIN uniq m ON p.member = m.rep_id
-       WHERE m.len * 100 >= c.len * 90
-         AND levenshtein(c.sequence, m.sequence) <= floor(c.len * 10 / 100.0)),
+vp AS (SELECT centre AS src, member AS dst FROM pairs),
 inv AS (SELECT src AS id FROM vp UNION SELECT dst FROM vp),
 ins AS (SELECT dst AS id, list(src) AS ins FROM vp GROUP BY dst),
 nodes AS (SELECT u.rep_id AS id, coalesce(i.ins, []::BIGINT[]) AS ins,

@@ -14,7 +14,10 @@ from repforge.functions.coerce import sanitize_filename, sanitize_word, to_count
 from repforge.operators import aggregates as agg
 from repforge.operators import groups, sampling, splits
 from repforge.operators.filters import select_units
-from repforge.plans.oracles import MOUSE_STRAINS
+
+# The mouse strain list of the isotype statistics.
+MOUSE_STRAINS = ["mouse_C57BL/6", "mouse_BALB/c", "mouse", "Kymouse", "HIS-Mouse",
+                 "mouse_RAG2-GFP/129Sve", "mouse_Swiss-Webster"]
 from repforge.sources import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,19 +134,30 @@ def q_species_chain_pivot(spark, sf):
                          "Unique_sequences")
 
 
+def _rounded(df, digits, *cols):
+    """Rounded for comparison with another engine; operators do not round."""
+    for c in cols:
+        df = df.withColumn(c, F.round(c, digits))
+    return df
+
+
+def _percent(df):
+    return _rounded(df, 6, "Percentage_Unique_Sequences", "Percentage_Total_Sequences")
+
+
 @query("isotype_stats_all")
 def q_isotype_all(spark, sf):
-    return agg.isotype_stats(views.catalogue(spark, sf))
+    return _percent(agg.isotype_stats(views.catalogue(spark, sf)))
 
 
 @query("isotype_stats_human")
 def q_isotype_human(spark, sf):
-    return agg.isotype_stats(views.catalogue(spark, sf), "human")
+    return _percent(agg.isotype_stats(views.catalogue(spark, sf), "human"))
 
 
 @query("isotype_stats_mouse")
 def q_isotype_mouse(spark, sf):
-    return agg.isotype_stats(views.catalogue(spark, sf), MOUSE_STRAINS)
+    return _percent(agg.isotype_stats(views.catalogue(spark, sf), MOUSE_STRAINS))
 
 
 @query("author_count")
@@ -178,7 +192,7 @@ def q_subject_size_histogram(spark, sf):
 
 @query("age_histogram")
 def q_age_histogram(spark, sf):
-    return agg.age_histogram(views.catalogue(spark, sf))
+    return _rounded(agg.age_histogram(views.catalogue(spark, sf)), 6, "lower", "upper")
 
 
 # ------------------------------------------------------------ groups/joins
@@ -349,6 +363,7 @@ def q_fasta_ids(spark, sf):
 
 # ------------------------------------------------------------- clustering
 from repforge.operators import cluster as clu  # noqa: E402
+from repforge.session import materialize, scratch_path  # noqa: E402
 
 
 def _residue_seqs(spark, sf):
@@ -372,10 +387,8 @@ def q_kmer_candidates(spark, sf):
 
 @query("verified_pairs")
 def q_verified_pairs(spark, sf):
-    u = clu.exact_duplicates(_residue_seqs(spark, sf))
-    cand = clu.kmer_candidates(clu.kmer_sketch(u), with_lengths=True,
-                               coverage_pct=clu.COVERAGE_PCT)
-    return clu.verified_pairs(cand, u)
+    u = materialize(clu.exact_duplicates(_residue_seqs(spark, sf)), "unique-sequences")
+    return clu.verified_pairs(clu.kmer_candidates(materialize(clu.kmer_sketch(u), "sketch")), u)
 
 
 @query("cluster_assignments")
@@ -385,7 +398,7 @@ def q_cluster_assignments(spark, sf):
 
 @query("cluster_representatives")
 def q_cluster_representatives(spark, sf):
-    return clu.cluster(_residue_seqs(spark, sf)).select("rep_id").distinct()
+    return clu.representative_ids(clu.cluster(_residue_seqs(spark, sf)))
 
 
 @query("cluster_sizes")
@@ -402,7 +415,6 @@ def q_representatives(spark, sf):
 
 
 # ----------------------------------------------------------------- ingest
-from repforge.session import scratch_path  # noqa: E402
 from repforge.sources import units as U  # noqa: E402
 
 _UNIT_DIRS: dict[tuple[str, str], str] = {}
@@ -501,15 +513,23 @@ from repforge.operators import assess  # noqa: E402
 TEST_SETS = ["set0", "set1", "set2", "set3"]
 
 
+def _losses(spark, sf):
+    """Loss to 6 digits and the perplexity to 10 significant digits, for
+    comparison with another engine."""
+    m = assess.loss_by_test_set(views.losses(spark, sf))
+    return (m.withColumn("eval_loss", F.round("eval_loss", 6))
+             .withColumn("perplexity", F.format_string("%.9e", F.exp("eval_loss")).cast("double")))
+
+
 @query("loss_by_test_set")
 def q_loss_by_test_set(spark, sf):
-    return assess.loss_by_test_set(views.losses(spark, sf))
+    return _losses(spark, sf)
 
 
 @query("loss_matrix")
 def q_loss_matrix(spark, sf):
-    return assess.loss_matrix(assess.loss_by_test_set(views.losses(spark, sf)), TEST_SETS,
-                              TEST_SETS[:3])
+    m = assess.loss_matrix(_losses(spark, sf), TEST_SETS, TEST_SETS[:3])
+    return _rounded(m, 6, "macro_mean")
 
 
 # ---------------------------------------------------------- corpus / tokens
@@ -578,7 +598,7 @@ def q_write_sequences(spark, sf):
 @query("metrics_json")
 def q_metrics_json(spark, sf):
     """K9: per-test-set metrics as JSON lines, read back."""
-    m = assess.loss_by_test_set(views.losses(spark, sf))
+    m = _losses(spark, sf)
     path = scratch_path(spark, "metrics-json")
     sinks.write_metrics(m, path)
     return spark.read.schema(m.schema).json(path)

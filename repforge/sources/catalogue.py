@@ -28,11 +28,21 @@ def coerce_catalogue(df: DataFrame) -> DataFrame:
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """Catalogue CSV with a header; quoted commas (``"Doe et al., 2019"``)
-    are handled by the CSV reader. Declared schema, no inference pass."""
-    raw = (spark.read.schema(CATALOGUE_RAW_SCHEMA).option("header", True)
-                .option("mode", "PERMISSIVE").csv(path))
-    return coerce_catalogue(raw)
+    """Catalogue CSV, bound by the names in its header: columns may come in
+    any order, extra ones are ignored, a missing one is an error. Quoted
+    commas (``"Doe et al., 2019"``) are handled by the CSV reader. All
+    columns are read as text (no inference pass) and then coerced."""
+    raw = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    missing = [f.name for f in CATALOGUE_RAW_SCHEMA.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"the catalogue lacks the columns {missing}; it has {raw.columns}")
+    return coerce_catalogue(raw.select(*[F.col(f.name).try_cast(f.dataType.simpleString()).alias(f.name)
+                                         for f in CATALOGUE_RAW_SCHEMA.fields]))
+
+
+def write_catalogue(catalogue: DataFrame, path: str) -> None:
+    """The catalogue as CSV with a header."""
+    catalogue.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def catalogue_to_csv_lines(catalogue: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from repforge.functions.regions import concat_regions
 from repforge.functions.tokens import tokenize
+from repforge.sources.tables import exists
 
 TOKEN_COLUMNS = ["input_ids", "attention_mask", "special_tokens_mask"]
 SHARD_ROWS = 1_000_000
@@ -71,11 +72,9 @@ def shard_sizes(tokens: DataFrame, shard_rows: int = SHARD_ROWS,
 def read_tokenized_test(spark: SparkSession, path: str, split: str = "test") -> DataFrame | None:
     """The ``split`` part of a tokenised dataset, or None if the split or a
     required column is missing (callers skip that dataset)."""
-    try:
-        df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - a missing folder means "skip"
+    if not exists(spark, path):
         return None
-    return select_test_split(df, split)
+    return select_test_split(spark.read.parquet(path), split)
 
 
 def select_test_split(df: DataFrame, split: str = "test") -> DataFrame | None:

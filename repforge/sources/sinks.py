@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from repforge.sources.tables import exists
 
 
 def write_sequences(seqs: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """The sequences table: Parquet (primary) or CSV with one header."""
+    """The sequences table: Parquet (primary) or CSV, a header line in every
+    part file (as Spark's CSV reader expects)."""
     w = seqs.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", True).csv(path)
@@ -19,29 +19,19 @@ def write_sequences(seqs: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def write_report_csv(df: DataFrame, path: str) -> None:
     """A small result (group sums, statistics) as CSV with a header. The
-    result is an aggregate, so one output file is fine."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    aggregation keeps its tasks; only its few result rows move to one file."""
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_metrics(df: DataFrame, path: str) -> None:
-    """Metrics rows as JSON lines."""
-    df.coalesce(1).write.mode("overwrite").json(path)
-
-
-def metrics_dict(per_set: DataFrame) -> str:
-    """``{test_set: {eval_loss, eval_num_batches}}`` for one model's rows
-    (a handful of rows, collected on purpose for the JSON report)."""
-    rows = per_set.select("test_set", "eval_loss", "n_batches").collect()
-    return json.dumps({r.test_set: {"eval_loss": r.eval_loss, "eval_num_batches": r.n_batches}
-                       for r in rows}, sort_keys=True)
+    """Metrics rows as JSON lines in one file."""
+    df.repartition(1).write.mode("overwrite").json(path)
 
 
 def cached(spark: SparkSession, path: str, compute) -> DataFrame:
     """Reuse a table written earlier at ``path``; otherwise compute it,
     write it and read it back (a lineage cut that survives executor loss)."""
-    try:
+    if exists(spark, path):  # an unreadable table raises; it is never overwritten
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - missing table: compute it
-        pass
     compute().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

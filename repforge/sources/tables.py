@@ -10,11 +10,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the file system that its scheme names. Any
+    other error (no access, unknown file system) is raised, never read as
+    "nothing there"."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give a small scan at least one partition per core before heavy
-    per-row work. Decided from the plan (no job); a large table already has
-    enough file splits and is left alone (no shuffle)."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
+    """Deal a scan of a single split (at most one split's bytes, however many
+    cores there are) over the cores before heavy per-row work. A table of
+    two or more splits is left alone: no shuffle."""
+    if df.rdd.getNumPartitions() == 1:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     return df

@@ -16,17 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from repforge.sources import units as U
+from repforge.sources.tables import exists
 
 
 def _offset(spark: SparkSession, sink: str, below_batch: int) -> int:
     """Last id written by the batches before ``below_batch``: read from the
     one-row-per-batch offsets table, never from the sequences themselves, so
     each micro-batch costs the same however much was ingested before."""
-    try:
-        t = spark.read.parquet(f"{sink}/_offsets")
-    except Exception:  # noqa: BLE001 - nothing written yet
+    if not exists(spark, f"{sink}/_offsets"):  # nothing written yet
         return 0
-    v = t.where(F.col("batch") < below_batch).agg(F.max("end_id")).first()[0]
+    v = spark.read.parquet(f"{sink}/_offsets").where(F.col("batch") < below_batch).agg(F.max("end_id")).first()[0]
     return int(v or 0)
 
 

@@ -31,11 +31,3 @@ def sanitize_filename(c: Column) -> Column:
 
 def bytes_to_mb(c: Column, scale: int = 4) -> Column:
     return F.round(c / F.lit(1048576.0), scale)
-
-
-def mb_to_gb(c: Column) -> Column:
-    return c / F.lit(1024)
-
-
-def mb_to_tb(c: Column) -> Column:
-    return c / F.lit(1024) / F.lit(1024)

@@ -72,14 +72,6 @@ def region_length_second(df: DataFrame,
     return df.where(second_round_predicate(dict(ranges or SECOND_ROUND_LENGTHS)))
 
 
-def every_nth(df: DataFrame, n: int, line_col: str = "line") -> DataFrame:
-    """Keep rows whose 1-based line number within their unit is a multiple
-    of ``n`` (``n = 1`` keeps everything)."""
-    if n <= 1:
-        return df
-    return df.where(F.col(line_col) % n == 0)
-
-
 def species_filter(df: DataFrame, species: str | list | None) -> DataFrame:
     """Equality for one species, membership for a list, nothing for None."""
     if not species:

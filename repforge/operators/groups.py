@@ -112,10 +112,11 @@ def publication_adequacy(seqs: DataFrame, catalogue: DataFrame, total: int,
                    F.lit(need).cast("bigint").alias("needed"),
                    (F.col("n_sequences") < need).alias("is_short"))
     if raise_on_short:
-        short = out.where("is_short").select("Author").limit(20).collect()
-        if short:
-            raise ValueError(f"publications with fewer than {need} sequences: "
-                             f"{[r.Author for r in short]}")
+        short = out.where("is_short")
+        n_short = short.count()
+        if n_short:
+            raise ValueError(f"{n_short} publications with fewer than {need} sequences, e.g. "
+                             f"{[r.Author for r in short.select('Author').limit(20).collect()]}")
     return out
 
 
@@ -137,4 +138,5 @@ def write_groups(seqs_with_group: DataFrame, path: str, by: str = "individual",
         writer.option("header", True).csv(path)
     else:
         writer.parquet(path)
-    return out.select("group_file").distinct()
+    # the manifest comes from the groups' names, not from the dealt-out rows
+    return seqs_with_group.select(GROUP_COL).distinct().select(group_file_name(by).alias("group_file"))

@@ -36,26 +36,28 @@ def hex_bucket(key: Column | str, digits: int | Column = 4) -> Column:
     return F.substring(c, 1, digits)
 
 
-# A window sorts one bucket in one task; buckets are sized to hold about
-# this many rows at most, whatever the table or group size.
-BUCKET_ROWS = 1 << 20
 MAX_DIGITS = 8
 
 
-def hex_digits(n_rows: int, min_digits: int = 4) -> int:
-    """Fewest md5 hex digits (at least ``min_digits``) whose buckets hold at
-    most about ``BUCKET_ROWS`` of ``n_rows`` rows (md5 prefixes are uniform)."""
-    d = min_digits
-    while d < MAX_DIGITS and n_rows > BUCKET_ROWS * 16 ** d:
+# A bucket table has at most one row for this many rows (or one per group).
+ROWS_PER_BUCKET = 1000
+
+
+def hex_digits(n_rows: int) -> int:
+    """Most md5 hex digits whose buckets still hold ``ROWS_PER_BUCKET`` rows
+    on average (md5 prefixes are uniform): a bucket holds about 1,000 to
+    16,000 rows, and a small table is one bucket."""
+    d = 0
+    while d < MAX_DIGITS and n_rows >= ROWS_PER_BUCKET * 16 ** (d + 1):
         d += 1
     return d
 
 
-def hex_digits_col(n_rows: Column, min_digits: int = 3) -> Column:
+def hex_digits_col(n_rows: Column) -> Column:
     """``hex_digits`` per group, as a column over a per-group counts table."""
-    out = F.lit(MAX_DIGITS)
-    for d in range(MAX_DIGITS - 1, min_digits - 1, -1):
-        out = F.when(n_rows <= F.lit(BUCKET_ROWS * 16 ** d), F.lit(d)).otherwise(out)
+    out = F.lit(0)
+    for d in range(1, MAX_DIGITS + 1):
+        out = F.when(n_rows >= F.lit(ROWS_PER_BUCKET * 16 ** d), F.lit(d)).otherwise(out)
     return out
 
 
@@ -168,32 +170,19 @@ def with_hash_order(df: DataFrame, id_col: str, seed: int | str = DEFAULT_SEED,
               .withColumn("_rk_bucket", hex_bucket(KEY_COL, digits)))
 
 
-def id_bins(df: DataFrame, id_col: str, n_bins: int = 4096,
-            bounds: tuple | None = None) -> Column:
-    """Monotone bucket of an id: linear bins between the id's min and max.
-    Needs one small aggregate (two numbers) on the driver, unless the caller
-    passes ``bounds`` it already has. Ids are unique, so a bin of at most
-    ``BUCKET_ROWS`` ids holds at most that many rows: wide id ranges get
-    more than ``n_bins`` bins."""
-    lo, hi = bounds if bounds is not None else df.agg(F.min(id_col), F.max(id_col)).first()
+def id_width(lo: Column, hi: Column, n_rows: Column) -> Column:
+    """Ids per bin so that ids spread over [lo, hi] fall about
+    ``ROWS_PER_BUCKET`` to a bin: the bins follow the rows, not the range."""
+    bins = F.greatest(F.floor(n_rows / ROWS_PER_BUCKET), F.lit(1))
+    return F.greatest(F.ceil((hi - lo + 1) / bins), F.lit(1)).cast("bigint")
+
+
+def id_bins(df: DataFrame, id_col: str) -> Column:
+    """Monotone bucket of an id: at most one linear bin between the smallest
+    and largest id for ``ROWS_PER_BUCKET`` rows. Needs one small aggregate
+    (three numbers) on the driver."""
+    lo, hi, n = df.agg(F.min(id_col), F.max(id_col), F.count(id_col)).first()
     if lo is None:
-        return F.lit(0)
-    n_bins = max(n_bins, -(-(int(hi) - int(lo) + 1) // BUCKET_ROWS))
-    width = max(1, (int(hi) - int(lo) + n_bins) // n_bins)
-    return F.floor((F.col(id_col) - F.lit(int(lo))) / F.lit(width)).cast("bigint")
-
-
-def line_numbers(df: DataFrame, file_col: str, block_col: str, mono_col: str,
-                 rank_col: str = "line") -> DataFrame:
-    """Dense 1-based rank in (file, block, mono) order with no window: rows
-    of one file split are contiguous in ``monotonically_increasing_id``, so a
-    row's rank is its split's offset plus ``mono - min(mono of the split)``."""
-    splits = df.groupBy(file_col, block_col).agg(
-        F.count(F.lit(1)).alias("_ln_n"), F.min(mono_col).alias("_ln_min"))
-    w = Window.orderBy(file_col, block_col).rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_ln_start", F.coalesce(F.sum("_ln_n").over(w), F.lit(0)))
-    return (df.join(splits.select(file_col, block_col, "_ln_start", "_ln_min"),
-                    [file_col, block_col], "inner")
-              .withColumn(rank_col, (F.col("_ln_start") + F.col(mono_col) - F.col("_ln_min") + 1)
-                          .cast("bigint"))
-              .drop("_ln_start", "_ln_min"))
+        return F.lit(0).cast("bigint")
+    width = max(1, -(-(int(hi) - int(lo) + 1) // max(1, n // ROWS_PER_BUCKET)))
+    return F.expr(f"({id_col} - {int(lo)}L) div {width}L")

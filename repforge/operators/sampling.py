@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from repforge.operators.groups import GROUP_COL, assign_groups
 from repforge.operators.ranks import (DEFAULT_SEED, KEY_COL, broadcast_checked, cut_by_rank,
-                                      hex_digits, hex_digits_col, id_bins, with_hash_order)
+                                      hex_digits, hex_digits_col, id_width, with_hash_order)
 from repforge.session import materialize
 
 SCHEMES = ("random", "balance_individuals", "balance_publications")
@@ -52,11 +52,11 @@ def sample_per_group(df: DataFrame, quota: int, group_col: str = GROUP_COL,
     follows its own size, so a hot group gets more buckets, not larger ones."""
     if counts is None:
         counts = materialize(group_counts(df, group_col), "group-counts")
-    short = (counts.where(F.col("n_rows") < quota)
-             .orderBy(group_col).limit(10).collect())
-    if short:
-        raise ValueError(f"groups with fewer than {quota} rows: "
-                         f"{[(r[0], r[1]) for r in short]}")
+    short = counts.where(F.col("n_rows") < quota)
+    n_short = short.count()
+    if n_short:
+        raise ValueError(f"{n_short} groups with fewer than {quota} rows, e.g. "
+                         f"{[(r[0], r[1]) for r in short.orderBy(group_col).limit(10).collect()]}")
     digits = broadcast_checked(counts.select(
         group_col, hex_digits_col(F.col("n_rows")).alias("_rk_digits")))
     keyed = with_hash_order(df.join(digits, group_col, "inner"), id_col, seed,
@@ -110,20 +110,20 @@ def round_robin_quotas(counts: DataFrame, total: int, group_col: str = GROUP_COL
 
 
 def sample_round_robin(df: DataFrame, total: int, group_col: str = GROUP_COL,
-                       id_col: str = "Sequence_ID", n_bins: int = 4096) -> DataFrame:
+                       id_col: str = "Sequence_ID") -> DataFrame:
     """Round-robin sample: rows are taken in id (file) order within each
     group, up to the group's round-robin quota. Fewer than ``total`` rows
     only when every group is exhausted."""
-    # one pass: per-group counts and id range (the bins need the global range)
+    # one pass: per-group counts and id range (each group has its own bins)
     stats = materialize(df.groupBy(group_col).agg(
         F.count(F.lit(1)).alias("n_rows"), F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi")),
         "group-counts")
-    lo, hi = stats.agg(F.min("_lo"), F.max("_hi")).first()
     quotas = broadcast_checked(
         round_robin_quotas(stats.select(group_col, "n_rows"), total, group_col)
-        .select(group_col, "quota"))
+        .join(stats.drop("n_rows"), group_col)
+        .select(group_col, "quota", "_lo", id_width(F.col("_lo"), F.col("_hi"), F.col("n_rows")).alias("_width")))
     keyed = (df.join(quotas, group_col, "inner")
-               .withColumn("_rk_bucket", id_bins(df, id_col, n_bins, bounds=(lo, hi))))
+               .withColumn("_rk_bucket", F.expr(f"({id_col} - _lo) div _width")).drop("_lo", "_width"))
     cut = cut_by_rank(keyed, [id_col], ["_rk_bucket"], ["quota"], group_cols=[group_col])
     return cut.where(F.col("part") == 0).drop("_rk_bucket", "part", "quota")
 

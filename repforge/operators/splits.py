@@ -69,7 +69,7 @@ def split_fraction(df: DataFrame, train_fraction: float, val_fraction: float,
     return _named(out)
 
 
-def kfold(df: DataFrame, k: int, id_col: str = "Sequence_ID", n_bins: int = 4096) -> DataFrame:
+def kfold(df: DataFrame, k: int, id_col: str = "Sequence_ID") -> DataFrame:
     """Contiguous folds in id order; the first ``n % k`` folds are one row
     larger. Adds ``fold`` (0-based); fold i's test part is ``fold == i``."""
     n = df.count()
@@ -80,7 +80,7 @@ def kfold(df: DataFrame, k: int, id_col: str = "Sequence_ID", n_bins: int = 4096
     for s in sizes[:-1]:
         acc += s
         cutoffs.append(acc)
-    keyed = df.withColumn("_rk_bucket", id_bins(df, id_col, n_bins))
+    keyed = df.withColumn("_rk_bucket", id_bins(df, id_col))
     cut = cut_by_rank(keyed, [id_col], ["_rk_bucket"], cutoffs)
     return cut.withColumnRenamed("part", "fold").drop("_rk_bucket")
 

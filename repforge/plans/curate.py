@@ -46,16 +46,24 @@ class CurateConfig:
 def ingest_selected(spark: SparkSession, catalogue: DataFrame, unit_paths: DataFrame,
                     cfg: CurateConfig) -> DataFrame:
     """Read only the selected units (the filter chooses files before any
-    row is read) and build the sequences table with stable ids."""
-    chosen = select_units(catalogue, cfg.filters).join(unit_paths, "File_index")
-    paths = [r.path for r in chosen.select("path").collect()]  # one path per unit
-    if not paths:
+    row is read) and build the sequences table with stable ids. A selected
+    unit without a path, or a file that gives no line, is an error."""
+    units = select_units(catalogue, cfg.filters).join(unit_paths, "File_index", "left")
+    chosen = [(r.File_index, r.path) for r in units.select("File_index", "path").collect()]  # one per unit
+    if not chosen:
         raise ValueError("no data units match the filters")
-    lines = U.number_lines(U.read_unit_lines(spark, paths))
-    # one row per selected unit (bounded by the catalogue, already collected)
-    by_path = F.broadcast(chosen.select(U.normalize_path(F.col("path")).alias("_p"), "File_index"))
-    lines = lines.withColumn("_p", U.normalize_path(F.col("file_path")))
-    parsed = U.parse_units(lines.join(by_path, "_p"), file_id=F.col("File_index"))
+    lost = [i for i, path in chosen if path is None]
+    if lost:
+        raise ValueError(f"{len(lost)} selected units have no path, e.g. {lost[:5]}")
+    lines = U.number_lines(U.read_unit_lines(spark, [path for _, path in chosen]))
+    known = (spark.createDataFrame([(U.file_uri(spark, path), i) for i, path in chosen], "uri string, File_index long")
+             .withColumn("uri", U.same_uri(F.col("uri"))))
+    read = lines.select(U.same_uri(F.col("unit_path")).alias("uri")).distinct()
+    silent = known.join(read, "uri", "left_anti")
+    if silent.limit(1).count():
+        raise ValueError(f"{silent.count()} selected units gave no line, e.g. {silent.first().asDict()}")
+    named = lines.withColumn("uri", U.same_uri(F.col("unit_path"))).join(known, "uri")
+    parsed = U.parse_units(named, file_id=F.col("File_index"))
     return U.ingest(parsed, cfg.columns_to_keep, cfg.n_lines, cfg.filter_by_region_length)
 
 

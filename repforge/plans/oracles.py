@@ -604,8 +604,24 @@ SELECT t.Sequence_ID, CAST(to_json(ids) AS VARCHAR) AS input_ids,
 FROM tok2 t JOIN split_res s ON t.Sequence_ID = s.Sequence_ID WHERE s.split = 'test'
 """, "residues", extra=_SPLIT_RES + ",\n" + _TOKENS.strip())
 oracle("token_shards", """
-SELECT split, CAST(0 AS INTEGER) AS shard, count(*) AS n_rows FROM split_res GROUP BY split
+SELECT split, shard, count(*) AS n_rows, min(Sequence_ID) AS first_id, max(Sequence_ID) AS last_id FROM (
+  SELECT split, Sequence_ID,
+    CAST((row_number() OVER (PARTITION BY split ORDER BY Sequence_ID) - 1) // 500 AS INTEGER) AS shard
+  FROM split_res) s
+GROUP BY split, shard
 """, "residues", extra=_SPLIT_RES)
+oracle("split_tables", "SELECT Sequence_ID, split, text AS sequence FROM split_res", "residues", extra=_SPLIT_RES)
+oracle("sequence_lines", f"SELECT {_TEXT} AS text FROM residues", "residues")
+oracle("fasta_file_ids", "SELECT Sequence_ID FROM residues", "residues")
+oracle("units_present", """
+SELECT File_index, Author FROM catalogue
+WHERE File_index IN (SELECT File_ID FROM sequences WHERE File_ID % 2 = 0)
+""", "sequences", "catalogue")
+oracle("publication_file_rows", """
+SELECT 'publication_' || translate(group_key, ' ,:;.', '_') || '.csv' AS group_file, Sequence_ID, File_ID
+FROM grouped
+""", "sequences", "catalogue", extra=_GROUPED_SEQS.format(key="c.Author"))
+ORACLES["sample_scheme_publications"] = ORACLES["sample_balanced_publications"]
 
 # ------------------------------------------------------------------- sinks
 # A written-and-read-back table equals the table that was written.

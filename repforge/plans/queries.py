@@ -14,11 +14,12 @@ from repforge.functions.coerce import sanitize_filename, sanitize_word, to_count
 from repforge.operators import aggregates as agg
 from repforge.operators import groups, sampling, splits
 from repforge.operators.filters import select_units
+from repforge.session import materialize, scratch_path
+from repforge.sources import views
 
 # The mouse strain list of the isotype statistics.
 MOUSE_STRAINS = ["mouse_C57BL/6", "mouse_BALB/c", "mouse", "Kymouse", "HIS-Mouse",
                  "mouse_RAG2-GFP/129Sve", "mouse_Swiss-Webster"]
-from repforge.sources import views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,14 +65,15 @@ def q_rows_per_subject(spark, sf, min_rows: int = MIN_SUBJECT_ROWS):
 
 @query("read_catalogue")
 def q_read_catalogue(spark, sf):
-    """Catalogue rendered as CSV text and parsed back with the declared
-    schema (quoted commas in Author), counts coerced."""
-    from repforge.sources.catalogue import catalogue_from_csv_lines, catalogue_to_csv_lines
-    lines = catalogue_to_csv_lines(views.catalogue(spark, sf))
-    cat = catalogue_from_csv_lines(lines)
-    return cat.select("File_index", "Species", "Author", "Subject", "Chain", "Isotype",
-                      "Unique_sequences", "Total_sequences",
-                      F.col("Size_MB").cast("double").alias("Size_MB"))
+    """S1: the catalogue written as CSV with its columns in another order
+    and one more column, read back by column name, counts coerced."""
+    from repforge.sources.catalogue import read_catalogue, write_catalogue
+    written = views.catalogue(spark, sf)
+    path = scratch_path(spark, "catalogue-csv")
+    write_catalogue(written.select(F.lit("x, y").alias("Remark"), *sorted(written.columns, reverse=True)), path)
+    return read_catalogue(spark, path).select(
+        "File_index", "Species", "Author", "Subject", "Chain", "Isotype", "Unique_sequences", "Total_sequences",
+        F.col("Size_MB").cast("double").alias("Size_MB"))
 
 
 @query("coerce_counts")
@@ -203,18 +205,43 @@ def q_sequences_per_publication(spark, sf):
     return s.select(F.col(groups.GROUP_COL).alias("Author"), "n_sequences")
 
 
+def _group_files(spark, sf, by):
+    """One CSV folder per group, written and read back."""
+    path = scratch_path(spark, f"groups-{by}")
+    seqs = groups.assign_groups(views.sequences(spark, sf), views.catalogue(spark, sf), by)
+    groups.write_groups(seqs, path, by, fmt="csv")
+    return spark.read.schema("Sequence_ID bigint, File_ID bigint, group_key string, group_file string").option(
+        "header", True).csv(path)
+
+
+def _rows_per_file(files):
+    return files.groupBy(F.col("group_file").alias("Filename")).agg(
+        F.count(F.lit(1)).alias("Number_of_sequences"))
+
+
 @query("partition_by_individual")
 def q_partition_by_individual(spark, sf):
-    """Manifest of the per-individual outputs with their row counts (the
-    files themselves are written by ``groups.write_groups``)."""
-    return groups.group_size_overview(views.sequences(spark, sf), views.catalogue(spark, sf),
-                                      "individual")
+    """K4: rows of every individual's file, from the written files."""
+    return _rows_per_file(_group_files(spark, sf, "individual"))
 
 
 @query("partition_by_publication")
 def q_partition_by_publication(spark, sf):
-    return groups.group_size_overview(views.sequences(spark, sf), views.catalogue(spark, sf),
-                                      "publication")
+    """K5: rows of every publication's file, from the written files."""
+    return _rows_per_file(_group_files(spark, sf, "publication"))
+
+
+@query("publication_file_rows")
+def q_publication_file_rows(spark, sf):
+    """K5: the rows themselves, from the written files."""
+    return _group_files(spark, sf, "publication").select("group_file", "Sequence_ID", "File_ID")
+
+
+@query("units_present")
+def q_units_present(spark, sf):
+    """J2: catalogue rows whose unit occurs among the sequences."""
+    seqs = views.sequences(spark, sf).where("File_ID % 2 = 0")
+    return groups.units_present(views.catalogue(spark, sf), seqs).select("File_index", "Author")
 
 
 @query("group_size_overview")
@@ -363,7 +390,6 @@ def q_fasta_ids(spark, sf):
 
 # ------------------------------------------------------------- clustering
 from repforge.operators import cluster as clu  # noqa: E402
-from repforge.session import materialize, scratch_path  # noqa: E402
 
 
 def _residue_seqs(spark, sf):
@@ -492,7 +518,10 @@ def _raw_catalogue_lines(spark, sf):
 
 @query("parse_catalogue_lines")
 def q_parse_catalogue_lines(spark, sf):
-    p = cat_src.parse_catalogue_lines(_raw_catalogue_lines(spark, sf))
+    """S9: raw lines written as text, read back and parsed."""
+    path = scratch_path(spark, "raw-lines")
+    _raw_catalogue_lines(spark, sf).write.text(path)
+    p = cat_src.parse_catalogue_lines(cat_src.read_catalogue_lines(spark, path))
     return p.withColumn("Size_MB", F.col("Size_MB").cast("double"))
 
 
@@ -558,25 +587,34 @@ def q_read_corpus(spark, sf):
     return corpus.read_corpus(spark, {s: f"{path}/split={s}" for s in ("train", "val", "test")})
 
 
-def _tokens(spark, sf):
-    t = _split_text(spark, sf)
-    return corpus.tokenize_corpus(t, "sequence", keep=["Sequence_ID", "split"])
+TOKEN_SHARD_ROWS = 500  # small, so that every split has several shards
 
 
-@query("tokenized_test_split")
-def q_tokenized_test_split(spark, sf):
+def _token_files(spark, sf):
+    """Token shards, written once per session to the shared checkpoint folder."""
     key = (spark.sparkContext.applicationId, sf, "tokens")
     if key not in _CORPUS_DIRS:
+        rows = corpus.with_shards(materialize(_split_text(spark, sf), "split-rows"), TOKEN_SHARD_ROWS)
         path = scratch_path(spark, "tokens")
-        corpus.write_token_shards(_tokens(spark, sf), path)
+        corpus.write_token_shards(
+            corpus.tokenize_corpus(rows, "sequence", keep=["Sequence_ID", "split", "shard"]), path)
         _CORPUS_DIRS[key] = path
-    t = corpus.read_tokenized_test(spark, _CORPUS_DIRS[key])
+    return _CORPUS_DIRS[key]
+
+
+@query("tokenized_test_split")
+def q_tokenized_test_split(spark, sf):
+    t = corpus.read_tokenized_test(spark, _token_files(spark, sf))
     return t.select("Sequence_ID", *[_ints(F.col(c)).alias(c) for c in corpus.TOKEN_COLUMNS])
 
 
 @query("token_shards")
 def q_token_shards(spark, sf):
-    return corpus.shard_sizes(_tokens(spark, sf))
+    """K8: size and id range of every shard, from the written files."""
+    t = spark.read.parquet(_token_files(spark, sf))
+    return t.groupBy("split", "shard").agg(F.count(F.lit(1)).alias("n_rows"),
+                                           F.min("Sequence_ID").alias("first_id"),
+                                           F.max("Sequence_ID").alias("last_id"))
 
 
 # ------------------------------------------------------------------- sinks
@@ -651,3 +689,34 @@ def q_sample_scheme_individuals(spark, sf):
     """R6: the scheme switch, balanced by individual."""
     return sampling.sample(views.sequences(spark, sf), "balance_individuals",
                            BALANCED_INDIVIDUALS_TOTAL, views.catalogue(spark, sf))
+
+
+@query("sample_scheme_publications")
+def q_sample_scheme_publications(spark, sf):
+    """R6: the scheme switch, balanced by publication."""
+    return sampling.sample(views.sequences(spark, sf), "balance_publications",
+                           BALANCED_PUBLICATIONS_TOTAL, views.catalogue(spark, sf))
+
+
+@query("fasta_file_ids")
+def q_fasta_file_ids(spark, sf):
+    """K3, S6: FASTA written, its record ids read back."""
+    path = scratch_path(spark, "fasta")
+    fasta.write_fasta(fasta.fasta_records(views.residues(spark, sf)), path)
+    return fasta.read_fasta_ids(spark, path)
+
+
+@query("sequence_lines")
+def q_sequence_lines(spark, sf):
+    """K6: one sequence per line, written and read back."""
+    path = scratch_path(spark, "sequence-lines")
+    corpus.write_text(corpus.sequence_text(views.residues(spark, sf)), path)
+    return spark.read.text(path).select(F.col("value").alias("text"))
+
+
+@query("split_tables")
+def q_split_tables(spark, sf):
+    """K7: the table of each split, written and read back."""
+    path = scratch_path(spark, "split-tables")
+    splits.write_splits(_split_text(spark, sf), path)
+    return spark.read.parquet(path).select("Sequence_ID", "split", "sequence")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from repforge.functions.regions import concat_regions
 from repforge.functions.tokens import tokenize
+from repforge.operators.ranks import global_rank, id_bins
 from repforge.sources.tables import exists
 
 TOKEN_COLUMNS = ["input_ids", "attention_mask", "special_tokens_mask"]
@@ -51,22 +52,19 @@ def tokenize_corpus(corpus: DataFrame, text_col: str = "text",
     return tokenize_batches(corpus, text_col, keep, max_length)
 
 
-def write_token_shards(tokens: DataFrame, path: str, shard_rows: int = SHARD_ROWS) -> None:
-    """Parquet, one folder per split, at most ``shard_rows`` rows per file."""
-    (tokens.write.mode("overwrite").option("maxRecordsPerFile", shard_rows)
-           .partitionBy("split").parquet(path))
+def with_shards(rows: DataFrame, shard_rows: int = SHARD_ROWS, order_col: str = "Sequence_ID") -> DataFrame:
+    """Add ``shard``: each split is cut into shards of ``shard_rows``
+    consecutive rows in ``order_col`` order. Number rows before they are
+    tokenised: ranks need only the ids."""
+    binned = rows.withColumn("_bin", id_bins(rows, order_col))
+    ranked = global_rank(binned, [order_col], ["_bin"], "_place", group_cols=["split"])
+    return ranked.withColumn("shard", F.expr(f"cast((_place - 1) div {shard_rows} as int)")).drop("_bin", "_place")
 
 
-def shard_sizes(tokens: DataFrame, shard_rows: int = SHARD_ROWS,
-                order_col: str = "Sequence_ID") -> DataFrame:
-    """Rows per (split, shard) if each split is cut into shards of
-    ``shard_rows`` consecutive rows in ``order_col`` order: counts per split
-    are enough, no row is moved."""
-    counts = tokens.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
-    shards = counts.select("split", "n", F.explode(F.sequence(
-        F.lit(0), F.greatest(F.ceil(F.col("n") / shard_rows) - 1, F.lit(0)).cast("int"))).alias("shard"))
-    return shards.select("split", "shard", F.least(
-        F.lit(shard_rows), F.col("n") - F.col("shard") * shard_rows).cast("bigint").alias("n_rows"))
+def write_token_shards(tokens: DataFrame, path: str) -> None:
+    """Parquet, one folder per split and shard (see ``with_shards``), one
+    file of at most ``shard_rows`` rows each."""
+    (tokens.repartition("split", "shard").write.mode("overwrite").partitionBy("split", "shard").parquet(path))
 
 
 def read_tokenized_test(spark: SparkSession, path: str, split: str = "test") -> DataFrame | None:

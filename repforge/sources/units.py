@@ -2,13 +2,18 @@
 header, then one row per sequence.
 
 A gzip file is read whole by one task, so parallelism comes from the many
-files. Line numbers need no window: rows of one file split are contiguous
-in ``monotonically_increasing_id``, so line = split offset + (id - first id
-of the split). The split table has one row per file split.
+files. The task that reads a split numbers its lines as it goes; the lines
+are then written once, and a table of one row per split gives each split its
+offset. The unit files are read once, and no number depends on how a second
+scan would pack them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -16,7 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from repforge.functions.coerce import bytes_to_mb
 from repforge.functions.regions import REGIONS
 from repforge.operators.filters import region_length_ingest
-from repforge.operators.ranks import global_rank
+from repforge.session import materialize, ship_package
 
 # The 97 columns of a data unit, in file order.
 UNIT_COLUMNS = [
@@ -46,12 +51,36 @@ INT_COLUMNS = ["Redundancy"]
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 
+def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add ``row``: the line's place in its file split. A split's lines come
+    one after another in one task."""
+    key, seen = None, 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        path = b["file_path"].dictionary_encode()
+        code, block = path.indices.to_numpy(zero_copy_only=False), b["block"].to_numpy(zero_copy_only=False)
+        first = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (block[1:] != block[:-1])]))
+        row = np.arange(b.num_rows) - np.repeat(first, np.diff(np.concatenate([first, [b.num_rows]])))
+        if (path.dictionary[code[0]].as_py(), int(block[0])) == key:
+            row[: first[1] if len(first) > 1 else None] += seen
+        key, seen = (path.dictionary[code[-1]].as_py(), int(block[-1])), int(row[-1]) + 1
+        yield pa.RecordBatch.from_arrays([b["file_path"], b["block"], b["value"], pa.array(row, pa.int64())],
+                                         names=["file_path", "block", "value", "row"])
+
+
+def count_rows(lines: DataFrame) -> DataFrame:
+    """(file_path, block, value) -> the same with ``row``."""
+    ship_package(lines.sparkSession)
+    return lines.select("file_path", "block", "value").mapInArrow(
+        _count_rows, "file_path string, block bigint, value string, row bigint")
+
+
 def read_unit_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file_path, block, mono, value) for every line of every unit file."""
-    df = spark.read.text(paths).select(
+    """(file_path, block, value, row) for every line of every unit file."""
+    return count_rows(spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block"), "value")
-    return df.withColumn("mono", F.monotonically_increasing_id())
+        F.col("_metadata.file_block_start").alias("block"), "value"))
 
 
 def unit_folder(path: Column) -> Column:
@@ -62,39 +91,53 @@ def unit_folder(path: Column) -> Column:
 
 def number_lines(lines: DataFrame, unit: Column | None = None) -> DataFrame:
     """Add ``unit_path`` and ``line``: the 1-based line number within the
-    unit (no window over rows; the window runs on the one-row-per-split
-    table). A unit is one file by default; with ``unit=unit_folder(...)``
-    it is a folder of part files, numbered across the parts in part order
-    (shorter name first, then by name: numeric order of ``part-N``)."""
-    lines = lines.withColumn("unit_path", unit if unit is not None else F.col("file_path"))
-    splits = lines.groupBy("unit_path", "file_path", "block").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("mono").alias("_m0"))
+    unit. The lines are written once (the only scan of the unit files); the
+    window runs on the table of splits. A unit is one file by default; with
+    ``unit=unit_folder(...)`` it is a folder of part files, numbered across
+    the parts in part order (shorter name first, then by name: numeric order
+    of ``part-N``)."""
+    lines = materialize(lines.withColumn("unit_path", unit if unit is not None else F.col("file_path")), "unit-lines")
+    splits = lines.groupBy("unit_path", "file_path", "block").agg(F.count(F.lit(1)).alias("_n"))
     w = (Window.partitionBy("unit_path")
          .orderBy(F.length("file_path"), "file_path", "block")
          .rowsBetween(Window.unboundedPreceding, -1))
     splits = splits.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    return (lines.join(splits.select("unit_path", "file_path", "block", "_start", "_m0"),
+    return (lines.join(splits.select("unit_path", "file_path", "block", "_start"),
                        ["unit_path", "file_path", "block"], "inner")
-                 .withColumn("line", F.col("_start") + F.col("mono") - F.col("_m0") + 1)
-                 .drop("_start", "_m0"))
+                 .withColumn("line", F.col("_start") + F.col("row") + 1)
+                 .drop("_start", "row"))
 
 
-def normalize_path(path: Column) -> Column:
-    """Path without its scheme and with one leading slash, so
-    ``file:///a/b``, ``file:/a/b`` and ``/a/b`` compare equal."""
-    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*:)?/+", "/")
+def same_uri(path: Column) -> Column:
+    """``file:///a`` and ``file:/a`` are one URI; schemes, authorities and
+    percent signs stay as they are."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*:)/+(?=/[^/])", "$1")
 
 
-def default_file_id(path: Column) -> Column:
-    """Unit id from the path: the last run of digits of the file or folder
-    name holding it (``.../unit=17/part-0.txt.gz`` or ``17.csv.gz``)."""
-    return F.regexp_extract(path, r"([0-9]+)[^0-9/]*(/[^/]*)?$", 1).try_cast("bigint")
+def file_uri(spark: SparkSession, path: str) -> str:
+    """The URI under which Spark reports a file: qualified by its own file
+    system, special characters percent-encoded."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toUri().toString()  # noqa: SLF001
 
 
 def unit_id(unit_path: Column) -> Column:
     """Unit id from a unit path (a file or a unit folder): the last run of
-    digits of its last segment (``.../unit=17`` or ``.../17.csv.gz``)."""
-    return F.regexp_extract(unit_path, r"([0-9]+)[^0-9/]*$", 1).try_cast("bigint")
+    digits of its last segment (``.../unit=17`` or ``.../17.csv.gz``), never
+    of a folder above it or of a percent escape."""
+    plain = F.regexp_replace(unit_path, "%[0-9A-Fa-f]{2}", "_")
+    return F.regexp_extract(plain, r"([0-9]+)[^0-9/]*$", 1).try_cast("bigint")
+
+
+def check_unit_ids(numbered: DataFrame) -> None:
+    """Raise where ids taken from names are missing, or name two units."""
+    units = numbered.select("unit_path").distinct().withColumn("id", unit_id(F.col("unit_path")))
+    bad = (units.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("unit_path").alias("example"))
+           .where(F.col("id").isNull() | (F.col("n") > 1)))
+    example = bad.limit(1).collect()
+    if example:
+        raise ValueError(f"{bad.count()} unit ids are missing or ambiguous, e.g. {example[0].asDict()}; "
+                         "give the ids (file_id) instead of taking them from file names")
 
 
 def parse_units(numbered: DataFrame, schema: StructType = UNIT_SCHEMA,
@@ -106,11 +149,14 @@ def parse_units(numbered: DataFrame, schema: StructType = UNIT_SCHEMA,
     Lines 1-2 (metadata, header) are dropped; fields are parsed with real CSV
     rules (quoted commas) against the declared schema. With
     ``first_row_as_header`` the first data row is dropped too (the reference
-    scripts lose it).
+    scripts lose it). ``file_id`` is an expression over the numbered lines;
+    without it ids are taken from the unit names and checked.
     """
     first = 4 if first_row_as_header else 3
     rows = numbered.where(F.col("line") >= first)
-    fid = file_id if file_id is not None else default_file_id(F.col("file_path"))
+    if file_id is None:
+        check_unit_ids(numbered)
+    fid = file_id if file_id is not None else unit_id(F.col("unit_path"))
     parsed = rows.select(fid.alias("File_ID"), "line", "file_path", "block",
                          F.from_csv(F.col("value"), schema.simpleString(), CSV_OPTIONS).alias("_r"))
     out = parsed.select("File_ID", "line", "file_path", "block", "_r.*")
@@ -148,19 +194,31 @@ LINE_BIN = 1 << 20
 
 
 def ingest(parsed: DataFrame, columns: list[str], nth: int = 1,
-           length_filter: bool = True) -> DataFrame:
+           length_filter: bool = True, first_row_as_header: bool = False) -> DataFrame:
     """Units -> sequences table: length filter, every ``nth`` filtered row of
     each unit, kept columns, and dense ``Sequence_ID`` from 1 in (unit,
-    line) order. Ranks are computed per (unit, line bin): line numbers are
-    dense within a unit, so a bin of ``LINE_BIN`` lines is monotone in the
-    order and bounds every window, however large one unit or file is."""
+    line) order. With ``first_row_as_header`` the row lost in parsing counts
+    as the first one for ``nth``.
+
+    Positions are computed per (unit, line bin): line numbers are dense
+    within a unit, so a bin of ``LINE_BIN`` lines is monotone in the order
+    and bounds every window, however large one unit is. Ids follow in closed
+    form from the units' counts (one row per unit)."""
     f = region_length_ingest(parsed, enabled=length_filter)
     f = f.withColumn("_lbin", F.floor(F.col("line") / F.lit(LINE_BIN)).cast("bigint"))
-    if nth > 1:
-        f = global_rank(f, ["line"], ["_lbin"], "_pos", group_cols=["File_ID"])
-        f = f.where(F.col("_pos") % nth == 0).drop("_pos")
-    ranked = global_rank(f, ["line"], ["File_ID", "_lbin"], "Sequence_ID")
-    return ranked.select("Sequence_ID", "File_ID", *columns)
+    lost = 1 if first_row_as_header else 0
+    kept = lambda n: F.expr(f"({n} + {lost}) div {nth} - {lost // nth}")
+    counts = materialize(f.groupBy("File_ID", "_lbin").agg(F.count(F.lit(1)).alias("_n")), "unit-bins")
+    above = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    units = counts.groupBy("File_ID").agg(F.sum("_n").alias("_n")).select(
+        "File_ID", F.coalesce(F.sum(kept("_n")).over(above(Window.orderBy("File_ID"))), F.lit(0)).alias("_unit"))
+    bins = counts.withColumn("_before", F.coalesce(
+        F.sum("_n").over(above(Window.partitionBy("File_ID").orderBy("_lbin"))), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("File_ID", "_lbin").orderBy("line"))
+    ranked = (f.join(bins.join(units, "File_ID").drop("_n"), ["File_ID", "_lbin"])
+              .withColumn("_pos", F.col("_before") + place)
+              .where((F.col("_pos") + lost) % nth == 0))
+    return ranked.select((F.col("_unit") + kept("_pos")).alias("Sequence_ID"), "File_ID", *columns)
 
 
 # ------------------------------------------------------------ test units

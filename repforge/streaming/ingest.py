@@ -38,7 +38,7 @@ def ingest_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
                           F.col("_metadata.file_block_start").alias("block"), "value"))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        numbered = U.number_lines(df.withColumn("mono", F.monotonically_increasing_id()))
+        numbered = U.number_lines(U.count_rows(df))
         rows = U.ingest(U.parse_units(numbered), columns, nth, length_filter)
         offset = _offset(spark, sink_dir, batch_id)
         out = f"{sink_dir}/batch={batch_id}"

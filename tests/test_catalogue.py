@@ -62,3 +62,27 @@ def test_raw_lines(spark):
     assert len(good) == 1 and good[0].Author == "Doe et al., 2019" and float(good[0].Size_MB) == 12.5
     bad = {r.reason for r in C.bad_catalogue_lines(df).collect()}
     assert bad == {"malformed json", "invalid line"}
+
+
+def test_catalogue_binds_by_name(spark, tmp_path):
+    import pytest
+    names = [f.name for f in C.CATALOGUE_RAW_SCHEMA.fields]
+    p = tmp_path / "moved.csv"
+    row = {n: "" for n in names} | {"File_index": "7", "Species": "human", "Author": '"Doe et al., 2019"',
+                                    "Unique_sequences": "12"}
+    order = ["Extra", *reversed(names)]
+    p.write_text(",".join(order) + "\n" + ",".join({**row, "Extra": "x"}[n] for n in order) + "\n")
+    got = C.read_catalogue(spark, str(p)).collect()[0]
+    assert (got.File_index, got.Species, got.Author, got.Unique_sequences) == (7, "human", "Doe et al., 2019", 12)
+    p.write_text("File_index,Species\n1,human\n")
+    with pytest.raises(ValueError, match="lacks the columns"):
+        C.read_catalogue(spark, str(p))
+
+
+def test_age_histogram_keeps_empty_bins(spark):
+    from repforge.operators.aggregates import age_histogram
+    df = spark.createDataFrame([("10", "3"), ("30", "4"), ("x", "5")], "Age string, Unique_sequences string")
+    got = [(r.bin, r.unique_sequences) for r in age_histogram(df).orderBy("bin").collect()]
+    assert got == [(0, 3), *[(i, 0) for i in range(1, 19)], (19, 4)]
+    assert age_histogram(df.where("Age = 'x'")).count() == 0
+

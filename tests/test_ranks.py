@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from repforge.operators.ranks import (KEY_COL, cut_by_rank, global_rank, hash_key, line_numbers,
+from repforge.operators.ranks import (KEY_COL, cut_by_rank, global_rank, hash_key,
                                       with_hash_order)
 
 
@@ -58,13 +58,6 @@ def test_no_single_partition_window_over_rows(spark):
     assert "_rk_bucket" in plan.split("Window [row_number()")[1].split("\n")[0]
 
 
-def test_line_numbers_contiguous_ids(spark):
-    df = spark.range(0, 100, numPartitions=4).select(
-        (F.col("id") >= 37).cast("int").alias("f"), F.spark_partition_id().alias("b"), F.monotonically_increasing_id().alias("m"))
-    out = line_numbers(df, "f", "b", "m").orderBy("f", "m").collect()
-    assert [r.line for r in out] == list(range(1, 101))
-
-
 def test_hash_key_is_md5_of_seed_and_id(spark):
     import hashlib
     v = spark.range(1).select(hash_key(F.lit(123), 42).alias("k")).first().k
@@ -72,11 +65,23 @@ def test_hash_key_is_md5_of_seed_and_id(spark):
 
 
 def test_bucket_width_follows_row_count(spark):
-    from repforge.operators.ranks import BUCKET_ROWS, hex_digits, hex_digits_col
-    assert hex_digits(1000) == 4 and hex_digits(BUCKET_ROWS * 16 ** 4) == 4
-    assert hex_digits(BUCKET_ROWS * 16 ** 4 + 1) == 5
-    assert hex_digits(10 ** 12) == 5            # ~1e12 rows: about 1e6 rows per bucket
-    df = spark.createDataFrame([("small", 10), ("big", 5 * 10 ** 9), ("hot", 3 * 10 ** 11)],
+    from repforge.operators.ranks import ROWS_PER_BUCKET, hex_digits, hex_digits_col
+    assert [hex_digits(n) for n in (0, 1000, 15_999, 16_000, 10 ** 9, 10 ** 12)] == [0, 0, 0, 1, 4, 7]
+    for n in (10, 10 ** 5, 10 ** 7, 10 ** 10):
+        assert 16 ** hex_digits(n) <= max(1, n / ROWS_PER_BUCKET)
+    df = spark.createDataFrame([("small", 10), ("big", 5 * 10 ** 6), ("hot", 3 * 10 ** 9)],
                                "g string, n long")
     got = {r.g: r.d for r in df.select("g", hex_digits_col(F.col("n")).alias("d")).collect()}
-    assert got == {"small": 3, "big": 4, "hot": 5}
+    assert got == {g: hex_digits(n) for g, n in (("small", 10), ("big", 5 * 10 ** 6), ("hot", 3 * 10 ** 9))}
+
+
+def test_bucket_tables_stay_small(spark):
+    """Many small groups, and sparse ids: at most a bucket for 1,000 rows,
+    plus one a group."""
+    from repforge.operators.ranks import hex_digits_col, id_bins, with_hash_order
+    n, groups = 20_000, 500
+    df = spark.range(n).select((F.col("id") * 1_000_003).alias("Sequence_ID"), (F.col("id") % groups).alias("g"))
+    assert df.select(id_bins(df, "Sequence_ID").alias("b")).distinct().count() <= n / 1000 + 1
+    sized = df.join(df.groupBy("g").count(), "g")
+    keyed = with_hash_order(sized, "Sequence_ID", digits=hex_digits_col(F.col("count")))
+    assert keyed.select("g", "_rk_bucket").distinct().count() <= n / 1000 + groups

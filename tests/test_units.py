@@ -101,3 +101,65 @@ def test_ids_exact_when_units_span_many_line_bins(spark, tmp_path, monkeypatch):
     nth = U.ingest(parsed, ["Redundancy"], nth=3).orderBy("Sequence_ID").collect()
     per_unit = {21: [i for i in range(1, 30) if i % 3], 22: [100 + i for i in range(1, 12)]}
     assert [r.Redundancy for r in nth] == per_unit[21][2::3] + per_unit[22][2::3]
+
+
+def test_first_row_as_header_counts_for_nth(spark, tmp_path):
+    """Rows kept with n = 3: the lost first row is line 1 of the count."""
+    d = tmp_path / "lost"
+    d.mkdir()
+    _write(d / "4.csv.gz", [_row(red=str(i)) for i in range(1, 11)])
+    lines = U.number_lines(U.read_unit_lines(spark, str(d)))
+    parsed = U.parse_units(lines, first_row_as_header=True)
+    out = U.ingest(parsed, ["Redundancy"], nth=3, first_row_as_header=True).orderBy("Sequence_ID").collect()
+    assert [(r.Sequence_ID, r.Redundancy) for r in out] == [(1, 3), (2, 6), (3, 9)]
+
+
+def test_ids_come_from_the_unit_not_from_its_folder(spark, tmp_path):
+    import pytest
+    d = tmp_path / "2024"
+    d.mkdir()
+    _write(d / "5.csv.gz", [_row()])
+    _write(d / "a b.csv.gz", [_row()])
+    with pytest.raises(ValueError, match="missing or ambiguous"):
+        U.parse_units(U.number_lines(U.read_unit_lines(spark, str(d))))
+    only = U.parse_units(U.number_lines(U.read_unit_lines(spark, str(d / "5.csv.gz"))))
+    assert [r.File_ID for r in only.select("File_ID").collect()] == [5]
+
+
+def test_every_selected_unit_is_read(spark, tmp_path):
+    """Folders ending in digits, blanks, percent signs and names without
+    digits: each file's rows come back under its catalogue id."""
+    import pytest
+    from repforge.plans.curate import CurateConfig, ingest_selected
+    d = tmp_path / "in 2024"
+    d.mkdir()
+    names = ["x.csv.gz", "with blank.csv.gz", "100%.csv.gz", "a+b.csv.gz", "7.csv.gz"]
+    for i, n in enumerate(names):
+        _write(d / n, [_row(red=str(10 * i + k)) for k in range(i + 1)])
+    cat = spark.createDataFrame([(i, "human", "Heavy", f"l{i}") for i in range(len(names))],
+                                "File_index long, Species string, Chain string, Download_Link string")
+    cfg = CurateConfig(columns_to_keep=["Redundancy"])
+    for prefix in ("", "file://"):
+        paths = spark.createDataFrame([(i, f"{prefix}{d}/{n}") for i, n in enumerate(names)],
+                                      "File_index long, path string")
+        got = sorted((r.File_ID, r.Redundancy) for r in ingest_selected(spark, cat, paths, cfg).collect())
+        assert got == [(i, 10 * i + k) for i in range(len(names)) for k in range(i + 1)]
+    with pytest.raises(ValueError, match="1 selected units have no path"):
+        ingest_selected(spark, cat, paths.where("File_index > 0"), cfg)
+    with gzip.open(d / "7.csv.gz", "wt"):
+        pass
+    with pytest.raises(ValueError, match="1 selected units gave no line"):
+        ingest_selected(spark, cat, paths, cfg)
+
+
+def test_unit_files_are_scanned_once(spark, tmp_path):
+    """No plan of a query over numbered lines scans the unit files: they
+    were read when the lines were written."""
+    d = tmp_path / "once"
+    d.mkdir()
+    _write(d / "9.csv.gz", [_row(red=str(i)) for i in range(5)])
+    lines = U.number_lines(U.read_unit_lines(spark, str(d)))
+    for df in (U.parse_units(lines), U.ingest(U.parse_units(lines), ["Redundancy"], nth=2), U.unit_manifest(lines)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan text" not in plan and plan.count("MapInArrow") == 0
+

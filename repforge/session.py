@@ -85,12 +85,14 @@ _SHIPPED: set[str] = set()
 
 
 def _importable_on_workers(sc) -> bool:
-    """One tiny task: can a Python worker import this package already (it
-    is installed there, or was shipped with ``--py-files``)?"""
+    """Can the Python workers import this package already (it is installed
+    there, or was shipped with ``--py-files``)? Asked in one tiny task for
+    each core that the session reports, so that every executor answers."""
     def probe(_):
         import importlib.util
         yield importlib.util.find_spec(__name__.split(".")[0]) is not None
-    return all(sc.parallelize([0], 1).mapPartitions(probe).collect())
+    n = max(1, sc.defaultParallelism)
+    return all(sc.parallelize(range(n), n).mapPartitions(probe).collect())
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from repforge.llm import (licenses, ngram_join, packing, quality, sentencepieces, toxicity, trie_dedup, walks,
+from repforge.llm import (licenses, ngram_join, packing, quality, revisits, sentencepieces, toxicity, trie_dedup, walks,
                           wrappers)
 from repforge.llm.common import table
 from tests.llm.conftest import frame, odd_rows
@@ -356,3 +356,74 @@ def test_tree_matching_is_the_largest_alignment():
     # root, div, p + text, ul, li + text
     assert wrappers.match(a, b) == 7
     assert len(wrappers.aligned(a, b)) == 7
+
+
+def brute_revisits(records, key_of):
+    out = []
+    for r in records:
+        if r["status"] != 304:
+            continue
+        key = key_of[r["url"]]
+        own = {k.lower(): v for k, v in (r["headers"] or {}).items()}
+        earlier = [s for s in records if s["status"] == 200 and key and key_of[s["url"]] == key and s["ts"] is not None
+                   and r["ts"] is not None and s["ts"] < r["ts"]]
+        if not earlier:
+            out.append((r["record_id"], None, "no_earlier", own, None))
+            continue
+        s = max(earlier, key=lambda s: (s["ts"], s["record_id"]))
+        theirs = {k.lower(): v for k, v in (s["headers"] or {}).items()}
+        bare = lambda h: re.sub("^W/", "", h["etag"]) if h.get("etag") else None
+        outcome = "unverified"
+        if bare(theirs) and bare(own):
+            outcome = "resolved" if bare(theirs) == bare(own) else "mismatch"
+        elif theirs.get("last-modified") and own.get("last-modified"):
+            outcome = "resolved" if theirs["last-modified"] == own["last-modified"] else "mismatch"
+        merged = {**theirs, **{k: v for k, v in own.items() if k in revisits.PERMITTED}}
+        sure = outcome == "resolved"
+        out.append((r["record_id"], s["record_id"], outcome, merged if sure else own, s["digest"] if sure else None))
+    return out
+
+
+def test_canonical_urls(spark):
+    pairs = {"HTTP://WWW.A.example:80/x/?b=2&utm_source=q&a=1#f": "a.example/x?a=1&b=2",
+             "https://a.example/x?a=1&b=2&ref=z": "a.example/x?a=1&b=2", "https://a.example": "a.example",
+             "https://a.example:8080/": "a.example:8080", "not a url": None, "": None, None: None}
+    df = spark.createDataFrame([(u,) for u in pairs], "url string")
+    got = {r.url: r.key for r in df.select("url", revisits.canonical_url(df["url"]).alias("key")).collect()}
+    assert got == pairs
+
+
+@pytest.mark.parametrize("bucket", [10_000, 3])
+def test_revisits_by_brute_force(spark, monkeypatch, bucket):
+    """One URL holds most records; buckets of three times carry over."""
+    monkeypatch.setattr(revisits, "BUCKET_ROWS", bucket)
+    rng = np.random.default_rng(6)
+    urls = ["http://hot.example/a", "https://www.hot.example/a/", "http://b.example/", None, "junk"]
+    records = []
+    for i in range(300):
+        status = int(rng.choice([200, 304, 304, 404]))
+        headers = {"ETag": f'{"W/" if rng.random() < .3 else ""}"{rng.integers(3)}"' if rng.random() < .7 else None,
+                   "Last-Modified": f"d{rng.integers(3)}" if rng.random() < .7 else None,
+                   "Content-Type": "x", "date": str(i), "CACHE-control": "c" if status == 304 else "s"}
+        records.append({"record_id": i, "url": urls[int(rng.choice(5, p=[.5, .25, .1, .1, .05]))],
+                        "ts": None if rng.random() < .05 else int(rng.integers(-50, 50)), "status": status,
+                        "headers": {k: v for k, v in headers.items() if v} if rng.random() < .95 else None,
+                        "digest": f"p{i}" if status == 200 else None})
+    records += [dict(r) for r in records if r["status"] == 304][:5]  # repeated rows
+    records.append({"record_id": 999, "url": urls[0], "ts": 2**62, "status": 304, "headers": {}, "digest": None})
+    key_of = dict(zip(urls, ["hot.example/a", "hot.example/a", "b.example", None, None]))
+    df = spark.createDataFrame([(*r.values(), "extra") for r in records], revisits.RECORDS + ", source_id string")
+    got = [(r.record_id, r.source_id, r.outcome, r.headers, r.digest) for r in revisits.resolved(df).collect()]
+    freeze = lambda rows: Counter((*r[:3], tuple(sorted(r[3].items())), r[4]) for r in rows)
+    assert freeze(got) == freeze(brute_revisits(records, key_of))
+    assert revisits.resolved(df.limit(0)).count() == 0
+
+
+def test_crawl_covers_every_page(spark, sf_small):
+    pages = table(spark, sf_small, "pages")
+    n = pages.count()
+    crawl = revisits.crawl_of(pages)
+    assert crawl.count() == 4 * n - len([r for r in pages.collect() if r.page_id % 13 == 0])
+    found = revisits.resolved(crawl)
+    assert found.count() == crawl.filter("status = 304").count()
+    assert {r.outcome for r in found.select("outcome").distinct().collect()} >= {"resolved", "mismatch", "no_earlier"}

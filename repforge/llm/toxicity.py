@@ -7,8 +7,8 @@ are labelled from the marked documents: in a toxic document a word is a
 toxic word where its most specific feature that is known well enough is
 found in toxic documents nearly alone, far beyond chance. Forward-backward
 marginals give each word's probability; the words at 0.5 or more are the
-offending spans, and a document's score comes from its marginals: their sum,
-their share and the largest.
+offending spans, and a document's score comes from its marginals: the
+likeliest word's, and the evidence of all likely words together.
 
 Forward-backward runs over many texts in lockstep, one numpy operation per
 word position, on whole texts.
@@ -48,6 +48,8 @@ BATCH = 64
 #: Words times texts that one lockstep group holds.
 CELLS = 2_000_000
 LIMIT = 30.0
+#: Log odds beyond which a word counts as sure.
+SURE = 8.0
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -95,12 +97,12 @@ def toxic_words(texts: list[list[str]], labels: list[int]) -> set[str]:
 @dataclass
 class Chain:
     """Word weights (toxic over clean), transition weights and the weights
-    of the document score (constant, log of the sum, largest, share)."""
+    of the document score (see ``_summary``)."""
 
     words: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, np.float32))
     bias: float = -4.0
     move: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
-    document: np.ndarray = field(default_factory=lambda: np.zeros(4))
+    document: np.ndarray = field(default_factory=lambda: np.zeros(3))
 
     def evidence(self, word: str) -> float:
         return self.bias + float(self.words[buckets(word)].sum())
@@ -148,14 +150,16 @@ def marginals(evidence: list[np.ndarray], move: np.ndarray) -> list[np.ndarray]:
 
 
 def _summary(p: np.ndarray) -> list[float]:
+    """Constant, log odds of the likeliest word, and the positive log odds
+    of all words together (each at most SURE, all at most 5 * SURE)."""
     if not len(p):
-        return [1.0, 0.0, 0.0, 0.0]
-    total = float(p.sum())
-    return [1.0, log(1e-3 + total) - log(1e-3), float(p.max()), total / np.sqrt(len(p))]
+        return [1.0, -SURE, 0.0]
+    odds = np.clip(np.log(np.maximum(p, 1e-9)) - np.log(np.maximum(1 - p, 1e-9)), -SURE, SURE)
+    return [1.0, float(odds.max()), min(float(odds[odds > 0].sum()), 5 * SURE)]
 
 
 def document_scores(p: list[np.ndarray], chain: Chain) -> np.ndarray:
-    sums = np.array([_summary(x) for x in p]).reshape(-1, 4) @ chain.document
+    sums = np.array([_summary(x) for x in p]).reshape(-1, 3) @ chain.document
     return 1 / (1 + np.exp(-np.clip(sums, -35, 35)))
 
 
@@ -219,9 +223,9 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Chain:
             move_square += push**2
             chain.move -= 0.1 * push / np.sqrt(move_square)
     p = _probabilities(texts, chain, _table(chain))
-    chain.document = _fit_document(np.array([_summary(x) for x in p]).reshape(-1, 4), np.array(labels, float))
+    chain.document = _fit_document(np.array([_summary(x) for x in p]).reshape(-1, 3), np.array(labels, float))
     if not any(labels):
-        chain.document = np.array([-20.0, 0, 0, 0])
+        chain.document = np.array([-20.0, 0, 0])
     return chain
 
 

@@ -43,6 +43,8 @@ CELL_BITS, BLOCK_BITS = 20, 14
 #: Comparisons of two components' members in the first round; the second
 #: round takes all that are left between components.
 FIRST_TESTS = 64
+#: Bits of the filter that finds the texts of chosen sets.
+FILTER_BITS = 1 << 24
 #: Members that one task compares with a leader.
 LEADER_ROWS = 1000
 
@@ -269,18 +271,38 @@ def _pair_batch(pairs: np.ndarray) -> pa.RecordBatch:
 
 # --- verification -----------------------------------------------------------------
 
-def _emit_sets(wanted: DataFrame, rows: DataFrame) -> DataFrame:
-    """(set_id, n, tokens) of the documents that ``wanted`` names."""
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """FILTER_BITS bits, set where a hash of the column ``h`` falls (2 MB,
+    whatever the input; the more hashes, the more other rows pass)."""
+    slot = F.col("h").bitwiseAND(FILTER_BITS - 1)
+    words = (hashes.select(F.shiftright(slot, 6).alias("word"),
+                           F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bits")).collect())
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for word, bits in words:
+        out[word] = bits
+    return out
+
+
+def _emit_sets(wanted: DataFrame, ids: DataFrame, rows: DataFrame) -> DataFrame:
+    """(set_id, tokens) of the sets in ``wanted``, and of few others. One
+    document of each set is looked up in the texts through a bitmap filter,
+    so texts are not shuffled."""
+    chosen = (ids.join(wanted, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
+              .select(F.xxhash64("doc_id").alias("h")))
+    bitmap = rows.sparkSession.sparkContext.broadcast(_bitmap(chosen))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b["text"].to_pylist()
+            slot = b["h"].to_numpy() & (FILTER_BITS - 1)
+            passed = bitmap.value[slot >> 6] >> (slot & 63) & 1
+            texts = b.filter(pa.array(passed.astype(bool)))["text"].to_pylist()
             for low, high in slices(texts):
-                sets = shingle_sets(texts[low:high])
+                sets = [s for s in shingle_sets(texts[low:high]) if len(s)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["set_id", "n", "tokens"])
-    here = rows.doc_id.eqNullSafe(wanted.doc_id)
-    return map_arrow(rows.join(wanted, here).select("text"), run, "set_id long, n int, tokens binary")
+                    [pa.array([set_id(s) for s in sets], pa.int64()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["set_id", "tokens"])
+    return map_arrow(rows.select(F.xxhash64("doc_id").alias("h"), "text"), run, "set_id long, tokens binary")
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,6 +340,10 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_arrow(dealt, _overlaps, "a long, b long, n_a long, n_b long, overlap long")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+
+
 def components(scratch: Scratch, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(set_id, component): smallest set id reachable over edges (a, b), by
     min labels with hooking and pointer jumping; one written table a round."""
@@ -361,14 +387,14 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lists = scratch.save(map_arrow(postings.repartition("token").sortWithinPartitions("token", "n", "set_id"),
                                    _shared, "token long, set_id long, n int, place int"), "lists")
     nodes = scratch.save(lists.groupBy("set_id").agg(F.max("n").alias("n")), "nodes")
-    wanted = (ids.join(nodes.select("set_id"), "set_id").groupBy("set_id")
-              .agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
-    sets = scratch.save(_emit_sets(wanted, rows).dropDuplicates(["set_id"]), "tokens")
 
     # first answers: sets and their list's leader
-    stars = (map_arrow(lists.repartition("token").sortWithinPartitions("token", "n", "set_id"), _stars,
-                       "a long, b long").groupBy("a", "b").count().select("a", "b"))
-    seen = scratch.save(_verify(scratch.save(stars, "stars"), sets), "overlaps")
+    stars = scratch.save(map_arrow(lists.repartition("token").sortWithinPartitions("token", "n", "set_id"), _stars,
+                                   "a long, b long").groupBy("a", "b").count().select("a", "b"), "stars")
+    compared = _ends(stars)
+    sets = scratch.save(_emit_sets(compared, ids, rows).join(compared, "set_id"), "tokens")
+    first_sets = sets
+    seen = scratch.save(_verify(stars, sets).distinct(), "overlaps")
     is_link = linked(F.col("overlap"), F.col("n_a"), F.col("n_b"))
     comps = components(scratch, nodes, seen.filter(is_link))
 
@@ -386,9 +412,13 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = (lists.join(led.select("set_id", "leader", "component"), "set_id")
               .groupBy("token", "leader", "component")
               .agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("rest")))
-    pairs = (map_arrow(blocks.repartition("token").sortWithinPartitions("token", "low", "leader"), _block_pairs,
-                       "a long, b long").groupBy("a", "b").count().select("a", "b"))
-    between = scratch.save(_verify(scratch.save(pairs, "pairs"), sets), "between")
+    pairs = scratch.save(map_arrow(
+        blocks.repartition("token").sortWithinPartitions("token", "low", "leader"), _block_pairs,
+        "a long, b long").groupBy("a", "b").count().select("a", "b"), "pairs")
+    new = _ends(pairs).join(compared, "set_id", "left_anti")
+    more_sets = scratch.save(_emit_sets(new, ids, rows).join(new, "set_id"), "tokens")
+    sets = sets.unionByName(more_sets)
+    between = scratch.save(_verify(pairs, sets).distinct(), "between")
     edges = scratch.save(seen.unionByName(between).filter(is_link).select("a", "b"), "edges")
     comps = components(scratch, nodes, edges)
 
@@ -420,11 +450,11 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             if most:
                 best_first = Window.partitionBy("from", "to").orderBy(F.desc("bound"), "a", "b")
                 more = more.withColumn("nth", F.row_number().over(best_first)).filter(F.col("nth") <= most)
-            more = scratch.save(_verify(scratch.save(more.select("a", "b"), "members"), sets), "inside")
+            more = scratch.save(_verify(scratch.save(more.select("a", "b"), "members"), sets).distinct(), "inside")
             tested = tested.unionByName(more.select("a", "b"))
             edges = scratch.save(edges.unionByName(more.filter(is_link).select("a", "b")), "edges")
             comps = components(scratch, nodes, edges)
-    scratch.drop(lists, sets)
+    scratch.drop(lists, first_sets, more_sets)
     return ids, comps
 
 

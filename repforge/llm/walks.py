@@ -88,61 +88,61 @@ class Walker:
         return out
 
     def _group(self, texts: list[str], lengths: np.ndarray) -> np.ndarray:
-        """Texts of descending length, in lockstep."""
+        """Texts of descending length, in lockstep; those that end leave."""
         n, d = int(lengths[0]), len(texts)
         chars = np.zeros((n + 1, d), np.uint8)
         for k, t in enumerate(texts):
             code = np.frombuffer(t.encode("utf-32-le"), np.uint32)
             chars[: len(code), k] = (code * np.uint32(2654435761)) >> np.uint32(24)
-        # steps[i]: step at which the walk meets character i
-        steps = np.zeros((n + 1, WALKS * d), np.int32 if n < 2**22 else np.int64)
-        table = np.repeat(np.arange(WALKS) * PERIOD * 256, d)
-        step = np.zeros(WALKS * d, np.int64)
-        at, moved = np.empty_like(step), np.empty(WALKS * d, np.uint8)
-        alive = np.searchsorted(-lengths, -np.arange(1, n + 1), side="right")  # texts longer than i
+        # steps[i]: step at which the walks meet character i (up to the text's length)
+        steps = np.zeros((n + 1, WALKS, d), np.int32 if n < 2**22 else np.int64)
+        alive = np.searchsorted(-lengths, -np.arange(n), side="left")  # texts longer than i
+        width, table = d, (np.arange(WALKS) * PERIOD * 256)[:, None]
+        step = np.zeros((WALKS, d), np.int64)
+        at, moved = np.empty_like(step), np.empty((WALKS, d), np.uint8)
         for i in range(n):
-            if alive[i] * 4 < d * 3 and WALKS * d > 64:  # narrow to the texts that go on
-                return self._narrowed(texts, lengths, chars, steps, step, i, int(alive[i]))
+            if alive[i] < 0.8 * width:
+                width = int(alive[i])
+                step = step[:, :width].copy()
+                at, moved = np.empty_like(step), np.empty((WALKS, width), np.uint8)
             np.bitwise_and(step, PERIOD - 1, out=at)
             at <<= 8
             at += table
-            at.reshape(WALKS, d)[:] += chars[i]
-            np.take(self.stay, at, out=moved)
+            at += chars[i, :width]
+            self.stay.take(at, out=moved, mode="clip")
             step += moved
-            steps[i + 1] = step
-        return self._sample(chars, steps, lengths)
-
-    def _narrowed(self, texts, lengths, chars, steps, step, i, alive) -> np.ndarray:
-        """Finish the short texts here, the long ones in a group of their own."""
-        out = np.empty((len(texts), SLOTS), np.uint16)
-        out[:alive] = self._group(texts[:alive], lengths[:alive])
-        done = np.concatenate([np.arange(alive, len(texts)) + w * len(texts) for w in range(WALKS)])
-        out[alive:] = self._sample(chars[: i + 1, alive:], steps[: i + 1, done], lengths[alive:])
+            steps[i + 1, :, :width] = step
+        out = np.empty((d, SLOTS), np.uint16)
+        for low in range(0, d, 512):
+            part = slice(low, min(d, low + 512))
+            out[part] = self._sample(chars[:, part], steps[:, :, part], lengths[part])
         return out
 
     def _sample(self, chars: np.ndarray, steps: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         d = len(lengths)
-        out = np.zeros((d, SLOTS), np.uint16)
-        for s in range(SLOTS):
-            column = s % WALKS * d + np.arange(d)
-            reached = steps[lengths, column].astype(np.int64)
-            record = np.searchsorted(self.records[s], reached, side="left") - 1
-            first = self.records[s][np.maximum(record, 0)]
-            value = (record + 1).astype(np.uint64) * self.mix[0] + self.salt[s]
+        text, out = np.arange(d), np.zeros((d, SLOTS), np.uint16)
+        for w in range(WALKS):
+            slots = np.arange(w, SLOTS, WALKS)
+            reached = steps[lengths, w, text].astype(np.int64)
+            record = np.stack([np.searchsorted(self.records[s], reached, side="left") - 1 for s in slots], axis=1)
+            first = np.stack([self.records[s][np.maximum(record[:, k], 0)] for k, s in enumerate(slots)], axis=1)
+            here = (first[:, :, None] + STRIDE * np.arange(SYMBOLS)).reshape(d, -1)
+            column = np.broadcast_to(text[:, None], here.shape)
+            low, high = np.zeros(here.shape, np.int64), np.repeat(lengths[:, None], here.shape[1], axis=1)
+            for _ in range(int(lengths.max()).bit_length() + 1):  # the last character met at or before the step
+                mid = (low + high + 1) >> 1
+                ok = steps[mid, w, column] <= here
+                low, high = np.where(ok, mid, low), np.where(ok, high, mid - 1)
+            there = (here < reached[:, None]) & (low < lengths[:, None])
+            symbol = np.where(there, chars[low, column].astype(np.uint64) + np.uint64(1), np.uint64(0))
+            symbol = symbol.reshape(d, len(slots), SYMBOLS)
+            value = (record + 1).astype(np.uint64) * self.mix[0] + self.salt[slots]
             for k in range(SYMBOLS):
-                here = first + STRIDE * k
-                low, high = np.zeros(d, np.int64), lengths.copy()
-                while (low < high).any():  # the last character met at or before the step
-                    mid = (low + high + 1) // 2
-                    ok = (steps[mid, column] <= here) & (low < high)
-                    low, high = np.where(ok, mid, low), np.where(ok | (low >= high), high, mid - 1)
-                symbol = np.where((here < reached) & (low < lengths), chars[low, np.arange(d)].astype(np.uint64) + 1,
-                                  np.uint64(0))
                 value ^= value >> np.uint64(29)
-                value = (value + symbol) * self.mix[2 + k]
+                value = (value + symbol[:, :, k]) * self.mix[2 + k]
             value ^= value >> np.uint64(32)
             value *= self.mix[0]
-            out[:, s] = (value >> np.uint64(48)).astype(np.uint16)
+            out[:, slots] = (value >> np.uint64(48)).astype(np.uint16)
         return out
 
 

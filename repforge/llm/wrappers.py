@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repforge.llm.common import Scratch, map_arrow
+from repforge.llm.common import Scratch, join_owners, map_arrow
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -359,25 +359,28 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, tree, slot, template), one written row per host: a small
-    skeleton of the reference page, whatever the host's number of pages."""
+    """(host, rows, tree, slot, template), one written row per host: a small
+    skeleton of the reference page, whatever the host's number of pages. A
+    host with more than a small share of all pages meets its pages by
+    broadcast (``join_owners``), so its pages are not gathered."""
     scratch = Scratch(pages.sparkSession)
     rows = _rows(pages)
     # of each host the page of the smallest id; a null id is the largest
     key = F.coalesce("page_id", F.lit(2**63 - 1))
-    first = rows.groupBy("host").agg(F.min(key).alias("key"))
-    chosen = rows.withColumn("key", key).join(first, ["host", "key"]).select("host", "html")
+    first = scratch.save(rows.groupBy("host").agg(F.min(key).alias("key"), F.count("*").alias("rows")), "hosts")
+    chosen = rows.withColumn("key", key).join(first.drop("rows"), ["host", "key"]).select("host", "html")
     references = scratch.save(
-        map_arrow(chosen, _reference, "host string, tree string").groupBy("host").agg(F.min("tree").alias("tree")),
-        "references")
-    counted = (map_arrow(rows.select("host", "html").join(references, "host"), _vote,
+        map_arrow(chosen, _reference, "host string, tree string").groupBy("host").agg(F.min("tree").alias("tree"))
+        .join(first.drop("key"), "host"), "references")
+    met = join_owners(rows.select("host", "html"), references, "host", "rows").select("host", "html", "tree")
+    counted = (map_arrow(met, _vote,
                          "host string, node int, pages long, same long, chars long")
                .groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in ("pages", "same", "chars"))))
     listed = counted.groupBy("host").agg(F.collect_list(F.struct("node", "pages", "same", "chars")).alias("counts"))
     found = map_arrow(references.join(listed, "host").select("host", "tree", "counts"), _induce,
                       "host string, tree string, slot int, template array<int>")
-    out = scratch.save(found, "wrappers")
-    scratch.drop(references)
+    out = scratch.save(found.join(first.drop("key"), "host"), "wrappers")
+    scratch.drop(references, first)
     return out
 
 
@@ -389,6 +392,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     an empty table gives an empty result; extra columns are ignored. Html is
     read whole, whatever its length."""
     found = wrappers(pages)
-    joined = _rows(pages).join(found, "host").select("page_id", "url", "html", "tree", "slot", "template")
+    joined = (join_owners(_rows(pages), found, "host", "rows")
+              .select("page_id", "url", "html", "tree", "slot", "template"))
     return (map_arrow(joined, _extract, "page_id long, url string, text string")
             .withColumn("n_chars", F.length("text").cast("long")))

@@ -237,9 +237,11 @@ def beside_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = texts_of(docs, id_col, text_col)
     lowest = -(2**63)
     order = F.coalesce("doc_id", F.lit(lowest))
-    firsts = sorted(r["first"] for r in rows.select(order.alias("key")).repartitionByRange("key")
+    # as many ranges as shuffle partitions, however small the column of ids is
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    firsts = sorted(r["first"] for r in rows.select(order.alias("key")).repartitionByRange(parts, "key")
                     .groupBy(F.spark_partition_id()).agg(F.min("key").alias("first")).collect())
-    starts = np.array(firsts, np.int64)  # one number for each shuffle partition
+    starts = np.array(firsts, np.int64)
 
     @F.pandas_udf("array<int>")
     def buckets(key: pd.Series) -> pd.Series:

@@ -23,6 +23,7 @@ near copies costs one comparison a set, not one a pair.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,7 +40,7 @@ from repforge.llm.common import Scratch, join_owners, map_arrow, slices, texts_o
 NUM, DEN = 4, 5
 WIDTH = 5
 #: Cells of the counting sketch (top bits of the shingle hash), in blocks.
-CELL_BITS, BLOCK_BITS = 20, 14
+CELL_BITS, BLOCK_BITS = 24, 18
 #: Comparisons of two components' members in the first round; the second
 #: round takes all that are left between components.
 FIRST_TESTS = 64
@@ -117,7 +118,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays(
         [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
          pa.array([i for i, _ in blocks], pa.int32()),
-         pa.array([np.minimum(c, 65535).astype(np.uint16).tobytes() for _, c in blocks], pa.binary())],
+         pa.array([zlib.compress(np.minimum(c, 255).astype(np.uint8).tobytes(), 1) for _, c in blocks], pa.binary())],
         names=["doc_id", "n_shingles", "set_id", "block", "counts"])
 
 
@@ -125,7 +126,7 @@ def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for b in batches:
         for i, c in zip(b["block"].to_pylist(), b["counts"].to_pylist()):
-            more = np.frombuffer(c, np.uint16).astype(np.uint64)
+            more = np.frombuffer(zlib.decompress(c), np.uint8).astype(np.uint32)
             sums[i] = sums[i] + more if i in sums else more
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(sums), pa.int32()),
@@ -427,21 +428,26 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                      F.max(F.col("set_id") != F.col("leader")).alias("others"))
     side = lambda s: room.select(F.col("leader").alias(s), F.col("low").alias(f"low_{s}"),
                                  F.col("slack").alias(f"slack_{s}"), F.col("others").alias(f"others_{s}"))
+    of = lambda end: comps.select(F.col("set_id").alias(end), F.col("component").alias(f"component_{end}"))
     tight = (between.join(side("a"), "a").join(side("b"), "b")
              .filter((F.col("overlap") + F.col("slack_a") + F.col("slack_b")) >= needed(F.col("low_a"), F.col("low_b")))
-             .filter(F.col("others_a") | F.col("others_b")).select("a", "b", "overlap"))
+             .filter(F.col("others_a") | F.col("others_b"))
+             .join(of("a"), "a").join(of("b"), "b").filter("component_a <> component_b")
+             .select("a", "b", "overlap", "slack_b", "low_b"))
     if tight.limit(1).count():
         tight = scratch.save(tight, "tight")
         tested = between.select("a", "b")
         for most in (FIRST_TESTS, None):
             member = led.drop("component").join(comps, "set_id")
             half = lambda s: member.select(
-                F.col("leader").alias(s), F.col("set_id").alias(f"set_{s}"), F.col("n").alias(f"n_{s}"),
+                F.col("leader").alias(f"leader_{s}"), F.col("set_id").alias(f"set_{s}"), F.col("n").alias(f"n_{s}"),
                 F.col("extra").alias(f"extra_{s}"), F.col("component").alias(f"component_{s}"))
-            more = (tight.join(half("a"), "a").join(half("b"), "b")
-                    .filter("component_a <> component_b")
-                    .withColumn("bound", F.col("overlap") + F.col("extra_a") + F.col("extra_b"))
-                    .filter(F.col("bound") >= needed(F.col("n_a"), F.col("n_b")))
+            bound = F.col("overlap") + F.col("extra_a") + F.col("extra_b")
+            more = (tight.join(half("a"), (F.col("a") == F.col("leader_a")) & (
+                        F.col("overlap") + F.col("extra_a") + F.col("slack_b") >= needed(F.col("n_a"), F.col("low_b"))))
+                    .join(half("b"), (F.col("b") == F.col("leader_b")) & (F.col("component_a") != F.col("component_b"))
+                          & (bound >= needed(F.col("n_a"), F.col("n_b"))))
+                    .withColumn("bound", bound)
                     .withColumn("a", F.least("set_a", "set_b")).withColumn("b", F.greatest("set_a", "set_b"))
                     .withColumn("from", F.least("component_a", "component_b"))
                     .withColumn("to", F.greatest("component_a", "component_b"))

@@ -6,8 +6,8 @@ counted over all pages of the host: how often a node's text equals the
 reference's (constant nodes are template) and how much text it holds
 (varying slots). The wrapper is the reference tree with the slot that holds
 the article, and its constant nodes. A page's text is what its own aligned
-slot holds, without template and without blocks named as menus, notices,
-adverts and the like.
+slot holds, without template and without blocks whose whole class, id or
+role is the name of menus, notices, adverts and the like.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ SKIPPED_NAMES = frozenset("ad ads advert adverts advertisement banner breadcrumb
                           "subscribe toolbar widget".split())
 NO_TEXT = frozenset("#root html head body ul ol dl table tr".split())
 CONTAINERS = frozenset("html body div main article section center".split())
+#: Never skipped for a name, nor is anything that holds one.
+KEPT = frozenset("html body main article".split())
 
 #: Elements nested deeper are kept as siblings at this depth.
 MAX_DEPTH = 200
@@ -50,23 +52,24 @@ PAGES = 8
 SHARE = 0.7
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAME = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAME = re.compile(r"(?<![\w:-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: An open element of the key is closed by a start tag of the values.
 _CLOSES = {"p": BLOCK - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
            "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 
 
 class Node:
-    __slots__ = ("tag", "names", "children", "text", "shape", "number")
+    __slots__ = ("tag", "names", "children", "text", "shape", "number", "named", "kept")
 
-    def __init__(self, tag: str, names: tuple[str, ...] = (), text: str = ""):
-        self.tag, self.names, self.text = tag, names, text
+    def __init__(self, tag: str, names: tuple[str, ...] = (), text: str = "", named: bool = False):
+        self.tag, self.names, self.text, self.named = tag, names, text, named
         self.children: list[Node] = []
         self.shape, self.number = "", -1
+        self.kept = tag in KEPT  # or holds such an element, see _finish
 
     @property
     def skipped(self) -> bool:
-        return self.tag in SKIPPED or not SKIPPED_NAMES.isdisjoint(self.names)
+        return self.tag in SKIPPED or self.named and not self.kept
 
 
 def parse(html: str) -> Node:
@@ -103,8 +106,9 @@ def parse(html: str) -> Node:
                 break
             if stack[i].tag in CONTAINERS or stack[i].tag in ("table", "ul", "ol", "dl"):
                 break
-        names = tuple(w.lower() for g in _NAME.findall(m[3]) for w in re.split(r"[\s_-]+", "".join(g)) if w)
-        node = Node(tag, names)
+        values = ["".join(g).strip().lower() for g in _NAME.findall(m[3])]
+        names = tuple(w for v in values for w in re.split(r"[\s_-]+", v) if w)
+        node = Node(tag, names, named=not SKIPPED_NAMES.isdisjoint(values))
         stack[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
@@ -119,7 +123,8 @@ def parse(html: str) -> Node:
 
 
 def _finish(root: Node) -> None:
-    """Shape of every subtree (children first), and numbers in page order."""
+    """Shape of every subtree (children first), whether it holds an element
+    that is never skipped for a name, and numbers in page order."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -129,6 +134,7 @@ def _finish(root: Node) -> None:
         order.append(node)
         stack.extend(reversed(node.children))
     for node in reversed(order):
+        node.kept = node.kept or any(c.kept for c in node.children)
         label = ".".join((node.tag, *node.names[:2]))
         node.shape = label if not node.children else (
             label + xxhash.xxh64_hexdigest("|".join(c.shape for c in node.children))[:10])
@@ -204,14 +210,15 @@ def _digest(text: str) -> str:
 
 
 def pack_tree(node: Node) -> list:
-    """[tag, names, digest of a text node or children]."""
-    return [node.tag, node.names[:2], _digest(node.text) if node.tag == "#" else [pack_tree(c) for c in node.children]]
+    """[tag, names, digest of a text node or children, named as no content]."""
+    return [node.tag, node.names[:2], _digest(node.text) if node.tag == "#" else [pack_tree(c) for c in node.children],
+            int(node.named)]
 
 
 @lru_cache(maxsize=512)
 def unpack_tree(packed: str) -> Node:
     def build(p: list) -> Node:
-        node = Node(p[0], tuple(p[1]))
+        node = Node(p[0], tuple(p[1]), named=bool(p[3]))
         if p[0] == "#":
             node.text = p[2]
         else:

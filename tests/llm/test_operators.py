@@ -331,6 +331,19 @@ def test_wrapped_pages(spark):
     assert wrappers.extracted(pages.limit(0)).count() == 0
 
 
+def test_names_skip_only_as_whole_values(spark):
+    htmls = ["<body class='single has-sidebar'><p>a</p><div class=ad>no</div></body>",
+             "<div class='content-with-sidebar'><article>a</article></div>",
+             "<body><article class='comments-open'>a</article></body>",
+             "<body id=widget><div class=sidebar><main class=related>a</main></div></body>",
+             "<body><h2 id='related-work'>a</h2><section id='social-policy'>b</section><p class='ad-hoc'>c"
+             "<p data-id='ad'>d</p><p id=share>no</p></body>"]
+    pages = spark.createDataFrame([(i, f"http://n{i}.example/", h) for i, h in enumerate(htmls)],
+                                  "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.extracted(pages).collect()} == {
+        0: "a", 1: "a", 2: "a", 3: "a", 4: "a b c d"}
+
+
 def test_constant_nodes_become_template(spark):
     rows = [(i, "http://t.example/x", f"<body><main><h1>Story {i}</h1><p>Share this story now</p>"
                                       f"<p>Body of {i} {'z' * i}</p></main></body>") for i in range(20)]

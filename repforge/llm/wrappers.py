@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -230,25 +231,28 @@ def unpack_tree(packed: str) -> Node:
 
 
 def _mass(node: Node, out: dict[int, int]) -> int:
-    """Characters of plain text (not skipped, not links) under every node."""
-    if node.skipped or node.tag == "a":
+    """Characters of plain text (not links) under every node that is not
+    skipped."""
+    if node.skipped:
         return 0
     n = len(node.text.strip()) if node.tag == "#" else sum(_mass(c, out) for c in node.children)
     out[id(node)] = n
-    return n
+    return 0 if node.tag == "a" else n
 
 
 def votes(reference: Node, page: Node) -> list[tuple[int, int, int]]:
-    """(reference node, whether its text is the page's, characters held)."""
+    """(reference node, whether its text is the page's, characters held) of
+    the nodes that are neither blank nor skipped."""
     mass: dict[int, int] = {}
     _mass(page, mass)
-    return [(a.number, int(a.tag == "#" and a.text == _digest(b.text)), mass.get(id(b), 0))
-            for a, b in aligned(reference, page)]
+    return [(a.number, int(a.tag == "#" and a.text == _digest(b.text)), mass[id(b)])
+            for a, b in aligned(reference, page) if id(b) in mass and (b.tag != "#" or not b.text.isspace())]
 
 
 def induce(reference: Node, counts: dict[int, tuple[int, int, int]]) -> tuple[int, list[int]]:
-    """(number of the article's slot, numbers of its template nodes) from
-    (pages, equal texts, characters) by reference node."""
+    """(number of the article's slot, numbers of the template nodes) from
+    (pages, equal texts, characters) by reference node; pages that are copies
+    of one another count once."""
     held = {n: c[2] for n, c in counts.items()}
     total, slot = held.get(reference.number, 0), reference
     while slot.tag not in ("article", "main") and not any(c.tag in ("h1", "h2") for c in slot.children):
@@ -257,26 +261,60 @@ def induce(reference: Node, counts: dict[int, tuple[int, int, int]]) -> tuple[in
         if inner is None or held.get(inner.number, 0) < SHARE * max(total, 1):
             break
         slot = inner
-    texts, stack = [], [slot]
+    return slot.number, constants(reference, counts)
+
+
+def constants(reference: Node, counts: dict[int, tuple[int, int, int]]) -> list[int]:
+    """Numbers of the text nodes of blocks whose own texts are all constant;
+    equal words within a varying block are no template."""
+    template, stack = [], [(reference, own := [])]
+    blocks = [own]
     while stack:
-        node = stack.pop()
-        if node.tag == "#":
+        node, texts = stack.pop()
+        if node.tag == "#" and node.number in counts:
             texts.append(node.number)
+        elif node.tag in BLOCK:
+            blocks.append(texts := [])
+        stack.extend((c, texts) for c in node.children)
+    for texts in blocks:
+        if all(counts[n][0] >= PAGES and counts[n][1] >= CONSTANT * counts[n][0] for n in texts):
+            template += texts
+    return sorted(template)
+
+
+def body_digest(page: Node) -> str:
+    """Digest of a page's slot without its headline: equal for copies."""
+    slot = alone(page)
+    heads, stack = set(), [(slot, False)]
+    while stack:
+        node, head = stack.pop()
+        if node.tag == "#" and head:
+            heads.add(id(node))
+        stack.extend((c, head or node.tag == "h1") for c in node.children)
+    return _digest(text_of(slot, heads))
+
+
+def alone(page: Node) -> Node:
+    """The article's slot of a page without a wrapper."""
+    mass: dict[int, int] = {}
+    _mass(page, mass)
+    counts, by_number, stack = {}, {}, [page]
+    while stack:
+        node = stack.pop()
+        by_number[node.number] = node
+        counts[node.number] = (1, 0, mass.get(id(node), 0))
         stack.extend(node.children)
-    constant = [n for n in texts if n in counts and counts[n][0] >= PAGES and counts[n][1] >= CONSTANT * counts[n][0]]
-    # pages that are copies of one another say nothing about the template
-    return slot.number, sorted(constant) if 2 * len(constant) < len(texts) else []
+    return by_number[induce(page, counts)[0]]
 
 
 def text_of(page: Node, template: set[int]) -> str:
     """Blocks of the subtree in page order, without skipped blocks and
-    template nodes (by identity)."""
+    template nodes (by identity), which leave a blank."""
     parts: list[str] = []
 
     def walk(node: Node) -> None:
         if node.tag == "#":
-            if id(node) not in template:
-                parts.append(node.text)
+            parts.append(" " if id(node) in template else node.text)
             return
         block = node.tag in BLOCK
         if block:
@@ -301,16 +339,7 @@ def extract(page: Node, reference: Node, slot: int, template: list[int]) -> str:
         if a.number in constant and a.text == _digest(b.text):
             drop.add(id(b))
     if own is None or own.tag not in ("article", "main") and _holds(page, "article"):
-        mass: dict[int, int] = {}
-        _mass(page, mass)
-        counts, stack = {}, [page]
-        by_number = {}
-        while stack:
-            node = stack.pop()
-            by_number[node.number] = node
-            counts[node.number] = (1, 0, mass.get(id(node), 0))
-            stack.extend(node.children)
-        own, drop = by_number[induce(page, counts)[0]], set()
+        own, drop = alone(page), set()
     return text_of(own, drop)
 
 
@@ -334,10 +363,26 @@ def _reference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Votes of every page by host and digest of its body, one of the
+    pages of a batch that are copies of one another."""
     for b in batches:
-        sums: dict[tuple[str, int], list[int]] = {}
+        found: dict[tuple[str, str], bytes] = {}
         for host, html, tree in zip(b["host"].to_pylist(), b["html"].to_pylist(), b["tree"].to_pylist()):
-            for node, same, chars in votes(unpack_tree(tree), parse(html)):
+            page = parse(html)
+            key = host, body_digest(page)
+            if key not in found:
+                found[key] = np.array(votes(unpack_tree(tree), page), np.int32).tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[i] for k in found], pa.string()) for i in range(2)] + [pa.array(found.values(), pa.binary())],
+            names=["host", "copy", "votes"])
+
+
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of votes by host and reference node."""
+    for b in batches:
+        sums: dict[tuple[str, int], list[int]] = {}
+        for host, packed in zip(b["host"].to_pylist(), b["votes"].to_pylist()):
+            for node, same, chars in np.frombuffer(packed, np.int32).reshape(-1, 3).tolist():
                 s = sums.setdefault((host, node), [0, 0, 0])
                 s[0] += 1
                 s[1] += same
@@ -380,8 +425,9 @@ def wrappers(pages: DataFrame) -> DataFrame:
         map_arrow(chosen, _reference, "host string, tree string").groupBy("host").agg(F.min("tree").alias("tree"))
         .join(first.drop("key"), "host"), "references")
     met = join_owners(rows.select("host", "html"), references, "host", "rows").select("host", "html", "tree")
-    counted = (map_arrow(met, _vote,
-                         "host string, node int, pages long, same long, chars long")
+    cast = (map_arrow(met, _vote, "host string, copy string, votes binary")
+            .groupBy("host", "copy").agg(F.min("votes").alias("votes")))
+    counted = (map_arrow(cast, _tally, "host string, node int, pages long, same long, chars long")
                .groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in ("pages", "same", "chars"))))
     listed = counted.groupBy("host").agg(F.collect_list(F.struct("node", "pages", "same", "chars")).alias("counts"))
     found = map_arrow(references.join(listed, "host").select("host", "tree", "counts"), _induce,

@@ -352,6 +352,19 @@ def test_constant_nodes_become_template(spark):
         i: f"Story {i} Body of {i} {'z' * i}".strip() for i in range(20)}
 
 
+def test_template_with_line_breaks_and_copies(spark):
+    def page(i):
+        return (f"<body>\n<main>\n<h1>Story {i}</h1>\n<nav><a>Home</a> <a>News</a></nav>\n<p>Share this story now</p>\n"
+                f"<p>Body of <b>{i}</b> <i>{'z' * i}</i></p>\n<p>Read more <a>here</a></p>\n</main>\n</body>")
+    copy = "<body>\n<p>Same text</p>\n<p>on all pages</p>\n</body>"
+    rows = [(i, "http://t.example/x", page(i % 20)) for i in range(400)]
+    rows += [(1000 + i, "http://c.example/x", copy) for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extracted(pages).collect()}
+    assert got == {i: f"Story {i % 20} Body of {i % 20} {'z' * (i % 20)}".strip() for i in range(400)} | {
+        1000 + i: "Same text on all pages" for i in range(20)}
+
+
 def test_tables_pages(spark, sf_small):
     import html as h
     pages = table(spark, sf_small, "pages")

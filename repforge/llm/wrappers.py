@@ -1,27 +1,28 @@
 """Main text of pages by wrapper induction over pages of one host.
 
-One page of each host is its reference. Every page's DOM tree is aligned
-with the reference by simple tree matching, and the aligned nodes are
-counted over all pages of the host: how often a node's text equals the
-reference's (constant nodes are template) and how much text it holds
-(varying slots). The wrapper is the reference tree with the slot that holds
-the article, and its constant nodes. A page's text is what its own aligned
-slot holds, without template and without blocks whose whole class, id or
-role is the name of menus, notices, adverts and the like.
+Of each host one page of every frequent layout is a reference. Every page's
+DOM tree is aligned with the reference most like it by simple tree matching,
+and the aligned nodes are counted over all pages of the layout: how often a
+node's text equals the reference's (constant nodes are template) and how much
+text it holds (varying slots). The wrapper is the reference tree with the slot
+that holds the article, and its constant nodes. A page's text is what its own
+aligned slot holds, or a slot of its own where that misses some of its varying
+text, without template and without blocks whose whole class, id or role is the
+name of menus, notices, adverts and the like.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from repforge.llm.common import Scratch, join_owners, map_arrow
@@ -40,6 +41,8 @@ SKIPPED_NAMES = frozenset("ad ads advert adverts advertisement banner breadcrumb
                           "subscribe toolbar widget".split())
 NO_TEXT = frozenset("#root html head body ul ol dl table tr".split())
 CONTAINERS = frozenset("html body div main article section center".split())
+FRAMES = CONTAINERS | {"header", "nav", "footer", "aside"}
+MAIN = frozenset("article main".split())
 #: Never skipped for a name, nor is anything that holds one.
 KEPT = frozenset("html body main article".split())
 
@@ -49,8 +52,15 @@ MAX_DEPTH = 200
 CONSTANT = 0.95
 #: ... out of at least so many pages.
 PAGES = 8
-#: The slot of the article holds at least this share of the host's text.
+#: An article or main element is the slot if it holds at least this share of
+#: the varying text; another slot holds all of it.
 SHARE = 0.7
+#: Pages whose skeletons align to this share have one layout.
+SAME_LAYOUT = 0.9
+#: Layouts with a reference of their own in a host, out of the first pages of
+#: its most frequent sequences of tags. A page of any other layout meets the
+#: reference that is most like it, or is its own.
+LAYOUTS, CANDIDATES = 8, 32
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAME = re.compile(r"(?<![\w:-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -60,13 +70,13 @@ _CLOSES = {"p": BLOCK - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "
 
 
 class Node:
-    __slots__ = ("tag", "names", "children", "text", "shape", "number", "named", "kept")
+    __slots__ = ("tag", "names", "children", "text", "shape", "number", "named", "kept", "main")
 
     def __init__(self, tag: str, names: tuple[str, ...] = (), text: str = "", named: bool = False):
         self.tag, self.names, self.text, self.named = tag, names, text, named
         self.children: list[Node] = []
         self.shape, self.number = "", -1
-        self.kept = tag in KEPT  # or holds such an element, see _finish
+        self.kept, self.main = tag in KEPT, tag in MAIN  # or holds such an element, see _finish
 
     @property
     def skipped(self) -> bool:
@@ -125,7 +135,8 @@ def parse(html: str) -> Node:
 
 def _finish(root: Node) -> None:
     """Shape of every subtree (children first), whether it holds an element
-    that is never skipped for a name, and numbers in page order."""
+    that is never skipped for a name or a main one, and numbers in page
+    order."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -136,9 +147,14 @@ def _finish(root: Node) -> None:
         stack.extend(reversed(node.children))
     for node in reversed(order):
         node.kept = node.kept or any(c.kept for c in node.children)
-        label = ".".join((node.tag, *node.names[:2]))
-        node.shape = label if not node.children else (
-            label + xxhash.xxh64_hexdigest("|".join(c.shape for c in node.children))[:10])
+        node.main = node.main or any(c.main for c in node.children)
+        _shape(node)
+
+
+def _shape(node: Node) -> None:
+    label = ".".join((node.tag, *node.names[:2]))
+    node.shape = label if not node.children else (
+        label + xxhash.xxh64_hexdigest("|".join(c.shape for c in node.children))[:10])
 
 
 def _label(node: Node) -> tuple:
@@ -216,8 +232,11 @@ def pack_tree(node: Node) -> list:
             int(node.named)]
 
 
-@lru_cache(maxsize=512)
 def unpack_tree(packed: str) -> Node:
+    return _unpack(json.loads(packed))
+
+
+def _unpack(tree: list) -> Node:
     def build(p: list) -> Node:
         node = Node(p[0], tuple(p[1]), named=bool(p[3]))
         if p[0] == "#":
@@ -225,19 +244,68 @@ def unpack_tree(packed: str) -> Node:
         else:
             node.children = [build(c) for c in p[2]]
         return node
-    root = build(json.loads(packed))
+    root = build(tree)
     _finish(root)
     return root
 
 
-def _mass(node: Node, out: dict[int, int]) -> int:
-    """Characters of plain text (not links) under every node that is not
-    skipped."""
+@lru_cache(maxsize=512)
+def unpack_layouts(packed: str) -> list[tuple[Node, Node]]:
+    """Reference trees of a host's layouts and their skeletons."""
+    trees = [_unpack(t) for t in json.loads(packed)]
+    return [(t, skeleton(t)) for t in trees]
+
+
+def skeleton(page: Node) -> Node:
+    """The page's containers alone; of a run of equal ones the first two."""
+    def build(node: Node) -> Node:
+        out = Node(node.tag, node.names[:2])
+        for c in [] if node.skipped else node.children:
+            if c.tag in FRAMES:
+                part = build(c)
+                _shape(part)
+                if [k.shape for k in out.children[-2:]] != [part.shape] * 2:
+                    out.children.append(part)
+        return out
+    root = build(page)
+    _shape(root)
+    return root
+
+
+def likeness(a: Node, b: Node) -> float:
+    return 2 * match(a, b) / (_size(a) + _size(b))
+
+
+def layouts(trees: list[str]) -> list[str]:
+    """Of packed trees, the most frequent first, those unlike all before."""
+    kept: list[tuple[str, Node]] = []
+    for tree in trees:
+        own = skeleton(unpack_tree(tree))
+        if len(kept) < LAYOUTS and all(likeness(s, own) < SAME_LAYOUT for _, s in kept):
+            kept.append((tree, own))
+    return [t for t, _ in kept]
+
+
+def nearest(references: list[tuple[Node, Node]], page: Node) -> int:
+    """Number of the reference whose layout is most like the page's."""
+    if len(references) == 1:
+        return 0
+    own = skeleton(page)
+    return max(range(len(references)), key=lambda i: (likeness(references[i][1], own), -i))
+
+
+def _mass(node: Node, out: dict[int, int], drop: frozenset[int] | set[int] = frozenset(), link: bool = False) -> int:
+    """Characters of plain text (not links, not in ``drop``) under every node
+    that is not skipped."""
     if node.skipped:
         return 0
-    n = len(node.text.strip()) if node.tag == "#" else sum(_mass(c, out) for c in node.children)
+    link = link or node.tag == "a"
+    if node.tag == "#":
+        n = 0 if link or id(node) in drop else len(node.text.strip())
+    else:
+        n = sum(_mass(c, out, drop, link) for c in node.children)
     out[id(node)] = n
-    return 0 if node.tag == "a" else n
+    return n
 
 
 def votes(reference: Node, page: Node) -> list[tuple[int, int, int]]:
@@ -253,15 +321,32 @@ def induce(reference: Node, counts: dict[int, tuple[int, int, int]]) -> tuple[in
     """(number of the article's slot, numbers of the template nodes) from
     (pages, equal texts, characters) by reference node; pages that are copies
     of one another count once."""
-    held = {n: c[2] for n, c in counts.items()}
-    total, slot = held.get(reference.number, 0), reference
-    while slot.tag not in ("article", "main") and not any(c.tag in ("h1", "h2") for c in slot.children):
-        inner = max((c for c in slot.children if c.tag in CONTAINERS and not c.skipped),
-                    key=lambda c: held.get(c.number, 0), default=None)
-        if inner is None or held.get(inner.number, 0) < SHARE * max(total, 1):
+    template = constants(reference, counts)
+    varying = {n: c[2] for n, c in counts.items()}
+    fixed = {n: varying[n] for n in template}
+    order, stack = [], [reference]
+    while stack:
+        order.append(stack.pop())
+        stack.extend(order[-1].children)
+    for node in reversed(order):
+        if node.children:
+            fixed[node.number] = sum(fixed.get(c.number, 0) for c in node.children)
+    return descend(reference, lambda n: varying.get(n.number, 0) - fixed.get(n.number, 0)).number, template
+
+
+def descend(root: Node, held: Callable[[Node], int]) -> Node:
+    """The innermost container with all of the text ``held`` under the root,
+    or the only article with most of it."""
+    slot = root
+    while slot.tag not in MAIN and not any(c.tag in ("h1", "h2") for c in slot.children):
+        inner = max((c for c in slot.children if c.tag in CONTAINERS and not c.skipped), key=held, default=None)
+        if inner is None or not held(inner):
+            break
+        if held(inner) < held(slot) and not (inner.main and held(inner) >= SHARE * held(slot) and not any(
+                c.main and c is not inner and held(c) for c in slot.children)):
             break
         slot = inner
-    return slot.number, constants(reference, counts)
+    return slot
 
 
 def constants(reference: Node, counts: dict[int, tuple[int, int, int]]) -> list[int]:
@@ -298,13 +383,7 @@ def alone(page: Node) -> Node:
     """The article's slot of a page without a wrapper."""
     mass: dict[int, int] = {}
     _mass(page, mass)
-    counts, by_number, stack = {}, {}, [page]
-    while stack:
-        node = stack.pop()
-        by_number[node.number] = node
-        counts[node.number] = (1, 0, mass.get(id(node), 0))
-        stack.extend(node.children)
-    return by_number[induce(page, counts)[0]]
+    return descend(page, lambda n: mass.get(id(n), 0))
 
 
 def text_of(page: Node, template: set[int]) -> str:
@@ -329,8 +408,9 @@ def text_of(page: Node, template: set[int]) -> str:
 
 
 def extract(page: Node, reference: Node, slot: int, template: list[int]) -> str:
-    """Main text of one page by its host's wrapper. A page without the
-    wrapper's slot is its own reference."""
+    """Main text of one page by the wrapper of its layout. A page that has
+    varying text outside the wrapper's slot (an article or main element: most
+    of it, or another such element) has a slot of its own."""
     own = None
     constant, drop = set(template), set()
     for a, b in aligned(reference, page):
@@ -338,13 +418,29 @@ def extract(page: Node, reference: Node, slot: int, template: list[int]) -> str:
             own = b
         if a.number in constant and a.text == _digest(b.text):
             drop.add(id(b))
-    if own is None or own.tag not in ("article", "main") and _holds(page, "article"):
-        own, drop = alone(page), set()
+    mass: dict[int, int] = {}
+    total = _mass(page, mass, drop)
+    held = mass.get(id(own), 0)
+    if own is not None and own.tag in MAIN:
+        fits = held == total or held >= SHARE * total and not _others(page, own, mass)
+    else:
+        fits = own is not None and held == total and not page.main
+    if not fits:
+        own = descend(page, lambda n: mass.get(id(n), 0))
     return text_of(own, drop)
 
 
-def _holds(node: Node, tag: str) -> bool:
-    return node.tag == tag or any(_holds(c, tag) for c in node.children)
+def _others(node: Node, own: Node, mass: dict[int, int]) -> bool:
+    """Whether an article or main element outside ``own`` holds text."""
+    if node is own or not node.main or not mass.get(id(node)):
+        return False
+    if node.tag in MAIN and not _inside(node, own):
+        return True
+    return any(_others(c, own, mass) for c in node.children)
+
+
+def _inside(node: Node, own: Node) -> bool:
+    return node is own or any(_inside(c, own) for c in node.children if c.main)
 
 
 # --- on Spark -----------------------------------------------------------------
@@ -356,84 +452,119 @@ def _rows(pages: DataFrame) -> DataFrame:
         F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"))
 
 
+def _sequence(html: Column) -> Column:
+    """Hash of a page's tags of containers in order, with the beginnings of
+    their names up to a digit: the first, rough grouping by layout."""
+    frame = rf"(?i)<(/?(?:{'|'.join(sorted(FRAMES))})(?=[\s>/])(?:\s+(?:class|id)\s*=\s*[\"']?[^\"'>\d]*)?)"
+    return F.xxhash64(F.regexp_extract_all(html, F.lit(frame), F.lit(1)))
+
+
 def _reference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         packed = [json.dumps(pack_tree(parse(h)), separators=(",", ":")) for h in b["html"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([b["host"], pa.array(packed, pa.string())], names=["host", "tree"])
+        yield pa.RecordBatch.from_arrays([b["host"], b["sequence"], pa.array(packed, pa.string())],
+                                         names=["host", "sequence", "tree"])
+
+
+def _layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        packed = ["[" + ",".join(layouts([c["tree"] for c in sorted(candidates, key=lambda c: c["place"])])) + "]"
+                  for candidates in b["candidates"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([b["host"], pa.array(packed, pa.string())], names=["host", "trees"])
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Votes of every page by host and digest of its body, one of the
+    """Votes of every page by host, layout and digest of its body, one of the
     pages of a batch that are copies of one another."""
     for b in batches:
-        found: dict[tuple[str, str], bytes] = {}
-        for host, html, tree in zip(b["host"].to_pylist(), b["html"].to_pylist(), b["tree"].to_pylist()):
-            page = parse(html)
-            key = host, body_digest(page)
+        found: dict[tuple[str, int, str], bytes] = {}
+        for host, html, trees in zip(b["host"].to_pylist(), b["html"].to_pylist(), b["trees"].to_pylist()):
+            page, references = parse(html), unpack_layouts(trees)
+            layout = nearest(references, page)
+            key = host, layout, body_digest(page)
             if key not in found:
-                found[key] = np.array(votes(unpack_tree(tree), page), np.int32).tobytes()
+                found[key] = np.array(votes(references[layout][0], page), np.int32).tobytes()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[i] for k in found], pa.string()) for i in range(2)] + [pa.array(found.values(), pa.binary())],
-            names=["host", "copy", "votes"])
+            [pa.array([k[i] for k in found], t) for i, t in enumerate((pa.string(), pa.int32(), pa.string()))]
+            + [pa.array(found.values(), pa.binary())], names=["host", "layout", "copy", "votes"])
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of votes by host and reference node."""
+    """Sums of votes by host, layout and reference node."""
     for b in batches:
-        sums: dict[tuple[str, int], list[int]] = {}
-        for host, packed in zip(b["host"].to_pylist(), b["votes"].to_pylist()):
+        sums: dict[tuple[str, int, int], list[int]] = {}
+        for host, layout, packed in zip(b["host"].to_pylist(), b["layout"].to_pylist(), b["votes"].to_pylist()):
             for node, same, chars in np.frombuffer(packed, np.int32).reshape(-1, 3).tolist():
-                s = sums.setdefault((host, node), [0, 0, 0])
+                s = sums.setdefault((host, layout, node), [0, 0, 0])
                 s[0] += 1
                 s[1] += same
                 s[2] += chars
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.int32()),
+            [pa.array([k[0] for k in sums], pa.string()), *(pa.array([k[i] for k in sums], pa.int32()) for i in (1, 2)),
              *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(3))],
-            names=["host", "node", "pages", "same", "chars"])
+            names=["host", "layout", "node", "pages", "same", "chars"])
 
 
 def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        found = [induce(unpack_tree(tree), {c["node"]: (c["pages"], c["same"], c["chars"]) for c in counts})
-                 for tree, counts in zip(b["tree"].to_pylist(), b["counts"].to_pylist())]
+        found = []
+        for trees, listed in zip(b["trees"].to_pylist(), b["counts"].to_pylist()):
+            references = unpack_layouts(trees)
+            counts: list[dict] = [{} for _ in references]
+            for c in listed:
+                counts[c["layout"]][c["node"]] = c["pages"], c["same"], c["chars"]
+            found.append([induce(r, c) for (r, _), c in zip(references, counts)])
         yield pa.RecordBatch.from_arrays(
-            [b["host"], b["tree"], pa.array([f[0] for f in found], pa.int32()),
-             pa.array([f[1] for f in found], pa.list_(pa.int32()))], names=["host", "tree", "slot", "template"])
+            [b["host"], b["trees"], pa.array([[i[0] for i in f] for f in found], pa.list_(pa.int32())),
+             pa.array([[i[1] for i in f] for f in found], pa.list_(pa.list_(pa.int32())))],
+            names=["host", "trees", "slots", "templates"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = [extract(parse(html), unpack_tree(tree), slot, template) for html, tree, slot, template in zip(
-            b["html"].to_pylist(), b["tree"].to_pylist(), b["slot"].to_pylist(), b["template"].to_pylist())]
+        texts = []
+        for html, trees, slots, templates in zip(b["html"].to_pylist(), b["trees"].to_pylist(),
+                                                 b["slots"].to_pylist(), b["templates"].to_pylist()):
+            page, references = parse(html), unpack_layouts(trees)
+            i = nearest(references, page)
+            texts.append(extract(page, references[i][0], slots[i], templates[i]))
         yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(texts, pa.string())],
                                          names=["page_id", "url", "text"])
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, rows, tree, slot, template), one written row per host: a small
-    skeleton of the reference page, whatever the host's number of pages. A
-    host with more than a small share of all pages meets its pages by
-    broadcast (``join_owners``), so its pages are not gathered."""
+    """(host, rows, trees, slots, templates), one written row per host: small
+    skeletons of at most LAYOUTS reference pages, whatever the host's number
+    of pages. A host with more than a small share of all pages meets its pages
+    by broadcast (``join_owners``), so its pages are not gathered."""
     scratch = Scratch(pages.sparkSession)
     rows = _rows(pages)
-    # of each host the page of the smallest id; a null id is the largest
-    key = F.coalesce("page_id", F.lit(2**63 - 1))
-    first = scratch.save(rows.groupBy("host").agg(F.min(key).alias("key"), F.count("*").alias("rows")), "hosts")
-    chosen = rows.withColumn("key", key).join(first.drop("rows"), ["host", "key"]).select("host", "html")
-    references = scratch.save(
-        map_arrow(chosen, _reference, "host string, tree string").groupBy("host").agg(F.min("tree").alias("tree"))
-        .join(first.drop("key"), "host"), "references")
-    met = join_owners(rows.select("host", "html"), references, "host", "rows").select("host", "html", "tree")
-    cast = (map_arrow(met, _vote, "host string, copy string, votes binary")
-            .groupBy("host", "copy").agg(F.min("votes").alias("votes")))
-    counted = (map_arrow(cast, _tally, "host string, node int, pages long, same long, chars long")
-               .groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in ("pages", "same", "chars"))))
-    listed = counted.groupBy("host").agg(F.collect_list(F.struct("node", "pages", "same", "chars")).alias("counts"))
-    found = map_arrow(references.join(listed, "host").select("host", "tree", "counts"), _induce,
-                      "host string, tree string, slot int, template array<int>")
-    out = scratch.save(found.join(first.drop("key"), "host"), "wrappers")
-    scratch.drop(references, first)
+    # of each sequence of tags the page of the smallest id; a null id is the largest
+    keyed = (rows.withColumn("key", F.coalesce("page_id", F.lit(2**63 - 1)))
+             .withColumn("sequence", _sequence(F.col("html"))))
+    groups = scratch.save(keyed.groupBy("host", "sequence").agg(F.min("key").alias("key"), F.count("*").alias("rows")),
+                          "sequences")
+    hosts = scratch.save(groups.groupBy("host").agg(F.sum("rows").alias("rows")), "hosts")
+    place = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("rows"), "key", "sequence"))
+    first = groups.withColumn("place", place).filter(F.col("place") <= CANDIDATES).drop("rows")
+    chosen = keyed.join(first.drop("place"), ["host", "sequence", "key"]).select("host", "sequence", "html")
+    packed = (map_arrow(chosen, _reference, "host string, sequence long, tree string")
+              .groupBy("host", "sequence").agg(F.min("tree").alias("tree"))
+              .join(first.drop("key"), ["host", "sequence"])
+              .groupBy("host").agg(F.collect_list(F.struct("place", "tree")).alias("candidates")))
+    references = scratch.save(map_arrow(packed, _layouts, "host string, trees string").join(hosts, "host"),
+                              "references")
+    met = join_owners(rows.select("host", "html"), references, "host", "rows").select("host", "html", "trees")
+    cast = (map_arrow(met, _vote, "host string, layout int, copy string, votes binary")
+            .groupBy("host", "layout", "copy").agg(F.min("votes").alias("votes")))
+    counted = (map_arrow(cast, _tally, "host string, layout int, node int, pages long, same long, chars long")
+               .groupBy("host", "layout", "node").agg(*(F.sum(c).alias(c) for c in ("pages", "same", "chars"))))
+    listed = counted.groupBy("host").agg(
+        F.collect_list(F.struct("layout", "node", "pages", "same", "chars")).alias("counts"))
+    found = map_arrow(references.join(listed, "host").select("host", "trees", "counts"), _induce,
+                      "host string, trees string, slots array<int>, templates array<array<int>>")
+    out = scratch.save(found.join(hosts, "host"), "wrappers")
+    scratch.drop(references, hosts, groups)
     return out
 
 
@@ -446,6 +577,6 @@ def extracted(pages: DataFrame) -> DataFrame:
     read whole, whatever its length."""
     found = wrappers(pages)
     joined = (join_owners(_rows(pages), found, "host", "rows")
-              .select("page_id", "url", "html", "tree", "slot", "template"))
+              .select("page_id", "url", "html", "trees", "slots", "templates"))
     return (map_arrow(joined, _extract, "page_id long, url string, text string")
             .withColumn("n_chars", F.length("text").cast("long")))

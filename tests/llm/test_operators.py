@@ -365,6 +365,28 @@ def test_template_with_line_breaks_and_copies(spark):
         1000 + i: "Same text on all pages" for i in range(20)}
 
 
+def test_slots_by_layout_hold_all_varying_text(spark):
+    def words(i, n):
+        return " ".join(f"w{i}x{k}" for k in range(n))
+    rows, want = [], {}
+
+    def add(page_id, host, html, text):
+        rows.append((page_id, f"http://{host}.example/{page_id}", html))
+        want[page_id] = text
+    for i in range(20):  # the article in two blocks
+        add(i, "two", f"<body><div><p>{words(i, 40)}</p></div><div><p>{words(-i - 1, 10)}</p></div></body>",
+            f"{words(i, 40)} {words(-i - 1, 10)}")
+    add(99, "lay", "<body><p>not found</p></body>", "not found")  # not the reference of the others
+    for i in range(100, 140):
+        add(i, "lay", f"<body><div class=top><div>Our motto</div></div><div class=story><p>{words(i, 40)}</p></div></body>",
+            words(i, 40))
+    for i in range(140, 160):  # the first block is a teaser here
+        add(i, "lay", f"<body><div><p>{words(i, 2)}</p></div><div><div><p>{words(-i, 40)}</p><p>Sign up</p></div></div></body>",
+            f"{words(i, 2)} {words(-i, 40)}")
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.extracted(pages).collect()} == want
+
+
 def test_tables_pages(spark, sf_small):
     import html as h
     pages = table(spark, sf_small, "pages")

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from html import unescape
@@ -46,7 +47,7 @@ MAIN = frozenset("article main".split())
 #: Never skipped for a name, nor is anything that holds one.
 KEPT = frozenset("html body main article".split())
 
-#: Elements nested deeper are kept as siblings at this depth.
+#: Elements nested deeper, and what they hold, are siblings at this depth.
 MAX_DEPTH = 200
 #: A text node is template if at least this share of its pages agree ...
 CONSTANT = 0.95
@@ -67,6 +68,7 @@ _NAME = re.compile(r"(?<![\w:-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)
 #: An open element of the key is closed by a start tag of the values.
 _CLOSES = {"p": BLOCK - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
            "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
+_CLOSED_BY = {t: [k for k, v in _CLOSES.items() if t in v] for t in frozenset().union(*_CLOSES.values())}
 
 
 class Node:
@@ -85,17 +87,24 @@ class Node:
 
 def parse(html: str) -> Node:
     """DOM tree of a page; text nodes have the tag '#'. Unclosed elements
-    end with their parent."""
+    end with their parent. An element at MAX_DEPTH is open as any other, but
+    what it holds goes to its parent, or to itself where it is skipped."""
     root = Node("#root")
-    stack = [root]
+    stack = [("#root", root, 0)]  # tag, node that takes the children, its depth
+    opened: Counter[str] = Counter()  # open elements by tag
     at = 0
     raw_until = -1
 
     def say(text: str) -> None:
         if text and not text.isspace():
-            stack[-1].children.append(Node("#", text=unescape(text) if "&" in text else text))
+            stack[-1][1].children.append(Node("#", text=unescape(text) if "&" in text else text))
         elif text:
-            stack[-1].children.append(Node("#", text=" "))
+            stack[-1][1].children.append(Node("#", text=" "))
+
+    def close(i: int) -> None:
+        for tag, _, _ in stack[i:]:
+            opened[tag] -= 1
+        del stack[i:]
 
     for m in _TAG.finditer(html):
         if m.start() < raw_until:
@@ -106,28 +115,30 @@ def parse(html: str) -> Node:
         if not tag:
             continue
         if m[1]:
+            if opened[tag]:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag))
+            continue
+        if any(opened[t] for t in _CLOSED_BY.get(tag, ())):
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
+                if tag in _CLOSES.get(stack[i][0], ()):
+                    close(i)
+                    break
+                if stack[i][0] in CONTAINERS or stack[i][0] in ("table", "ul", "ol", "dl"):
                     break
-            continue
-        for i in range(len(stack) - 1, 0, -1):
-            if tag in _CLOSES.get(stack[i].tag, ()):
-                del stack[i:]
-                break
-            if stack[i].tag in CONTAINERS or stack[i].tag in ("table", "ul", "ol", "dl"):
-                break
         values = ["".join(g).strip().lower() for g in _NAME.findall(m[3])]
         names = tuple(w for v in values for w in re.split(r"[\s_-]+", v) if w)
         node = Node(tag, names, named=not SKIPPED_NAMES.isdisjoint(values))
-        stack[-1].children.append(node)
+        _, parent, depth = stack[-1]
+        parent.children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
             stop = end.start() if end else len(html)
             node.children.append(Node("#", text=html[at:stop]))
             at = raw_until = end.end() if end else len(html)
-        elif tag not in VOID and not m[3].rstrip().endswith("/") and len(stack) < MAX_DEPTH:
-            stack.append(node)
+        elif tag not in VOID and not m[3].rstrip().endswith("/"):
+            deeper = depth < MAX_DEPTH - 1 or depth == MAX_DEPTH - 1 and node.skipped
+            stack.append((tag, node, depth + 1) if deeper else (tag, parent, depth))
+            opened[tag] += 1
     say(html[at:] if at >= raw_until else "")
     _finish(root)
     return root

@@ -2,6 +2,7 @@
 table, and on the small tables."""
 
 import hashlib
+import json
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -387,6 +388,22 @@ def test_slots_by_layout_hold_all_varying_text(spark):
     assert {r.page_id: r.text for r in wrappers.extracted(pages).collect()} == want
 
 
+def test_text_after_deep_nests():
+    def nested(tag, text, n=300):
+        return f"<{tag}>" * n + text + f"</{tag}>" * n
+    for inner, want in ((nested("div", "deep"), "deep"), ("<p>" + "<font>" * 300 + "deep", "deep"),
+                        ("<div>" * 250 + "deep<nav><ul><li>menu</ul></nav><p class=ad>x</p>" + "</div>" * 250, "deep"),
+                        (nested("div", "a" + nested("span", "b") + "c"), "abc")):
+        page = wrappers.parse(f"<body><div id=page><div class=story>{inner}<p>rest</p></div><p>end</p></div>out</body>")
+        div = page.children[0].children[0]
+        story = div.children[0]
+        assert wrappers.text_of(story, set()) == f"{want} rest"
+        assert wrappers.text_of(div, set()) == f"{want} rest end"
+        assert wrappers.text_of(page, set()) == f"{want} rest end out"
+        mirror = wrappers.unpack_tree(json.dumps(wrappers.pack_tree(page)))
+        assert len(wrappers.aligned(mirror, page)) == wrappers._size(page)
+
+
 def test_tables_pages(spark, sf_small):
     import html as h
     pages = table(spark, sf_small, "pages")

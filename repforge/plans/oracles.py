@@ -617,6 +617,9 @@ oracle("units_present", """
 SELECT File_index, Author FROM catalogue
 WHERE File_index IN (SELECT File_ID FROM sequences WHERE File_ID % 2 = 0)
 """, "sequences", "catalogue")
+oracle("units_present_all", """
+SELECT File_index, Author FROM catalogue WHERE File_index IN (SELECT File_ID FROM sequences)
+""", "sequences", "catalogue")
 oracle("publication_file_rows", """
 SELECT 'publication_' || translate(group_key, ' ,:;.', '_') || '.csv' AS group_file, Sequence_ID, File_ID
 FROM grouped

@@ -112,33 +112,38 @@ def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
             for ids in words.ids([words_of(t) for t in texts])]
 
 
+def encode_checked(texts: list[str], path: str) -> tuple[list[np.ndarray], list[str], list[bool]]:
+    """The agenda's ids of whole texts, the texts they decode to, and whether
+    the library has the same ids."""
+    ids = encode_texts(texts, path)
+    processor, _ = _model(path)
+    decoded = processor.decode([x.tolist() for x in ids], num_threads=1)
+    library = processor.encode(texts, add_bos=True, add_eos=True, num_threads=1)
+    return ids, decoded, [np.array_equal(x, y) for x, y in zip(ids, library)]
+
+
 SCHEMA = ("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, agrees boolean")
 
 
 def encoded(docs: DataFrame, model_path: str, keep_ids: bool = False, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256 and
-    ``agrees``: whether the agenda's ids equal the library's. Where they do
-    not, the library's ids are returned. ``keep_ids`` adds the ids and the
+    ``agrees``: whether the agenda's ids, from which all else is made, equal
+    the library's. ``keep_ids`` adds the ids and the
     decoded text.
 
     Null and empty texts are encoded as the begin and end ids alone. Rows
     are independent (repeated rows repeat, null ids stay null); an empty
     table gives an empty result; extra columns are ignored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        processor, _ = _model(model_path)
         for b in batches:
             texts, doc_ids = b["text"].to_pylist(), b["doc_id"]
             for low, high in slices(texts, 1_000_000):
-                part = texts[low:high]
-                ours = encode_texts(part, model_path)
-                library = processor.encode(part, add_bos=True, add_eos=True, num_threads=1)
-                decoded = processor.decode(library, num_threads=1)
-                ids = [np.array(x, np.uint32) for x in library]
+                ids, decoded, agrees = encode_checked(texts[low:high], model_path)
                 columns = [doc_ids[low:high], pa.array([len(x) for x in ids], pa.int64()),
                            pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids]),
                            pa.array([hashlib.sha256(x.encode("utf-8")).hexdigest() for x in decoded]),
-                           pa.array([np.array_equal(x, y) for x, y in zip(ours, ids)], pa.bool_())]
+                           pa.array(agrees, pa.bool_())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "agrees"]
                 if keep_ids:
                     columns += [pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),

@@ -203,6 +203,14 @@ def test_sentencepiece_ids(docs):
     assert counted(sentencepieces.encoded(docs, SP).collect()) == counted(want)
 
 
+def test_sentencepiece_rows_are_the_agendas(monkeypatch):
+    words = sentencepieces.encode_texts(["other words"], SP)[0]
+    monkeypatch.setattr(sentencepieces, "encode_texts", lambda texts, path: [words for _ in texts])
+    ids, decoded, agrees = sentencepieces.encode_checked(["some text", "other words"], SP)
+    assert [x.tolist() for x in ids] == [words.tolist()] * 2
+    assert decoded == ["other words"] * 2 and agrees == [False, True]
+
+
 def test_packing_whole(docs):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(BPE)

@@ -59,11 +59,28 @@ def keep_owners(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by n-gram Jaccard 0.8 or more, directly or over
-    others, the one with the smallest id. Rows without an id stay."""
-    found = ngram_join.joined(docs)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id"))
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    """Of rows linked by n-gram Jaccard 0.8 or more, directly or over others,
+    the one with the smallest id (null last; of one id the smallest hash of
+    id and text). Rows of another text under the same id are not touched;
+    texts without an n-gram link with nothing and stay."""
+    key = fresh("row")
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))))
+    scratch = Scratch(spark)
+    found = scratch.save(ngram_join.joined(keyed, id_col=key).filter("n_shingles > 0")
+                         .groupBy(F.col("doc_id").alias("member"), "component_id").agg(F.count("*").alias("rows")),
+                         "linked")
+    ids = keyed.groupBy(F.col(key).alias("member")).agg(F.min(F.col("doc_id").cast("long")).alias("id"))
+    keepers = (found.join(ids, "member").groupBy("component_id")
+               .agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "member")).alias("least"))
+               .select(F.col("least.member").alias("member")))
+    gone = found.join(keepers, "member", "left_anti")
+    kept = keyed.join(gone, F.col(key) == F.col("member"), "left_anti")
+    repeated = found.filter("rows > 1").select("member")
+    if repeated.limit(1).count() == 0:
+        return kept.drop(key)
+    same = F.col(key) == F.col("member")
+    return (kept.join(repeated, same, "left_anti")
+            .unionByName(kept.join(repeated, same, "left_semi").dropDuplicates([key])).drop(key))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,6 +41,17 @@ def test_near_copy_stage(spark, sf_small):
     assert {r.doc_id for r in corpus_pipeline.keep_one_near_copy(spark, docs, sf_small).collect()} == want
 
 
+def test_near_copies_with_repeated_and_null_ids(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    other, lone = " ".join(f"v{i}" for i in range(60)), " ".join(f"u{i}" for i in range(60))
+    rows = [(1, text), (7, text + " tail"), (7, lone), (4, other), (4, other), (4, other + " end"), (None, text + " x"),
+            (None, "p " + lone + " q"), (8, ""), (8, ""), (None, None)]
+    got = Counter(rows_of(corpus_pipeline.keep_one_near_copy(spark, frame(spark, rows), "")))
+    fours = [r for r in got if r[0] == 4]
+    assert len(fours) == 1 and got[fours[0]] == 1
+    assert {r: n for r, n in got.items() if r[0] != 4} == Counter([(1, text), (7, lone), (8, ""), (8, ""), (None, None)])
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_stages_on_odd_and_empty_rows(spark, sf_small, odd, nothing, name):
     stage = dict(corpus_pipeline.STAGES)[name]

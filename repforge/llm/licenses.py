@@ -95,7 +95,8 @@ def _scanner(notices: tuple[Notice, ...]):
 
 def scan(joined: str, notices: tuple[Notice, ...] = NOTICES) -> list[tuple[int, int, int, int]]:
     """(notice, start, end, edits) of every match in the joined words: every
-    place without edits, and the best match around each other seed."""
+    place without edits, and around the other seeds the best match and those
+    beside it."""
     automaton, fuzzy = _scanner(notices)
     found: dict[tuple[int, int], tuple[int, int]] = {}
     windows: dict[int, list[list[int]]] = {}
@@ -120,11 +121,17 @@ def scan(joined: str, notices: tuple[Notice, ...] = NOTICES) -> list[tuple[int,
                     spans.append([low, high])
     for i, spans in windows.items():
         exact = sorted((s, e[0]) for (j, s), e in found.items() if j == i)
-        for low, high in spans:
-            for m in fuzzy[i].finditer(joined, low, high):
-                # ^ and $ of the window are word boundaries by construction
-                if not any(s < m.end() and m.start() < e for s, e in exact):
-                    found[i, m.start()] = (m.end(), sum(m.fuzzy_counts))
+        least = len(notices[i].phrase) - notices[i].edits
+        while spans:
+            low, high = spans.pop()
+            # ^ and $ of the window are word boundaries by construction
+            m = fuzzy[i].search(joined, low, high) if high - low >= least else None
+            if m is None:
+                continue
+            if not any(s < m.end() and m.start() < e for s, e in exact):
+                found[i, m.start()] = (m.end(), sum(m.fuzzy_counts))
+            # the best match of the window may stand behind weaker ones
+            spans += [[low, m.start() - 1], [m.end() + 1, high]]
     return sorted((i, s, e, k) for (i, s), (e, k) in found.items())
 
 

@@ -203,6 +203,14 @@ def test_sentencepiece_ids(docs):
     assert counted(sentencepieces.encoded(docs, SP).collect()) == counted(want)
 
 
+def test_weaker_notices_beside_a_better_one():
+    notice = licenses.Notice("mit", "under the mit license")
+    for text in ("under thx mitt license foo under the mitt license", "under thx mit license under the mit license",
+                 "under the mit license under thx mit license", "undr the mitt license under the mitt license under thx mt license"):
+        got = [text[s:e] for _, s, e, _ in licenses.scan(text, (notice,))]
+        assert got == ["un" + t.strip().removesuffix(" foo") for t in text.split("un")[1:]], text
+
+
 def test_sentencepiece_rows_are_the_agendas(monkeypatch):
     words = sentencepieces.encode_texts(["other words"], SP)[0]
     monkeypatch.setattr(sentencepieces, "encode_texts", lambda texts, path: [words for _ in texts])

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repforge.llm import licenses, ngram_join, packing, quality, revisits, sentencepieces, toxicity, trie_dedup, walks, wrappers
+from repforge.llm import (centroids, licenses, ngram_join, packing, quality, revisits, sentencepieces, token_counts,
+                          toxicity, trie_dedup, turns, walks, wrappers)
 from repforge.llm.common import table
 
 
@@ -59,9 +60,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), sequence=2048, end_id=1)
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair_digest(turns.damaged(turns.rows_of(table(spark, sf_dir, "conversations"))))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"), size=64, scale=64, k=16, rounds=3)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=1024)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_edit_fingerprints, op3_quality, op4_warc_revisits, op5_exact_dedup, op6_ngram_join, op7_sentencepiece, op8_html_wrappers,
-    op9_toxicity, op10_packing)}
+    op9_toxicity, op10_packing, op11_turn_repair, op12_centroids, op13_token_counts)}
 
 _CRAWL = """
 WITH p AS (SELECT page_id, url, md5(coalesce(html, '')) AS digest, v AS visit

@@ -262,7 +262,9 @@ def _with_costs_ahead(cut: DataFrame) -> DataFrame:
 
     order = [F.col("conv_id").asc_nulls_first(), F.col("turn").desc_nulls_last(), F.col("role").desc(),
              F.col("text_sha").desc(), F.col("part").desc()]
-    return map_arrow(cut.repartition("conv_id").sortWithinPartitions(*order), run, schema)
+    # a fixed number: few bytes, much work, so partitions must not be merged by size
+    n = int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return map_arrow(cut.repartition(n, "conv_id").sortWithinPartitions(*order), run, schema)
 
 
 # --- repair ---------------------------------------------------------------------

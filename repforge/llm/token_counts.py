@@ -143,12 +143,17 @@ def frequent_lengths(docs: DataFrame, path: str, rows: int = SAMPLE_ROWS, chars:
                      size: int = FREQUENT) -> dict[str, int]:
     """pre-token -> token count, for at most ``size`` of the most frequent
     pre-tokens of a bounded sample: the first ``rows`` documents in the order
-    of a hash of id and text, as long as they hold ``chars`` together.
+    of a hash of id and length, as long as they hold ``chars`` together.
     A document that holds more alone is passed over."""
     n, order = fresh("n"), fresh("order")
+    sized = docs.select("text", F.length("text").alias(n)).filter(F.col(n).between(1, chars))
+    total = sized.count()
+    # a task passes on the few rows that can be among the first, no more
+    below = F.lit(min(2 ** 63 - 1, int(2 * rows / max(total, 1) * 2 ** 64) - 2 ** 63))
     along = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    sample = (docs.select("text", F.length("text").alias(n), F.xxhash64("doc_id", "text").alias(order))
-              .filter(F.col(n).between(1, chars)).orderBy(order).limit(rows)
+    sample = (docs.select("text", F.length("text").alias(n))
+              .withColumn(order, F.xxhash64("doc_id", n))
+              .filter(F.col(n).between(1, chars) & (F.col(order) <= below)).orderBy(order).limit(rows)
               .withColumn(n, F.sum(n).over(along))  # at most ``rows`` rows
               .filter(F.col(n) <= chars).select("text"))
 

@@ -151,7 +151,7 @@ def frequent_lengths(docs: DataFrame, path: str, rows: int = SAMPLE_ROWS, chars:
     # a task passes on the few rows that can be among the first, no more
     below = F.lit(min(2 ** 63 - 1, int(2 * rows / max(total, 1) * 2 ** 64) - 2 ** 63))
     along = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    sample = (docs.select("text", F.length("text").alias(n))
+    sample = (docs.select("doc_id", "text", F.length("text").alias(n))
               .withColumn(order, F.xxhash64("doc_id", n))
               .filter(F.col(n).between(1, chars) & (F.col(order) <= below)).orderBy(order).limit(rows)
               .withColumn(n, F.sum(n).over(along))  # at most ``rows`` rows

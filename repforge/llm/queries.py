@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from repforge.llm import (centroids, licenses, ngram_join, packing, quality, revisits, sentencepieces, token_counts,
                           toxicity, trie_dedup, turns, walks, wrappers)
 from repforge.llm.common import table
+from repforge.llm.oracles import centroid_sql, repair_sql
 
 
 def vocabulary(name: str) -> str:
@@ -122,4 +123,6 @@ ORACLES = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op11_turn_repair": repair_sql(),
+    "op12_centroids": centroid_sql(),
 }

@@ -17,7 +17,7 @@ from repforge.operators import sampling, splits
 from repforge.operators.filters import select_units
 from repforge.operators.groups import assign_groups
 from repforge.session import materialize
-from repforge.sources import corpus
+from repforge.sources import corpus, fused
 from repforge.sources import units as U
 
 # Default kept columns and stage parameters of the workflow.
@@ -55,16 +55,9 @@ def ingest_selected(spark: SparkSession, catalogue: DataFrame, unit_paths: DataF
     lost = [i for i, path in chosen if path is None]
     if lost:
         raise ValueError(f"{len(lost)} selected units have no path, e.g. {lost[:5]}")
-    lines = U.number_lines(U.read_unit_lines(spark, [path for _, path in chosen]))
-    known = (spark.createDataFrame([(U.file_uri(spark, path), i) for i, path in chosen], "uri string, File_index long")
-             .withColumn("uri", U.same_uri(F.col("uri"))))
-    read = lines.select(U.same_uri(F.col("unit_path")).alias("uri")).distinct()
-    silent = known.join(read, "uri", "left_anti")
-    if silent.limit(1).count():
-        raise ValueError(f"{silent.count()} selected units gave no line, e.g. {silent.first().asDict()}")
-    named = lines.withColumn("uri", U.same_uri(F.col("unit_path"))).join(known, "uri")
-    parsed = U.parse_units(named, file_id=F.col("File_index"))
-    return U.ingest(parsed, cfg.columns_to_keep, cfg.n_lines, cfg.filter_by_region_length)
+    ids = spark.createDataFrame([(U.file_uri(spark, path), i) for i, path in chosen], "uri string, File_ID long")
+    return fused.ingest(fused.unit_lines(spark, [path for _, path in chosen]), cfg.columns_to_keep, cfg.n_lines,
+                        cfg.filter_by_region_length, ids=ids)
 
 
 def curate(spark: SparkSession, catalogue: DataFrame, unit_paths: DataFrame,

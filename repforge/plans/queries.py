@@ -447,6 +447,7 @@ def q_representatives(spark, sf):
 
 
 # ----------------------------------------------------------------- ingest
+from repforge.sources import fused  # noqa: E402
 from repforge.sources import units as U  # noqa: E402
 
 _UNIT_DIRS: dict[tuple[str, str], str] = {}
@@ -464,37 +465,38 @@ def _unit_files(spark, sf):
     return _UNIT_DIRS[key]
 
 
-def _numbered_units(spark, sf):
-    path = _unit_files(spark, sf)
-    lines = U.read_unit_lines(spark, f"{path}/unit=*/*.gz")
-    return U.number_lines(lines, unit=U.unit_folder(F.col("file_path")))
+def _unit_lines(spark, sf):
+    return fused.unit_lines(spark, f"{_unit_files(spark, sf)}/unit=*/*.gz")
+
+
+def _unit():
+    """A unit is a folder of part files."""
+    return U.unit_folder(F.col("file_path"))
 
 
 @query("read_units")
 def q_read_units(spark, sf):
-    p = U.parse_units(_numbered_units(spark, sf))
-    return p.select("File_ID", "line", "locus", "v_call", *REGIONS, "Redundancy")
+    return fused.read_units(_unit_lines(spark, sf), ["locus", "v_call", *REGIONS, "Redundancy"], _unit())
 
 
 @query("assign_sequence_ids")
 def q_assign_sequence_ids(spark, sf):
-    return U.ingest(U.parse_units(_numbered_units(spark, sf)), COLUMNS_TO_KEEP)
+    return fused.ingest(_unit_lines(spark, sf), COLUMNS_TO_KEEP, unit=_unit())
 
 
 @query("every_nth")
 def q_every_nth(spark, sf):
-    return U.ingest(U.parse_units(_numbered_units(spark, sf)), COLUMNS_TO_KEEP, nth=NTH)
+    return fused.ingest(_unit_lines(spark, sf), COLUMNS_TO_KEEP, nth=NTH, unit=_unit())
 
 
 @query("ingest_unfiltered")
 def q_ingest_unfiltered(spark, sf):
-    return U.ingest(U.parse_units(_numbered_units(spark, sf)), COLUMNS_TO_KEEP,
-                    length_filter=False)
+    return fused.ingest(_unit_lines(spark, sf), COLUMNS_TO_KEEP, length_filter=False, unit=_unit())
 
 
 @query("unit_manifest")
 def q_unit_manifest(spark, sf):
-    m = U.unit_manifest(_numbered_units(spark, sf))
+    m = fused.manifest(_unit_lines(spark, sf), _unit())
     return m.select(U.unit_id(F.col("unit_path")).alias("File_ID"),
                     "first_line", "n_lines", "bytes", "Size_MB")
 

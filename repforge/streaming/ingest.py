@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from repforge.sources import units as U
+from repforge.sources import fused
 from repforge.sources.tables import exists
 
 
@@ -38,8 +38,7 @@ def ingest_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
                           F.col("_metadata.file_block_start").alias("block"), "value"))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        numbered = U.number_lines(U.count_rows(df))
-        rows = U.ingest(U.parse_units(numbered), columns, nth, length_filter)
+        rows = fused.ingest(df, columns, nth, length_filter)
         offset = _offset(spark, sink_dir, batch_id)
         out = f"{sink_dir}/batch={batch_id}"
         (rows.withColumn("Sequence_ID", F.col("Sequence_ID") + F.lit(offset))

@@ -103,11 +103,39 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], bucket_cols: Sequence[
         *group_cols, *bucket_cols, "_rk_start")
     keys = [*group_cols, *bucket_cols]
     w = Window.partitionBy(*keys).orderBy(*_cols(order_cols))
-    return (df.join(offsets, keys, "inner")
+    return (_beside(df, offsets, keys)
               .withColumn(rank_col, F.col("_rk_start") + F.row_number().over(w))
               .drop("_rk_start"))
 
 
+def _beside(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the columns of its bucket; a null bucket is one, too."""
+    renamed = small.select(*[F.col(k).alias(f"_rk_key{i}") if k in keys else F.col(k)
+                             for i, k in enumerate(small.columns)])
+    names = {k: f"_rk_key{i}" for i, k in enumerate(small.columns)}
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(F.col(names[k])) for k in keys], F.lit(True))
+    return df.join(renamed, same, "inner").drop(*names.values())
+
+
+def ordered_ranks(df: DataFrame, order_cols: Sequence[str], rank_col: str = "rank") -> DataFrame:
+    """1-based rank of every row in ``order_cols`` order (nulls first, ties
+    in any order) without a window: rows are dealt out by range, sorted and
+    written with their place in their part; the parts' sizes, one number for
+    each, give what comes before."""
+    from repforge.session import materialize
+    dealt = materialize(df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+                        .withColumn("_m", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_m", 33).cast("int")
+    before, starts = 0, []
+    for r in sorted(dealt.groupBy(part.alias("part")).count().collect()):
+        starts.append((r["part"], before))
+        before += r["count"]
+    table = df.sparkSession.createDataFrame(starts, "_part int, _before bigint")
+    place = F.col("_before") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return (dealt.withColumn("_part", part).join(F.broadcast(table), "_part")  # a row for each part
+            .withColumn(rank_col, place).drop("_part", "_before", "_m"))
+
+
 def _count_exceeded(value: Column, cutoffs: Sequence[Column]) -> Column:
     """How many cut-offs ``value`` is strictly above."""
     return reduce(lambda a, b: a + b,
@@ -152,7 +180,7 @@ def cut_by_rank(df: DataFrame, order_cols: Sequence[str], bucket_cols: Sequence[
     # other (per group, or many buckets) is counted before it is broadcast.
     small = not group_cols and max_buckets is not None and max_buckets <= SMALL_BUCKET_TABLE
     offsets = F.broadcast(offsets) if small else broadcast_checked(offsets)
-    joined = df.join(offsets, keys, "inner")
+    joined = _beside(df, offsets, keys)
     whole = (joined.where(~F.col("_rk_split"))
                    .withColumn(label_col, F.col("_rk_label")))
     w = Window.partitionBy(*keys).orderBy(*_cols(order_cols))

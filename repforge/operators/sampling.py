@@ -2,68 +2,60 @@
 
 Random order is the seeded md5 key of the sequence id, so a sample is exact
 in size and reproducible; ``df.sample`` is only approximate and is not used.
-Large groups are split into hex sub-buckets, so a publication with a third
-of all rows is ranked by many tasks.
+A sample is a filter: the bound of its last row is found by counting
+(``operators.bounds``), for a whole table or for each group. Rows without an
+id take part; they come last in every order.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from repforge.operators.bounds import cut, first_per_group, hash_place, id_place
 from repforge.operators.groups import GROUP_COL, assign_groups
-from repforge.operators.ranks import (DEFAULT_SEED, KEY_COL, broadcast_checked, cut_by_rank,
-                                      hex_digits, hex_digits_col, id_width, with_hash_order)
+from repforge.operators.ranks import DEFAULT_SEED, hash_key, ordered_ranks
 from repforge.session import materialize
 
 SCHEMES = ("random", "balance_individuals", "balance_publications")
 
 
-def _drop_rank_cols(df: DataFrame) -> DataFrame:
-    return df.drop(KEY_COL, "_rk_bucket", "part")
-
-
-def sample_exact(df: DataFrame, n: int, id_col: str = "Sequence_ID",
-                 seed: int = DEFAULT_SEED, digits: int | None = None) -> DataFrame:
+def sample_exact(df: DataFrame, n: int, id_col: str = "Sequence_ID", seed: int = DEFAULT_SEED) -> DataFrame:
     """Exactly ``n`` rows without replacement; error if ``n`` exceeds the
-    rows. The picked rows are the ``n`` smallest md5 keys. Buckets are
-    sized from the row count (``hex_digits``)."""
-    total = df.count()
-    if n > total:
-        raise ValueError(f"requested sample size ({n}) is larger than total sequences ({total})")
-    digits = digits or hex_digits(total)
-    keyed = with_hash_order(df, id_col, seed, digits)
-    cut = cut_by_rank(keyed, [KEY_COL, id_col], ["_rk_bucket"], [n], max_buckets=16 ** digits)
-    return _drop_rank_cols(cut.where(F.col("part") == 0))
+    rows. The picked rows are the ``n`` smallest md5 keys."""
+    def cutoffs(total: int) -> list[int]:
+        if n > total:
+            raise ValueError(f"requested sample size ({n}) is larger than total sequences ({total})")
+        return [n]
+    part = cut(df, hash_place(id_col, seed), cutoffs, "_part", ties=[hash_key(id_col, seed)])
+    return part.where(F.col("_part") == 0).drop("_part")
 
 
-def group_counts(df: DataFrame, group_col: str = GROUP_COL) -> DataFrame:
-    return df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n_rows"))
+def group_counts(df: DataFrame, group_col: str = GROUP_COL, id_col: str = "Sequence_ID") -> DataFrame:
+    """Per group: ``n_rows``, ``n_keyed`` (rows with an id), ``low`` and
+    ``high`` (least and largest id)."""
+    return df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n_rows"), F.count(id_col).alias("n_keyed"),
+                                     F.min(id_col).cast("bigint").alias("low"),
+                                     F.max(id_col).cast("bigint").alias("high"))
 
 
 def sample_per_group(df: DataFrame, quota: int, group_col: str = GROUP_COL,
                      id_col: str = "Sequence_ID", seed: int = DEFAULT_SEED,
                      counts: DataFrame | None = None) -> DataFrame:
     """``quota`` rows from every group (md5 order within the group); error
-    if a group has fewer rows. ``counts`` (one row per group, ``n_rows``)
-    is reused when the caller already has it. Each group's bucket width
-    follows its own size, so a hot group gets more buckets, not larger ones."""
+    if a group has fewer rows. ``counts`` (``group_counts``, written) is
+    reused when the caller already has it."""
     if counts is None:
-        counts = materialize(group_counts(df, group_col), "group-counts")
+        counts = materialize(group_counts(df, group_col, id_col), "group-counts")
     short = counts.where(F.col("n_rows") < quota)
     n_short = short.count()
     if n_short:
         raise ValueError(f"{n_short} groups with fewer than {quota} rows, e.g. "
                          f"{[(r[0], r[1]) for r in short.orderBy(group_col).limit(10).collect()]}")
-    digits = broadcast_checked(counts.select(
-        group_col, hex_digits_col(F.col("n_rows")).alias("_rk_digits")))
-    keyed = with_hash_order(df.join(digits, group_col, "inner"), id_col, seed,
-                            F.col("_rk_digits")).drop("_rk_digits")
-    cut = cut_by_rank(keyed, [KEY_COL, id_col], ["_rk_bucket"], [quota],
-                      group_cols=[group_col])
-    return _drop_rank_cols(cut.where(F.col("part") == 0))
+    quotas = counts.withColumn("quota", F.lit(int(quota)).cast("bigint"))
+    return first_per_group(df, group_col, hash_place(id_col, seed), quotas, ties=[hash_key(id_col, seed)])
 
 
 def sample_balanced(df: DataFrame, total: int, group_col: str = GROUP_COL,
@@ -71,7 +63,7 @@ def sample_balanced(df: DataFrame, total: int, group_col: str = GROUP_COL,
     """The same number, ``ceil(total / groups)``, from every group. One pass
     gives the per-group counts (written once, one row per group); the group
     count and the shortage check both read that small table."""
-    counts = materialize(group_counts(df, group_col), "group-counts")
+    counts = materialize(group_counts(df, group_col, id_col), "group-counts")
     n_groups = counts.count()
     if n_groups == 0:
         raise ValueError("no groups to sample from")
@@ -79,53 +71,50 @@ def sample_balanced(df: DataFrame, total: int, group_col: str = GROUP_COL,
                             counts=counts)
 
 
+def water_level(sizes: list[tuple[int, int]], total: int) -> tuple[int, int]:
+    """``sizes``: (group size, groups of that size). The largest level R with
+    sum(min(size, R)) <= total, and what then remains of ``total``."""
+    level, left = 0, total
+    groups = sum(g for _, g in sizes)
+    for size, g in sorted(sizes):
+        if (size - level) * groups > left:
+            return level + left // groups, left % groups
+        left -= (size - level) * groups
+        level, groups = size, groups - g
+    return level, 0
+
+
 def round_robin_quotas(counts: DataFrame, total: int, group_col: str = GROUP_COL) -> DataFrame:
     """Per group, how many rows round-robin sampling takes.
 
     One row per group per round, exhausted groups leave, stop at ``total``.
     Closed form: R = largest level with sum(min(n, R)) <= total; every
     group gives min(n, R) and the first ``total - that`` groups (by name)
-    with more than R rows give one more. Runs on the per-group counts only.
+    with more than R rows give one more. R comes from the number of groups
+    of each size: N rows have at most sqrt(2 N) different sizes. Names are
+    ranked by range, and only where some groups give one more.
     """
-    N = F.lit(int(total))
-    by_size = Window.orderBy("n_rows", group_col)
-    everything = Window.partitionBy()
-    c = (counts
-         .withColumn("_i", F.row_number().over(by_size))
-         .withColumn("_g", F.count(F.lit(1)).over(everything))
-         .withColumn("_before", F.coalesce(F.sum("n_rows").over(
-             by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-         .withColumn("_prev", F.coalesce(F.lag("n_rows").over(by_size), F.lit(0))))
-    remaining = F.col("_g") - F.col("_i") + 1
-    level = F.least(F.col("n_rows"), F.floor((N - F.col("_before")) / remaining))
-    c = c.withColumn("_lvl", F.when((N >= F.col("_before")) & (level >= F.col("_prev")), level))
-    c = c.withColumn("_R", F.max("_lvl").over(everything))
-    c = c.withColumn("_base", F.least(F.col("n_rows"), F.col("_R")))
-    c = c.withColumn("_extra_n", N - F.sum("_base").over(everything))
-    by_name = Window.partitionBy(F.col("n_rows") > F.col("_R")).orderBy(group_col)
-    c = c.withColumn("_j", F.row_number().over(by_name))
-    extra = (F.col("n_rows") > F.col("_R")) & (F.col("_j") <= F.col("_extra_n"))
-    return c.select(group_col, "n_rows",
-                    (F.col("_base") + F.when(extra, 1).otherwise(0)).cast("bigint").alias("quota"))
+    sizes = [(r["n_rows"], r["count"]) for r in counts.groupBy("n_rows").count().collect()]
+    level, extra = water_level(sizes, int(total))
+    flat = counts.select(group_col, "n_rows", F.least("n_rows", F.lit(level)).cast("bigint").alias("quota"))
+    if not extra:
+        return flat
+    ranked = ordered_ranks(flat.where(F.col("n_rows") > level), [group_col], "_rank")
+    more = F.when(F.col("_rank") <= extra, 1).otherwise(0)
+    return flat.where(F.col("n_rows") <= level).unionByName(
+        ranked.withColumn("quota", F.col("quota") + more).drop("_rank"))
 
 
 def sample_round_robin(df: DataFrame, total: int, group_col: str = GROUP_COL,
                        id_col: str = "Sequence_ID") -> DataFrame:
     """Round-robin sample: rows are taken in id (file) order within each
-    group, up to the group's round-robin quota. Fewer than ``total`` rows
-    only when every group is exhausted."""
-    # one pass: per-group counts and id range (each group has its own bins)
-    stats = materialize(df.groupBy(group_col).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi")),
-        "group-counts")
-    quotas = broadcast_checked(
-        round_robin_quotas(stats.select(group_col, "n_rows"), total, group_col)
-        .join(stats.drop("n_rows"), group_col)
-        .select(group_col, "quota", "_lo", id_width(F.col("_lo"), F.col("_hi"), F.col("n_rows")).alias("_width")))
-    keyed = (df.join(quotas, group_col, "inner")
-               .withColumn("_rk_bucket", F.expr(f"({id_col} - _lo) div _width")).drop("_lo", "_width"))
-    cut = cut_by_rank(keyed, [id_col], ["_rk_bucket"], ["quota"], group_cols=[group_col])
-    return cut.where(F.col("part") == 0).drop("_rk_bucket", "part", "quota")
+    group, up to the group's round-robin quota; rows without an id come
+    last. Fewer than ``total`` rows only when every group is exhausted."""
+    stats = materialize(group_counts(df, group_col, id_col), "group-counts")
+    quotas = round_robin_quotas(stats.select(group_col, "n_rows"), total, group_col).select(
+        F.col(group_col).alias("_q"), "quota")
+    quotas = materialize(stats.join(quotas, stats[group_col].eqNullSafe(F.col("_q"))).drop("_q"), "quotas")
+    return first_per_group(df, group_col, id_place(id_col), quotas, hashed=False)
 
 
 def sampling_distribution(sample: DataFrame, groups: DataFrame,

@@ -1,18 +1,20 @@
 """Train / validation / test splits and contiguous folds.
 
-Each is one pass of ``cut_by_rank``: rows are labelled by their exact rank
-in seeded md5 order (or id order for folds) without a global sort.
+Each row's part follows from its place in seeded md5 order (or id order for
+folds) and the exact bounds of the parts (``operators.bounds``): no sort, no
+join, no rank. Rows without an id come last in every order and keep a part.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repforge.operators.ranks import (DEFAULT_SEED, KEY_COL, cut_by_rank, hex_digits, id_bins,
-                                      with_hash_order)
+from repforge.operators.bounds import cut, hash_place, id_place
+from repforge.operators.ranks import DEFAULT_SEED, hash_key
 
 SPLIT_NAMES = ["train", "val", "test"]
 
@@ -24,18 +26,19 @@ def split_counts_fraction(total: int, train_fraction: float, val_fraction: float
     return t, v
 
 
-def _label(df: DataFrame, cutoffs: list[int], id_col: str, seed: int,
-           n_rows: int) -> DataFrame:
-    digits = hex_digits(n_rows)
-    keyed = with_hash_order(df, id_col, seed, digits)
-    cut = cut_by_rank(keyed, [KEY_COL, id_col], ["_rk_bucket"], cutoffs, max_buckets=16 ** digits)
-    return cut.drop(KEY_COL, "_rk_bucket")
-
-
-def _named(df: DataFrame) -> DataFrame:
+def _split(df: DataFrame, parts: Callable[[int], tuple[int, int]], id_col: str, seed: int, cap: int) -> DataFrame:
+    """``parts`` gives the rows of train and val from the number of rows."""
+    def cutoffs(n_rows: int) -> list[int]:
+        total = min(n_rows, cap) if cap > 0 else n_rows
+        train, val = parts(total)
+        if train + val > total:
+            raise ValueError(f"training + validation sequences ({train + val}) exceed "
+                             f"total available ({total})")
+        return [train, train + val] + ([total] if cap > 0 else [])
+    out = cut(df, hash_place(id_col, seed), cutoffs, ties=[hash_key(id_col, seed)])
     name = (F.when(F.col("part") == 0, "train").when(F.col("part") == 1, "val")
               .otherwise("test"))
-    return df.withColumn("split", name).drop("part")
+    return out.where(F.col("part") < 3).withColumn("split", name).drop("part")
 
 
 def split_numbers(df: DataFrame, train: int, val: int, id_col: str = "Sequence_ID",
@@ -43,46 +46,24 @@ def split_numbers(df: DataFrame, train: int, val: int, id_col: str = "Sequence_I
     """First ``train`` rows of the seeded shuffle -> train, next ``val`` ->
     val, the rest -> test. ``cap > 0`` keeps only the first ``cap`` rows of
     the shuffle before splitting. Error if train + val exceed the rows."""
-    n_rows = df.count()
-    total = min(n_rows, cap) if cap > 0 else n_rows
-    if train + val > total:
-        raise ValueError(f"training + validation sequences ({train + val}) exceed "
-                         f"total available ({total})")
-    cutoffs = [train, train + val] + ([total] if cap > 0 else [])
-    out = _label(df, cutoffs, id_col, seed, n_rows)
-    if cap > 0:
-        out = out.where(F.col("part") < 3)
-    return _named(out)
+    return _split(df, lambda total: (train, val), id_col, seed, cap)
 
 
 def split_fraction(df: DataFrame, train_fraction: float, val_fraction: float,
                    id_col: str = "Sequence_ID", seed: int = DEFAULT_SEED,
                    cap: int = 0) -> DataFrame:
     """Like ``split_numbers`` with counts ``int(fraction * total)``."""
-    n_rows = df.count()
-    total = min(n_rows, cap) if cap > 0 else n_rows
-    t, v = split_counts_fraction(total, train_fraction, val_fraction)
-    cutoffs = [t, t + v] + ([total] if cap > 0 else [])
-    out = _label(df, cutoffs, id_col, seed, n_rows)
-    if cap > 0:
-        out = out.where(F.col("part") < 3)
-    return _named(out)
+    return _split(df, lambda total: split_counts_fraction(total, train_fraction, val_fraction), id_col, seed, cap)
 
 
 def kfold(df: DataFrame, k: int, id_col: str = "Sequence_ID") -> DataFrame:
     """Contiguous folds in id order; the first ``n % k`` folds are one row
     larger. Adds ``fold`` (0-based); fold i's test part is ``fold == i``."""
-    n = df.count()
-    if k < 2 or k > n:
-        raise ValueError(f"need 2 <= k <= rows ({n}), got k={k}")
-    sizes = [n // k + (1 if i < n % k else 0) for i in range(k)]
-    cutoffs, acc = [], 0
-    for s in sizes[:-1]:
-        acc += s
-        cutoffs.append(acc)
-    keyed = df.withColumn("_rk_bucket", id_bins(df, id_col))
-    cut = cut_by_rank(keyed, [id_col], ["_rk_bucket"], cutoffs)
-    return cut.withColumnRenamed("part", "fold").drop("_rk_bucket")
+    def cutoffs(n: int) -> list[int]:
+        if k < 2 or k > n:
+            raise ValueError(f"need 2 <= k <= rows ({n}), got k={k}")
+        return [i * (n // k) + min(i, n % k) for i in range(1, k)]
+    return cut(df, id_place(id_col), cutoffs, "fold", hashed=False)
 
 
 def write_splits(split_df: DataFrame, path: str, text_col: str | None = None) -> None:

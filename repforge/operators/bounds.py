@@ -193,7 +193,7 @@ def group_bounds(places: DataFrame, group_col: str, targets: DataFrame, hashed:
     width = (F.when((F.col("expected") <= GROUP_LISTED) | (lo == hi), F.lit(1).cast("bigint"))
              .otherwise(F.greatest(F.ceil((hi - lo + 1) / GROUP_BINS), F.lit(1)).cast("bigint")))
     done: list[DataFrame] = []
-    todo = materialize(targets.select(group_col, "quota", "low", "high", "expected"), "group-targets")
+    todo = targets.select(group_col, "quota", "low", "high", "expected")
     while todo.limit(1).count():
         ranges = broadcast_checked(todo.withColumn("width", width).select(
             F.col(group_col).alias("_g"), "low", "high", "width"))
@@ -212,12 +212,11 @@ def group_bounds(places: DataFrame, group_col: str, targets: DataFrame, hashed:
         done.append(state.where(exact).select(group_col, F.col("first").alias("place"), "inside",
                                               F.col("c").alias("there")))
         missed_low, missed_high = F.col("bin") == -1, F.col("bin").isNull()
-        todo = materialize(state.where(~F.coalesce(exact, F.lit(False))).select(
+        todo = state.where(~F.coalesce(exact, F.lit(False))).select(
             group_col, "quota",
-            F.when(missed_high, hi + 1).when(missed_low, F.col("first")).otherwise(F.col("first")).alias("low"),
+            F.when(missed_high, hi + 1).otherwise(F.col("first")).alias("low"),
             F.when(missed_high, F.lit(LAST - 1)).when(missed_low, lo - 1).otherwise(F.col("last")).alias("high"),
-            F.when(missed_high, F.lit(float("inf"))).otherwise(F.col("c").cast("double")).alias("expected")),
-            "group-targets")
+            F.when(missed_high, F.lit(float("inf"))).otherwise(F.col("c").cast("double")).alias("expected"))
     return reduce(DataFrame.unionByName, done) if done else targets.limit(0).select(
         group_col, *[F.lit(0).cast("bigint").alias(c) for c in ("place", "inside", "there")])
 
@@ -231,7 +230,7 @@ def first_per_group(df: DataFrame, group_col: str, place: Column, quotas: DataFr
     places = df.select(group_col, place.alias(P))
     inner = quotas.where("quota > 0 and quota < n_rows").select(
         group_col, "quota", F.col("n_keyed").alias("n"), "low", "high")
-    found = materialize(group_bounds(places, group_col, inner, hashed), "bounds")
+    found = group_bounds(places, group_col, inner, hashed)
     whole = quotas.where("quota >= n_rows").select(
         group_col, F.lit(LAST).alias("place"), F.lit(0).cast("bigint").alias("inside"),
         F.lit(0).cast("bigint").alias("there"))

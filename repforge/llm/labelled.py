@@ -17,7 +17,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int,
                   rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> DataFrame:
     """(text, label) of at most ``rows`` labelled documents whose
     crc32(doc_id) mod ``modulus`` is not ``held_out``. Null labels and ids
-    are skipped; where an id has several labels the largest counts."""
+    are skipped; where an id has several labels the largest counts, where it
+    has several texts the largest one."""
     marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
              .filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull()
                      & (crc_remainder(F.col("doc_id"), modulus) != held_out))
@@ -30,5 +31,5 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int,
     chosen = (first.withColumn("so_far", F.sum("n").over(along))  # at most ``rows`` rows
               .filter((F.col("so_far") <= chars)).select("doc_id", "label"))
     return (texts.join(F.broadcast(chosen), "doc_id")
-            .groupBy("doc_id").agg(F.first("text").alias("text"), F.first("label").alias("label"))
+            .groupBy("doc_id").agg(F.max("text").alias("text"), F.max("label").alias("label"))
             .select("doc_id", "text", "label"))

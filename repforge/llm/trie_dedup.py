@@ -70,6 +70,26 @@ class Trie:
             node = child
         self._merge(node, owner, rows)
 
+    def deepen(self) -> None:
+        """Longer units, so that texts which all begin alike make two or
+        more: one byte past what everything held has in common."""
+        node, pos = self.root, 0
+        while len(node[1]) == 1 and node[2] is None:
+            node = next(iter(node[1].values()))
+            pos += len(node[0])
+        if not node[1]:
+            return  # a single text
+        prefix = next(self.records())[0][:pos]
+        self.unit, self.by_unit = pos + 1, {}
+        for first, child in node[1].items():
+            held, stack = 0, [child]
+            while stack:
+                here = stack.pop()
+                held += len(here[0])
+                stack.extend(here[1].values())
+            self.by_unit[prefix + bytes([first])] = held
+        self.held = pos + sum(self.by_unit.values())
+
     def records(self, node: list | None = None, prefix: bytes = b"") -> Iterator[tuple]:
         """(bytes, owner, rows) of every terminal under ``node``."""
         stack = [(node or self.root, prefix)]
@@ -159,17 +179,19 @@ def _combine(keep_largest: bool):
 
 def _insert(keep_largest: bool, budget: int, unit: int):
     def run(batches):
-        trie, spilled = Trie(keep_largest, unit), set()
+        trie, spilled = Trie(keep_largest, unit), {}  # unit length -> units
         for b in batches:
             away = []
             for data, owner, n in zip(b["bytes"].to_pylist(), b["owner"].to_pylist(), b["rows"].to_pylist()):
-                if spilled and data[:unit] in spilled:
+                if any(data[:length] in units for length, units in spilled.items()):
                     away.append((data, owner, n))
                     continue
                 trie.insert(data, owner, n)
+                if trie.held > budget and len(trie.by_unit) < 2:
+                    trie.deepen()
                 if trie.held > budget and len(trie.by_unit) > 1:
                     largest = max(trie.by_unit, key=trie.by_unit.get)
-                    spilled.add(largest)
+                    spilled.setdefault(trie.unit, set()).add(largest)
                     away.extend(trie.take_subtree(largest))
             for rows in _chunks(iter(away)):
                 yield _out(rows, True)

@@ -46,6 +46,9 @@ FRAMES = CONTAINERS | {"header", "nav", "footer", "aside"}
 MAIN = frozenset("article main".split())
 #: Never skipped for a name, nor is anything that holds one.
 KEPT = frozenset("html body main article".split())
+#: May be put around a whole page: not skipped if it holds one of these, or at
+#: least half of the page's text.
+AROUND = frozenset("form header dialog".split())
 
 #: Elements nested deeper, and what they hold, are siblings at this depth.
 MAX_DEPTH = 200
@@ -63,7 +66,9 @@ SAME_LAYOUT = 0.9
 #: reference that is most like it, or is its own.
 LAYOUTS, CANDIDATES = 8, 32
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: A quote opens a value only after an equals sign.
+_TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)"
+                  r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>", re.S)
 _NAME = re.compile(r"(?<![\w:-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: An open element of the key is closed by a start tag of the values.
 _CLOSES = {"p": BLOCK - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
@@ -72,17 +77,18 @@ _CLOSED_BY = {t: [k for k, v in _CLOSES.items() if t in v] for t in frozenset().
 
 
 class Node:
-    __slots__ = ("tag", "names", "children", "text", "shape", "number", "named", "kept", "main")
+    __slots__ = ("tag", "names", "children", "text", "shape", "number", "named", "kept", "main", "around")
 
     def __init__(self, tag: str, names: tuple[str, ...] = (), text: str = "", named: bool = False):
         self.tag, self.names, self.text, self.named = tag, names, text, named
         self.children: list[Node] = []
         self.shape, self.number = "", -1
         self.kept, self.main = tag in KEPT, tag in MAIN  # or holds such an element, see _finish
+        self.around = False
 
     @property
     def skipped(self) -> bool:
-        return self.tag in SKIPPED or self.named and not self.kept
+        return (self.tag in SKIPPED and not self.around) or self.named and not self.kept
 
 
 def parse(html: str) -> Node:
@@ -106,13 +112,18 @@ def parse(html: str) -> Node:
             opened[tag] -= 1
         del stack[i:]
 
-    for m in _TAG.finditer(html):
+    last = html.rfind(">") + 1  # no tag ends later
+    tail = html.find("<!", last)
+    html = html if tail < 0 else html[:tail]
+    for m in _TAG.finditer(html, 0, last):
         if m.start() < raw_until:
             continue
         say(html[at: m.start()])
         at = m.end()
         tag = m[2].lower() if m[2] else ""
         if not tag:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = len(html)  # a comment without an end
             continue
         if m[1]:
             if opened[tag]:
@@ -130,12 +141,12 @@ def parse(html: str) -> Node:
         node = Node(tag, names, named=not SKIPPED_NAMES.isdisjoint(values))
         _, parent, depth = stack[-1]
         parent.children.append(node)
-        if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-            stop = end.start() if end else len(html)
-            node.children.append(Node("#", text=html[at:stop]))
-            at = raw_until = end.end() if end else len(html)
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
+        slashed = m[3].rstrip().endswith("/")
+        end = _raw_end(html, tag, at, slashed) if tag in RAW else None
+        if end:
+            node.children.append(Node("#", text=html[at: end[0]]))
+            at = raw_until = end[1]
+        elif tag not in VOID and not slashed:
             deeper = depth < MAX_DEPTH - 1 or depth == MAX_DEPTH - 1 and node.skipped
             stack.append((tag, node, depth + 1) if deeper else (tag, parent, depth))
             opened[tag] += 1
@@ -144,10 +155,30 @@ def parse(html: str) -> Node:
     return root
 
 
+_RAW_ENDS = {tag: re.compile(rf"<(/?){tag}(?![^\s/>])[^>]*>", re.I) for tag in RAW}
+
+
+def _raw_end(html: str, tag: str, at: int, slashed: bool) -> tuple[int, int] | None:
+    """Where the text of a raw element stops and where its end tag ends; None
+    where it has no text of its own. Script and style without an end tag go
+    to the end of the page, others close with their parent. A slash closes
+    an svg, and any other whose end tag does not come before the next start."""
+    if slashed and tag == "svg":
+        return None
+    marks = _RAW_ENDS[tag].finditer(html, at)
+    if slashed:
+        first = next(marks, None)
+        return (first.start(), first.end()) if first and first[1] else None
+    end = next((m for m in marks if m[1]), None)
+    if end:
+        return end.start(), end.end()
+    return (len(html), len(html)) if tag in ("script", "style") else None
+
+
 def _finish(root: Node) -> None:
     """Shape of every subtree (children first), whether it holds an element
-    that is never skipped for a name or a main one, and numbers in page
-    order."""
+    that is never skipped for a name or a main one, whether it is put around
+    the page, and numbers in page order."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -156,10 +187,16 @@ def _finish(root: Node) -> None:
         node.number = len(order)
         order.append(node)
         stack.extend(reversed(node.children))
+    said: dict[int, int] = {}  # characters of text below a node, raw text and menus aside
     for node in reversed(order):
         node.kept = node.kept or any(c.kept for c in node.children)
         node.main = node.main or any(c.main for c in node.children)
+        silent = node.tag in RAW or node.tag in SKIPPED and node.tag not in AROUND
+        said[node.number] = 0 if silent else len(node.text) + sum(said[c.number] for c in node.children)
         _shape(node)
+    for node in order:
+        if node.tag in AROUND:
+            node.around = node.main or 2 * said[node.number] >= said[0] > 0
 
 
 def _shape(node: Node) -> None:
@@ -238,9 +275,10 @@ def _digest(text: str) -> str:
 
 
 def pack_tree(node: Node) -> list:
-    """[tag, names, digest of a text node or children, named as no content]."""
+    """[tag, names, digest of a text node or children, 1 where named as no
+    content plus 2 where put around the page]."""
     return [node.tag, node.names[:2], _digest(node.text) if node.tag == "#" else [pack_tree(c) for c in node.children],
-            int(node.named)]
+            int(node.named) + 2 * node.around]
 
 
 def unpack_tree(packed: str) -> Node:
@@ -249,14 +287,18 @@ def unpack_tree(packed: str) -> Node:
 
 def _unpack(tree: list) -> Node:
     def build(p: list) -> Node:
-        node = Node(p[0], tuple(p[1]), named=bool(p[3]))
+        node = Node(p[0], tuple(p[1]), named=bool(p[3] & 1))
+        around.append((node, p[3] > 1))
         if p[0] == "#":
             node.text = p[2]
         else:
             node.children = [build(c) for c in p[2]]
         return node
+    around: list[tuple[Node, bool]] = []
     root = build(tree)
     _finish(root)
+    for node, flag in around:  # known from the whole texts, not from digests
+        node.around = flag
     return root
 
 

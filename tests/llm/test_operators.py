@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from repforge.llm import (licenses, ngram_join, packing, quality, revisits, sentencepieces, toxicity, trie_dedup, walks,
@@ -79,6 +80,21 @@ def test_trie_owners(docs):
         assert counted(trie_dedup.dedup(docs, "largest", trie_bytes=budget).collect()) == counted(want)
 
 
+def test_trie_spills_texts_that_begin_alike(spark):
+    """1,000 texts of one length behind a common beginning, at a small budget."""
+    begin = "<p>" * 300
+    rows = [(i, f"{begin}{i % 900:05d}{'x' * 100}") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = trie_dedup.owners(docs, "largest", trie_bytes=10_000).collect()
+    assert counted((r.keep_id, r.group_size) for r in got) == counted(
+        (max(i, i + 900 if i < 100 else i), 2 if i < 100 else 1) for i in range(900))
+    batch = pa.record_batch({"bytes": [t.encode() for _, t in rows], "owner": [i for i, _ in rows],
+                             "rows": [1] * 1000})
+    out = [(r["spilled"], r["bytes"]) for b in trie_dedup._insert(True, 10_000, 1)([batch]) for r in b.to_pylist()]
+    assert sum(s for s, _ in out) > 500
+    assert sum(len(set(t[-105:])) and len(t) - len(begin) for s, t in out if not s) < 10_000
+
+
 def test_trie_keeps_prefixes_apart():
     trie = trie_dedup.Trie(False, unit=2)
     for i, t in enumerate([b"abc", b"ab", b"abd", b"", b"abc", b"b", b"a"]):
@@ -361,6 +377,41 @@ def test_names_skip_only_as_whole_values(spark):
         0: "a", 1: "a", 2: "a", 3: "a", 4: "a b c d"}
 
 
+def test_markup_around_and_inside_articles(spark):
+    """A form around the page, drawings without an end tag, quotes inside
+    unquoted values, slashed raw elements: no article is lost."""
+    long = "Words of the article " * 20
+    htmls = {
+        f"<body><form id=aspnetForm><div><h1>a</h1><p>{long}</p></div><nav>menu</nav><input name=q></form></body>":
+            f"a {long}",
+        f"<body><form><main><p>b</p></main></form><p>{long}</p><form><label>Your name</label></form></body>":
+            f"b {long}",
+        f"<body><h1>c</h1><p>one <svg class='i'/> two</p><p>{long}</p></body>": f"c one two {long}",
+        f"<body><div><svg><path d='M0'></div><p>d</p><p>{long}</p></body>": f"d {long}",
+        f"<body><p><a title=it's href=x>e</a> f</p><p>don't</p><p>{long}</p></body>": f"e f don't {long}",
+        f"<body><p>g</p><iframe src=x /><p>{long}</p><iframe src=y></iframe></body>": f"g {long}",
+        f"<body><p data-x='>' title=\"a>b\">h</p><script>if (a<b) '</p>'</script><p>{long}</p></body>": f"h {long}",
+        f"<body><header><article><h1>i</h1></article><p>{long}</p></header><aside><article>no</article></aside></body>":
+            f"i {long}",
+    }
+    rows = [(i, f"http://m{i}.example/", h) for i, h in enumerate(htmls)]
+    rows += [(100 + i, f"http://many.example/{i}", f"<body><form id=f><div>Top</div><div><p>{long}{i}</p></div></form>")
+             for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extracted(pages).collect()}
+    want = {i: w for i, w in enumerate(htmls.values())} | {100 + i: f"{long}{i}" for i in range(12)}
+    assert got == {i: " ".join(w.split()) for i, w in want.items()}
+
+
+def test_unclosed_quotes_take_linear_time():
+    import time
+    start = time.time()
+    wrappers.parse("<body><p>" + "<a b='c' d=\"" * 20_000)
+    assert time.time() - start < 10
+    assert wrappers.text_of(wrappers.parse("<p>a</p><!-- b <i> c"), set()) == "a"
+    assert wrappers.text_of(wrappers.parse("<p>a</p> d <!-- b"), set()) == "a d"
+
+
 def test_constant_nodes_become_template(spark):
     rows = [(i, "http://t.example/x", f"<body><main><h1>Story {i}</h1><p>Share this story now</p>"
                                       f"<p>Body of {i} {'z' * i}</p></main></body>") for i in range(20)]

@@ -15,12 +15,13 @@ Our stated definition (not bit-equality with any external tool):
    centre, ``matches`` the equal ones. It is verified if the alignment covers
    at least ``coverage`` of the member (the target, the shorter one) and at
    least ``similarity`` of the aligned residues match; of several diagonals
-   the one with most matches counts;
+   the one with most matches counts. With a ``band`` a covered candidate that
+   fails is aligned again with gaps, at most ``band`` places off its diagonal:
+   then ``aligned`` counts columns, gaps among them;
 5. greedy cover in priority order (length desc, id asc): a sequence joins the
    best representative among its verified higher-priority neighbours, else
-   it becomes a representative. Rounds decide every node whose
-   higher-priority neighbours are all decided; the result equals the
-   sequential greedy.
+   it becomes a representative. A round settles every local maximum and its
+   neighbours and drops their edges; the result equals the sequential greedy.
 
 Hot k-mers (conserved framework regions) are handled by partial aggregation
 (a hash ``max`` of a packed priority) and a join against one row per k-mer,
@@ -29,17 +30,19 @@ which AQE's skew-join can split; no window over a k-mer is used.
 
 from __future__ import annotations
 
-import itertools
 from decimal import Decimal
+from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repforge.operators.masking import mix
-from repforge.session import ensure_checkpoint_dir, materialize, scratch_path, ship_package
-from repforge.sources.tables import exists
+from repforge.operators.align import banded, codes_of, equal_codes
+from repforge.operators.masking import GOLDEN, fmix64
+from repforge.operators.ranks import broadcast_checked
+from repforge.session import ensure_checkpoint_dir, materialize, ship_package
 
 K = 10
 M = 20
@@ -79,8 +82,8 @@ def kmer_keys(data: np.ndarray, lengths: np.ndarray, k: int = K, seed: int = 42)
     packed = np.zeros(row.size, dtype=np.uint64)
     for j in range(k):
         packed = (packed << np.uint64(5)) | codes[start + j]
-    zero = np.zeros(row.size, dtype=np.uint64)
-    h = mix(packed, zero, seed, shift=0) >> np.uint64(1)
+    with np.errstate(over="ignore"):
+        h = fmix64(packed ^ np.uint64((seed * GOLDEN) % 2 ** 64)) >> np.uint64(1)
     return row, h.astype(np.int64), local
 
 
@@ -195,19 +198,64 @@ def kmer_candidates(sketch: DataFrame) -> DataFrame:
                           (F.col("c_place") - F.col("place")).alias("diagonal")).distinct())
 
 
-def _count_matches(batches):
-    """Equal residues of ``m_seq[m_from:]`` and ``c_seq[c_from:]`` over
-    ``aligned`` places."""
-    for b in batches:
-        rows = zip(b["c_seq"].to_pylist(), b["m_seq"].to_pylist(), b["diagonal"].to_pylist(), b["aligned"].to_pylist())
-        matches = []
-        for c_seq, m_seq, diagonal, aligned in rows:
-            c = np.frombuffer(c_seq.encode("utf-32-le"), np.uint32)[max(diagonal, 0):][:aligned]
-            m = np.frombuffer(m_seq.encode("utf-32-le"), np.uint32)[max(-diagonal, 0):][:aligned]
-            matches.append(int((c == m).sum()))
-        yield pa.RecordBatch.from_arrays(
-            [b["centre"], b["member"], b["c_len"], b["m_len"], b["aligned"], pa.array(matches, pa.int64())],
-            names=["centre", "member", "c_len", "m_len", "aligned", "matches"])
+#: Members that meet one copy of their centre's text.
+RUN = 4096
+
+
+def _compare(similarity: float, band: int):
+    """Rows sorted by (centre, run), the centre's text first, then its
+    members: (centre, member, c_len, m_len, aligned, matches) of members.
+    One text of the batch before is carried over; no pair is handled alone."""
+    limit = Fraction(str(similarity))
+
+    def run(batches):
+        carried = np.empty(0, np.uint8)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            codes, offsets = codes_of(b["text"])
+            codes = np.concatenate([carried, codes])
+            begin, length = offsets[:-1] + len(carried), np.diff(offsets)
+            is_centre = b["member"].is_null().to_numpy(zero_copy_only=False)
+            held = np.maximum.accumulate(np.where(is_centre, np.arange(b.num_rows), -1))
+            c_begin = np.where(held >= 0, begin[held], 0)
+            c_size = np.where(held >= 0, length[held], len(carried))
+            rows = np.flatnonzero(~is_centre)
+            if len(rows):
+                members = b.take(pa.array(rows))
+                diagonal = members["diagonal"].to_numpy()
+                aligned = members["aligned"].to_numpy()
+                m_from, c_from = np.maximum(-diagonal, 0), np.maximum(diagonal, 0)
+                c_at, m_at = c_begin[rows], begin[rows]
+                matches = equal_codes(codes, c_at + c_from, m_at + m_from, aligned)
+                if band:
+                    failed = np.flatnonzero(matches * limit.denominator < limit.numerator * aligned)
+                    aligned = aligned.copy()
+                    aligned[failed], matches[failed] = banded(
+                        codes, c_at[failed], c_size[rows][failed], c_from[failed], (m_at + m_from)[failed],
+                        aligned[failed], band)
+                yield pa.RecordBatch.from_arrays(
+                    [*(members[c] for c in ("centre", "member", "c_len", "m_len")), pa.array(aligned, pa.int64()),
+                     pa.array(matches, pa.int64())],
+                    names=["centre", "member", "c_len", "m_len", "aligned", "matches"])
+            carried = codes[c_begin[-1]: c_begin[-1] + c_size[-1]].copy()
+    return run
+
+
+def _centre_runs(covered: DataFrame, unique: DataFrame) -> DataFrame:
+    """Members beside one copy of their centre's text for each run of about
+    RUN of them: a centre of a million members is many runs, and no text
+    travels once for each pair."""
+    sizes = covered.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / RUN).cast("int").alias("runs"))
+    hot = sizes.where("runs > 1").withColumnRenamed("centre", "_c")  # at most rows / RUN
+    run = F.coalesce(F.pmod(F.xxhash64("member"), F.col("runs")), F.lit(0)).cast("int")
+    texts = unique.select(F.col("rep_id").alias("_t"), F.col("sequence").alias("text"))
+    members = (covered.join(broadcast_checked(hot), F.col("centre") == F.col("_c"), "left")
+               .withColumn("run", run).drop("_c", "runs").join(texts, F.col("member") == F.col("_t")).drop("_t"))
+    copies = (sizes.join(texts, F.col("centre") == F.col("_t"))
+              .select("centre", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run"), "text"))
+    rows = members.unionByName(copies, allowMissingColumns=True)
+    return rows.repartition("centre", "run").sortWithinPartitions("centre", "run", F.col("member").asc_nulls_first())
 
 
 def fraction(x: float) -> Column:
@@ -216,19 +264,18 @@ def fraction(x: float) -> Column:
 
 
 def verified_pairs(candidates: DataFrame, unique: DataFrame, similarity: float = SIMILARITY,
-                   coverage: float = COVERAGE) -> DataFrame:
+                   coverage: float = COVERAGE, band: int = 0) -> DataFrame:
     """(centre, member, c_len, m_len, aligned, matches) of the candidates
     that pass coverage and similarity, one row per pair. Coverage needs only
     lengths and the diagonal, so it is checked before any sequence is joined."""
     low = F.greatest(-F.col("diagonal"), F.lit(0))
     high = F.least(F.col("m_len").cast("bigint"), F.col("c_len") - F.col("diagonal"))
-    covered = (candidates.withColumn("aligned", high - low)
-               .where(F.col("aligned") >= fraction(coverage) * F.col("m_len")))
-    c = unique.select(F.col("rep_id").alias("centre"), F.col("sequence").alias("c_seq"))
-    mm = unique.select(F.col("rep_id").alias("member"), F.col("sequence").alias("m_seq"))
+    covered = materialize(candidates.withColumn("aligned", high - low)
+                          .where(F.col("aligned") >= fraction(coverage) * F.col("m_len")), "covered")
     ship_package(unique.sparkSession)
-    counted = covered.join(c, "centre").join(mm, "member").mapInArrow(
-        _count_matches, "centre bigint, member bigint, c_len int, m_len int, aligned bigint, matches bigint")
+    counted = _centre_runs(covered, unique).mapInArrow(
+        _compare(similarity, band),
+        "centre bigint, member bigint, c_len int, m_len int, aligned bigint, matches bigint")
     passed = counted.where(F.col("matches") >= fraction(similarity) * F.col("aligned"))
     # of several diagonals the one with most matches, then the shorter one:
     # matches * 2^31 - aligned packs both for a hash aggregation
@@ -240,98 +287,111 @@ def verified_pairs(candidates: DataFrame, unique: DataFrame, similarity: float =
                        (matches * span - F.col("_b")).alias("aligned"), matches.alias("matches"))
 
 
-def greedy_decided(unique: DataFrame, edges: DataFrame) -> DataFrame | None:
-    """(id, len, is_rep, rep) for every sequence that occurs in a verified
-    pair, by rounds of the greedy rule; None if there is no pair. Every
-    other sequence is its own representative. The rounds are
-    append-only: round ``k`` writes, in one pass, the nodes it decides and
-    the nodes still open to two folders (Parquet in the shared checkpoint
-    folder, so a lost executor costs at most one round). Only open nodes are
-    carried forward; a decided node is never rewritten. Every round decides
-    at least the open node of highest priority; a round that decides none
-    (edges that do not descend in priority) raises.
-    """
-    spark = unique.sparkSession
-    ensure_checkpoint_dir(spark)
-    e = edges.select(F.col("centre").alias("src"), F.col("member").alias("dst")).distinct()
-    e = materialize(e, "cover-edges")
-    involved = (e.select(F.col("src").alias("id"))
-                 .unionByName(e.select(F.col("dst").alias("id"))).distinct())
-    open_nodes = materialize(unique.select(F.col("rep_id").alias("id"), "len")
-                                   .join(involved, "id", "left_semi"), "cover-open")
-    decided_paths: list[str] = []
-    for rnd in itertools.count():
-        if open_nodes.isEmpty():
-            if not decided_paths:
-                return None
-            return spark.read.parquet(*decided_paths).select("id", "len", "is_rep", "rep")
-        # states of the sources of every edge into an open node; a source not
-        # yet decided has no row (null state)
-        into_open = e.join(open_nodes.select(F.col("id").alias("dst")), "dst", "left_semi")
-        if decided_paths:
-            states = spark.read.parquet(*decided_paths).select(
-                F.col("id").alias("src"), F.col("is_rep").alias("s_rep"), F.col("len").alias("s_len"))
-            inbound = into_open.join(states, "src", "left")
-        else:
-            inbound = into_open.select("dst", "src", F.lit(None).cast("boolean").alias("s_rep"),
-                                       F.lit(None).cast("int").alias("s_len"))
-        rep_prio = F.when(F.col("s_rep"), priority_key("s_len", "src"))
-        per_dst = inbound.groupBy("dst").agg(
-            F.max(F.coalesce(F.col("s_rep"), F.lit(False))).alias("has_rep"),
-            F.min(F.col("s_rep").isNotNull()).alias("all_done"),
-            F.max(rep_prio).alias("best_key"))
-        n = open_nodes.join(per_dst.withColumnRenamed("dst", "id"), "id", "left")
-        becomes_member = F.coalesce(F.col("has_rep"), F.lit(False))
-        becomes_rep = ~becomes_member & F.coalesce(F.col("all_done"), F.lit(True))
-        # one write per round: decided nodes and still-open nodes in two folders
-        path = scratch_path(spark, f"cover-round{rnd}")
-        (n.select("id", "len",
-                  F.when(becomes_member | becomes_rep, F.lit("decided")).otherwise(F.lit("open"))
-                   .alias("part"),
-                  becomes_rep.alias("is_rep"),
-                  F.when(becomes_member, centre_of(F.col("best_key")))
-                   .when(becomes_rep, F.col("id")).alias("rep"))
-          .write.partitionBy("part").parquet(path))
-        if not exists(spark, f"{path}/part=decided"):
+#: Edges that are settled in one task, at the end of the rounds.
+FINISH_EDGES = 200_000
+
+
+def _settle(batches):
+    """Members among the nodes of a few edges, in order of the edges; a node
+    that no order reaches is given as not settled."""
+    into: dict[int, int] = {}
+    out: dict[int, list[int]] = {}
+    for b in batches:
+        for src, dst in zip(b["src"].to_pylist(), b["dst"].to_pylist()):
+            into[dst] = into.get(dst, 0) + 1
+            out.setdefault(src, []).append(dst)
+    ready, members = [n for n in out if n not in into], set()
+    while ready:
+        node = ready.pop()
+        for dst in out.get(node, ()):
+            if node not in members:
+                members.add(dst)
+            into[dst] -= 1
+            if not into[dst]:
+                ready.append(dst)
+    stuck = [n for n, left in into.items() if left]
+    yield pa.RecordBatch.from_arrays([pa.array([*members, *stuck], pa.int64()),
+                                      pa.array([True] * len(members) + [False] * len(stuck))], names=["id", "settled"])
+
+
+def greedy_members(edges: DataFrame) -> DataFrame | None:
+    """(id) of the sequences that a representative covers; every other one of
+    the edges represents itself. None if there is no edge. A round takes the
+    nodes without an edge from above, all local maxima at once: they are
+    representatives, what they point at is covered, and every edge of either
+    leaves the table, which is written anew each round and only shrinks. A
+    round without a local maximum (edges that do not descend in priority)
+    raises. The last FINISH_EDGES edges are settled in one task."""
+    live = materialize(edges.select(F.col("centre").alias("src"), F.col("member").alias("dst")).distinct(),
+                       "cover-edges")
+    left = live.count()
+    if not left:
+        return None
+    found = []
+    while left > FINISH_EDGES:
+        heads = live.select(F.col("src").alias("id")).distinct().join(
+            live.select(F.col("dst").alias("id")), "id", "left_anti")
+        covered = materialize(live.join(heads, F.col("src") == F.col("id"), "left_semi")
+                              .select(F.col("dst").alias("id")).distinct(), "cover-members")
+        if covered.isEmpty():
             raise RuntimeError("a greedy round decided nothing: an edge does not descend in priority")
-        decided_paths.append(f"{path}/part=decided")
-        if exists(spark, f"{path}/part=open"):
-            open_nodes = spark.read.schema("id bigint, len int").parquet(f"{path}/part=open")
-        else:  # no node is left open
-            open_nodes = spark.createDataFrame([], "id bigint, len int")
+        found.append(covered)
+        live = materialize(live.join(covered, F.col("dst") == F.col("id"), "left_anti")
+                           .join(covered, F.col("src") == F.col("id"), "left_anti"), "cover-edges")
+        left = live.count()
+    ship_package(edges.sparkSession)
+    last = materialize(live.coalesce(1).mapInArrow(_settle, "id bigint, settled boolean"), "cover-members")
+    if not last.where("not settled").isEmpty():
+        raise RuntimeError("a greedy round decided nothing: an edge does not descend in priority")
+    return reduce(DataFrame.unionByName, [*found, last.select("id")])
+
+
+def greedy_decided(unique: DataFrame, edges: DataFrame) -> DataFrame | None:
+    """(id, rep) of every covered sequence: the representative of highest
+    priority among its verified neighbours. None if there is no pair."""
+    ensure_checkpoint_dir(unique.sparkSession)
+    members = greedy_members(edges)
+    if members is None:
+        return None
+    e = edges.select(F.col("centre").alias("src"), F.col("member").alias("dst"))
+    up = (e.join(members, F.col("dst") == F.col("id"), "left_semi")
+          .join(members, F.col("src") == F.col("id"), "left_anti"))
+    lengths = unique.select(F.col("rep_id").alias("_s"), "len")
+    best = (up.join(lengths, F.col("src") == F.col("_s")).groupBy("dst")
+            .agg(F.max(priority_key("len", "src")).alias("_k")))
+    return best.select(F.col("dst").alias("id"), centre_of(F.col("_k")).alias("rep"))
 
 
 def greedy_cover(unique: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, rep) for every unique sequence (``greedy_decided`` for the
-    sequences with a verified pair, the rest represent themselves)."""
+    covered ones, the rest represent themselves)."""
     everyone = unique.select(F.col("rep_id").alias("id"))
     decided = greedy_decided(unique, edges)
     if decided is None:
         return everyone.select("id", F.col("id").alias("rep"))
-    alone = everyone.join(decided.select("id"), "id", "left_anti")
-    return alone.select("id", F.col("id").alias("rep")).unionByName(decided.select("id", "rep"))
+    return everyone.join(decided, "id", "left").select("id", F.coalesce("rep", "id").alias("rep"))
 
 
 def cluster(seqs: DataFrame, id_col: str = "Sequence_ID", seq_col: str = "sequence",
             k: int = K, m: int = M, similarity: float = SIMILARITY,
-            coverage: float = COVERAGE) -> DataFrame:
+            coverage: float = COVERAGE, band: int = 0) -> DataFrame:
     """(Sequence_ID, rep_id) for every input row."""
     ensure_checkpoint_dir(seqs.sparkSession)
     unique = materialize(exact_duplicates(seqs, id_col, seq_col), "unique-sequences")
     sketch = materialize(kmer_sketch(unique, k, m), "sketch")
-    edges = verified_pairs(kmer_candidates(sketch), unique, similarity, coverage)
+    edges = materialize(verified_pairs(kmer_candidates(sketch), unique, similarity, coverage, band), "verified")
     decided = greedy_decided(unique, edges)
-    # every copy of a distinct sequence follows its exact-duplicate rep ...
-    copies = seqs.select(F.col(id_col).alias("Sequence_ID"), F.col(seq_col).alias("sequence"))
-    first = unique.select("sequence", F.col("rep_id").alias("id"))
-    assigned = copies.join(first, "sequence", "inner")
+    # every copy of a distinct sequence follows its exact-duplicate rep; the
+    # sequence's sha256 stands for it in the join
+    digest = lambda c: F.unhex(F.sha2(F.col(c), 256)).alias("digest")
+    assigned = seqs.select(F.col(id_col).alias("Sequence_ID"), digest(seq_col)).join(
+        unique.select(F.col("rep_id").alias("id"), digest("sequence")), "digest")
     if decided is None:
         return assigned.select("Sequence_ID", F.col("id").alias("rep_id"))
-    # ... and only members of a greedy cluster (rep != own id) change: join
-    # that table alone instead of one row per unique sequence
-    members = decided.where(~F.col("is_rep")).select("id", F.col("rep").alias("_rep"))
-    return (assigned.join(members, "id", "left")
-                    .select("Sequence_ID", F.coalesce(F.col("_rep"), F.col("id")).alias("rep_id")))
+    # only members of a greedy cluster change: join that table alone instead
+    # of one row per unique sequence
+    return (assigned.join(decided, "id", "left")
+                    .select("Sequence_ID", F.coalesce("rep", "id").alias("rep_id")))
 
 
 def cluster_sizes(assignments: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ class CurateConfig:
     n_lines: int = 1
     similarity: float = 0.9
     coverage: float = 0.9
+    band: int = 8  # gaps: places off a diagonal
     sampling_scheme: str = "random"
     total_sequences: int = 1110000
     split_mode: str = "numbers"
@@ -67,7 +68,7 @@ def curate(spark: SparkSession, catalogue: DataFrame, unit_paths: DataFrame,
     seqs = materialize(ingest_selected(spark, catalogue, unit_paths, cfg), "sequences")
     seqs = seqs.withColumn("sequence", concat_regions())
     assignment = clu.cluster(seqs.select("Sequence_ID", "sequence"),
-                             similarity=cfg.similarity, coverage=cfg.coverage)
+                             similarity=cfg.similarity, coverage=cfg.coverage, band=cfg.band)
     reps = materialize(clu.representatives(seqs, assignment), "representatives")
     picked = sampling.sample(reps, cfg.sampling_scheme, cfg.total_sequences, catalogue, cfg.seed)
     if cfg.split_mode == "numbers":

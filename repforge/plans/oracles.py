@@ -613,10 +613,6 @@ GROUP BY split, shard
 oracle("split_tables", "SELECT Sequence_ID, split, text AS sequence FROM split_res", "residues", extra=_SPLIT_RES)
 oracle("sequence_lines", f"SELECT {_TEXT} AS text FROM residues", "residues")
 oracle("fasta_file_ids", "SELECT Sequence_ID FROM residues", "residues")
-oracle("units_present", """
-SELECT File_index, Author FROM catalogue
-WHERE File_index IN (SELECT File_ID FROM sequences WHERE File_ID % 2 = 0)
-""", "sequences", "catalogue")
 oracle("units_present_all", """
 SELECT File_index, Author FROM catalogue WHERE File_index IN (SELECT File_ID FROM sequences)
 """, "sequences", "catalogue")

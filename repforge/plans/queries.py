@@ -237,13 +237,6 @@ def q_publication_file_rows(spark, sf):
     return _group_files(spark, sf, "publication").select("group_file", "Sequence_ID", "File_ID")
 
 
-@query("units_present")
-def q_units_present(spark, sf):
-    """J2 on the sequences of even units alone, as its oracle has it."""
-    seqs = views.sequences(spark, sf).where("File_ID % 2 = 0")
-    return groups.units_present(views.catalogue(spark, sf), seqs).select("File_index", "Author")
-
-
 @query("units_present_all")
 def q_units_present_all(spark, sf):
     """J2: catalogue rows whose unit occurs among the sequences, all of them."""
@@ -423,6 +416,18 @@ def q_verified_pairs(spark, sf):
     return clu.verified_pairs(clu.kmer_candidates(materialize(clu.kmer_sketch(u), "sketch")), u)
 
 
+
+#: Places that a gapped alignment may leave its diagonal.
+BAND = 8
+
+
+@query("verified_pairs_gapped")
+def q_verified_pairs_gapped(spark, sf):
+    """C1d with gaps: covered candidates that fail on their diagonal are
+    aligned again within BAND places of it."""
+    u = materialize(clu.exact_duplicates(_residue_seqs(spark, sf)), "unique-sequences")
+    return clu.verified_pairs(clu.kmer_candidates(materialize(clu.kmer_sketch(u), "sketch")), u, band=BAND)
+
 @query("cluster_assignments")
 def q_cluster_assignments(spark, sf):
     return clu.cluster(_residue_seqs(spark, sf))

@@ -44,6 +44,40 @@ def grouped_sum(df: DataFrame, group_cols: Sequence[str], sum_col: str,
              .agg(F.coalesce(F.sum(sum_col), F.lit(0)).alias(alias or sum_col)))
 
 
+def catalogue_report(catalogue: DataFrame) -> DataFrame:
+    """Every grouped sum of the catalogue in one pass: (report, key_1, key_2,
+    total, size_mb). Grouping sets make the groups of all reports from one
+    scan; the grouping id says which set a row belongs to, so that a null
+    that stands for "all" and a null key, which is dropped, stay apart."""
+    size = F.col("Size_MB").try_cast("decimal(38,4)")
+    c = catalogue.select("Author", "Subject", "Species", "Chain", size.alias("s"),
+                         F.col("Unique_sequences").try_cast("bigint").alias("u"),
+                         F.col("Total_sequences").try_cast("bigint").alias("t"))
+    human = F.col("Species") == "human"
+    keys = ["Author", "Subject", "Species", "Chain"]
+    sets = [["Author"], ["Subject", "Author"], ["Species", "Chain"], ["Species"], []]
+    g = c.groupingSets([[F.col(k) for k in s] for s in sets], *keys).agg(
+        F.grouping_id().alias("set"), F.sum("u").alias("u"), F.sum("t").alias("t"), F.sum("s").alias("s"),
+        F.sum(F.when(human, F.col("u"))).alias("human_u"), F.count(F.when(human, 1)).alias("human_n"))
+
+    def row(report: str, of: list[str], total=None, mb=None, only=None):
+        """One row of the report where the grouping set is ``of``."""
+        is_set = F.col("set") == sum(1 << (3 - i) for i, k in enumerate(keys) if k not in of)
+        names = [F.col(k) for k in of] + [F.lit(None).cast("string")] * 2
+        zero = lambda v, kind: (F.coalesce(v, F.lit(0)) if v is not None else F.lit(None)).cast(kind)
+        return F.when(is_set & _not_null(of) & (F.lit(True) if only is None else only), F.struct(
+            F.lit(report).alias("report"), names[0].alias("key_1"), names[1].alias("key_2"),
+            zero(total, "bigint").alias("total"), zero(mb, "double").alias("size_mb")))
+
+    u, t, s = F.col("u"), F.col("t"), F.col("s")
+    rows = [row("size_by_author", ["Author"], mb=s), row("total_by_author", ["Author"], t),
+            row("unique_by_author", ["Author"], u), row("unique_by_subject", ["Subject", "Author"], u),
+            row("unique_by_subject_human", ["Subject", "Author"], F.col("human_u"), only=F.col("human_n") > 0),
+            row("unique_by_species_chain", ["Species", "Chain"], u), row("unique_by_species", ["Species"], u),
+            row("total_size", [], mb=s)]
+    return g.select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("r")).select("r.*")
+
+
 def pivot_sum(df: DataFrame, row_col: str, pivot_col: str, values: Sequence[str],
               sum_col: str) -> DataFrame:
     """Rows ``row_col`` x columns ``values`` of ``pivot_col``, sums, missing 0.

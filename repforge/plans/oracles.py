@@ -622,9 +622,25 @@ FROM grouped
 """, "sequences", "catalogue", extra=_GROUPED_SEQS.format(key="c.Author"))
 ORACLES["sample_scheme_publications"] = ORACLES["sample_balanced_publications"]
 
+_SUM = "CAST(coalesce(sum(TRY_CAST({c} AS BIGINT)), 0) AS BIGINT)"
+_MB = "CAST(coalesce(sum(CAST(Size_MB AS DECIMAL(38, 4))), 0) AS DOUBLE)"
+_REPORTS = [("size_by_author", ["Author"], None, "true"), ("total_by_author", ["Author"], "Total_sequences", "true"),
+            ("unique_by_author", ["Author"], "Unique_sequences", "true"),
+            ("unique_by_subject", ["Subject", "Author"], "Unique_sequences", "true"),
+            ("unique_by_subject_human", ["Subject", "Author"], "Unique_sequences", "Species = 'human'"),
+            ("unique_by_species_chain", ["Species", "Chain"], "Unique_sequences", "true"),
+            ("unique_by_species", ["Species"], "Unique_sequences", "true"), ("total_size", [], None, "true")]
+oracle("catalogue_report", " UNION ALL ".join(
+    f"SELECT '{name}' AS report, {keys[0] if keys else 'NULL'} AS key_1, {keys[1] if keys[1:] else 'NULL'} AS key_2, "
+    f"{_SUM.format(c=col) if col else 'NULL::BIGINT'} AS total, {_MB if not col else 'NULL::DOUBLE'} AS size_mb "
+    f"FROM catalogue WHERE {' AND '.join([where] + [f'{k} IS NOT NULL' for k in keys])}"
+    + (f" GROUP BY {', '.join(keys)}" if keys else "") for name, keys, col, where in _REPORTS), "catalogue")
+
 # ------------------------------------------------------------------- sinks
 # A written-and-read-back table equals the table that was written.
 ORACLES["write_sequences"] = with_views("SELECT Sequence_ID, File_ID FROM sequences", "sequences")
+ORACLES["committed_sequences"] = ORACLES["write_sequences"]
+ORACLES["reused_row_counts"] = ORACLES["rows_per_file"]
 ORACLES["metrics_json"] = ORACLES["loss_by_test_set"]
 ORACLES["report_csv"] = ORACLES["unique_by_author"]
 ORACLES["cached_row_counts"] = ORACLES["rows_per_file"]

@@ -130,6 +130,12 @@ def q_unique_by_species(spark, sf):
     return s.orderBy(F.col("Unique_sequences").desc(), "Species")
 
 
+@query("catalogue_report")
+def q_catalogue_report(spark, sf):
+    """A3, A3a-d and A9 together from one scan."""
+    return agg.catalogue_report(views.catalogue(spark, sf))
+
+
 @query("species_chain_pivot")
 def q_species_chain_pivot(spark, sf):
     return agg.pivot_sum(views.catalogue(spark, sf), "Species", "Chain", ["Heavy", "Light"],
@@ -733,3 +739,27 @@ def q_split_tables(spark, sf):
     path = scratch_path(spark, "split-tables")
     splits.write_splits(_split_text(spark, sf), path)
     return spark.read.parquet(path).select("Sequence_ID", "split", "sequence")
+
+
+# --------------------------------------------------------- committed tables
+@query("committed_sequences")
+def q_committed_sequences(spark, sf):
+    """The sequences table committed twice, the second time over a write
+    that failed half way; read by its newest manifest and checked."""
+    from repforge.sources import committed
+    path = scratch_path(spark, "committed")
+    seqs = views.sequences(spark, sf)
+    committed.write_committed(seqs.select("Sequence_ID"), path)
+    seqs.write.parquet(f"{path}/data-failed")
+    committed.write_committed(seqs, path)
+    return committed.read_committed(spark, path, check=True)
+
+
+@query("reused_row_counts")
+def q_reused_row_counts(spark, sf):
+    """S10 by the input's files: computed once, then read while they stay."""
+    from repforge.sources import committed
+    path, inputs = scratch_path(spark, "reused"), [f"{sf.rstrip('/')}/orders.parquet"]
+    compute = lambda: groups.rows_per_file(views.sequences(spark, sf))
+    committed.reused(spark, path, inputs, compute)
+    return committed.reused(spark, path, inputs, compute)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from repforge.llm.chunks import ChunkIds
 from repforge.llm.common import Scratch, map_arrow, slices, texts_of
+from repforge.llm.token_counts import doubtful_characters
 
 #: Lengths are rounded up to sequence / CLASSES when patterns are made.
 CLASSES = 256
@@ -41,6 +42,41 @@ _RUN = re.compile(r"\s \s|\s \Z")
 _SAFE_BLANK = re.compile(r"(?<=\S) | (?=\S)")
 
 
+def _byte_of_character() -> dict[str, int]:
+    """Byte-level vocabularies spell a byte as itself where it is printable
+    Latin-1, else as one of the next free characters from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def rank_encoder(path: str):
+    """The file's byte-pair merges as ranks, which encode short texts several
+    times faster, or None where ids in the order of the merges do not say
+    everything (another kind of file)."""
+    import json
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    model, cut = said["model"], said.get("pre_tokenizer") or {}
+    plain = (model["type"] == "BPE" and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
+             and not cut.get("add_prefix_space") and not said.get("normalizer") and not model.get("ignore_merges")
+             and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix",
+                                                "end_of_word_suffix", "byte_fallback")))
+    if not plain:
+        return None
+    special = {t["content"] for t in said["added_tokens"]}
+    byte, vocab = _byte_of_character(), model["vocab"]
+    merged = [vocab["".join(m.split(" ")) if isinstance(m, str) else "".join(m)] for m in model["merges"]]
+    if merged != sorted(set(merged)) or len(merged) + 256 + len(special & set(vocab)) != len(vocab):
+        return None
+    ranks = {bytes(byte[c] for c in token): n for token, n in vocab.items() if token not in special}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     import os
@@ -50,11 +86,21 @@ def _tokenizer(path: str):
 
     tokenizer = Tokenizer.from_file(path)
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    ranked = rank_encoder(path)
+    doubtful = re.compile(doubtful_characters())
+
+    def asks_library(chunk, text: str) -> bool:
+        # only a text without blanks to cut at can hold a special string
+        return (ranked is None or not text.isascii() and doubtful.search(text) is not None
+                or isinstance(chunk, tuple) and any(s in text for s in special))
 
     def encode(fresh: list) -> list[list[int]]:
         # a chunk is a word after its blank; a tuple holds text without one
         said = [c[0] if isinstance(c, tuple) else " " + c for c in fresh]
-        return [e.ids for e in tokenizer.encode_batch_fast(said, add_special_tokens=False)]
+        by_library = [i for i, s in enumerate(said) if asks_library(fresh[i], s)]
+        ids = dict(zip(by_library, (e.ids for e in tokenizer.encode_batch_fast(
+            [said[i] for i in by_library], add_special_tokens=False))))
+        return [ids[i] if i in ids else ranked.encode_ordinary(s) for i, s in enumerate(said)]
 
     return special, ChunkIds(encode)
 

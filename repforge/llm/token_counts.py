@@ -45,7 +45,7 @@ RUN = 65_536
 _PRE_TOKEN = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def _doubtful() -> str:
+def doubtful_characters() -> str:
     """Character class of what Unicode 3.2 did not assign, or put into
     another class than today: there the library's own tables decide."""
     def kind(db, c: str) -> str:
@@ -75,7 +75,7 @@ class TokenCounter:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pattern, self.doubtful = regex.compile(_PRE_TOKEN), re.compile(_doubtful())
+        self.pattern, self.doubtful = regex.compile(_PRE_TOKEN), re.compile(doubtful_characters())
         self.limit, self.frequent, self.known = limit, {}, {}
 
     def use(self, frequent: dict[str, int]) -> None:

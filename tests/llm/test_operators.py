@@ -3,6 +3,7 @@ table, and on the small tables."""
 
 import hashlib
 import json
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -258,6 +259,25 @@ def test_packing_whole(docs):
         assert sum(r.length for r in got) >= 0.97 * 2048 * len(sequences)
 
 
+def test_ranks_encode_as_the_library():
+    """Words of every kind, odd characters, special strings; a file of another
+    kind has no ranks."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    rnd = random.Random(12)
+    letters = "aehinorst'.,-0123 éßñЖд漢字かな한½²\x85‍😀𝔘ᲀꟂ\n\t"
+    words = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 12))) for _ in range(20_000)]
+    words += ["don't", "''" + "'s", "x" * 3000, "\x00\x1c\x7f"]
+    _, table = packing._tokenizer(path)
+    got = table.encode(words)
+    assert table.encode([("a<|endoftext|>b",), ("a",)]) == [e.ids for e in library.encode_batch(["a<|endoftext|>b", "a"])]
+    assert got == [e.ids for e in library.encode_batch([" " + w for w in words], add_special_tokens=False)]
+    assert packing.rank_encoder(path) is not None
+    assert packing.rank_encoder(public_tokenizers.path("word_bpe_49k.json")) is None
+
+
 def test_token_chunks_at_odd_blanks():
     from tokenizers import Tokenizer
     tokenizer, rng = Tokenizer.from_file(BPE), np.random.default_rng(2)

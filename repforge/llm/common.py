@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,23 @@ from repforge.session import scratch_path, ship_package
 SLICE_CHARS = 2_000_000
 
 
+_HELD: dict[str, object] = {}
+
+
+def held_alone(build: Callable) -> Callable:
+    """Keep what ``build`` returns for the next call with the same arguments,
+    and nothing else that was kept so: a Python worker that goes on to
+    another operator lets the tables of the last one go."""
+    @wraps(build)
+    def get(*args):
+        key = (build.__module__, build.__qualname__, *args)
+        if _HELD.get("key") != key:
+            _HELD.clear()
+            _HELD["state"], _HELD["key"] = build(*args), key
+        return _HELD["state"]
+    return get
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

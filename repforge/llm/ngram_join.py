@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from repforge.llm.chunks import ChunkIds
-from repforge.llm.common import Scratch, join_owners, map_arrow, slices, texts_of
+from repforge.llm.common import Scratch, held_alone, join_owners, map_arrow, slices, texts_of
 
 #: The threshold as a fraction: 4/5.
 NUM, DEN = 4, 5
@@ -52,7 +51,7 @@ LEADER_ROWS = 1000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-@lru_cache(maxsize=1)
+@held_alone
 def _words() -> ChunkIds:
     return ChunkIds(lambda fresh: [[xxhash.xxh64_intdigest(w)] for w in fresh], dtype=np.uint64)
 

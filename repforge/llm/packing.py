@@ -15,7 +15,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repforge.llm.chunks import ChunkIds
-from repforge.llm.common import Scratch, map_arrow, slices, texts_of
+from repforge.llm.common import Scratch, held_alone, map_arrow, slices, texts_of
 from repforge.llm.token_counts import doubtful_characters
 
 #: Lengths are rounded up to sequence / CLASSES when patterns are made.
@@ -77,7 +76,7 @@ def rank_encoder(path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-@lru_cache(maxsize=2)
+@held_alone
 def _tokenizer(path: str):
     import os
 

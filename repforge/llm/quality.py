@@ -13,7 +13,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repforge.llm.chunks import ChunkIds
-from repforge.llm.common import crc_remainder, slices, texts_of
+from repforge.llm.common import crc_remainder, held_alone, slices, texts_of
 from repforge.llm.labelled import TRAIN_CHARS, TRAIN_ROWS, training_rows
 from repforge.session import ship_package
 
@@ -50,7 +49,7 @@ def _encode(fresh: list[str]) -> list[list[int]]:
              for w in (m.group() for m in _WORD.finditer(chunk))] for chunk in fresh]
 
 
-@lru_cache(maxsize=1)
+@held_alone
 def _words() -> ChunkIds:
     return ChunkIds(_encode)
 

@@ -19,7 +19,6 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import chain, islice
 
 import pyarrow as pa
@@ -27,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repforge.llm.common import fresh, map_arrow, slices, texts_of
+from repforge.llm.common import fresh, held_alone, map_arrow, slices, texts_of
 
 #: The frequent table: at most so many pre-tokens of at most MAX_KEY code
 #: points, counted in at most SAMPLE_ROWS documents of SAMPLE_CHARS together.
@@ -134,7 +133,7 @@ class TokenCounter:
         return n
 
 
-@lru_cache(maxsize=1)
+@held_alone
 def _counter(path: str) -> TokenCounter:
     return TokenCounter(path)
 

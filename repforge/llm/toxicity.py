@@ -21,7 +21,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from math import log
 
 import numpy as np
@@ -32,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repforge.llm.chunks import ChunkIds
-from repforge.llm.common import crc_remainder, map_arrow, slices, texts_of
+from repforge.llm.common import crc_remainder, held_alone, map_arrow, slices, texts_of
 from repforge.llm.labelled import TRAIN_CHARS, TRAIN_ROWS, training_rows
 from repforge.session import ship_package
 
@@ -236,7 +235,7 @@ def _table(chain: Chain) -> ChunkIds:
                     dtype=np.float32)
 
 
-@lru_cache(maxsize=2)
+@held_alone
 def _loaded(model: bytes) -> tuple[Chain, ChunkIds]:
     chain = pickle.loads(model)
     return chain, _table(chain)

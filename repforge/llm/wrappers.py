@@ -18,6 +18,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 from html import unescape
 
 import numpy as np
@@ -180,23 +181,31 @@ def _finish(root: Node) -> None:
     that is never skipped for a name or a main one, whether it is put around
     the page, and numbers in page order."""
     order, stack = [], [root]
+    frames, said, raw = [], [], False
     while stack:
         node = stack.pop()
         if node.tag in NO_TEXT:  # blanks between their children mean nothing
             node.children = [c for c in node.children if c.tag != "#" or c.text != " "]
         node.number = len(order)
         order.append(node)
+        said.append(0 if raw else len(node.text))  # the text of a raw element comes right after it
+        raw = node.tag in RAW
+        if node.tag in AROUND:
+            frames.append(node)
         stack.extend(reversed(node.children))
-    said: dict[int, int] = {}  # characters of text below a node, raw text and menus aside
     for node in reversed(order):
-        node.kept = node.kept or any(c.kept for c in node.children)
-        node.main = node.main or any(c.main for c in node.children)
-        silent = node.tag in RAW or node.tag in SKIPPED and node.tag not in AROUND
-        said[node.number] = 0 if silent else len(node.text) + sum(said[c.number] for c in node.children)
+        for c in node.children:
+            if c.kept:
+                node.kept = True
+                if c.main:
+                    node.main = True
         _shape(node)
-    for node in order:
-        if node.tag in AROUND:
-            node.around = node.main or 2 * said[node.number] >= said[0] > 0
+    upto = [0, *accumulate(said)] if frames else []
+    for node in frames:
+        last = node
+        while last.children:
+            last = last.children[-1]
+        node.around = node.main or 2 * (upto[last.number + 1] - upto[node.number]) >= upto[-1] > 0
 
 
 def _shape(node: Node) -> None:

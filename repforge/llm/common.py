@@ -81,6 +81,11 @@ class Scratch:
         out._scratch = path  # noqa: SLF001
         return out
 
+    def keep(self, df: DataFrame, source: DataFrame) -> DataFrame:
+        """``df``, to be dropped as the written ``source`` that it reads."""
+        df._scratch = source._scratch  # noqa: SLF001
+        return df
+
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch)  # noqa: SLF001

@@ -12,6 +12,12 @@
    and best position. Pairs of blocks that no pair of their sets could pass,
    or that lie in one component, are skipped; of the others the two leaders
    are compared.
+
+   Steps 3 and 4 use a parity sketch: bit c says whether a set has an odd
+   number of shingles in cell c. Where two sketches differ, at least one
+   shingle of that cell is in one set only, so the number of differing bits
+   bounds the overlap from above, exactly. Pairs that this bound rules out
+   are dropped before any set is sent.
 5. The members' answers follow from the leaders': |x & y| is at most
    |l & l'| + |x - l| + |y - l'|. Only pairs of different components that
    this bound allows are compared, best bounds first. No pair above the
@@ -48,6 +54,11 @@ FILTER_BITS = 1 << 24
 #: Members that one task compares with a leader.
 LEADER_ROWS = 1000
 
+#: Words of 64 bits in a parity sketch. Sets of up to about a thousand
+#: shingles are told apart by it; larger ones go on to the exact comparison.
+SKETCH_WORDS = 8
+SKETCH = [f"sketch_{i}" for i in range(SKETCH_WORDS)]
+
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -94,31 +105,45 @@ def linked(overlap: Column, a: Column, b: Column) -> Column:
 
 # --- sets, order, index ---------------------------------------------------------
 
+def sketch_of(tokens: np.ndarray) -> np.ndarray:
+    """SKETCH_WORDS words of parities, by the low bits of the hashes."""
+    odd = np.bincount((tokens & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _differing(a: str, b: str) -> Column:
+    """Differing bits of the sketches under two prefixes."""
+    return sum((F.bit_count(F.col(f"{a}{s}").bitwiseXOR(F.col(f"{b}{s}"))) for s in SKETCH[1:]),
+               F.bit_count(F.col(f"{a}{SKETCH[0]}").bitwiseXOR(F.col(f"{b}{SKETCH[0]}"))))
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, and the task's counts of shingles by cell."""
     counts, seen = np.zeros(1 << CELL_BITS, np.uint32), set()
     for b in batches:
-        sets = shingle_sets(b["text"].to_pylist())
-        keys = [set_id(s) if len(s) else None for s in sets]
-        fresh = []
-        for key, tokens in zip(keys, sets):
-            if key is not None and key not in seen:
-                seen.add(key)
-                fresh.append((tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64))
-        if fresh:
-            counts += np.bincount(np.concatenate(fresh), minlength=len(counts)).astype(np.uint32)
-        n = len(sets)
+        texts, n = b["text"].to_pylist(), b.num_rows
+        sizes, keys = np.zeros(n, np.int64), []
+        sketches = np.zeros((n, SKETCH_WORDS), np.int64)
+        for low, high in slices(texts):
+            for at, tokens in enumerate(shingle_sets(texts[low:high]), low):
+                sizes[at] = len(tokens)
+                keys.append(set_id(tokens) if len(tokens) else None)
+                sketches[at] = sketch_of(tokens)
+                if len(tokens) and keys[-1] not in seen:
+                    seen.add(keys[-1])
+                    np.add.at(counts, (tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64), np.uint32(1))
         yield pa.RecordBatch.from_arrays(
-            [b["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()),
+            [b["doc_id"], pa.array(sizes), pa.array(keys, pa.int64()),
+             *(pa.array(np.ascontiguousarray(sketches[:, i])) for i in range(SKETCH_WORDS)),
              pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-            names=["doc_id", "n_shingles", "set_id", "block", "counts"])
+            names=["doc_id", "n_shingles", "set_id", *SKETCH, "block", "counts"])
     blocks = [(i, c) for i, c in enumerate(counts.reshape(-1, 1 << BLOCK_BITS)) if c.any()]
     n = len(blocks)
     yield pa.RecordBatch.from_arrays(
-        [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-         pa.array([i for i, _ in blocks], pa.int32()),
+        [pa.nulls(n, pa.int64())] * (3 + SKETCH_WORDS) +
+        [pa.array([i for i, _ in blocks], pa.int32()),
          pa.array([zlib.compress(np.minimum(c, 255).astype(np.uint8).tobytes(), 1) for _, c in blocks], pa.binary())],
-        names=["doc_id", "n_shingles", "set_id", "block", "counts"])
+        names=["doc_id", "n_shingles", "set_id", *SKETCH, "block", "counts"])
 
 
 def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,29 +263,40 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Leader pairs (a < b) of blocks of one list that lie in different
-    components and that sizes and positions do not rule out. Rows: token,
-    low, high (sizes), rest (largest), leader, component; sorted by token, low."""
+    components and that sizes, positions and sketches do not rule out. Rows:
+    token, low, high (sizes), rest (largest), slack (largest), leader,
+    component, leader_n, sketch; sorted by token, low. All rows of a batch
+    meet the row ``step`` places on at once, until none has a partner left."""
     for c in _whole_lists(batches):
-        cuts = np.flatnonzero(np.concatenate([[True], c["token"][1:] != c["token"][:-1], [True]]))
+        low, high, rest, slack, leader_n = (c[k].astype(np.int64)
+                                            for k in ("low", "high", "rest", "slack", "leader_n"))
+        token, leader, component = c["token"], c["leader"], c["component"]
+        sketch = np.stack([c[s] for s in SKETCH], axis=1).view(np.uint64)  # of a signed number numpy counts |x|
         found: list[np.ndarray] = []
-        held = 0
-        for s, e in zip(cuts[:-1], cuts[1:]):
-            if e - s < 2 or (c["component"][s:e] == c["component"][s]).all():
+        held, step, at = 0, 1, np.arange(len(token))
+        while True:
+            at = at[at + step < len(token)]
+            to = at + step
+            # low grows along a list: a size that does not fit ends the row
+            fits = (token[to] == token[at]) & (NUM * low[to] <= DEN * high[at])
+            at, to = at[fits], to[fits]
+            if not len(at):
+                break
+            step += 1
+            need = -(-NUM * (low[at] + low[to]) // (NUM + DEN))
+            ok = (component[to] != component[at]) & (np.minimum(rest[at], rest[to]) >= need)
+            i, j, need = at[ok], to[ok], need[ok]
+            if not len(i):
                 continue
-            low, high, rest = (c[k][s:e].astype(np.int64) for k in ("low", "high", "rest"))
-            leader, component = c["leader"][s:e], c["component"][s:e]
-            for i in range(e - s - 1):
-                stop = np.searchsorted(low, high[i] * DEN // NUM, side="right")  # sizes beyond never fit
-                j = slice(i + 1, max(i + 1, int(stop)))
-                need = -(-NUM * (low[i] + low[j]) // (NUM + DEN))
-                ok = (component[j] != component[i]) & (np.minimum(rest[i], rest[j]) >= need)
-                if ok.any():
-                    other = leader[j][ok]
-                    found.append(np.stack([np.minimum(leader[i], other), np.maximum(leader[i], other)], axis=1))
-                    held += len(other)
+            differing = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1, dtype=np.int64)
+            ok = (leader_n[i] + leader_n[j] - differing) // 2 + slack[i] + slack[j] >= need
+            if ok.any():
+                x, y = leader[i[ok]], leader[j[ok]]
+                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+                held += len(x)
             if held > 1_000_000:
-                found, held = [np.unique(np.concatenate(found), axis=0)], 0
-                yield _pair_batch(found.pop())
+                yield _pair_batch(np.unique(np.concatenate(found), axis=0))
+                found, held = [], 0
         if found:
             yield _pair_batch(np.unique(np.concatenate(found), axis=0))
 
@@ -271,31 +307,41 @@ def _pair_batch(pairs: np.ndarray) -> pa.RecordBatch:
 
 # --- verification -----------------------------------------------------------------
 
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts: dict[int, np.ndarray] = {}
+    for b in batches:
+        slot = b["slot"].to_numpy()
+        for part in np.unique(slot >> BLOCK_BITS):
+            bits = parts.setdefault(int(part), np.zeros(1 << BLOCK_BITS, bool))
+            bits[slot[slot >> BLOCK_BITS == part] & ((1 << BLOCK_BITS) - 1)] = True
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(parts), pa.int32()), pa.array([np.packbits(p).tobytes() for p in parts.values()], pa.binary())],
+        names=["part", "bits"])
+
+
 def _bitmap(hashes: DataFrame) -> np.ndarray:
-    """FILTER_BITS bits, set where a hash of the column ``h`` falls (2 MB,
-    whatever the input; the more hashes, the more other rows pass)."""
+    """FILTER_BITS bits (packed), set where a hash of the column ``h`` falls
+    (2 MB, whatever the input; the more hashes, the more other rows pass)."""
     slot = F.col("h").bitwiseAND(FILTER_BITS - 1)
-    words = (hashes.select(F.shiftright(slot, 6).alias("word"),
-                           F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
-             .groupBy("word").agg(F.bit_or("bit").alias("bits")).collect())
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    for word, bits in words:
-        out[word] = bits
-    return out
+    found = map_arrow(hashes.select(slot.alias("slot")).distinct()
+                      .repartition(F.shiftright("slot", BLOCK_BITS)), _mark, "part int, bits binary").collect()
+    out = np.zeros((FILTER_BITS >> BLOCK_BITS, 1 << BLOCK_BITS >> 3), np.uint8)
+    for part, bits in found:
+        out[part] = np.frombuffer(bits, np.uint8)
+    return out.ravel()
 
 
-def _emit_sets(wanted: DataFrame, ids: DataFrame, rows: DataFrame) -> DataFrame:
+def _emit_sets(wanted: DataFrame, firsts: DataFrame, rows: DataFrame) -> DataFrame:
     """(set_id, tokens) of the sets in ``wanted``, and of few others. One
     document of each set is looked up in the texts through a bitmap filter,
     so texts are not shuffled."""
-    chosen = (ids.join(wanted, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-              .select(F.xxhash64("doc_id").alias("h")))
+    chosen = firsts.join(wanted, "set_id", "left_semi").select(F.xxhash64("doc_id").alias("h"))
     bitmap = rows.sparkSession.sparkContext.broadcast(_bitmap(chosen))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             slot = b["h"].to_numpy() & (FILTER_BITS - 1)
-            passed = bitmap.value[slot >> 6] >> (slot & 63) & 1
+            passed = bitmap.value[slot >> 3] >> (7 - (slot & 7)) & 1
             texts = b.filter(pa.array(passed.astype(bool)))["text"].to_pylist()
             for low, high in slices(texts):
                 sets = [s for s in shingle_sets(texts[low:high]) if len(s)]
@@ -344,11 +390,13 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
 
 
-def components(scratch: Scratch, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(set_id, component): smallest set id reachable over edges (a, b), by
-    min labels with hooking and pointer jumping; one written table a round."""
+def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
+    """(set_id, component) of the ends of edges (a, b): smallest id reachable
+    over edges, by min labels with hooking and pointer jumping; one written
+    table a round."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    now = scratch.save(nodes.select("set_id", F.col("set_id").alias("component")), "labels")
+    now = scratch.save(both.groupBy(F.col("a").alias("set_id")).agg(F.min("b").alias("least"))
+                       .select("set_id", F.least("set_id", "least").alias("component")), "labels")
     while True:
         of_b = now.select(F.col("set_id").alias("b"), F.col("component").alias("seen"))
         least = (both.join(of_b, "b").groupBy(F.col("a").alias("set_id")).agg(F.min("seen").alias("seen"))
@@ -360,16 +408,46 @@ def components(scratch: Scratch, nodes: DataFrame, edges: DataFrame) -> DataFram
                   .select("set_id", F.least("component", F.coalesce("seen", "component")).alias("next"),
                           F.col("component").alias("before")))
         hooked = scratch.save(hooked, "hooked")
-        up = hooked.select(F.col("set_id").alias("next"), F.col("next").alias("root"))
-        after = scratch.save(hooked.join(up, "next").select("set_id", F.col("root").alias("component"), "before"),
-                             "labels")
+        # most labels name themselves already; only the others look one up
+        up = hooked.filter("next <> set_id").select(F.col("set_id").alias("next"), F.col("next").alias("root"))
+        after = scratch.save(hooked.join(up, "next", "left").select(
+            "set_id", F.coalesce("root", "next").alias("component"), "before"), "labels")
         changed = after.filter("component <> before").limit(1).count()
         scratch.drop(now, hooked)
         now = after
         if not changed:
-            out = now.select("set_id", "component")
-            out._scratch = now._scratch  # noqa: SLF001
-            return out
+            return scratch.keep(now.select("set_id", "component"), now)
+
+
+def _component(comps: DataFrame, end: str, name: str) -> DataFrame:
+    return comps.select(F.col("set_id").alias(end), F.col("component").alias(name))
+
+
+def merged(scratch: Scratch, comps: DataFrame, edges: DataFrame) -> DataFrame:
+    """``comps`` after more edges: each component is one node, so only edges
+    between components are walked. Sets without a row are alone."""
+    between = scratch.save(
+        edges.join(_component(comps, "a", "of_a"), "a", "left").join(_component(comps, "b", "of_b"), "b", "left")
+        .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+        .filter("a <> b").distinct(), "contracted")
+    if not between.limit(1).count():
+        scratch.drop(between)
+        return comps
+    roots = components(scratch, between)
+    known = (comps.join(_component(roots, "component", "root"), "component", "left")
+             .select("set_id", F.coalesce("root", "component").alias("component")))
+    out = scratch.save(known.unionByName(roots.join(comps.select("set_id"), "set_id", "left_anti")), "components")
+    scratch.drop(between, roots, comps)
+    return out
+
+
+def _unless_apart(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sets that their sizes and sketches allow a link."""
+    side = lambda end: sketches.select(
+        F.col("set_id").alias(end), F.col("n").alias(f"{end}_n"), *(F.col(s).alias(f"{end}_{s}") for s in SKETCH))
+    most = F.floor((F.col("a_n") + F.col("b_n") - _differing("a_", "b_")) / 2)
+    return (pairs.join(side("a"), "a").join(side("b"), "b")
+            .filter(most >= needed(F.col("a_n"), F.col("b_n"))).select("a", "b"))
 
 
 def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -379,7 +457,8 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch = Scratch(spark)
     rows = texts_of(docs, id_col, text_col)
     found = scratch.save(map_arrow(
-        rows, _sets, "doc_id long, n_shingles long, set_id long, block int, counts binary"), "sets")
+        rows, _sets, "doc_id long, n_shingles long, set_id long, " + ", ".join(f"{s} long" for s in SKETCH)
+        + ", block int, counts binary"), "sets")
     ids = found.filter(F.col("block").isNull()).select("doc_id", "n_shingles", "set_id")
     levels = spark.sparkContext.broadcast(_levels(found.filter(F.col("block").isNotNull())))
 
@@ -388,15 +467,21 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                    _shared, "token long, set_id long, n int, place int"), "lists")
     nodes = scratch.save(lists.groupBy("set_id").agg(F.max("n").alias("n")), "nodes")
 
+    sketches = scratch.save(
+        found.groupBy("set_id").agg(F.max("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"),
+                                    *(F.max(s).alias(s) for s in SKETCH))
+        .join(nodes.select("set_id"), "set_id", "left_semi"), "sketches")
+
     # first answers: sets and their list's leader
-    stars = scratch.save(map_arrow(lists.repartition("token").sortWithinPartitions("token", "n", "set_id"), _stars,
-                                   "a long, b long").groupBy("a", "b").count().select("a", "b"), "stars")
+    stars = map_arrow(lists.repartition("token").sortWithinPartitions("token", "n", "set_id"), _stars,
+                      "a long, b long").groupBy("a", "b").count().select("a", "b")
+    stars = scratch.save(_unless_apart(stars, sketches), "stars")
     compared = _ends(stars)
-    sets = scratch.save(_emit_sets(compared, ids, rows).join(compared, "set_id"), "tokens")
+    sets = scratch.save(_emit_sets(compared, sketches, rows).join(compared, "set_id"), "tokens")
     first_sets = sets
     seen = scratch.save(_verify(stars, sets).distinct(), "overlaps")
     is_link = linked(F.col("overlap"), F.col("n_a"), F.col("n_b"))
-    comps = components(scratch, nodes, seen.filter(is_link))
+    comps = components(scratch, seen.filter(is_link))
 
     # each set's leader: the linked one with most sets
     popular = Window.partitionBy("b").orderBy(F.desc("rows"), "a")
@@ -404,40 +489,44 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .withColumn("nth", F.row_number().over(popular)).filter("nth = 1")
             .select(F.col("b").alias("set_id"), F.col("a").alias("leader"),
                     (F.col("n_b") - F.col("overlap")).alias("extra")))
-    led = scratch.save(nodes.join(best, "set_id", "left").join(comps, "set_id").select(
-        "set_id", "n", "component", F.coalesce("leader", "set_id").alias("leader"),
+    led = scratch.save(nodes.join(best, "set_id", "left").join(comps, "set_id", "left").select(
+        "set_id", "n", F.coalesce("component", "set_id").alias("component"), F.coalesce("leader", "set_id").alias("leader"),
         F.coalesce("extra", F.lit(0)).alias("extra")), "led")
 
     # blocks of the lists, and the answers of their leaders
-    blocks = (lists.join(led.select("set_id", "leader", "component"), "set_id")
+    blocks = (lists.join(led.select("set_id", "leader", "component", "extra"), "set_id")
               .groupBy("token", "leader", "component")
-              .agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("rest")))
+              .agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("rest"),
+                   F.max("extra").alias("slack"))
+              .join(sketches.drop("doc_id").withColumnsRenamed({"set_id": "leader", "n": "leader_n"}), "leader"))
     pairs = scratch.save(map_arrow(
         blocks.repartition("token").sortWithinPartitions("token", "low", "leader"), _block_pairs,
         "a long, b long").groupBy("a", "b").count().select("a", "b"), "pairs")
     new = _ends(pairs).join(compared, "set_id", "left_anti")
-    more_sets = scratch.save(_emit_sets(new, ids, rows).join(new, "set_id"), "tokens")
+    more_sets = scratch.save(_emit_sets(new, sketches, rows).join(new, "set_id"), "tokens")
     sets = sets.unionByName(more_sets)
     between = scratch.save(_verify(pairs, sets).distinct(), "between")
-    edges = scratch.save(seen.unionByName(between).filter(is_link).select("a", "b"), "edges")
-    comps = components(scratch, nodes, edges)
+    comps = merged(scratch, comps, between.filter(is_link).select("a", "b"))
 
     # members of leaders whose overlap leaves room for a link
     room = led.groupBy("leader").agg(F.min("n").alias("low"), F.max("extra").alias("slack"),
                                      F.max(F.col("set_id") != F.col("leader")).alias("others"))
     side = lambda s: room.select(F.col("leader").alias(s), F.col("low").alias(f"low_{s}"),
                                  F.col("slack").alias(f"slack_{s}"), F.col("others").alias(f"others_{s}"))
-    of = lambda end: comps.select(F.col("set_id").alias(end), F.col("component").alias(f"component_{end}"))
+    parts = _component(comps, "set_id", "part")
+    of = lambda end: parts.withColumnsRenamed({"set_id": end, "part": f"part_{end}"})
     tight = (between.join(side("a"), "a").join(side("b"), "b")
              .filter((F.col("overlap") + F.col("slack_a") + F.col("slack_b")) >= needed(F.col("low_a"), F.col("low_b")))
              .filter(F.col("others_a") | F.col("others_b"))
-             .join(of("a"), "a").join(of("b"), "b").filter("component_a <> component_b")
+             .join(of("a"), "a", "left").join(of("b"), "b", "left")
+             .filter(F.coalesce("part_a", "a") != F.coalesce("part_b", "b"))
              .select("a", "b", "overlap", "slack_b", "low_b"))
     if tight.limit(1).count():
         tight = scratch.save(tight, "tight")
         tested = between.select("a", "b")
         for most in (FIRST_TESTS, None):
-            member = led.drop("component").join(comps, "set_id")
+            member = led.drop("component").join(comps, "set_id", "left").withColumn(
+                "component", F.coalesce("component", "set_id"))
             half = lambda s: member.select(
                 F.col("leader").alias(f"leader_{s}"), F.col("set_id").alias(f"set_{s}"), F.col("n").alias(f"n_{s}"),
                 F.col("extra").alias(f"extra_{s}"), F.col("component").alias(f"component_{s}"))
@@ -457,9 +546,8 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 more = more.withColumn("nth", F.row_number().over(best_first)).filter(F.col("nth") <= most)
             more = scratch.save(_verify(scratch.save(more.select("a", "b"), "members"), sets).distinct(), "inside")
             tested = tested.unionByName(more.select("a", "b"))
-            edges = scratch.save(edges.unionByName(more.filter(is_link).select("a", "b")), "edges")
-            comps = components(scratch, nodes, edges)
-    scratch.drop(lists, first_sets, more_sets)
+            comps = merged(scratch, comps, more.filter(is_link).select("a", "b"))
+    scratch.drop(lists, first_sets, more_sets, nodes, sketches, stars, seen, led, pairs, between)
     return ids, comps
 
 

@@ -579,3 +579,26 @@ def test_crawl_covers_every_page(spark, sf_small):
     found = revisits.resolved(crawl)
     assert found.count() == crawl.filter("status = 304").count()
     assert {r.outcome for r in found.select("outcome").distinct().collect()} >= {"resolved", "mismatch", "no_earlier"}
+
+
+def test_parity_sketch_bounds_the_overlap():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 60, 400, 3000):
+        for share in (0.0, 0.3, 0.8, 0.95, 1.0):
+            x = np.unique(rng.integers(0, 2**64, n, np.uint64))
+            y = np.unique(np.concatenate([x[:int(share * len(x))], rng.integers(0, 2**64, n // 3, np.uint64)]))
+            differing = int(np.bitwise_count(
+                ngram_join.sketch_of(x).view(np.uint64) ^ ngram_join.sketch_of(y).view(np.uint64)).sum())
+            assert len(np.intersect1d(x, y)) <= (len(x) + len(y) - differing) // 2
+
+
+def test_merged_components_equal_components_of_all_edges(spark):
+    rng = np.random.default_rng(4)
+    scratch = ngram_join.Scratch(spark)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2)) if a != b]
+    as_frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    whole = ngram_join.components(scratch, as_frame(edges)).collect()
+    first = ngram_join.components(scratch, as_frame(edges[:90]))
+    after = ngram_join.merged(scratch, first, as_frame(edges[90:])).collect()
+    assert sorted(whole) == sorted(after)
+    assert ngram_join.components(scratch, as_frame([])).count() == 0

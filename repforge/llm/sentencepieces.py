@@ -5,6 +5,10 @@ holds every adjacent pair whose joined text is a piece. The best pair is
 merged, its new neighbours enter the agenda, and stale entries are skipped,
 until no pair is left. Symbols that are no piece fall back to bytes.
 
+Many words run through their agendas in lockstep: the entries of all words
+are one array, a step takes every word's best entry and merges it. Long words
+use the heap.
+
 No piece of the vocabulary crosses from a letter into a blank (checked when
 the model is read), so the agenda runs once for each distinct word of a
 worker's texts. Every Arrow batch is checked against the sentencepiece
@@ -18,6 +22,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +32,10 @@ from repforge.llm.chunks import ChunkIds
 from repforge.llm.common import map_arrow, slices, texts_of
 
 BLANK = "▁"
+#: Longer words use the heap, so that a step is never run for a few of them.
+LOCKSTEP_CHARS = 48
+#: Rank of a pair that makes no piece.
+NEVER = np.iinfo(np.int32).max
 _WORD = re.compile(f"{BLANK}+[^{BLANK}]*")
 
 
@@ -43,6 +52,87 @@ class Agenda:
         self.unknown = processor.unk_id()
         if any(BLANK in p.lstrip(BLANK) for p in self.id):
             raise ValueError("a piece has a blank after a letter: words cannot be encoded one by one")
+        self._tabulate()
+
+    def _tabulate(self) -> None:
+        """Numbers for symbols (pieces and their characters), and a sorted
+        table of the pairs that make a piece: its rank by score, its number."""
+        symbols = sorted(set(self.id) | {c for p in self.id for c in p})
+        number = {s: i for i, s in enumerate(symbols)}
+        self.symbols = len(symbols)
+        # a character c that is no piece is -1 - c, as id and, if in no piece, as number
+        self.id_of_number = np.array([self.id[s] if s in self.id else -1 - ord(s) for s in symbols], np.int64)
+        self.number_of_char = -1 - np.arange(0x110000, dtype=np.int32)
+        for s, i in number.items():
+            if len(s) == 1:
+                self.number_of_char[ord(s)] = i
+        rank = {x: i for i, x in enumerate(sorted(set(self.score.values()), reverse=True))}
+        pairs = sorted((number[p[:k]] * self.symbols + number[p[k:]], rank[x], number[p])
+                       for p, x in self.score.items() for k in range(1, len(p))
+                       if p[:k] in number and p[k:] in number)
+        # the last row matches no pair
+        self.pair_key, self.pair_rank, self.pair_number = np.array([*pairs, (2**62, NEVER, -1)], np.int64).T.copy()
+
+    def _entries(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Row of the pair table for each pair of symbols, the last if none."""
+        key = left.astype(np.int64) * self.symbols + right
+        at = np.searchsorted(self.pair_key, key)
+        return np.where((self.pair_key[at] == key) & (left >= 0) & (right >= 0), at, len(self.pair_key) - 1)
+
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word, all agendas one step at a time."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        short = np.flatnonzero((lengths > 0) & (lengths <= LOCKSTEP_CHARS))
+        owner = np.repeat(short, lengths[short])
+        text = "".join([words[i] for i in short.tolist()])
+        symbol = self.number_of_char[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        none = len(self.pair_key) - 1
+        entry = np.full(len(symbol), none)
+        inner = np.flatnonzero(owner[1:] == owner[:-1])
+        entry[inner] = self._entries(symbol[inner], symbol[inner + 1])
+        done = []
+        while len(symbol):
+            rank = self.pair_rank[entry]
+            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            sizes = np.diff(starts, append=len(owner))
+            best = np.minimum.reduceat(rank, starts)
+            going = np.repeat(best < NEVER, sizes)
+            done.append((owner[~going], symbol[~going]))
+            first = going & (rank == np.repeat(best, sizes))
+            owner, symbol, entry, at = owner[going], symbol[going], entry[going], np.flatnonzero(first[going])
+            if not len(at):
+                break
+            at = at[np.concatenate([[True], owner[at[1:]] != owner[at[:-1]]])]  # leftmost of equals
+            symbol[at] = self.pair_number[entry[at]]
+            stays = np.ones(len(symbol), bool)
+            stays[at + 1] = False
+            owner, symbol, entry = owner[stays], symbol[stays], entry[stays]
+            at = at - np.arange(len(at))
+            entry[at] = none
+            for left in (at, at[at > 0] - 1):
+                left = left[left + 1 < len(owner)]
+                left = left[owner[left] == owner[left + 1]]
+                entry[left] = self._entries(symbol[left], symbol[left + 1])
+        by_word = np.zeros(len(words), np.int64)
+        if done:
+            owner, symbol = (np.concatenate(x) for x in zip(*done))
+            order = np.argsort(owner, kind="stable")
+            owner, ids = owner[order], np.where(symbol < 0, symbol, self.id_of_number[symbol])[order]
+            by_word = np.bincount(owner, minlength=len(words))
+            plain = np.bincount(owner[ids < 0], minlength=len(words)) == 0
+            flat = ids.tolist()
+        else:
+            plain, flat = np.ones(len(words), bool), []
+        cuts = np.concatenate([[0], np.cumsum(by_word)]).tolist()
+        out = [flat[a:b] for a, b in pairwise(cuts)]
+        for i in np.flatnonzero(~plain).tolist():
+            out[i] = [y for x in out[i] for y in ((x,) if x >= 0 else self._fallback(chr(-1 - x)))]
+        for i in np.flatnonzero(lengths > LOCKSTEP_CHARS).tolist():
+            out[i] = self.encode(words[i])
+        return out
+
+    def _fallback(self, symbol: str) -> list[int]:
+        return [self.byte[b] for b in symbol.encode("utf-8")] if self.byte else [self.unknown]
 
     def encode(self, word: str) -> list[int]:
         symbols = list(word)
@@ -78,10 +168,8 @@ class Agenda:
                 continue
             if s in self.id:
                 out.append(self.id[s])
-            elif self.byte:
-                out.extend(self.byte[b] for b in s.encode("utf-8"))
             else:
-                out.append(self.unknown)
+                out.extend(self._fallback(s))
         return out
 
 
@@ -100,7 +188,7 @@ def _model(path: str):
 
     processor = sentencepiece.SentencePieceProcessor(model_file=path)
     agenda = Agenda(processor)
-    words = ChunkIds(lambda fresh: [agenda.encode(BLANK + w) for w in fresh])
+    words = ChunkIds(lambda fresh: agenda.encode_words([BLANK + w for w in fresh]))
     return processor, words
 
 
@@ -117,9 +205,10 @@ def encode_checked(texts: list[str], path: str) -> tuple[list[np.ndarray], list[
     the library has the same ids."""
     ids = encode_texts(texts, path)
     processor, _ = _model(path)
-    decoded = processor.decode([x.tolist() for x in ids], num_threads=1)
+    lists = [x.tolist() for x in ids]
+    decoded = processor.decode(lists, num_threads=1)
     library = processor.encode(texts, add_bos=True, add_eos=True, num_threads=1)
-    return ids, decoded, [np.array_equal(x, y) for x, y in zip(ids, library)]
+    return ids, decoded, [x == y for x, y in zip(lists, library)]
 
 
 SCHEMA = ("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, agrees boolean")

@@ -602,3 +602,14 @@ def test_merged_components_equal_components_of_all_edges(spark):
     after = ngram_join.merged(scratch, first, as_frame(edges[90:])).collect()
     assert sorted(whole) == sorted(after)
     assert ngram_join.components(scratch, as_frame([])).count() == 0
+
+
+def test_lockstep_agendas_equal_the_heap():
+    import sentencepiece
+    agenda = sentencepieces.Agenda(sentencepiece.SentencePieceProcessor(model_file=SP))
+    rnd = random.Random(2)
+    words = ["", "▁", "▁" + "a" * 200, "▁é", "🙂", "▁aaaaaaa"]
+    words += ["▁" + "".join(rnd.choice("etaoin shrdluéß漢🙂\x00\n'") for _ in range(rnd.randint(0, 70))).replace(" ", "▁")
+              for _ in range(3000)]
+    assert agenda.encode_words(words) == [agenda.encode(w) for w in words]
+    assert agenda.encode_words([]) == []

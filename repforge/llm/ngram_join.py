@@ -11,7 +11,10 @@
 4. Lists are cut into blocks, one per leader, with the block's size range
    and best position. Pairs of blocks that no pair of their sets could pass,
    or that lie in one component, are skipped; of the others the two leaders
-   are compared.
+   are compared. First each block meets only the next one of another
+   component, a few times over in changing order: that joins the leaders of
+   one large family by a number of pairs that grows with the lists, so the
+   full comparison finds few blocks of different components left.
 
    Steps 3 and 4 use a parity sketch: bit c says whether a set has an odd
    number of shingles in cell c. Where two sketches differ, at least one
@@ -54,6 +57,8 @@ FILTER_BITS = 1 << 24
 #: Members that one task compares with a leader.
 LEADER_ROWS = 1000
 
+#: Times that each block meets its neighbour before all blocks meet.
+NEAR_ROUNDS = 2
 #: Words of 64 bits in a parity sketch. Sets of up to about a thousand
 #: shingles are told apart by it; larger ones go on to the exact comparison.
 SKETCH_WORDS = 8
@@ -261,6 +266,20 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
+def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leader pairs (a < b) of each block and the next one of its list, where
+    components differ and sizes and positions allow a link."""
+    for c in _whole_lists(batches):
+        low, high, rest = (c[k].astype(np.int64) for k in ("low", "high", "rest"))
+        at = np.flatnonzero((c["token"][1:] == c["token"][:-1]) & (c["component"][1:] != c["component"][:-1]))
+        to = at + 1
+        need = -(-NUM * (low[at] + low[to]) // (NUM + DEN))
+        ok = ((NUM * low[to] <= DEN * high[at]) & (NUM * low[at] <= DEN * high[to])
+              & (np.minimum(rest[at], rest[to]) >= need))
+        x, y = c["leader"][at[ok]], c["leader"][to[ok]]
+        yield _pair_batch(_distinct_pairs(np.minimum(x, y), np.maximum(x, y)))
+
+
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Leader pairs (a < b) of blocks of one list that lie in different
     components and that sizes, positions and sketches do not rule out. Rows:
@@ -386,10 +405,6 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_arrow(dealt, _overlaps, "a long, b long, n_a long, n_b long, overlap long")
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-
-
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(set_id, component) of the ends of edges (a, b): smallest id reachable
     over edges, by min labels with hooking and pointer jumping; one written
@@ -476,9 +491,8 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stars = map_arrow(lists.repartition("token").sortWithinPartitions("token", "n", "set_id"), _stars,
                       "a long, b long").groupBy("a", "b").count().select("a", "b")
     stars = scratch.save(_unless_apart(stars, sketches), "stars")
-    compared = _ends(stars)
-    sets = scratch.save(_emit_sets(compared, sketches, rows).join(compared, "set_id"), "tokens")
-    first_sets = sets
+    sets = scratch.save(_emit_sets(nodes.select("set_id"), sketches, rows).join(nodes.select("set_id"), "set_id"),
+                        "tokens")
     seen = scratch.save(_verify(stars, sets).distinct(), "overlaps")
     is_link = linked(F.col("overlap"), F.col("n_a"), F.col("n_b"))
     comps = components(scratch, seen.filter(is_link))
@@ -493,18 +507,30 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "set_id", "n", F.coalesce("component", "set_id").alias("component"), F.coalesce("leader", "set_id").alias("leader"),
         F.coalesce("extra", F.lit(0)).alias("extra")), "led")
 
-    # blocks of the lists, and the answers of their leaders
-    blocks = (lists.join(led.select("set_id", "leader", "component", "extra"), "set_id")
-              .groupBy("token", "leader", "component")
-              .agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("rest"),
-                   F.max("extra").alias("slack"))
-              .join(sketches.drop("doc_id").withColumnsRenamed({"set_id": "leader", "n": "leader_n"}), "leader"))
+    # blocks of the lists, first each with its neighbour
+    blocks = scratch.save(
+        lists.join(led.select("set_id", "leader", "extra"), "set_id").groupBy("token", "leader")
+        .agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("rest"),
+             F.max("extra").alias("slack")), "blocks")
+    placed = lambda: (blocks.join(_component(comps, "leader", "component"), "leader", "left")
+                      .withColumn("component", F.coalesce("component", "leader")))
+    for turn in range(NEAR_ROUNDS):
+        near = placed().drop("slack").withColumn("order", F.xxhash64("token", "leader", F.lit(turn)))
+        near = map_arrow(near.repartition("token").sortWithinPartitions("token", "order", "leader"), _near_pairs,
+                         "a long, b long").groupBy("a", "b").count().select("a", "b")
+        near = scratch.save(_unless_apart(near, sketches), "near")
+        met = scratch.save(_verify(near, sets).filter(is_link).select("a", "b").distinct(), "met")
+        comps = merged(scratch, comps, met)
+        scratch.drop(near, met)
+
+    # then all blocks of different components, by their leaders
+    apart = (placed().groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+             .filter("least < most").select("token"))
+    wide = (placed().join(apart, "token", "left_semi")
+            .join(sketches.drop("doc_id").withColumnsRenamed({"set_id": "leader", "n": "leader_n"}), "leader"))
     pairs = scratch.save(map_arrow(
-        blocks.repartition("token").sortWithinPartitions("token", "low", "leader"), _block_pairs,
+        wide.repartition("token").sortWithinPartitions("token", "low", "leader"), _block_pairs,
         "a long, b long").groupBy("a", "b").count().select("a", "b"), "pairs")
-    new = _ends(pairs).join(compared, "set_id", "left_anti")
-    more_sets = scratch.save(_emit_sets(new, sketches, rows).join(new, "set_id"), "tokens")
-    sets = sets.unionByName(more_sets)
     between = scratch.save(_verify(pairs, sets).distinct(), "between")
     comps = merged(scratch, comps, between.filter(is_link).select("a", "b"))
 
@@ -547,7 +573,7 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             more = scratch.save(_verify(scratch.save(more.select("a", "b"), "members"), sets).distinct(), "inside")
             tested = tested.unionByName(more.select("a", "b"))
             comps = merged(scratch, comps, more.filter(is_link).select("a", "b"))
-    scratch.drop(lists, first_sets, more_sets, nodes, sketches, stars, seen, led, pairs, between)
+    scratch.drop(lists, sets, blocks, nodes, sketches, stars, seen, led, pairs, between)
     return ids, comps
 
 

@@ -12,7 +12,7 @@
    and best position. Pairs of blocks that no pair of their sets could pass,
    or that lie in one component, are skipped; of the others the two leaders
    are compared. First each block meets only the next one of another
-   component, a few times over in changing order: that joins the leaders of
+   component in an order by hash: that joins the leaders of
    one large family by a number of pairs that grows with the lists, so the
    full comparison finds few blocks of different components left.
 
@@ -58,7 +58,7 @@ FILTER_BITS = 1 << 24
 LEADER_ROWS = 1000
 
 #: Times that each block meets its neighbour before all blocks meet.
-NEAR_ROUNDS = 2
+NEAR_ROUNDS = 1
 #: Words of 64 bits in a parity sketch. Sets of up to about a thousand
 #: shingles are told apart by it; larger ones go on to the exact comparison.
 SKETCH_WORDS = 8
@@ -405,6 +405,20 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_arrow(dealt, _overlaps, "a long, b long, n_a long, n_b long, overlap long")
 
 
+def _more_sets(scratch: Scratch, sets: DataFrame | None, pairs: DataFrame, firsts: DataFrame,
+               rows: DataFrame) -> DataFrame:
+    """``sets`` with those of the ends of ``pairs`` that it lacks; the texts
+    are read only if there are any."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    if sets is not None:
+        ends = scratch.save(ends.join(sets.select("set_id"), "set_id", "left_anti"), "ends")
+        if not ends.limit(1).count():
+            scratch.drop(ends)
+            return sets
+    more = scratch.save(_emit_sets(ends, firsts, rows).join(ends, "set_id"), "tokens")
+    return more if sets is None else sets.unionByName(more)
+
+
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(set_id, component) of the ends of edges (a, b): smallest id reachable
     over edges, by min labels with hooking and pointer jumping; one written
@@ -491,8 +505,7 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stars = map_arrow(lists.repartition("token").sortWithinPartitions("token", "n", "set_id"), _stars,
                       "a long, b long").groupBy("a", "b").count().select("a", "b")
     stars = scratch.save(_unless_apart(stars, sketches), "stars")
-    sets = scratch.save(_emit_sets(nodes.select("set_id"), sketches, rows).join(nodes.select("set_id"), "set_id"),
-                        "tokens")
+    sets = _more_sets(scratch, None, stars, sketches, rows)
     seen = scratch.save(_verify(stars, sets).distinct(), "overlaps")
     is_link = linked(F.col("overlap"), F.col("n_a"), F.col("n_b"))
     comps = components(scratch, seen.filter(is_link))
@@ -519,6 +532,7 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         near = map_arrow(near.repartition("token").sortWithinPartitions("token", "order", "leader"), _near_pairs,
                          "a long, b long").groupBy("a", "b").count().select("a", "b")
         near = scratch.save(_unless_apart(near, sketches), "near")
+        sets = _more_sets(scratch, sets, near, sketches, rows)
         met = scratch.save(_verify(near, sets).filter(is_link).select("a", "b").distinct(), "met")
         comps = merged(scratch, comps, met)
         scratch.drop(near, met)
@@ -531,6 +545,7 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pairs = scratch.save(map_arrow(
         wide.repartition("token").sortWithinPartitions("token", "low", "leader"), _block_pairs,
         "a long, b long").groupBy("a", "b").count().select("a", "b"), "pairs")
+    sets = _more_sets(scratch, sets, pairs, sketches, rows)
     between = scratch.save(_verify(pairs, sets).distinct(), "between")
     comps = merged(scratch, comps, between.filter(is_link).select("a", "b"))
 
@@ -573,7 +588,7 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             more = scratch.save(_verify(scratch.save(more.select("a", "b"), "members"), sets).distinct(), "inside")
             tested = tested.unionByName(more.select("a", "b"))
             comps = merged(scratch, comps, more.filter(is_link).select("a", "b"))
-    scratch.drop(lists, sets, blocks, nodes, sketches, stars, seen, led, pairs, between)
+    scratch.drop(lists, blocks, nodes, sketches, stars, seen, led, pairs, between)
     return ids, comps
 
 

@@ -77,11 +77,15 @@ def kmer_keys(data: np.ndarray, lengths: np.ndarray, k: int = K, seed: int = 42)
     row = np.repeat(np.arange(lengths.size), n_win)
     first = np.repeat(np.cumsum(lengths) - lengths, n_win)
     local = np.arange(row.size, dtype=np.int64) - np.repeat(np.cumsum(n_win) - n_win, n_win)
-    start = first + local
     codes = _CODE[data]
-    packed = np.zeros(row.size, dtype=np.uint64)
-    for j in range(k):
-        packed = (packed << np.uint64(5)) | codes[start + j]
+    # windows at every place of the buffer, by doubling; those that cross a
+    # row's end are never looked up
+    packed, size = codes, 1
+    for bit in bin(k)[3:] if len(codes) >= k else "":
+        packed, size = (packed[:-size] << np.uint64(5 * size)) | packed[size:], 2 * size
+        if bit == "1":
+            packed, size = (packed[:-1] << np.uint64(5)) | codes[size:], size + 1
+    packed = packed[first + local]
     with np.errstate(over="ignore"):
         h = fmix64(packed ^ np.uint64((seed * GOLDEN) % 2 ** 64)) >> np.uint64(1)
     return row, h.astype(np.int64), local
@@ -89,8 +93,27 @@ def kmer_keys(data: np.ndarray, lengths: np.ndarray, k: int = K, seed: int = 42)
 
 def smallest_per_row(row: np.ndarray, key: np.ndarray, place: np.ndarray, m: int):
     """The ``m`` smallest distinct keys of each row, each with its first
-    position (vectorised)."""
-    order = np.lexsort((place, key, row))
+    position (vectorised). ``row`` and each row's ``place`` ascend. Keys are
+    uniform in 63 bits, so of a long row only those below a bound that leaves
+    more than twice ``m`` are sorted; a row left with too few is sorted whole."""
+    if not row.size:
+        return row, key, place
+    share = (2 * m + 24) / np.maximum(np.bincount(row), 1)
+    bound = np.where(share < 1, np.minimum(share, 0.9) * 2.0 ** 63, 2.0 ** 62).astype(np.int64)
+    low = (key < bound[row]) | (share >= 1)[row]
+    found = _sorted_smallest(row[low], key[low], place[low], m)
+    short = (share < 1) & (np.bincount(found[0], minlength=share.size) < m)
+    if not short.any():
+        return found
+    again, kept = short[row], ~short[found[0]]
+    whole = _sorted_smallest(row[again], key[again], place[again], m)
+    r, kk, pp = (np.concatenate([f[kept], w]) for f, w in zip(found, whole))
+    order = np.argsort(r, kind="stable")
+    return r[order], kk[order], pp[order]
+
+
+def _sorted_smallest(row: np.ndarray, key: np.ndarray, place: np.ndarray, m: int):
+    order = np.lexsort((key, row))  # stable: of equal keys the first place comes first
     r, kk, pp = row[order], key[order], place[order]
     new = np.ones(r.size, dtype=bool)
     new[1:] = (r[1:] != r[:-1]) | (kk[1:] != kk[:-1])

@@ -65,10 +65,10 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def residue_text(c: Column) -> Column:
-    """Letters only, non-ASCII removed before upper-casing, then only the
-    twenty standard amino-acid letters kept."""
-    letters = F.regexp_replace(c, "[^A-Za-z]", "")
-    return F.regexp_replace(F.upper(letters), "[^ACDEFGHIKLMNPQRSTVWY]", "")
+    """Only the twenty standard amino-acid letters, in upper case. One pass:
+    case changes nothing about which ASCII letters stay, and the others
+    (whose upper case may be ASCII) go before it."""
+    return F.upper(F.regexp_replace(c, "[^ACDEFGHIKLMNPQRSTVWYacdefghiklmnpqrstvwy]+", ""))
 
 
 LINE_ID_STRIDE = 100000  # Sequence_ID = doc_id * stride + line number

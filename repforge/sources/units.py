@@ -231,7 +231,7 @@ def unit_row_text(df: DataFrame, values: dict[str, Column]) -> Column:
             return F.lit("")
         v = v.cast("string")
         quoted = F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))
-        return F.coalesce(F.when(v.rlike('[,"]'), quoted).otherwise(v), F.lit(""))
+        return F.coalesce(F.when(v.contains(",") | v.contains('"'), quoted).otherwise(v), F.lit(""))
     return F.concat_ws(",", *[field(c) for c in UNIT_COLUMNS])
 
 
@@ -251,7 +251,10 @@ def write_units(lines: DataFrame, path: str, num_partitions: int | None = None)
 
 def residue_unit_lines(res: DataFrame) -> DataFrame:
     """Unit lines for the residue view: one unit per ``File_ID``; metadata
-    line, header line, then the rows in ``Sequence_ID`` order."""
+    line, header line, then the rows in ``Sequence_ID`` order. The view is
+    written once: its texts are derived in one pass, and the range bounds and
+    the units are read from the written columns."""
+    res = materialize(res, "unit-rows")
     values = {"sequence": F.col("sequence"), "locus": F.col("locus"),
               "v_call": F.concat(F.col("v_call"), F.lit("*01,"), F.col("v_call"), F.lit("*02")),
               "d_call": F.col("d_call"), "j_call": F.col("j_call"),
@@ -259,7 +262,7 @@ def residue_unit_lines(res: DataFrame) -> DataFrame:
     values.update({r: F.col(r) for r in REGIONS})
     rows = res.select(F.col("File_ID").alias("unit"), F.col("Sequence_ID").alias("ord"),
                       unit_row_text(res, values).alias("value"))
-    units = res.select(F.col("File_ID").alias("unit")).distinct()
+    units = materialize(res.select(F.col("File_ID").alias("unit")).distinct(), "unit-ids")
     meta = units.select("unit", F.lit(-2).cast("bigint").alias("ord"), F.concat(
         F.lit('"{""Run"": ""unit_'), F.col("unit").cast("string"),
         F.lit('"", ""Species"": ""human"", ""Chain"": ""Heavy""}"')).alias("value"))

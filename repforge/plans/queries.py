@@ -419,7 +419,7 @@ def q_kmer_candidates(spark, sf):
 @query("verified_pairs")
 def q_verified_pairs(spark, sf):
     u = materialize(clu.exact_duplicates(_residue_seqs(spark, sf)), "unique-sequences")
-    return clu.verified_pairs(clu.kmer_candidates(materialize(clu.kmer_sketch(u), "sketch")), u)
+    return clu.verified_pairs(clu.kmer_candidates(clu.kmer_sketch(u)), u)
 
 
 
@@ -432,7 +432,7 @@ def q_verified_pairs_gapped(spark, sf):
     """C1d with gaps: covered candidates that fail on their diagonal are
     aligned again within BAND places of it."""
     u = materialize(clu.exact_duplicates(_residue_seqs(spark, sf)), "unique-sequences")
-    return clu.verified_pairs(clu.kmer_candidates(materialize(clu.kmer_sketch(u), "sketch")), u, band=BAND)
+    return clu.verified_pairs(clu.kmer_candidates(clu.kmer_sketch(u)), u, band=BAND)
 
 @query("cluster_assignments")
 def q_cluster_assignments(spark, sf):
@@ -613,10 +613,12 @@ def _token_files(spark, sf):
     """Token shards, written once per session to the shared checkpoint folder."""
     key = (spark.sparkContext.applicationId, sf, "tokens")
     if key not in _CORPUS_DIRS:
-        rows = corpus.with_shards(materialize(_split_text(spark, sf), "split-rows"), TOKEN_SHARD_ROWS)
+        split = materialize(_split_text(spark, sf), "split-rows")
+        rows = corpus.deal_shards(corpus.with_shards(split, TOKEN_SHARD_ROWS), split.count())
         path = scratch_path(spark, "tokens")
         corpus.write_token_shards(
-            corpus.tokenize_corpus(rows, "sequence", keep=["Sequence_ID", "split", "shard"]), path)
+            corpus.tokenize_corpus(rows, "sequence", keep=["Sequence_ID", "split", "shard"]),
+            path, dealt=True)
         _CORPUS_DIRS[key] = path
     return _CORPUS_DIRS[key]
 

@@ -61,10 +61,26 @@ def with_shards(rows: DataFrame, shard_rows: int = SHARD_ROWS, order_col: str =
     return ranked.withColumn("shard", F.expr(f"cast((_place - 1) div {shard_rows} as int)")).drop("_bin", "_place")
 
 
-def write_token_shards(tokens: DataFrame, path: str) -> None:
+#: Rows that a task tokenises and sorts by folder before it writes them (100
+#: MB of token arrays at 150 tokens): it holds them without a spill.
+DEALT_ROWS = 50_000
+
+
+def deal_shards(rows: DataFrame, n_rows: int) -> DataFrame:
+    """The rows of a shard (see ``with_shards``) in one partition. Deal rows
+    out before they are tokenised: a text is a tenth of its token arrays.
+    ``n_rows`` gives the number of partitions; left to the size of the
+    texts, a task would get many more arrays than it can hold."""
+    parts = max(-(-n_rows // DEALT_ROWS), rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(parts, "split", "shard")
+
+
+def write_token_shards(tokens: DataFrame, path: str, dealt: bool = False) -> None:
     """Parquet, one folder per split and shard (see ``with_shards``), one
-    file of at most ``shard_rows`` rows each."""
-    (tokens.repartition("split", "shard").write.mode("overwrite").partitionBy("split", "shard").parquet(path))
+    file of at most ``shard_rows`` rows each. ``dealt``: the rows were dealt
+    out by ``deal_shards`` before they were tokenised."""
+    whole = tokens if dealt else tokens.repartition("split", "shard")
+    whole.write.mode("overwrite").partitionBy("split", "shard").parquet(path)
 
 
 def read_tokenized_test(spark: SparkSession, path: str, split: str = "test") -> DataFrame | None:

@@ -51,6 +51,33 @@ def equal_codes(codes: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray)
     return out
 
 
+def apart(codes: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, band: int) -> np.ndarray:
+    """For each pair a lower bound of the columns that do not match, in any
+    alignment of codes[b: b + n] within ``band`` places of the diagonal that
+    puts codes[b] on codes[a]. Two neighbours of the member that lie nowhere
+    in the band side by side cost a column at least (one of them differs or
+    meets a gap, or a gap parts them), and the neighbours taken are disjoint.
+    Codes beyond the centre's ends can only lower the bound."""
+    out = np.zeros(len(n), np.int64)
+    if len(codes) < 2 or not len(n):
+        return out
+    shift, kind = (8, np.uint16) if codes.dtype == np.uint8 else (32, np.uint64)
+    twos = (codes[:-1].astype(kind) << kind(shift)) | codes[1:]
+    padded = np.concatenate([np.zeros(band, kind), twos, np.zeros(band + 1, kind)])
+    half = n // 2
+    for low, high in slices(half):
+        m = half[low:high]
+        pair = np.repeat(np.arange(len(m)), m)
+        step = 2 * (np.arange(len(pair)) - np.repeat(np.cumsum(m) - m, m))
+        mine = twos[b[low:high][pair] + step]
+        at = np.clip(a[low:high][pair] + step, 0, len(codes) - 1)
+        lost = np.ones(len(pair), bool)
+        for off in range(2 * band + 1):
+            lost &= padded[at + off] != mine
+        out[low:high] = np.bincount(pair[lost], minlength=len(m))
+    return out
+
+
 def banded(codes: np.ndarray, centre: np.ndarray, c_len: np.ndarray, start: np.ndarray, member: np.ndarray,
            n: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
     """(columns, matches) of the best alignment of codes[member: member + n]

@@ -23,9 +23,11 @@ Our stated definition (not bit-equality with any external tool):
    it becomes a representative. A round settles every local maximum and its
    neighbours and drops their edges; the result equals the sequential greedy.
 
-Hot k-mers (conserved framework regions) are handled by partial aggregation
-(a hash ``max`` of a packed priority) and a join against one row per k-mer,
-which AQE's skew-join can split; no window over a k-mer is used.
+The sketch is dealt out by k-mer once; a hash ``max`` of a packed priority
+and a join against one row per k-mer read that one shuffle. Hot k-mers
+(conserved framework regions) are not dealt to one task: their centres come
+from a partial aggregation and are put beside the rows by broadcast. No window
+over a k-mer is used.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repforge.operators.align import banded, codes_of, equal_codes
+from repforge.operators.align import apart, banded, codes_of, equal_codes
 from repforge.operators.masking import GOLDEN, fmix64
 from repforge.operators.ranks import broadcast_checked
 from repforge.session import ensure_checkpoint_dir, materialize, ship_package
@@ -158,7 +160,9 @@ def kmer_sketch(unique: DataFrame, k: int = K, m: int = M, seed: int = 42) -> Da
                      pa.array(key, pa.int64()), pa.array(place, pa.int64())], names=["id", "len", "kmer", "place"])
 
     ship_package(src.sparkSession)
-    return src.mapInArrow(run, "id bigint, len int, kmer bigint, place bigint")
+    # no row has a null: said here, so that no reader of the sketch adds its own filter and shuffle
+    return src.mapInArrow(run, "id bigint, len int, kmer bigint, place bigint").where(
+        "len is not null and kmer is not null and place is not null")
 
 
 # Priority = length * 10^19 + (10^19 - 1 - id) as DECIMAL(38,0): covers
@@ -199,83 +203,175 @@ def length_of(key):
 # A centre's position rides below its priority: priority * 10^9 + position
 # (sequences of fewer than 10^9 residues, checked).
 PLACE_SPAN = 10 ** 9
+#: A k-mer that more than HOT of every SAMPLED-th sequence share is not dealt
+#: to one task.
+SAMPLED, HOT = 64, 1000
+
+
+def _hot_kmers(sketch: DataFrame) -> DataFrame | None:
+    """(kmer) of the k-mers that very many sequences share, estimated on a
+    part of the ids: it decides how rows are dealt out, never which."""
+    part = sketch.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLED)) == 0)
+    hot = materialize(part.groupBy("kmer").count().where(F.col("count") > HOT).select("kmer"), "hot-kmers")
+    return None if hot.isEmpty() else hot
 
 
 def kmer_candidates(sketch: DataFrame) -> DataFrame:
     """(centre, member, c_len, m_len, diagonal), one per shared k-mer centre;
     linear in the sketch size. The centre is the longest sequence of the
-    k-mer; ``diagonal`` is the member's first residue counted in the centre."""
+    k-mer; ``diagonal`` is the member's first residue counted in the centre.
+    The sketch is dealt out by k-mer once, for centres and members; rows of
+    hot k-mers stay where they are and meet their few centres by broadcast."""
+    sketch = sketch.where(F.col("kmer").isNotNull())  # on both sides of the join, which then read one shuffle
+    hot = _hot_kmers(sketch)
+    if hot is None:
+        dealt = sketch.repartition("kmer")
+        return _meet(dealt, _centres(dealt)).distinct()
+    hot = broadcast_checked(hot)
+    dealt = sketch.join(hot, "kmer", "left_anti").repartition("kmer")
+    shared = sketch.join(hot, "kmer", "left_semi")
+    return (_meet(dealt, _centres(dealt))
+            .unionByName(_meet(shared, broadcast_checked(_centres(shared)))).distinct())
+
+
+def _centres(sketch: DataFrame) -> DataFrame:
+    """(kmer, c_place, centre, c_len): the longest sequence of each k-mer."""
     span = F.lit(Decimal(PLACE_SPAN)).cast(PRIORITY_TYPE)
     packed = (priority_key() * span).cast(PRIORITY_TYPE) + F.col("place").cast(PRIORITY_TYPE)
     packed = F.when(F.col("len") < PLACE_SPAN, packed.cast(PRIORITY_TYPE)).otherwise(
         F.raise_error(F.lit("sequence too long")).cast(PRIORITY_TYPE))
-    top = sketch.groupBy("kmer").agg(F.max(packed).alias("_p"))
+    top = (sketch.groupBy("kmer").agg(F.max(packed).alias("_p"), F.count(F.lit(1)).alias("_n"))
+           .where("_n > 1"))  # a k-mer of one sequence has no member
     place = F.pmod(F.col("_p"), span)
     top = top.select("kmer", place.cast("bigint").alias("c_place"),
                      ((F.col("_p") - place) / span).cast(PRIORITY_TYPE).alias("_k"))
-    centres = top.select("kmer", "c_place", centre_of(F.col("_k")).alias("centre"),
-                         length_of(F.col("_k")).alias("c_len"))
+    return top.select("kmer", "c_place", centre_of(F.col("_k")).alias("centre"),
+                      length_of(F.col("_k")).alias("c_len"))
+
+
+def _meet(sketch: DataFrame, centres: DataFrame) -> DataFrame:
     return (sketch.join(centres, "kmer", "inner")
-                  .where(F.col("id") != F.col("centre"))
+                  .where(~F.col("id").eqNullSafe(F.col("centre")))  # adds no filter of its own to the rows
                   .select("centre", F.col("id").alias("member"), "c_len", F.col("len").alias("m_len"),
-                          (F.col("c_place") - F.col("place")).alias("diagonal")).distinct())
+                          (F.col("c_place") - F.col("place")).alias("diagonal")))
 
 
 #: Members that meet one copy of their centre's text.
 RUN = 4096
 
 
-def _compare(similarity: float, band: int):
+def _beside_centres(batches):
     """Rows sorted by (centre, run), the centre's text first, then its
-    members: (centre, member, c_len, m_len, aligned, matches) of members.
-    One text of the batch before is carried over; no pair is handled alone."""
+    members': (members, codes, centre's place in codes, its size, member's
+    place) of each batch. One text of the batch before is carried over; no
+    pair is handled alone."""
+    carried = np.empty(0, np.uint8)
+    for b in batches:
+        if not b.num_rows:
+            continue
+        codes, offsets = codes_of(b["text"])
+        codes = np.concatenate([carried, codes])
+        begin, length = offsets[:-1] + len(carried), np.diff(offsets)
+        is_centre = b["member"].is_null().to_numpy(zero_copy_only=False)
+        held = np.maximum.accumulate(np.where(is_centre, np.arange(b.num_rows), -1))
+        c_begin = np.where(held >= 0, begin[held], 0)
+        c_size = np.where(held >= 0, length[held], len(carried))
+        rows = np.flatnonzero(~is_centre)
+        if len(rows):
+            yield b.take(pa.array(rows)), codes, c_begin[rows], c_size[rows], begin[rows]
+        carried = codes[c_begin[-1]: c_begin[-1] + c_size[-1]].copy()
+
+
+def _compare(similarity: float, band: int):
+    """(centre, member, c_len, m_len, aligned, matches) of members."""
     limit = Fraction(str(similarity))
 
     def run(batches):
-        carried = np.empty(0, np.uint8)
-        for b in batches:
-            if not b.num_rows:
-                continue
-            codes, offsets = codes_of(b["text"])
-            codes = np.concatenate([carried, codes])
-            begin, length = offsets[:-1] + len(carried), np.diff(offsets)
-            is_centre = b["member"].is_null().to_numpy(zero_copy_only=False)
-            held = np.maximum.accumulate(np.where(is_centre, np.arange(b.num_rows), -1))
-            c_begin = np.where(held >= 0, begin[held], 0)
-            c_size = np.where(held >= 0, length[held], len(carried))
-            rows = np.flatnonzero(~is_centre)
-            if len(rows):
-                members = b.take(pa.array(rows))
-                diagonal = members["diagonal"].to_numpy()
-                aligned = members["aligned"].to_numpy()
-                m_from, c_from = np.maximum(-diagonal, 0), np.maximum(diagonal, 0)
-                c_at, m_at = c_begin[rows], begin[rows]
-                matches = equal_codes(codes, c_at + c_from, m_at + m_from, aligned)
-                if band:
-                    failed = np.flatnonzero(matches * limit.denominator < limit.numerator * aligned)
-                    aligned = aligned.copy()
-                    aligned[failed], matches[failed] = banded(
-                        codes, c_at[failed], c_size[rows][failed], c_from[failed], (m_at + m_from)[failed],
-                        aligned[failed], band)
-                yield pa.RecordBatch.from_arrays(
-                    [*(members[c] for c in ("centre", "member", "c_len", "m_len")), pa.array(aligned, pa.int64()),
-                     pa.array(matches, pa.int64())],
-                    names=["centre", "member", "c_len", "m_len", "aligned", "matches"])
-            carried = codes[c_begin[-1]: c_begin[-1] + c_size[-1]].copy()
+        for members, codes, c_at, c_size, m_at in _beside_centres(batches):
+            diagonal = members["diagonal"].to_numpy()
+            aligned = members["aligned"].to_numpy()
+            m_from, c_from = np.maximum(-diagonal, 0), np.maximum(diagonal, 0)
+            matches = equal_codes(codes, c_at + c_from, m_at + m_from, aligned)
+            if band:
+                failed = np.flatnonzero(matches * limit.denominator < limit.numerator * aligned)
+                least = apart(codes, c_at[failed] + c_from[failed], (m_at + m_from)[failed], aligned[failed], band)
+                failed = failed[_allowed(least, aligned[failed], limit, band)]
+                aligned = aligned.copy()
+                aligned[failed], matches[failed] = banded(
+                    codes, c_at[failed], c_size[failed], c_from[failed], (m_at + m_from)[failed],
+                    aligned[failed], band)
+            yield pa.RecordBatch.from_arrays(
+                [*(members[c] for c in ("centre", "member", "c_len", "m_len")), pa.array(aligned, pa.int64()),
+                 pa.array(matches, pa.int64())],
+                names=["centre", "member", "c_len", "m_len", "aligned", "matches"])
     return run
 
 
-def _centre_runs(covered: DataFrame, unique: DataFrame) -> DataFrame:
+def _allowed(unlike: np.ndarray, aligned: np.ndarray, limit: Fraction, band: int) -> np.ndarray:
+    """May an alignment of ``aligned`` residues with so many unlike columns
+    or more still pass? With gaps there are at most ``aligned`` + unlike
+    columns, without gaps ``aligned``."""
+    return unlike * (limit.numerator if band else limit.denominator) <= (limit.denominator - limit.numerator) * aligned
+
+
+#: A window's residues beyond its share of the member.
+WINDOW = 16
+
+
+def _window_share(similarity: float, band: int) -> Fraction:
+    """Share of a member whose residues, unlike the centre's as unrelated
+    texts are, rule a pair out: nine of ten residues differ there, and of
+    pairs of neighbours nine of ten lie nowhere in the band."""
+    limit = Fraction(str(similarity))
+    share = (1 - limit) * Fraction(13, 10) if not band else (1 - limit) / max(limit, Fraction(1, 100)) * Fraction(27, 10)
+    return Fraction(min(int(share * 1000), 1000), 1000)
+
+
+def _windows(unique: DataFrame, share: Fraction) -> DataFrame:
+    """Texts cut to the window in their middle."""
+    size = F.expr(f"least(len, len * {share.numerator} div {share.denominator} + {WINDOW})").cast("int")
+    return unique.select("rep_id", F.substring(F.col("sequence"), F.expr("1") + F.floor((F.col("len") - size) / 2).cast("int"),
+                                               size).alias("sequence"))
+
+
+def _within(similarity: float, band: int, share: Fraction):
+    """Members' windows beside their centres' texts: the candidates whose
+    unlike columns in the window alone do not rule them out."""
+    limit = Fraction(str(similarity))
+
+    def run(batches):
+        for members, codes, c_at, _, m_at in _beside_centres(batches):
+            diagonal, aligned, size = (members[c].to_numpy().astype(np.int64) for c in ("diagonal", "aligned", "m_len"))
+            window = np.minimum(size, size * share.numerator // share.denominator + WINDOW)
+            start = (size - window) // 2
+            m_from = np.maximum(-diagonal, 0)
+            low, high = np.maximum(start, m_from), np.minimum(start + window, m_from + aligned)
+            seen = np.maximum(high - low, 0)
+            low = np.minimum(low, high)
+            a, b = c_at + low + diagonal, m_at + low - start
+            a, b = np.where(seen > 0, a, 0), np.where(seen > 0, b, 0)
+            unlike = apart(codes, a, b, seen, band) if band else seen - equal_codes(codes, a, b, seen)
+            kept = members.filter(pa.array(_allowed(unlike, aligned, limit, band)))
+            yield pa.RecordBatch.from_arrays([kept[c] for c in PAIR], names=PAIR)
+    return run
+
+
+PAIR = ["centre", "member", "c_len", "m_len", "diagonal", "aligned"]
+
+
+def _centre_runs(covered: DataFrame, unique: DataFrame, own: DataFrame | None = None) -> DataFrame:
     """Members beside one copy of their centre's text for each run of about
     RUN of them: a centre of a million members is many runs, and no text
-    travels once for each pair."""
+    travels once for each pair. ``own`` has the members' texts where they
+    are not the centres' (windows)."""
     sizes = covered.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / RUN).cast("int").alias("runs"))
     hot = sizes.where("runs > 1").withColumnRenamed("centre", "_c")  # at most rows / RUN
     run = F.coalesce(F.pmod(F.xxhash64("member"), F.col("runs")), F.lit(0)).cast("int")
-    texts = unique.select(F.col("rep_id").alias("_t"), F.col("sequence").alias("text"))
+    text_of = lambda df: df.select(F.col("rep_id").alias("_t"), F.col("sequence").alias("text"))
     members = (covered.join(broadcast_checked(hot), F.col("centre") == F.col("_c"), "left")
-               .withColumn("run", run).drop("_c", "runs").join(texts, F.col("member") == F.col("_t")).drop("_t"))
-    copies = (sizes.join(texts, F.col("centre") == F.col("_t"))
+               .withColumn("run", run).drop("_c", "runs")
+               .join(text_of(unique if own is None else own), F.col("member") == F.col("_t")).drop("_t"))
+    copies = (sizes.join(text_of(unique), F.col("centre") == F.col("_t"))
               .select("centre", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run"), "text"))
     rows = members.unionByName(copies, allowMissingColumns=True)
     return rows.repartition("centre", "run").sortWithinPartitions("centre", "run", F.col("member").asc_nulls_first())
@@ -290,13 +386,20 @@ def verified_pairs(candidates: DataFrame, unique: DataFrame, similarity: float =
                    coverage: float = COVERAGE, band: int = 0) -> DataFrame:
     """(centre, member, c_len, m_len, aligned, matches) of the candidates
     that pass coverage and similarity, one row per pair. Coverage needs only
-    lengths and the diagonal, so it is checked before any sequence is joined."""
+    lengths and the diagonal, so it is checked before any sequence is joined;
+    then a window of each member is held against its centre, and only the
+    pairs that it does not rule out are joined with whole texts."""
     low = F.greatest(-F.col("diagonal"), F.lit(0))
     high = F.least(F.col("m_len").cast("bigint"), F.col("c_len") - F.col("diagonal"))
     covered = materialize(candidates.withColumn("aligned", high - low)
                           .where(F.col("aligned") >= fraction(coverage) * F.col("m_len")), "covered")
     ship_package(unique.sparkSession)
-    counted = _centre_runs(covered, unique).mapInArrow(
+    share = _window_share(similarity, band)
+    near = materialize(_centre_runs(covered, unique, _windows(unique, share)).mapInArrow(
+        _within(similarity, band, share), "centre bigint, member bigint, c_len int, m_len int, diagonal bigint, "
+        "aligned bigint"), "near")
+    ends = near.select(F.explode(F.array("centre", "member")).alias("rep_id")).distinct()
+    counted = _centre_runs(near, unique.join(broadcast_checked(ends), "rep_id", "left_semi")).mapInArrow(
         _compare(similarity, band),
         "centre bigint, member bigint, c_len int, m_len int, aligned bigint, matches bigint")
     passed = counted.where(F.col("matches") >= fraction(similarity) * F.col("aligned"))
@@ -401,8 +504,7 @@ def cluster(seqs: DataFrame, id_col: str = "Sequence_ID", seq_col: str = "sequen
     """(Sequence_ID, rep_id) for every input row."""
     ensure_checkpoint_dir(seqs.sparkSession)
     unique = materialize(exact_duplicates(seqs, id_col, seq_col), "unique-sequences")
-    sketch = materialize(kmer_sketch(unique, k, m), "sketch")
-    edges = materialize(verified_pairs(kmer_candidates(sketch), unique, similarity, coverage, band), "verified")
+    edges = materialize(verified_pairs(kmer_candidates(kmer_sketch(unique, k, m)), unique, similarity, coverage, band), "verified")
     decided = greedy_decided(unique, edges)
     # every copy of a distinct sequence follows its exact-duplicate rep; the
     # sequence's sha256 stands for it in the join

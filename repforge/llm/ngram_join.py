@@ -122,9 +122,18 @@ def _differing(a: str, b: str) -> Column:
                F.bit_count(F.col(f"{a}{SKETCH[0]}").bitwiseXOR(F.col(f"{b}{SKETCH[0]}"))))
 
 
+def count_cells(counts: np.ndarray, tokens: np.ndarray) -> None:
+    """Add a set's sorted shingles to the counts of their cells, which stop
+    at 255: a byte a cell."""
+    cells = (tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+    first = np.flatnonzero(np.diff(cells, prepend=-1))
+    cell, more = cells[first], np.diff(first, append=len(cells))
+    counts[cell] = np.minimum(counts[cell] + more, 255)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, and the task's counts of shingles by cell."""
-    counts, seen = np.zeros(1 << CELL_BITS, np.uint32), set()
+    counts, seen = np.zeros(1 << CELL_BITS, np.uint8), set()
     for b in batches:
         texts, n = b["text"].to_pylist(), b.num_rows
         sizes, keys = np.zeros(n, np.int64), []
@@ -136,7 +145,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sketches[at] = sketch_of(tokens)
                 if len(tokens) and keys[-1] not in seen:
                     seen.add(keys[-1])
-                    np.add.at(counts, (tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64), np.uint32(1))
+                    count_cells(counts, tokens)
         yield pa.RecordBatch.from_arrays(
             [b["doc_id"], pa.array(sizes), pa.array(keys, pa.int64()),
              *(pa.array(np.ascontiguousarray(sketches[:, i])) for i in range(SKETCH_WORDS)),
@@ -147,7 +156,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays(
         [pa.nulls(n, pa.int64())] * (3 + SKETCH_WORDS) +
         [pa.array([i for i, _ in blocks], pa.int32()),
-         pa.array([zlib.compress(np.minimum(c, 255).astype(np.uint8).tobytes(), 1) for _, c in blocks], pa.binary())],
+         pa.array([zlib.compress(c.tobytes(), 1) for _, c in blocks], pa.binary())],
         names=["doc_id", "n_shingles", "set_id", *SKETCH, "block", "counts"])
 
 

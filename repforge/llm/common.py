@@ -6,7 +6,9 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from functools import wraps
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,18 @@ def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, in
         yield start, len(texts)
 
 
+def sliced(column: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of runs of a column's texts of about ``limit`` bytes
+    each; only one run at a time is held as Python strings."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    low = 0
+    while low < len(column):
+        start = int(ends[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, start + limit, side="right")))
+        yield low, column.slice(low, high - low).to_pylist()
+        low = high
+
+
 def batch_of(columns: dict[str, Iterable], types: dict[str, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[k], t) for k, t in types.items()],
                                       names=list(types))

@@ -4,7 +4,8 @@
 2. Shingles have one global order (rarer first, by a counting sketch over
    all sets; any order is right, this one is fast). Two sets at or above the
    threshold share a shingle in their prefixes, so the index holds prefixes
-   only: (shingle, set, size, position).
+   only: (shingle, set, size, position). A list keeps the sets that sizes and
+   positions allow a link with another one of it.
 3. First answers: within an index list each set is compared with the list's
    smallest set of compatible size, its leader. Verified links give
    components; each set keeps its best leader and their exact overlap.
@@ -20,7 +21,9 @@
    number of shingles in cell c. Where two sketches differ, at least one
    shingle of that cell is in one set only, so the number of differing bits
    bounds the overlap from above, exactly. Pairs that this bound rules out
-   are dropped before any set is sent.
+   are dropped before any set is sent. Pairs of large sets, which leave
+   these cells full, are held against each other in as many cells as they
+   have shingles.
 5. The members' answers follow from the leaders': |x & y| is at most
    |l & l'| + |x - l| + |y - l'|. Only pairs of different components that
    this bound allows are compared, best bounds first. No pair above the
@@ -42,13 +45,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from repforge.llm.chunks import ChunkIds
-from repforge.llm.common import Scratch, held_alone, join_owners, map_arrow, slices, texts_of
+from repforge.llm.common import Scratch, held_alone, join_owners, map_arrow, sliced, slices, texts_of
 
 #: The threshold as a fraction: 4/5.
 NUM, DEN = 4, 5
 WIDTH = 5
 #: Cells of the counting sketch (top bits of the shingle hash), in blocks.
 CELL_BITS, BLOCK_BITS = 24, 18
+#: Words whose hashes a worker keeps; a hash is soon made again.
+MAX_WORDS = 100_000
 #: Comparisons of two components' members in the first round; the second
 #: round takes all that are left between components.
 FIRST_TESTS = 64
@@ -69,7 +74,7 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 @held_alone
 def _words() -> ChunkIds:
-    return ChunkIds(lambda fresh: [[xxhash.xxh64_intdigest(w)] for w in fresh], dtype=np.uint64)
+    return ChunkIds(lambda fresh: [[xxhash.xxh64_intdigest(w)] for w in fresh], MAX_WORDS, np.uint64)
 
 
 def shingle_sets(texts: list[str], width: int = WIDTH) -> list[np.ndarray]:
@@ -116,6 +121,27 @@ def sketch_of(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch_of(tokens: np.ndarray) -> bytes | None:
+    """Parities in as many cells (a power of two) as the set has shingles, for
+    sets too large for SKETCH_WORDS words. Its halves, one on the other by
+    xor, are the sketch of half as many cells."""
+    if len(tokens) <= 64 * SKETCH_WORDS:
+        return None
+    cells = 1 << (len(tokens) - 1).bit_length()
+    odd = np.bincount((tokens & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def differing_cells(x: bytes, y: bytes) -> int:
+    """Differing bits of two wide sketches, the longer folded to the other."""
+    a, b = (np.frombuffer(v, np.uint64) for v in (x, y))
+    while len(a) > len(b):
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return int(np.bitwise_count(a ^ b).sum(dtype=np.int64))
+
+
 def _differing(a: str, b: str) -> Column:
     """Differing bits of the sketches under two prefixes."""
     return sum((F.bit_count(F.col(f"{a}{s}").bitwiseXOR(F.col(f"{b}{s}"))) for s in SKETCH[1:]),
@@ -135,29 +161,30 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, and the task's counts of shingles by cell."""
     counts, seen = np.zeros(1 << CELL_BITS, np.uint8), set()
     for b in batches:
-        texts, n = b["text"].to_pylist(), b.num_rows
-        sizes, keys = np.zeros(n, np.int64), []
+        n = b.num_rows
+        sizes, keys, wide = np.zeros(n, np.int64), [], []
         sketches = np.zeros((n, SKETCH_WORDS), np.int64)
-        for low, high in slices(texts):
-            for at, tokens in enumerate(shingle_sets(texts[low:high]), low):
+        for low, texts in sliced(b["text"]):
+            for at, tokens in enumerate(shingle_sets(texts), low):
                 sizes[at] = len(tokens)
                 keys.append(set_id(tokens) if len(tokens) else None)
                 sketches[at] = sketch_of(tokens)
+                wide.append(wide_sketch_of(tokens))
                 if len(tokens) and keys[-1] not in seen:
                     seen.add(keys[-1])
                     count_cells(counts, tokens)
         yield pa.RecordBatch.from_arrays(
             [b["doc_id"], pa.array(sizes), pa.array(keys, pa.int64()),
              *(pa.array(np.ascontiguousarray(sketches[:, i])) for i in range(SKETCH_WORDS)),
-             pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-            names=["doc_id", "n_shingles", "set_id", *SKETCH, "block", "counts"])
+             pa.array(wide, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+            names=["doc_id", "n_shingles", "set_id", *SKETCH, "wide", "block", "counts"])
     blocks = [(i, c) for i, c in enumerate(counts.reshape(-1, 1 << BLOCK_BITS)) if c.any()]
     n = len(blocks)
     yield pa.RecordBatch.from_arrays(
         [pa.nulls(n, pa.int64())] * (3 + SKETCH_WORDS) +
-        [pa.array([i for i, _ in blocks], pa.int32()),
+        [pa.nulls(n, pa.binary()), pa.array([i for i, _ in blocks], pa.int32()),
          pa.array([zlib.compress(c.tobytes(), 1) for _, c in blocks], pa.binary())],
-        names=["doc_id", "n_shingles", "set_id", *SKETCH, "block", "counts"])
+        names=["doc_id", "n_shingles", "set_id", *SKETCH, "wide", "block", "counts"])
 
 
 def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,10 +214,9 @@ def _index(levels) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
-            texts = b["text"].to_pylist()
-            for low, high in slices(texts):
+            for _, texts in sliced(b["text"]):
                 tokens, keys, sizes, places = [], [], [], []
-                for s in shingle_sets(texts[low:high]):
+                for s in shingle_sets(texts):
                     if not len(s) or (key := set_id(s)) in seen:
                         continue
                     seen.add(key)
@@ -234,17 +260,52 @@ def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.nda
         yield join(held)
 
 
+def _range_max(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The largest of values[low:high], for many bounds; of none the least integer."""
+    out = np.full(len(low), np.iinfo(np.int64).min)
+    length, level, width = high - low, values, 1  # level[i]: the largest of width values from i on
+    while True:
+        now = np.flatnonzero((length >= width) & (length < 2 * width))
+        out[now] = np.maximum(level[low[now]], level[high[now] - width])
+        if not (length >= 2 * width).any():
+            return out
+        level = np.maximum(level[:-width], level[width:])
+        width *= 2
+
+
+def partnered(token: np.ndarray, n: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which rows have another in their list that sizes and positions allow a
+    link with. Rows are sorted by token, n. The first shingle that two linked
+    sets share leaves their overlap room behind it in both, so a row without
+    such a partner finds no link in this list."""
+    n = n.astype(np.int64)
+    rest, here = n - place, np.arange(len(n))
+    list_of = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]])) * (2 * int(n.max()) + 2)
+    most = np.minimum(DEN * n // NUM, ((NUM + DEN) * rest - NUM * n) // NUM)
+    low = np.searchsorted(list_of + n, list_of - (-NUM * n // DEN), side="left")
+    high = np.searchsorted(list_of + n, list_of + np.maximum(most, 0), side="right")
+    room = (NUM + DEN) * rest - NUM * n
+    return np.maximum(_range_max(room, low, np.minimum(high, here)),
+                      _range_max(room, np.maximum(low, here + 1), high)) >= NUM * n
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep lists of two or more sets, each set once."""
+    """Lists of two or more sets, each set once, of the rows that have a
+    partner; then the stars of these lists as (leader, set_id) without token."""
     for c in _whole_lists(batches):
         fresh = np.ones(len(c["token"]), bool)
         fresh[1:] = (c["token"][1:] != c["token"][:-1]) | (c["set_id"][1:] != c["set_id"][:-1])
         c = {k: v[fresh] for k, v in c.items()}
-        _, at, sizes = np.unique(c["token"], return_inverse=True, return_counts=True)
-        keep = sizes[at] > 1
+        keep = partnered(c["token"], c["n"], c["place"])
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(c[k][keep]) for k in ("token", "set_id", "n", "place")],
-                                             names=["token", "set_id", "n", "place"])
+            c = {k: v[keep] for k, v in c.items()}
+            rows, stars = len(c["token"]), _stars(c)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c[k]) for k in ("token", "set_id", "n", "place")), pa.nulls(rows, pa.int64())],
+                names=["token", "set_id", "n", "place", "leader"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(stars), pa.int64()), pa.array(stars[:, 1]), *[pa.nulls(len(stars), pa.int32())] * 2,
+                 pa.array(stars[:, 0])], names=["token", "set_id", "n", "place", "leader"])
 
 
 def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -252,27 +313,25 @@ def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.unique(pairs, axis=0) if len(pairs) else pairs
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _stars(c: dict[str, np.ndarray]) -> np.ndarray:
     """(leader, set): of every list the smallest set, with all sets of
     compatible size; then again for the rest of the list."""
-    for c in _whole_lists(batches):
-        token, key, n = c["token"], c["set_id"], c["n"].astype(np.int64)
-        rest = n - c["place"]  # shingles from the shared one on
-        leader = np.full(len(token), -1)
-        start = np.concatenate([[True], token[1:] != token[:-1]])
-        while True:
-            head = np.maximum.accumulate(np.where(start, np.arange(len(token)), 0))
-            beyond = (leader < 0) & (NUM * n > DEN * n[head])
-            # the first row of each segment that is too large starts a new one
-            new = beyond & ~np.concatenate([[False], beyond[:-1] & ~start[1:]])
-            leader = np.where((leader < 0) & ~beyond, head, leader)
-            if not new.any():
-                break
-            start = start | new
-        need = -(-NUM * (n + n[leader]) // (NUM + DEN))
-        ok = (leader != np.arange(len(token))) & (np.minimum(rest, rest[leader]) >= need)
-        pairs = _distinct_pairs(key[leader[ok]], key[ok])
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+    token, key, n = c["token"], c["set_id"], c["n"].astype(np.int64)
+    rest = n - c["place"]  # shingles from the shared one on
+    leader = np.full(len(token), -1)
+    start = np.concatenate([[True], token[1:] != token[:-1]])
+    while True:
+        head = np.maximum.accumulate(np.where(start, np.arange(len(token)), 0))
+        beyond = (leader < 0) & (NUM * n > DEN * n[head])
+        # the first row of each segment that is too large starts a new one
+        new = beyond & ~np.concatenate([[False], beyond[:-1] & ~start[1:]])
+        leader = np.where((leader < 0) & ~beyond, head, leader)
+        if not new.any():
+            break
+        start = start | new
+    need = -(-NUM * (n + n[leader]) // (NUM + DEN))
+    ok = (leader != np.arange(len(token))) & (np.minimum(rest, rest[leader]) >= need)
+    return _distinct_pairs(key[leader[ok]], key[ok])
 
 
 def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +350,9 @@ def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Leader pairs (a < b) of blocks of one list that lie in different
-    components and that sizes, positions and sketches do not rule out. Rows:
+    components and that sizes, positions and sketches do not rule out, with
+    their room: what members add to the leaders' overlap, less the least
+    overlap needed. Rows:
     token, low, high (sizes), rest (largest), slack (largest), leader,
     component, leader_n, sketch; sorted by token, low. All rows of a batch
     meet the row ``step`` places on at once, until none has a partner left."""
@@ -317,16 +378,25 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(i):
                 continue
             differing = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1, dtype=np.int64)
-            ok = (leader_n[i] + leader_n[j] - differing) // 2 + slack[i] + slack[j] >= need
+            room = slack[i] + slack[j] - need
+            ok = (leader_n[i] + leader_n[j] - differing) // 2 + room >= 0
             if ok.any():
                 x, y = leader[i[ok]], leader[j[ok]]
-                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+                found.append(np.stack([np.minimum(x, y), np.maximum(x, y), room[ok]], axis=1))
                 held += len(x)
             if held > 1_000_000:
-                yield _pair_batch(np.unique(np.concatenate(found), axis=0))
+                yield _roomiest(np.concatenate(found))
                 found, held = [], 0
         if found:
-            yield _pair_batch(np.unique(np.concatenate(found), axis=0))
+            yield _roomiest(np.concatenate(found))
+
+
+def _roomiest(rows: np.ndarray) -> pa.RecordBatch:
+    """Each pair of the rows (a, b, room) once, with its largest room."""
+    rows = rows[np.lexsort((-rows[:, 2], rows[:, 1], rows[:, 0]))]
+    first = np.ones(len(rows), bool)
+    first[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(rows[first, k]) for k in range(3)], names=["a", "b", "room"])
 
 
 def _pair_batch(pairs: np.ndarray) -> pa.RecordBatch:
@@ -370,9 +440,8 @@ def _emit_sets(wanted: DataFrame, firsts: DataFrame, rows: DataFrame) -> DataFra
         for b in batches:
             slot = b["h"].to_numpy() & (FILTER_BITS - 1)
             passed = bitmap.value[slot >> 3] >> (7 - (slot & 7)) & 1
-            texts = b.filter(pa.array(passed.astype(bool)))["text"].to_pylist()
-            for low, high in slices(texts):
-                sets = [s for s in shingle_sets(texts[low:high]) if len(s)]
+            for _, texts in sliced(b.filter(pa.array(passed.astype(bool)))["text"]):
+                sets = [s for s in shingle_sets(texts) if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([set_id(s) for s in sets], pa.int64()),
                      pa.array([s.tobytes() for s in sets], pa.binary())], names=["set_id", "tokens"])
@@ -479,13 +548,26 @@ def merged(scratch: Scratch, comps: DataFrame, edges: DataFrame) -> DataFrame:
     return out
 
 
+def _wide_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that their wide sketches allow a link."""
+    for b in batches:
+        keep = [x is None or y is None or (n - differing_cells(x, y)) // 2 + room >= 0 for x, y, n, room in
+                zip(*(b[k].to_pylist() for k in ("a_wide", "b_wide", "both", "room")))]
+        yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _unless_apart(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets that their sizes and sketches allow a link."""
+    """The pairs (a, b) of sets that their sizes and sketches allow a link;
+    with a column room, those whose overlap may reach -room."""
     side = lambda end: sketches.select(
-        F.col("set_id").alias(end), F.col("n").alias(f"{end}_n"), *(F.col(s).alias(f"{end}_{s}") for s in SKETCH))
-    most = F.floor((F.col("a_n") + F.col("b_n") - _differing("a_", "b_")) / 2)
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .filter(most >= needed(F.col("a_n"), F.col("b_n"))).select("a", "b"))
+        F.col("set_id").alias(end), F.col("n").alias(f"{end}_n"), F.col("wide").alias(f"{end}_wide"),
+        *(F.col(s).alias(f"{end}_{s}") for s in SKETCH))
+    room = F.col("room") if "room" in pairs.columns else -needed(F.col("a_n"), F.col("b_n"))
+    both = F.col("a_n") + F.col("b_n")
+    near = (pairs.join(side("a"), "a").join(side("b"), "b").withColumn("room", room)
+            .filter(F.floor((both - _differing("a_", "b_")) / 2) + F.col("room") >= 0))
+    return map_arrow(near.select("a", "b", "a_wide", "b_wide", both.alias("both"), "room"), _wide_apart,
+                     "a long, b long")
 
 
 def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -496,23 +578,24 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = texts_of(docs, id_col, text_col)
     found = scratch.save(map_arrow(
         rows, _sets, "doc_id long, n_shingles long, set_id long, " + ", ".join(f"{s} long" for s in SKETCH)
-        + ", block int, counts binary"), "sets")
+        + ", wide binary, block int, counts binary"), "sets")
     ids = found.filter(F.col("block").isNull()).select("doc_id", "n_shingles", "set_id")
     levels = spark.sparkContext.broadcast(_levels(found.filter(F.col("block").isNotNull())))
 
     postings = map_arrow(rows.select("text"), _index(levels), "token long, set_id long, n int, place int")
-    lists = scratch.save(map_arrow(postings.repartition("token").sortWithinPartitions("token", "n", "set_id"),
-                                   _shared, "token long, set_id long, n int, place int"), "lists")
+    listed = scratch.save(map_arrow(postings.repartition("token").sortWithinPartitions("token", "n", "set_id"),
+                                    _shared, "token long, set_id long, n int, place int, leader long"), "lists")
+    lists = listed.filter(F.col("leader").isNull()).drop("leader")
     nodes = scratch.save(lists.groupBy("set_id").agg(F.max("n").alias("n")), "nodes")
 
     sketches = scratch.save(
         found.groupBy("set_id").agg(F.max("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"),
-                                    *(F.max(s).alias(s) for s in SKETCH))
+                                    *(F.max(s).alias(s) for s in [*SKETCH, "wide"]))
         .join(nodes.select("set_id"), "set_id", "left_semi"), "sketches")
 
     # first answers: sets and their list's leader
-    stars = map_arrow(lists.repartition("token").sortWithinPartitions("token", "n", "set_id"), _stars,
-                      "a long, b long").groupBy("a", "b").count().select("a", "b")
+    stars = (listed.filter(F.col("leader").isNotNull())
+             .groupBy(F.col("leader").alias("a"), F.col("set_id").alias("b")).count().select("a", "b"))
     stars = scratch.save(_unless_apart(stars, sketches), "stars")
     sets = _more_sets(scratch, None, stars, sketches, rows)
     seen = scratch.save(_verify(stars, sets).distinct(), "overlaps")
@@ -550,10 +633,10 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     apart = (placed().groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"))
              .filter("least < most").select("token"))
     wide = (placed().join(apart, "token", "left_semi")
-            .join(sketches.drop("doc_id").withColumnsRenamed({"set_id": "leader", "n": "leader_n"}), "leader"))
-    pairs = scratch.save(map_arrow(
+            .join(sketches.drop("doc_id", "wide").withColumnsRenamed({"set_id": "leader", "n": "leader_n"}), "leader"))
+    pairs = scratch.save(_unless_apart(map_arrow(
         wide.repartition("token").sortWithinPartitions("token", "low", "leader"), _block_pairs,
-        "a long, b long").groupBy("a", "b").count().select("a", "b"), "pairs")
+        "a long, b long, room long").groupBy("a", "b").agg(F.max("room").alias("room")), sketches), "pairs")
     sets = _more_sets(scratch, sets, pairs, sketches, rows)
     between = scratch.save(_verify(pairs, sets).distinct(), "between")
     comps = merged(scratch, comps, between.filter(is_link).select("a", "b"))
@@ -597,7 +680,7 @@ def set_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             more = scratch.save(_verify(scratch.save(more.select("a", "b"), "members"), sets).distinct(), "inside")
             tested = tested.unionByName(more.select("a", "b"))
             comps = merged(scratch, comps, more.filter(is_link).select("a", "b"))
-    scratch.drop(lists, blocks, nodes, sketches, stars, seen, led, pairs, between)
+    scratch.drop(listed, blocks, nodes, sketches, stars, seen, led, pairs, between)
     return ids, comps
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import wraps
 
 import numpy as np
@@ -76,6 +77,18 @@ def sliced(column: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int, li
         low = high
 
 
+@contextmanager
+def batches_of(spark: SparkSession, most: str) -> Iterator[None]:
+    """Arrow batches sent to Python hold about ``most`` bytes in here."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def batch_of(columns: dict[str, Iterable], types: dict[str, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[k], t) for k, t in types.items()],
                                       names=list(types))

@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from repforge.llm.chunks import ChunkIds
-from repforge.llm.common import Scratch, held_alone, join_owners, map_arrow, sliced, slices, texts_of
+from repforge.llm.common import Scratch, batches_of, held_alone, join_owners, map_arrow, sliced, slices, texts_of
 
 #: The threshold as a fraction: 4/5.
 NUM, DEN = 4, 5
@@ -54,6 +54,8 @@ WIDTH = 5
 CELL_BITS, BLOCK_BITS = 24, 18
 #: Words whose hashes a worker keeps; a hash is soon made again.
 MAX_WORDS = 100_000
+#: Bytes of texts or sets that go to a Python worker at once.
+BATCH = "8m"
 #: Comparisons of two components' members in the first round; the second
 #: round takes all that are left between components.
 FIRST_TESTS = 64
@@ -693,7 +695,8 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     linked. A null id is no component's smallest unless all its ids are
     null. Extra columns are ignored; an empty table gives an empty result."""
     scratch = Scratch(docs.sparkSession)
-    ids, comps = set_components(docs, id_col, text_col)
+    with batches_of(docs.sparkSession, BATCH):
+        ids, comps = set_components(docs, id_col, text_col)
     sets = ids.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(
         F.min("doc_id").alias("first"), F.count("*").alias("rows"))
     sets = sets.join(comps, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))

@@ -1,8 +1,9 @@
 """Corpus pipeline: documents through five of the operators, one after another.
 
 Every stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and
-returns a DataFrame; ``run`` writes each result to the shared checkpoint
-folder and reads it again as the next stage's ``docs``. All but the last
+returns a DataFrame; each result is written to the shared checkpoint folder
+(by ``run``, or by a stage that scores texts) and read again as the next
+stage's ``docs``. All but the last
 stage return the columns of ``docs``, whatever they are; a null text counts
 as empty, and an empty table passes through every stage.
 """
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repforge.llm import ngram_join, packing, quality, toxicity, trie_dedup
-from repforge.llm.common import Scratch, fresh, table
+from repforge.llm.common import Scratch, batches_of, fresh, table
 from repforge.llm.queries import vocabulary
 
 #: A document at or above this toxicity goes.
@@ -21,6 +22,8 @@ MAX_TOXICITY = 0.5
 #: A document below this quality goes.
 MIN_QUALITY = 0.7
 SEQUENCE, END_ID = 2048, 1
+#: Texts go to the Python workers that score them in batches of so many bytes.
+BATCH = "8m"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,16 +31,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     on the labelled rows among ``docs``."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     score = fresh("toxicity")
-    return (docs.withColumn(score, toxicity.score_column(spark, model, F.col("text")))
-            .filter(F.col(score) < MAX_TOXICITY).drop(score))
+    with batches_of(spark, BATCH):
+        return Scratch(spark).save(docs.withColumn(score, toxicity.score_column(spark, model, F.col("text")))
+                                   .filter(F.col(score) < MAX_TOXICITY).drop(score), "clean")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose quality score is at least MIN_QUALITY."""
     weights = quality.fit(docs, table(spark, sf_dir, "labels"))
     score = fresh("quality")
-    return (docs.withColumn(score, quality.score_column(spark, weights, F.col("text")))
-            .filter(F.col(score) >= MIN_QUALITY).drop(score))
+    with batches_of(spark, BATCH):
+        return Scratch(spark).save(docs.withColumn(score, quality.score_column(spark, weights, F.col("text")))
+                                   .filter(F.col(score) >= MIN_QUALITY).drop(score), "good")
 
 
 def keep_owners(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -104,7 +109,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch, docs = Scratch(spark), table(spark, sf_dir, "documents")
     before = None
     for name, stage in STAGES:
-        docs = scratch.save(stage(spark, docs, sf_dir), name)
+        found = stage(spark, docs, sf_dir)
+        docs = found if hasattr(found, "_scratch") else scratch.save(found, name)
         if before is not None:
             scratch.drop(before)
         before = docs

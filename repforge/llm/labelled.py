@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,3 +36,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int,
     return (texts.join(F.broadcast(chosen), "doc_id")
             .groupBy("doc_id").agg(F.max("text").alias("text"), F.max("label").alias("label"))
             .select("doc_id", "text", "label"))
+
+
+def in_order(batches: Iterator[pa.RecordBatch]) -> tuple[list[int], Iterator[str]]:
+    """Labels and texts of ``training_rows``, ascending by id; a text becomes
+    a Python string when it is read."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return [], iter(())
+    rows = pa.Table.from_batches(held).sort_by("doc_id")
+    return rows["label"].to_pylist(), (t.as_py() for t in rows["text"])

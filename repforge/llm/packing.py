@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repforge.llm.chunks import ChunkIds
-from repforge.llm.common import Scratch, held_alone, map_arrow, slices, texts_of
+from repforge.llm.common import Scratch, batches_of, held_alone, map_arrow, sliced, texts_of
 from repforge.llm.token_counts import doubtful_characters
 
 #: Lengths are rounded up to sequence / CLASSES when patterns are made.
@@ -127,10 +127,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, sequence: int, end_id: int, id_
     of n ids is cut at every multiple of ``sequence``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, doc_ids = b["text"].to_pylist(), b["doc_id"].to_pylist()
-            for low, high in slices(texts, 1_000_000):
+            doc_ids = b["doc_id"].to_pylist()
+            for low, texts in sliced(b["text"], 1_000_000):
                 rows = []
-                for doc, ids in zip(doc_ids[low:high], token_ids(texts[low:high], tokenizer_path, end_id)):
+                for doc, ids in zip(doc_ids[low: low + len(texts)], token_ids(texts, tokenizer_path, end_id)):
                     for start in range(0, len(ids), sequence):
                         part = ids[start: start + sequence]
                         rows.append((doc, start, len(part), zlib.crc32(part.tobytes()), len(ids)))
@@ -276,8 +276,9 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = 2048, end_id: int
         raise ValueError(f"the sequence length must be a multiple of {CLASSES}")
     width = sequence // CLASSES
     scratch = Scratch(spark)
-    cut = scratch.save(pieces(docs, tokenizer_path, sequence, end_id, id_col, text_col)
-                       .withColumn("class", F.ceil(F.col("length") / width).cast("int")), "pieces")
+    with batches_of(spark, "8m"):
+        cut = scratch.save(pieces(docs, tokenizer_path, sequence, end_id, id_col, text_col)
+                           .withColumn("class", F.ceil(F.col("length") / width).cast("int")), "pieces")
     histogram = {r["class"]: r["count"] for r in cut.groupBy("class").count().collect()}
     table = slots_of(patterns_for(histogram))
     buckets = max(1, sum(histogram.values()) // (RANK_ROWS * CLASSES) + 1)

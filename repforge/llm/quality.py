@@ -11,19 +11,18 @@ labelled rows; a score is the sigmoid of a sparse dot product.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repforge.llm.chunks import ChunkIds
-from repforge.llm.common import crc_remainder, held_alone, slices, texts_of
-from repforge.llm.labelled import TRAIN_CHARS, TRAIN_ROWS, training_rows
+from repforge.llm.common import crc_remainder, held_alone, sliced, texts_of
+from repforge.llm.labelled import TRAIN_CHARS, TRAIN_ROWS, in_order, training_rows
 from repforge.session import ship_package
 
 #: Buckets of hashed n-grams.
@@ -108,11 +107,10 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> np.ndarray:
-    """Weights of all buckets. Without rows: all zero (every score is 0.5)."""
-    rows = []
-    for low, high in slices(texts):
-        rows += [(a.astype(np.int32), v.astype(np.float32)) for a, v in text_features(texts[low:high])]
+def train(texts: Iterable[str], labels: list[int], epochs: int = EPOCHS) -> np.ndarray:
+    """Weights of all buckets. Without rows: all zero (every score is 0.5).
+    Texts are read once and held as their features."""
+    rows = [(a.astype(np.int32), v.astype(np.float32)) for t in texts for a, v in text_features([t])]
     model, rng = Ftrl(), np.random.default_rng(7)
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
@@ -121,10 +119,10 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> np.ndarr
     return model.weights().astype(np.float32)
 
 
-def score_texts(texts: list[str], weights: np.ndarray) -> np.ndarray:
+def score_texts(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
     out = np.empty(len(texts))
-    for low, high in slices(texts):
-        out[low:high] = [v @ weights[a] for a, v in text_features(texts[low:high])]
+    for low, part in sliced(texts):
+        out[low: low + len(part)] = [v @ weights[a] for a, v in text_features(part)]
     return sigmoid(out)
 
 
@@ -133,9 +131,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int
     """Weights from at most ``rows`` labelled rows and ``chars`` characters,
     fitted in one task; only the weights come to the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sorted((d, t, y) for b in batches
-                       for d, t, y in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), b["label"].to_pylist()))
-        weights = train([t for _, t, _ in known], [y for _, _, y in known])
+        marks, texts = in_order(batches)
+        weights = train(texts, marks)
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary())], names=["weights"])
     ship_package(docs.sparkSession)
     sample = training_rows(docs, labels, label, modulus, held_out, rows, chars)
@@ -148,9 +145,9 @@ def score_column(spark, weights: np.ndarray, text: Column) -> Column:
     ship_package(spark)
     shared = spark.sparkContext.broadcast(weights)  # BUCKETS numbers
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(score_texts(texts.tolist(), shared.value))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(score_texts(texts, shared.value))
     return score(F.coalesce(text, F.lit("")))
 
 

@@ -18,21 +18,20 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain as chained
 from math import log
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repforge.llm.chunks import ChunkIds
-from repforge.llm.common import crc_remainder, held_alone, map_arrow, slices, texts_of
-from repforge.llm.labelled import TRAIN_CHARS, TRAIN_ROWS, training_rows
+from repforge.llm.common import crc_remainder, held_alone, map_arrow, sliced, texts_of
+from repforge.llm.labelled import TRAIN_CHARS, TRAIN_ROWS, in_order, training_rows
 from repforge.session import ship_package
 
 #: Buckets of hashed word features.
@@ -45,7 +44,7 @@ SUPPORT = 4
 EPOCHS = 4
 BATCH = 64
 #: Words times texts that one lockstep group holds.
-CELLS = 2_000_000
+CELLS = 500_000
 LIMIT = 30.0
 #: Log odds beyond which a word counts as sure.
 SURE = 8.0
@@ -64,30 +63,46 @@ def buckets(word: str) -> list[int]:
 
 # --- labelled words -----------------------------------------------------------
 
-def toxic_words(texts: list[list[str]], labels: list[int]) -> set[str]:
-    """The words that count as toxic inside toxic training documents."""
-    every, toxic = Counter(), Counter()
-    for words, y in zip(texts, labels):
-        found = {n for w in set(words) for n in names(w)}
-        every.update(found)
+def _numbered(words: list[str]) -> tuple[np.ndarray, int]:
+    """Numbers of each word's features, most specific first and -1 where a
+    word has fewer, and how many features there are. The word itself has its
+    own number; prefixes are numbered one length at a time."""
+    at = np.full((len(words), 1 + len(PREFIXES)), -1, np.int32)
+    at[:, 0] = np.arange(len(words))
+    n = len(words)
+    for column, k in enumerate(reversed(PREFIXES), 1):
+        seen: dict[str, int] = {}
+        for i, w in enumerate(words):
+            if len(w) > k:
+                at[i, column] = seen.setdefault(w[:k], n + len(seen))
+        n += len(seen)
+    return at, n
+
+
+def toxic_words(docs: list[np.ndarray], labels: list[int], words: list[str]) -> np.ndarray:
+    """Whether each of ``words`` counts as toxic inside toxic training
+    documents; ``docs`` hold the words' numbers."""
+    at, n = _numbered(words)
+    every, toxic = np.zeros(n, np.int32), np.zeros(n, np.int32)
+    for own, y in zip(docs, labels):
+        found = np.unique(at[np.unique(own)])
+        found = found[found >= 0]
+        every[found] += 1
         if y:
-            toxic.update(found)
+            toxic[found] += 1
     base = (sum(labels) + 0.5) / (len(labels) + 1)
-    need = log(len(every) + 1) + 2  # beyond chance over all features
-    strong = set()
-    for n, seen in every.items():
-        hit = toxic[n]
-        if hit >= PRECISION * seen:
-            share = (hit + 0.5) / (seen + 1)
-            if hit * log(share / base) + (seen - hit) * log((1 - share) / (1 - base)) > need:
-                strong.add(n)
-    out = set()
-    for w in {w for words, y in zip(texts, labels) if y for w in words}:
-        own = names(w)
-        if any(n in strong for n in own):
-            decides = next((n for n in own if every[n] >= SUPPORT), own[-1])
-            if toxic[decides] >= PRECISION * every[decides]:
-                out.add(w)
+    need = log(n + 1) + 2  # beyond chance over all features
+    strong = np.zeros(n + 1, bool)  # the last stands for -1
+    for k in np.flatnonzero(toxic >= PRECISION * every):
+        hit, seen = int(toxic[k]), int(every[k])
+        share = (hit + 0.5) / (seen + 1)
+        if hit * log(share / base) + (seen - hit) * log((1 - share) / (1 - base)) > need:
+            strong[k] = True
+    out = np.zeros(len(words), bool)
+    for i in np.flatnonzero((toxic[: len(words)] > 0) & strong[at].any(axis=1)):
+        own = at[i][at[i] >= 0]
+        decides = next((k for k in own if every[k] >= SUPPORT), own[-1])
+        out[i] = toxic[decides] >= PRECISION * every[decides]
     return out
 
 
@@ -113,10 +128,10 @@ def _step(r: np.ndarray, move: np.ndarray) -> np.ndarray:
     return np.log((move[0, 1] + move[1, 1] * odds) / (move[0, 0] + move[1, 0] * odds))
 
 
-def marginals(evidence: list[np.ndarray], move: np.ndarray) -> list[np.ndarray]:
-    """Probability of the toxic tag for every word of every text, by
-    forward-backward in lockstep. ``evidence`` are log odds per word."""
-    out: list[np.ndarray] = [np.zeros(0)] * len(evidence)
+def lockstep(evidence: list[np.ndarray], move: np.ndarray) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Probability of the toxic tag for every word, by forward-backward over
+    groups of texts of like length: the texts' places and probabilities, one
+    group after another. ``evidence`` are log odds per word."""
     lengths = np.array([len(e) for e in evidence])
     order = [i for i in np.argsort(-lengths, kind="stable") if lengths[i]]
     forward_move, backward_move = np.exp(move), np.exp(move.T)
@@ -143,8 +158,18 @@ def marginals(evidence: list[np.ndarray], move: np.ndarray) -> list[np.ndarray]:
             seen = _step(np.clip(grid[t] + after, -LIMIT, LIMIT), backward_move)
             after = np.where(t < own, seen, 0.0)
         odds = 1 / (1 + np.exp(-forward))
-        for k, g in enumerate(group):
-            out[g] = odds[: lengths[g], k]
+        yield group, [odds[: lengths[g], k] for k, g in enumerate(group)]
+    if len(order) < len(evidence):
+        empty = [int(i) for i in np.flatnonzero(lengths == 0)]
+        yield empty, [np.zeros(0)] * len(empty)
+
+
+def marginals(evidence: list[np.ndarray], move: np.ndarray) -> list[np.ndarray]:
+    """``lockstep`` of all texts, in their order."""
+    out: list[np.ndarray] = [np.zeros(0)] * len(evidence)
+    for group, found in lockstep(evidence, move):
+        for g, p in zip(group, found):
+            out[g] = p
     return out
 
 
@@ -175,20 +200,18 @@ def _fit_document(rows: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.nda
     return w
 
 
-def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Chain:
+def train(texts: Iterable[str], labels: list[int], epochs: int = EPOCHS) -> Chain:
     """Fit the chain by AdaGrad on the likelihood of the word tags, then the
-    document score. Without a toxic row every word stays clean."""
+    document score. Without a toxic row every word stays clean. Texts are
+    read once and held as numbers of their words."""
     chain = Chain()
-    docs = [[w.lower() for w in _WORD.findall(t)] for t in texts]
-    marked = toxic_words(docs, labels)
     known: dict[str, int] = {}
-    ids = [np.array([known.setdefault(w, len(known)) for w in d], np.int64) for d in docs]
-    table = [np.array(buckets(w)) for w in known]
-    toxic = np.array([w in marked for w in known], bool)
-    size = np.array([len(b) for b in table], np.int64)
-    flat = np.concatenate(table) if table else np.zeros(0, np.int64)
+    ids = [np.array([known.setdefault(w.lower(), len(known)) for w in _WORD.findall(t)], np.int32) for t in texts]
+    toxic = toxic_words(ids, labels, list(known))
+    size = np.fromiter((1 + sum(len(w) > k for k in PREFIXES) for w in known), np.int64, len(known))
+    flat = np.fromiter(chained.from_iterable(map(buckets, known)), np.int32, int(size.sum()))
     start = np.cumsum(size) - size
-    tags = [toxic[i].astype(float) * y for i, y in zip(ids, labels)]
+    del known
     squares, rng = np.full(BUCKETS, 1e-3), np.random.default_rng(11)
     bias_square, move_square = 1.0, np.ones((2, 2))
     for _ in range(epochs):
@@ -206,7 +229,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Chain:
             evidence = chain.bias + sums[cut] - sums[cut - size[words]]
             ends = np.cumsum([len(ids[k]) for k in mine])
             p = marginals(np.split(evidence, ends[:-1]), chain.move)
-            y = [tags[k] for k in mine]
+            y = [toxic[ids[k]].astype(float) * labels[k] for k in mine]
             gap = np.concatenate(p) - np.concatenate(y)
             gradient = np.bincount(at, np.repeat(gap, size[words]), BUCKETS) + 1e-4 * chain.words
             squares += gradient**2
@@ -221,8 +244,12 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Chain:
             push = (likely - seen) / max(1, len(words)) * 100
             move_square += push**2
             chain.move -= 0.1 * push / np.sqrt(move_square)
-    p = _probabilities(texts, chain, _table(chain))
-    chain.document = _fit_document(np.array([_summary(x) for x in p]).reshape(-1, 3), np.array(labels, float))
+    evidence = np.fromiter((chain.bias + float(chain.words[flat[a: a + n]].sum()) for a, n in zip(start, size)),
+                           np.float32, len(size))
+    rows = np.empty((len(ids), 3))
+    for group, p in lockstep([evidence[i] for i in ids], chain.move):
+        rows[group] = [_summary(x) for x in p]
+    chain.document = _fit_document(rows, np.array(labels, float))
     if not any(labels):
         chain.document = np.array([-20.0, 0, 0])
     return chain
@@ -241,41 +268,46 @@ def _loaded(model: bytes) -> tuple[Chain, ChunkIds]:
     return chain, _table(chain)
 
 
-def _probabilities(texts: list[str], chain: Chain, table: ChunkIds) -> list[np.ndarray]:
-    evidence = []
-    for low, high in slices(texts):
-        evidence += table.ids([t.split() for t in texts[low:high]])
-    return marginals(evidence, chain.move)
+def _evidence(texts: pa.Array, table: ChunkIds) -> list[np.ndarray]:
+    return [e for _, part in sliced(texts) for e in table.ids([t.split() for t in part])]
 
 
-def score_texts(texts: list[str], model: bytes) -> np.ndarray:
+def score_texts(texts: pa.Array, model: bytes) -> np.ndarray:
     chain, table = _loaded(model)
-    return document_scores(_probabilities(texts, chain, table), chain)
+    out = np.empty(len(texts))
+    for group, p in lockstep(_evidence(texts, table), chain.move):
+        out[group] = document_scores(p, chain)
+    return out
 
 
-def spans_of(texts: list[str], model: bytes) -> tuple[np.ndarray, list[list[dict]]]:
+def spans_of(texts: pa.Array, model: bytes) -> tuple[np.ndarray, list[list[dict]]]:
     """Scores, and the offending spans (start, end in code points, text,
     probability); neighbouring offending words are one span."""
     chain, table = _loaded(model)
-    p = _probabilities(texts, chain, table)
-    out = []
-    for text, probability in zip(texts, p):
-        spans: list[dict] = []
-        if len(probability) and probability.max() >= 0.5:
-            last = -2
-            for i, m in enumerate(_WORD.finditer(text)):
-                if probability[i] < 0.5:
-                    continue
-                if i == last + 1:
-                    spans[-1]["end"] = m.end()
-                    spans[-1]["probability"] = max(spans[-1]["probability"], float(probability[i]))
-                else:
-                    spans.append({"start": m.start(), "end": m.end(), "probability": float(probability[i])})
-                last = i
-            for s in spans:
-                s["text"] = text[s["start"]: s["end"]]
-        out.append(spans)
-    return document_scores(p, chain), out
+    scores, out = np.empty(len(texts)), [[] for _ in range(len(texts))]
+    for group, p in lockstep(_evidence(texts, table), chain.move):
+        scores[group] = document_scores(p, chain)
+        for g, x in zip(group, p):
+            if len(x) and x.max() >= 0.5:
+                out[g] = _offending(texts[g].as_py(), x)
+    return scores, out
+
+
+def _offending(text: str, probability: np.ndarray) -> list[dict]:
+    spans: list[dict] = []
+    last = -2
+    for i, m in enumerate(_WORD.finditer(text)):
+        if probability[i] < 0.5:
+            continue
+        if i == last + 1:
+            spans[-1]["end"] = m.end()
+            spans[-1]["probability"] = max(spans[-1]["probability"], float(probability[i]))
+        else:
+            spans.append({"start": m.start(), "end": m.end(), "probability": float(probability[i])})
+        last = i
+    for s in spans:
+        s["text"] = text[s["start"]: s["end"]]
+    return spans
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 5, held_out: int = 0,
@@ -283,10 +315,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int =
     """The model, from at most ``rows`` labelled rows and ``chars``
     characters, fitted in one task; only the weights come to the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sorted((d, t, y) for b in batches
-                       for d, t, y in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), b["label"].to_pylist()))
-        chain = train([t for _, t, _ in known], [int(y > 0) for _, _, y in known])
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(chain)], pa.binary())], names=["model"])
+        marks, texts = in_order(batches)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(texts, [int(y > 0) for y in marks]))],
+                                                   pa.binary())], names=["model"])
     ship_package(docs.sparkSession)
     sample = training_rows(docs, labels, label, modulus, held_out, rows, chars)
     found = sample.repartition(1).mapInArrow(run, "model binary").collect()
@@ -298,9 +329,9 @@ def score_column(spark, model: bytes, text: Column) -> Column:
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)  # BUCKETS numbers
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(score_texts(texts.tolist(), shared.value))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(score_texts(texts, shared.value))
     return score(F.coalesce(text, F.lit("")))
 
 
@@ -315,8 +346,7 @@ def toxic_spans(docs: DataFrame, model: bytes) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b["text"].to_pylist()
-            scores, spans = spans_of(texts, shared.value)
+            scores, spans = spans_of(b["text"], shared.value)
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(scores), pa.array(spans, kind)],
                                              names=["doc_id", "score", "spans"])
     return map_arrow(texts_of(docs), run, f"doc_id long, score double, spans {SPANS}")
